@@ -1,3 +1,346 @@
-"""Queries (filled in below)."""
+"""Queries for learners and model reports."""
 
-from spindle.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from spindle.operators import features, learners, reports
+from spindle.plans import setups
+from spindle.plans.registry import query
+from spindle.plans.setups import (LOGIT_DISCOUNT_SQL, LOGIT_TAX_SQL, OLS_SQL, RATES_SQL,
+                                  STUMP_CLASS_SQL, STUMP_REG_SQL)
+from spindle.plans.tables import embedding_features, table
+
+# --- logistic regression -----------------------------------------------------
+
+_LOGIT_COEF_OUT = """
+SELECT '(intercept)' AS term, 0 AS cls, round(b0, 4) AS value FROM c
+UNION ALL SELECT 'x', 0, round(b1, 4) FROM c
+"""
+
+
+def _coef_rounded(spark, model, names, digits=4):
+    t = reports.coefficients(spark, model, names)
+    return t.select("term", F.col("class").alias("cls"), F.round("value", digits).alias("value"))
+
+
+@query("clf_logreg", "WITH " + LOGIT_DISCOUNT_SQL + "," + RATES_SQL + _LOGIT_COEF_OUT)
+def clf_logreg(spark, sf):
+    model, data = setups.fit_exact_logit(setups.logit_discount(spark, sf))
+    return _coef_rounded(spark, model, ["x"])
+
+
+@query("clf_logreg_lbfgs", "WITH " + LOGIT_TAX_SQL + "," + RATES_SQL + _LOGIT_COEF_OUT)
+def clf_logreg_lbfgs(spark, sf):
+    model, data = setups.fit_exact_logit(setups.logit_tax(spark, sf), family="binomial")
+    return _coef_rounded(spark, model, ["x"])
+
+
+@query("ml_threshold", "WITH " + LOGIT_DISCOUNT_SQL + "," + RATES_SQL + """
+SELECT l_orderkey, l_linenumber, round(p, 4) AS p1, CAST(p > 0.55 AS DOUBLE) AS prediction
+FROM d JOIN g USING (x)
+""")
+def ml_threshold(spark, sf):
+    model, data = setups.fit_exact_logit(setups.logit_discount(spark, sf), threshold=0.55,
+                                         probability_col="myProbability")
+    out = model.transform(data)
+    return out.select("l_orderkey", "l_linenumber",
+                      F.round(vector_to_array("myProbability")[1], 4).alias("p1"), "prediction")
+
+
+# --- naive Bayes ------------------------------------------------------------
+
+_NB_SQL = """
+WITH d AS (SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS INTEGER) AS cls,
+                  l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem),
+s AS (SELECT cls, count(*) AS n, sum(f0) AS s0, sum(f1) AS s1, sum(f2) AS s2 FROM d GROUP BY cls),
+t AS (SELECT sum(n) AS tot, count(*) AS k FROM s)
+SELECT cls, 'pi' AS term, round(ln(n + 1.0) - ln(tot + k * 1.0), 8) AS value FROM s, t
+UNION ALL SELECT cls, 'f0', round(ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3 * 1.0), 8) FROM s
+UNION ALL SELECT cls, 'f1', round(ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3 * 1.0), 8) FROM s
+UNION ALL SELECT cls, 'f2', round(ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3 * 1.0), 8) FROM s
+"""
+
+
+@query("clf_naive_bayes", _NB_SQL)
+def clf_naive_bayes(spark, sf):
+    li = table(spark, sf, "lineitem")
+    lab = (F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0)
+            .otherwise(2.0))
+    df = features.assemble(li.select(lab.alias("label"), "l_quantity", "l_discount", "l_tax"),
+                           ["l_quantity", "l_discount", "l_tax"], "features")
+    learners.check_nonnegative(df, "features")
+    model = learners.naive_bayes(smoothing=1.0).fit(df)
+    pi = model.pi.toArray()
+    theta = model.theta.toArray()
+    rows = [(c, "pi", float(pi[c])) for c in range(len(pi))]
+    rows += [(c, f"f{j}", float(theta[c][j])) for c in range(len(pi)) for j in range(theta.shape[1])]
+    t = spark.createDataFrame(rows, "cls int, term string, value double")
+    return t.select("cls", "term", F.round("value", 8).alias("value"))
+
+
+# --- trees ------------------------------------------------------------------
+
+_STUMP_CLASS_OUT = """
+SELECT thr AS threshold,
+       CAST(CASE WHEN ln1 > ln - ln1 THEN 1 ELSE 0 END AS DOUBLE) AS left_prediction,
+       CAST(CASE WHEN rn1 > rn - rn1 THEN 1 ELSE 0 END AS DOUBLE) AS right_prediction
+FROM best
+"""
+
+_STUMP_REG_OUT = """
+SELECT thr AS threshold, round(ls / ln, 3) AS left_prediction, round(rs / rn, 3) AS right_prediction
+FROM best
+"""
+
+
+def _stump_summary(spark, model, digits: int | None = None):
+    """(threshold, left_prediction, right_prediction) of a depth-1 tree
+    (or the first tree of an ensemble), from the saved node table."""
+    nodes = reports.tree_nodes(spark, model).filter(F.col("tree") == 0)
+    root = nodes.filter(F.col("id") == 0).select("threshold", "left_child", "right_child")
+    left = nodes.select(F.col("id").alias("left_child"), F.col("prediction").alias("left_prediction"))
+    right = nodes.select(F.col("id").alias("right_child"), F.col("prediction").alias("right_prediction"))
+    out = root.join(left, "left_child").join(right, "right_child")
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: F.col(c))
+    return out.select("threshold", rnd("left_prediction").alias("left_prediction"),
+                      rnd("right_prediction").alias("right_prediction"))
+
+
+@query("clf_tree", "WITH " + STUMP_CLASS_SQL + _STUMP_CLASS_OUT)
+def clf_tree(spark, sf):
+    data = setups.stump_class_data(spark, sf)
+    model = learners.decision_tree_classifier(max_depth=1, max_bins=64).fit(data)
+    return _stump_summary(spark, model)
+
+
+@query("clf_forest", "WITH " + STUMP_CLASS_SQL + _STUMP_CLASS_OUT)
+def clf_forest(spark, sf):
+    # one unbagged tree over all features: the forest reduces to the tree
+    data = setups.stump_class_data(spark, sf)
+    model = learners.random_forest_classifier(num_trees=1, max_depth=1, max_bins=64,
+                                              bootstrap=False,
+                                              featureSubsetStrategy="all").fit(data)
+    return _stump_summary(spark, model)
+
+
+@query("reg_tree", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
+def reg_tree(spark, sf):
+    data = setups.stump_reg_data(spark, sf)
+    model = learners.decision_tree_regressor(max_depth=1, max_bins=64).fit(data)
+    return _stump_summary(spark, model, 3)
+
+
+@query("reg_forest", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
+def reg_forest(spark, sf):
+    data = setups.stump_reg_data(spark, sf)
+    model = learners.random_forest_regressor(num_trees=1, max_depth=1, max_bins=64,
+                                             bootstrap=False,
+                                             featureSubsetStrategy="all").fit(data)
+    return _stump_summary(spark, model, 3)
+
+
+@query("reg_gbt", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
+def reg_gbt(spark, sf):
+    # one boosting round of squared loss fits the first tree to the label
+    data = setups.stump_reg_data(spark, sf)
+    model = learners.gbt_regressor(max_iter=1, max_depth=1, max_bins=64).fit(data)
+    return _stump_summary(spark, model, 3)
+
+
+@query("rep_tree", "WITH " + STUMP_CLASS_SQL + """,
+tot AS (SELECT sum(n) AS n, sum(n1) AS n1 FROM v)
+SELECT 0 AS id, CAST(CASE WHEN tot.n1 > tot.n - tot.n1 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+       1 AS left_child, 2 AS right_child, 0 AS feature, thr AS threshold FROM best, tot
+UNION ALL SELECT 1, CAST(CASE WHEN ln1 > ln - ln1 THEN 1 ELSE 0 END AS DOUBLE), -1, -1, -1, NULL FROM best
+UNION ALL SELECT 2, CAST(CASE WHEN rn1 > rn - rn1 THEN 1 ELSE 0 END AS DOUBLE), -1, -1, -1, NULL FROM best
+""")
+def rep_tree(spark, sf):
+    data = setups.stump_class_data(spark, sf)
+    model = learners.decision_tree_classifier(max_depth=1, max_bins=64).fit(data)
+    return reports.tree_nodes(spark, model).select(
+        "id", "prediction", "left_child", "right_child", "feature", "threshold")
+
+
+# --- rows-only learners ------------------------------------------------------
+
+def _binary_lineitem(spark, sf):
+    li = table(spark, sf, "lineitem")
+    df = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+                   (F.col("l_quantity") + 200 * F.col("l_discount") > 30).cast("double").alias("label"))
+    return features.assemble(df, ["l_quantity", "l_discount"], "features")
+
+
+@query("clf_gbt")
+def clf_gbt(spark, sf):
+    data = _binary_lineitem(spark, sf)
+    learners.check_binary_label(data, "label")
+    model = learners.gbt_classifier(max_iter=learners.GBT_CLASSIFIER_ROUNDS).fit(data)
+    return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+@query("clf_svm")
+def clf_svm(spark, sf):
+    data = _binary_lineitem(spark, sf)
+    model = learners.linear_svc().fit(data)
+    return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+@query("clf_mlp")
+def clf_mlp(spark, sf):
+    data = embedding_features(spark, sf)
+    model = learners.mlp_classifier([64, 32, 10], max_iter=100).fit(data)
+    return model.transform(data).select("vec_id", "label", "prediction")
+
+
+@query("clu_kmeans")
+def clu_kmeans(spark, sf):
+    data = embedding_features(spark, sf)
+    model = learners.kmeans().fit(data)
+    return model.transform(data).select("vec_id", "prediction")
+
+
+@query("rep_centers")
+def rep_centers(spark, sf):
+    model = learners.kmeans().fit(embedding_features(spark, sf))
+    return reports.centers(spark, model)
+
+
+# --- linear regression and its reports ----------------------------------------
+
+@query("reg_linear", "WITH " + OLS_SQL + """
+SELECT '(intercept)' AS term, 0 AS cls, round(a, 4) AS value FROM m
+UNION ALL SELECT 'l_quantity', 0, round(b, 4) FROM m
+""")
+def reg_linear(spark, sf):
+    data = setups.ols_lineitem(spark, sf)
+    model = setups.exact_linreg().fit(data)
+    return _coef_rounded(spark, model, reports.feature_names(data))
+
+
+@query("rep_coefficients", """
+WITH m AS (SELECT covar_pop(l_quantity, l_quantity) AS sxx, covar_pop(l_quantity, l_discount) AS sxz,
+                  covar_pop(l_discount, l_discount) AS szz, covar_pop(l_quantity, l_extendedprice) AS sxy,
+                  covar_pop(l_discount, l_extendedprice) AS szy, avg(l_quantity) AS mx,
+                  avg(l_discount) AS mz, avg(l_extendedprice) AS my FROM lineitem),
+b AS (SELECT (szz * sxy - sxz * szy) / (sxx * szz - sxz * sxz) AS b1,
+             (sxx * szy - sxz * sxy) / (sxx * szz - sxz * sxz) AS b2, mx, mz, my FROM m)
+SELECT '(intercept)' AS term, 0 AS cls, round(my - b1 * mx - b2 * mz, 2) AS value FROM b
+UNION ALL SELECT 'l_quantity', 0, round(b1, 4) FROM b
+UNION ALL SELECT 'l_discount', 0, round(b2, 2) FROM b
+""")
+def rep_coefficients(spark, sf):
+    data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount"))
+    model = setups.exact_linreg().fit(data)
+    t = reports.coefficients(spark, model, reports.feature_names(data))
+    value = (F.when(F.col("term") == "l_quantity", F.round("value", 4))
+              .otherwise(F.round("value", 2)))
+    return t.select("term", F.col("class").alias("cls"), value.alias("value"))
+
+
+@query("rep_residuals", "WITH " + OLS_SQL + """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice - (a + b * l_quantity), 2) AS residual
+FROM lineitem, m
+""")
+def rep_residuals(spark, sf):
+    data = setups.ols_lineitem(spark, sf)
+    model = setups.exact_linreg().fit(data)
+    r = reports.residuals(model, data, "label", ["l_orderkey", "l_linenumber"])
+    return r.select("l_orderkey", "l_linenumber", F.round("residual", 2).alias("residual"))
+
+
+@query("ml_predict", "WITH " + OLS_SQL + """
+SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 2) AS prediction FROM lineitem, m
+""")
+def ml_predict(spark, sf):
+    data = setups.ols_lineitem(spark, sf)
+    model = setups.exact_linreg().fit(data)
+    return model.transform(data).select("l_orderkey", "l_linenumber",
+                                        F.round("prediction", 2).alias("prediction"))
+
+
+@query("rep_fit_stats", "WITH " + OLS_SQL + """,
+r AS (SELECT l_extendedprice - (a + b * l_quantity) AS e FROM lineitem, m)
+SELECT round(sqrt(avg(e * e)), 4) AS rmse,
+       round((SELECT regr_r2(l_extendedprice, l_quantity) FROM lineitem), 8) AS r2,
+       round(avg(abs(e)), 4) AS mae, count(*) AS n FROM r
+""")
+def rep_fit_stats(spark, sf):
+    data = setups.ols_lineitem(spark, sf)
+    model = setups.exact_linreg().fit(data)
+    s = reports.fit_stats(spark, model)
+    return s.select(F.round("rmse", 4).alias("rmse"), F.round("r2", 8).alias("r2"),
+                    F.round("mae", 4).alias("mae"), "n")
+
+
+@query("rep_loss_history")
+def rep_loss_history(spark, sf):
+    data = _binary_lineitem(spark, sf)
+    model = learners.logistic_regression(max_iter=10, reg=0.3, elastic=0.8).fit(data)
+    return reports.loss_history(spark, model)
+
+
+@query("rep_iterations")
+def rep_iterations(spark, sf):
+    data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount", "l_tax"))
+    model = learners.linear_regression().fit(data)      # 10 iterations, reg 0.3, elastic 0.8
+    return reports.iterations(spark, model)
+
+
+# --- training-summary ROC and AUC ---------------------------------------------
+
+_ROC2_SQL = "WITH " + LOGIT_TAX_SQL + "," + RATES_SQL + """,
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
+hi AS (SELECT * FROM g ORDER BY p DESC LIMIT 1),
+pts AS (SELECT 0.0::DOUBLE AS FPR, 0.0::DOUBLE AS TPR
+        UNION ALL SELECT hi.neg / t.N, hi.pos / t.P FROM hi, t
+        UNION ALL SELECT 1.0::DOUBLE, 1.0::DOUBLE
+        UNION ALL SELECT 1.0::DOUBLE, 1.0::DOUBLE)
+"""
+
+
+@query("rep_roc", _ROC2_SQL + "SELECT FPR, TPR FROM pts")
+def rep_roc(spark, sf):
+    model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
+    return reports.summary_roc(model)
+
+
+@query("rep_auc", _ROC2_SQL + """
+SELECT round((SELECT hi.neg / t.N * hi.pos / t.P / 2
+                     + (1 - hi.neg / t.N) * (hi.pos / t.P + 1) / 2 FROM hi, t), 10) AS auc
+""")
+def rep_auc(spark, sf):
+    model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
+    return reports.summary_auc(spark, model).select(F.round("auc", 10).alias("auc"))
+
+
+# --- params, labels, stages ------------------------------------------------------
+
+@query("rep_params")
+def rep_params(spark, sf):
+    model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
+    return reports.params(spark, model, "LogisticRegressionModel").select("stage", "param", "value", "is_set")
+
+
+@query("rep_labels", """
+WITH c AS (SELECT o_orderpriority AS v, count(*) AS n FROM orders GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS INTEGER) AS index, v AS label FROM c
+""")
+def rep_labels(spark, sf):
+    o = table(spark, sf, "orders")
+    model = features.string_indexer("o_orderpriority", "pidx").fit(o)
+    return features.labels_table(spark, model)
+
+
+@query("rep_stage")
+def rep_stage(spark, sf):
+    from spindle.operators import tune
+
+    o = table(spark, sf, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))
+    stages = [features.string_indexer("o_orderpriority", "pidx"),
+              features.assembler(["pidx", "o_totalprice"], "features"),
+              learners.logistic_regression(max_iter=10)]
+    model = tune.fit_pipeline(stages, o)
+    assert isinstance(reports.stage_of(model, 2), type(model.stages[2]))
+    return reports.stages(spark, model).select("position", "stage")
