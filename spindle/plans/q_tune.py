@@ -1,3 +1,161 @@
-"""Queries (filled in below)."""
+"""Queries for pipelines, params, model search and model persistence
+(SURVEY §2.1 snk_model/snk_pipeline/src_model, §2.16)."""
 
-from spindle.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from spindle.operators import features, learners, reports, split, tune
+from spindle.plans import setups
+from spindle.plans.registry import query
+from spindle.plans.setups import OLS_SQL
+from spindle.plans.tables import fold_sql, split_sql, table
+from spindle.session import scratch_path
+from spindle.sources import models
+
+_KEYS = ["l_orderkey", "l_linenumber"]
+
+_PRED_SQL = "WITH " + OLS_SQL + """
+SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 2) AS prediction FROM lineitem, m
+"""
+
+
+def _stages():
+    return [features.assembler(["l_quantity"], "features"), setups.exact_linreg()]
+
+
+def _lineitem_xy(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_quantity",
+                     F.col("l_extendedprice").alias("label"))
+
+
+def _rounded(pred):
+    return pred.select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("prediction"))
+
+
+@query("ml_pipeline", _PRED_SQL)
+def ml_pipeline(spark, sf):
+    df = _lineitem_xy(spark, sf)
+    model = tune.pipeline(_stages()).fit(df)
+    return _rounded(model.transform(df))
+
+
+@query("snk_model", _PRED_SQL)
+def snk_model(spark, sf):
+    df = _lineitem_xy(spark, sf)
+    path = models.save_stage(tune.pipeline(_stages()).fit(df), scratch_path(spark, "fitted_pipeline"))
+    return _rounded(models.load_pipeline_model(path).transform(df))
+
+
+@query("snk_pipeline", _PRED_SQL)
+def snk_pipeline(spark, sf):
+    df = _lineitem_xy(spark, sf)
+    path = models.save_stage(tune.pipeline(_stages()), scratch_path(spark, "unfitted_pipeline"))
+    return _rounded(models.load_pipeline(path).fit(df).transform(df))
+
+
+@query("src_model", _PRED_SQL)
+def src_model(spark, sf):
+    df = _lineitem_xy(spark, sf)
+    path = scratch_path(spark, "served_model")
+    tune.pipeline(_stages()).fit(df).write().overwrite().save(path)
+    served = PipelineModel.load(path)
+    if len(served.stages) != 2:
+        raise RuntimeError("loaded pipeline lost stages")
+    return _rounded(served.transform(df))
+
+
+# --- params -------------------------------------------------------------------
+
+def _binary(spark, sf):
+    li = table(spark, sf, "lineitem")
+    df = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+                   (F.col("l_quantity") + 200 * F.col("l_discount") > 30).cast("double").alias("label"))
+    return features.assemble(df, ["l_quantity", "l_discount"], "features")
+
+
+@query("ml_params_set")
+def ml_params_set(spark, sf):
+    lr = learners.logistic_regression()
+    lr.setMaxIter(10).setRegParam(0.01)
+    model = lr.fit(_binary(spark, sf))
+    return reports.params(spark, model, "model1").filter(F.col("is_set")).select("param", "value")
+
+
+@query("ml_params_override")
+def ml_params_override(spark, sf):
+    lr = learners.logistic_regression(max_iter=10, reg=0.01)
+    pm = tune.merge_params({lr.maxIter: 20}, {lr.maxIter: 30},
+                           {lr.regParam: 0.1, lr.threshold: 0.55},
+                           {lr.probabilityCol: "myProbability"})
+    data = _binary(spark, sf)
+    model = learners.fit(lr, data, pm)
+    out = model.transform(data)
+    return out.select("l_orderkey", "l_linenumber",
+                      vector_to_array("myProbability")[1].alias("p1"), "prediction")
+
+
+# --- grid and search ------------------------------------------------------------
+
+_GRID_SQL = f"""
+WITH tr AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE {split_sql(_KEYS)}),
+te AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE NOT {split_sql(_KEYS)}),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, sum(x * y) / sum(x * x) AS b0 FROM tr),
+r AS (SELECT sqrt(avg((y - (a + b * x)) ^ 2)) AS r1, sqrt(avg((y - b0 * x) ^ 2)) AS r0 FROM te, m),
+gr AS (SELECT * FROM (VALUES (true, true), (true, false), (false, true), (false, false))
+       AS v(fit_intercept, standardization))
+SELECT fit_intercept, standardization, round(CASE WHEN fit_intercept THEN r1 ELSE r0 END, 6) AS rmse
+FROM gr, r
+"""
+
+
+@query("tune_grid", _GRID_SQL)
+def tune_grid(spark, sf):
+    data = setups.ols_lineitem(spark, sf)
+    train, test = split.keyed_split(data, _KEYS)
+    est = setups.exact_linreg()
+    maps = tune.grid([(est.fitIntercept, None), (est.standardization, None)])
+    ev = RegressionEvaluator(metricName="rmse")
+    rows = []
+    for m in maps:   # one distributed fit per setting
+        model = est.fit(train, m)
+        rows.append((bool(m[est.fitIntercept]), bool(m[est.standardization]),
+                     float(ev.evaluate(model.transform(test)))))
+    out = spark.createDataFrame(rows, "fit_intercept boolean, standardization boolean, rmse double")
+    return out.select("fit_intercept", "standardization", F.round("rmse", 6).alias("rmse"))
+
+
+@query("tune_cv", f"""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, {fold_sql(_KEYS)} AS fold FROM lineitem),
+f AS (SELECT CAST(k AS INTEGER) AS k FROM range(3) t(k)),
+m AS (SELECT k, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, sum(x * y) / sum(x * x) AS b0
+      FROM f JOIN d ON d.fold <> f.k GROUP BY k),
+r AS (SELECT m.k, sqrt(avg((y - (a + b * x)) ^ 2)) AS r1, sqrt(avg((y - b0 * x) ^ 2)) AS r0
+      FROM m JOIN d ON d.fold = m.k GROUP BY m.k)
+SELECT true AS fit_intercept, round(avg(r1), 6) AS avg_rmse FROM r
+UNION ALL SELECT false, round(avg(r0), 6) FROM r
+""")
+def tune_cv(spark, sf):
+    data = setups.ols_lineitem(spark, sf).withColumn("fold", split.fold_column(_KEYS, 3))
+    est = setups.exact_linreg()
+    maps = tune.grid([(est.fitIntercept, None)])
+    cv = tune.cross_validator(est, maps, RegressionEvaluator(metricName="rmse"), 3, fold_col="fold")
+    cvm = cv.fit(data)
+    rows = [(bool(m[est.fitIntercept]), float(v)) for m, v in zip(maps, cvm.avgMetrics)]
+    out = spark.createDataFrame(rows, "fit_intercept boolean, avg_rmse double")
+    return out.select("fit_intercept", F.round("avg_rmse", 6).alias("avg_rmse"))
+
+
+@query("tune_tv_split")
+def tune_tv_split(spark, sf):
+    data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount"))
+    est = learners.linear_regression()
+    maps = tune.grid([(est.regParam, [0.3, 0.01]), (est.elasticNetParam, [0.0, 0.8])])
+    tvs = tune.train_validation_split(est, maps, RegressionEvaluator(metricName="rmse"), 0.75)
+    model = tvs.fit(data)
+    rows = [(i, float(v)) for i, v in enumerate(model.validationMetrics)]
+    return spark.createDataFrame(rows, "setting int, rmse double")

@@ -42,14 +42,19 @@ GAPPY_CUSTOMER_SQL = """
 """
 
 
-def split_sql(key: str, pct: int = 70) -> str:
-    """SQL twin of ``spindle.operators.split.split_flag``."""
-    return f"((('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 100) < {pct})"
+def _key_text(keys) -> str:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
 
 
-def fold_sql(key: str, k: int = 3) -> str:
+def split_sql(keys, pct: int = 70) -> str:
+    """SQL twin of ``spindle.operators.split.split_flag`` (keys joined by '|')."""
+    return f"((('0x' || substr(md5({_key_text(keys)}), 1, 8))::BIGINT % 100) < {pct})"
+
+
+def fold_sql(keys, k: int = 3) -> str:
     """SQL twin of ``spindle.operators.split.fold_column``."""
-    return f"CAST((('0x' || substr(md5(CAST({key} AS VARCHAR)), 9, 8))::BIGINT % {k}) AS INTEGER)"
+    return f"CAST((('0x' || substr(md5({_key_text(keys)}), 9, 8))::BIGINT % {k}) AS INTEGER)"
 
 
 # --- documents with quality labels (credit-card-like binary input) ----------
