@@ -1,3 +1,111 @@
-"""Queries (filled in below)."""
+"""Queries for the whole-script jobs; job_relational is in
+``q_relational``.  Fitted results are checked by properties in the tests
+(accuracy above the majority share, RMSE below the mean's), so these
+entries are rows-only for the driver."""
 
-from spindle.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from spindle.operators import split
+from spindle.plans import jobs
+from spindle.plans.registry import query
+from spindle.plans.tables import (embedding_features, gappy_customer, hourly_events,
+                                  labelled_documents, table)
+
+
+def multiclass_input(spark, sf):
+    """embeddings as (vec_id, species, e0 … e63): the iris layout."""
+    emb = table(spark, sf, "embeddings")
+    return emb.select("vec_id", F.concat(F.lit("class_"), F.col("label").cast("string")).alias("species"),
+                      *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+
+
+def run_multiclass(spark, sf):
+    df = multiclass_input(spark, sf)
+    train, test = split.keyed_split(df, "vec_id")
+    return jobs.multiclass_forest(train, test, "species", [f"e{i}" for i in range(64)])
+
+
+@query("job_multiclass")
+def job_multiclass(spark, sf):
+    return run_multiclass(spark, sf).scored.select("vec_id", "species", "predictedLabel")
+
+
+def binary_input(spark, sf):
+    d = labelled_documents(spark, sf)
+    return d.select("doc_id", F.col("quality").cast("string").alias("quality"),
+                    F.col("n_chars").cast("double").alias("n_chars"), "lang", "source")
+
+
+def run_binary(spark, sf):
+    train, test = split.keyed_split(binary_input(spark, sf), "doc_id")
+    return jobs.binary_logistic(train, test, "quality", ["n_chars"], ["lang", "source"], 8)
+
+
+@query("job_binary")
+def job_binary(spark, sf):
+    return run_binary(spark, sf).scored.select("doc_id", "quality", "predictedLabel")
+
+
+def run_binary_cv(spark, sf):
+    train, test = split.keyed_split(binary_input(spark, sf), "doc_id")
+    return jobs.binary_logistic_cv(spark, train, test, "quality", ["n_chars"], ["lang", "source"],
+                                   ["doc_id"])
+
+
+@query("job_binary_cv")
+def job_binary_cv(spark, sf):
+    return run_binary_cv(spark, sf).scored.select("doc_id", "quality", "predictedLabel")
+
+
+def titanic_input(spark, sf):
+    """gappy customer joined to per-customer order facts: label = has an
+    urgent order; 'fare' = spend; 'sibsp'/'parch' = order counts."""
+    o = table(spark, sf, "orders")
+    per = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("n_done"),
+        F.sum("o_totalprice").alias("spend"),
+        F.max((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("urgent"))
+    c = gappy_customer(spark, sf).join(per, "c_custkey", "left").fillna(
+        {"n_orders": 0, "n_done": 0, "spend": 0.0, "urgent": 0})
+    return c.withColumns({"age": F.col("c_acctbal") / 100,
+                          "pclass": (F.col("c_nationkey") % 3 + 1).cast("double"),
+                          "survived": F.col("urgent").cast("string")})
+
+
+def run_clean_and_classify(spark, sf):
+    return jobs.clean_and_classify(spark, titanic_input(spark, sf), "c_custkey", "survived",
+                                   "age", "c_mktsegment", "n_orders", "n_done", "c_mktsegment",
+                                   ["pclass", "spend"])
+
+
+@query("job_clean_and_classify")
+def job_clean_and_classify(spark, sf):
+    return run_clean_and_classify(spark, sf).scored.select("c_custkey", "survived", "predictedLabel")
+
+
+_HOUR_FEATURES = ["day", "hr", "weekday", "n_click", "n_view", "n_error", "avg_value", "n_users"]
+
+
+def run_regression(spark, sf):
+    df = hourly_events(spark, sf)
+    train, test = split.keyed_split(df, "hour_ts")
+    return jobs.gbt_regression(train, test, "cnt", _HOUR_FEATURES, 24)
+
+
+@query("job_regression")
+def job_regression(spark, sf):
+    return run_regression(spark, sf).scored.select("hour_ts", "cnt", "prediction")
+
+
+def run_text(spark, sf):
+    d = labelled_documents(spark, sf).select("doc_id", "text", F.col("quality").alias("label"))
+    train, test = split.keyed_split(d, "doc_id")
+    return jobs.text_classify(train, test, "text", "label", 1000)
+
+
+@query("job_text_classify")
+def job_text_classify(spark, sf):
+    return run_text(spark, sf).scored.select("doc_id", "label", "prediction")
