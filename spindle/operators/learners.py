@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.operators.columns import q
+from spindle.operators.layout import fit_input
 
 # --- fixed values: the reference's settings ---------------------------------
 SVM_ITERATIONS = 100
@@ -163,6 +164,13 @@ def check_categories_fit_bins(df: DataFrame, features: str, max_bins: int) -> No
             raise ValueError(f"feature {group.get('idx')} has {n} categories > maxBins {max_bins}")
 
 
-def fit(estimator, df: DataFrame, params: Mapping | None = None):
-    """``estimator.fit(df, params)``: a param map overrides the setters."""
-    return estimator.fit(df, dict(params)) if params else estimator.fit(df)
+def fit(estimator, df: DataFrame, params: Mapping | None = None, spread: bool = True):
+    """``estimator.fit(df, params)``: a param map overrides the setters.
+
+    The input is spread over all cores and persisted for the fit (see
+    ``spindle.operators.layout``), since iterative learners read it once per
+    iteration."""
+    if not spread:
+        return estimator.fit(df, dict(params)) if params else estimator.fit(df)
+    with fit_input(df) as data:
+        return estimator.fit(data, dict(params)) if params else estimator.fit(data)

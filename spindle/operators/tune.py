@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType)
 
+from spindle.operators.layout import fit_input
+
 
 def pipeline(stages: Sequence) -> Pipeline:
     return Pipeline(stages=list(stages))
@@ -87,6 +89,13 @@ def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
     (setting, fold, metric), index of the best setting).
     """
     results: list[tuple[int, int, float]] = []
+    with fit_input(df) as data:
+        return _search(spark, data, pre_stages, learner, maps, evaluator, fold_col, num_folds,
+                       parallelism, results)
+
+
+def _search(spark, df, pre_stages, learner, maps, evaluator, fold_col, num_folds, parallelism,
+            results):
     for k in range(num_folds):
         train = df.filter(F.col(fold_col) != k)
         valid = df.filter(F.col(fold_col) == k)
@@ -118,4 +127,6 @@ def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
 
 
 def fit_pipeline(stages: Sequence, df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=list(stages)).fit(df)
+    """Fit stages in order on a spread, persisted copy of the input."""
+    with fit_input(df) as data:
+        return Pipeline(stages=list(stages)).fit(data)

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from spindle.operators import evaluate, split
+from spindle.operators import evaluate, learners, split
 from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import LOGIT_TAX_SQL, RATES_SQL
@@ -107,7 +107,7 @@ SELECT round(sqrt(avg((y - (a + b * x)) ^ 2)), 6) AS rmse FROM te, m
 def eval_rmse(spark, sf):
     data = setups.ols_lineitem(spark, sf)
     train, test = split.keyed_split(data, _KEYS)
-    model = setups.exact_linreg().fit(train)
+    model = learners.fit(setups.exact_linreg(), train)
     r = evaluate.rmse(model.transform(test), "label", "prediction")
     return r.select(F.round("rmse", 6).alias("rmse"))
 

@@ -71,7 +71,7 @@ def clf_naive_bayes(spark, sf):
     df = features.assemble(li.select(lab.alias("label"), "l_quantity", "l_discount", "l_tax"),
                            ["l_quantity", "l_discount", "l_tax"], "features")
     learners.check_nonnegative(df, "features")
-    model = learners.naive_bayes(smoothing=1.0).fit(df)
+    model = learners.fit(learners.naive_bayes(smoothing=1.0), df)
     pi = model.pi.toArray()
     theta = model.theta.toArray()
     rows = [(c, "pi", float(pi[c])) for c in range(len(pi))]
@@ -111,7 +111,7 @@ def _stump_summary(spark, model, digits: int | None = None):
 @query("clf_tree", "WITH " + STUMP_CLASS_SQL + _STUMP_CLASS_OUT)
 def clf_tree(spark, sf):
     data = setups.stump_class_data(spark, sf)
-    model = learners.decision_tree_classifier(max_depth=1, max_bins=64).fit(data)
+    model = learners.fit(learners.decision_tree_classifier(max_depth=1, max_bins=64), data)
     return _stump_summary(spark, model)
 
 
@@ -119,25 +119,25 @@ def clf_tree(spark, sf):
 def clf_forest(spark, sf):
     # one unbagged tree over all features: the forest reduces to the tree
     data = setups.stump_class_data(spark, sf)
-    model = learners.random_forest_classifier(num_trees=1, max_depth=1, max_bins=64,
-                                              bootstrap=False,
-                                              featureSubsetStrategy="all").fit(data)
+    model = learners.fit(learners.random_forest_classifier(num_trees=1, max_depth=1, max_bins=64,
+                                                           bootstrap=False,
+                                                           featureSubsetStrategy="all"), data)
     return _stump_summary(spark, model)
 
 
 @query("reg_tree", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
 def reg_tree(spark, sf):
     data = setups.stump_reg_data(spark, sf)
-    model = learners.decision_tree_regressor(max_depth=1, max_bins=64).fit(data)
+    model = learners.fit(learners.decision_tree_regressor(max_depth=1, max_bins=64), data)
     return _stump_summary(spark, model, 3)
 
 
 @query("reg_forest", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
 def reg_forest(spark, sf):
     data = setups.stump_reg_data(spark, sf)
-    model = learners.random_forest_regressor(num_trees=1, max_depth=1, max_bins=64,
-                                             bootstrap=False,
-                                             featureSubsetStrategy="all").fit(data)
+    model = learners.fit(learners.random_forest_regressor(num_trees=1, max_depth=1, max_bins=64,
+                                                          bootstrap=False,
+                                                          featureSubsetStrategy="all"), data)
     return _stump_summary(spark, model, 3)
 
 
@@ -145,7 +145,7 @@ def reg_forest(spark, sf):
 def reg_gbt(spark, sf):
     # one boosting round of squared loss fits the first tree to the label
     data = setups.stump_reg_data(spark, sf)
-    model = learners.gbt_regressor(max_iter=1, max_depth=1, max_bins=64).fit(data)
+    model = learners.fit(learners.gbt_regressor(max_iter=1, max_depth=1, max_bins=64), data)
     return _stump_summary(spark, model, 3)
 
 
@@ -158,7 +158,7 @@ UNION ALL SELECT 2, CAST(CASE WHEN rn1 > rn - rn1 THEN 1 ELSE 0 END AS DOUBLE),
 """)
 def rep_tree(spark, sf):
     data = setups.stump_class_data(spark, sf)
-    model = learners.decision_tree_classifier(max_depth=1, max_bins=64).fit(data)
+    model = learners.fit(learners.decision_tree_classifier(max_depth=1, max_bins=64), data)
     return reports.tree_nodes(spark, model).select(
         "id", "prediction", "left_child", "right_child", "feature", "threshold")
 
@@ -176,34 +176,34 @@ def _binary_lineitem(spark, sf):
 def clf_gbt(spark, sf):
     data = _binary_lineitem(spark, sf)
     learners.check_binary_label(data, "label")
-    model = learners.gbt_classifier(max_iter=learners.GBT_CLASSIFIER_ROUNDS).fit(data)
+    model = learners.fit(learners.gbt_classifier(max_iter=learners.GBT_CLASSIFIER_ROUNDS), data)
     return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 @query("clf_svm")
 def clf_svm(spark, sf):
     data = _binary_lineitem(spark, sf)
-    model = learners.linear_svc().fit(data)
+    model = learners.fit(learners.linear_svc(), data)
     return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 @query("clf_mlp")
 def clf_mlp(spark, sf):
     data = embedding_features(spark, sf)
-    model = learners.mlp_classifier([64, 32, 10], max_iter=100).fit(data)
+    model = learners.fit(learners.mlp_classifier([64, 32, 10], max_iter=100), data)
     return model.transform(data).select("vec_id", "label", "prediction")
 
 
 @query("clu_kmeans")
 def clu_kmeans(spark, sf):
     data = embedding_features(spark, sf)
-    model = learners.kmeans().fit(data)
+    model = learners.fit(learners.kmeans(), data)
     return model.transform(data).select("vec_id", "prediction")
 
 
 @query("rep_centers")
 def rep_centers(spark, sf):
-    model = learners.kmeans().fit(embedding_features(spark, sf))
+    model = learners.fit(learners.kmeans(), embedding_features(spark, sf))
     return reports.centers(spark, model)
 
 
@@ -215,7 +215,7 @@ UNION ALL SELECT 'l_quantity', 0, round(b, 4) FROM m
 """)
 def reg_linear(spark, sf):
     data = setups.ols_lineitem(spark, sf)
-    model = setups.exact_linreg().fit(data)
+    model = learners.fit(setups.exact_linreg(), data)
     return _coef_rounded(spark, model, reports.feature_names(data))
 
 
@@ -232,7 +232,7 @@ UNION ALL SELECT 'l_discount', 0, round(b2, 2) FROM b
 """)
 def rep_coefficients(spark, sf):
     data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount"))
-    model = setups.exact_linreg().fit(data)
+    model = learners.fit(setups.exact_linreg(), data)
     t = reports.coefficients(spark, model, reports.feature_names(data))
     value = (F.when(F.col("term") == "l_quantity", F.round("value", 4))
               .otherwise(F.round("value", 2)))
@@ -245,7 +245,7 @@ FROM lineitem, m
 """)
 def rep_residuals(spark, sf):
     data = setups.ols_lineitem(spark, sf)
-    model = setups.exact_linreg().fit(data)
+    model = learners.fit(setups.exact_linreg(), data)
     r = reports.residuals(model, data, "label", ["l_orderkey", "l_linenumber"])
     return r.select("l_orderkey", "l_linenumber", F.round("residual", 2).alias("residual"))
 
@@ -255,7 +255,7 @@ SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 2) AS prediction FROM
 """)
 def ml_predict(spark, sf):
     data = setups.ols_lineitem(spark, sf)
-    model = setups.exact_linreg().fit(data)
+    model = learners.fit(setups.exact_linreg(), data)
     return model.transform(data).select("l_orderkey", "l_linenumber",
                                         F.round("prediction", 2).alias("prediction"))
 
@@ -268,7 +268,7 @@ SELECT round(sqrt(avg(e * e)), 4) AS rmse,
 """)
 def rep_fit_stats(spark, sf):
     data = setups.ols_lineitem(spark, sf)
-    model = setups.exact_linreg().fit(data)
+    model = learners.fit(setups.exact_linreg(), data)
     s = reports.fit_stats(spark, model)
     return s.select(F.round("rmse", 4).alias("rmse"), F.round("r2", 8).alias("r2"),
                     F.round("mae", 4).alias("mae"), "n")
@@ -277,14 +277,14 @@ def rep_fit_stats(spark, sf):
 @query("rep_loss_history")
 def rep_loss_history(spark, sf):
     data = _binary_lineitem(spark, sf)
-    model = learners.logistic_regression(max_iter=10, reg=0.3, elastic=0.8).fit(data)
+    model = learners.fit(learners.logistic_regression(max_iter=10, reg=0.3, elastic=0.8), data)
     return reports.loss_history(spark, model)
 
 
 @query("rep_iterations")
 def rep_iterations(spark, sf):
     data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount", "l_tax"))
-    model = learners.linear_regression().fit(data)      # 10 iterations, reg 0.3, elastic 0.8
+    model = learners.fit(learners.linear_regression(), data)      # 10 iterations, reg 0.3, elastic 0.8
     return reports.iterations(spark, model)
 
 

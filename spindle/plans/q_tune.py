@@ -40,14 +40,14 @@ def _rounded(pred):
 @query("ml_pipeline", _PRED_SQL)
 def ml_pipeline(spark, sf):
     df = _lineitem_xy(spark, sf)
-    model = tune.pipeline(_stages()).fit(df)
+    model = tune.fit_pipeline(_stages(), df)
     return _rounded(model.transform(df))
 
 
 @query("snk_model", _PRED_SQL)
 def snk_model(spark, sf):
     df = _lineitem_xy(spark, sf)
-    path = models.save_stage(tune.pipeline(_stages()).fit(df), scratch_path(spark, "fitted_pipeline"))
+    path = models.save_stage(tune.fit_pipeline(_stages(), df), scratch_path(spark, "fitted_pipeline"))
     return _rounded(models.load_pipeline_model(path).transform(df))
 
 
@@ -55,14 +55,14 @@ def snk_model(spark, sf):
 def snk_pipeline(spark, sf):
     df = _lineitem_xy(spark, sf)
     path = models.save_stage(tune.pipeline(_stages()), scratch_path(spark, "unfitted_pipeline"))
-    return _rounded(models.load_pipeline(path).fit(df).transform(df))
+    return _rounded(learners.fit(models.load_pipeline(path), df).transform(df))
 
 
 @query("src_model", _PRED_SQL)
 def src_model(spark, sf):
     df = _lineitem_xy(spark, sf)
     path = scratch_path(spark, "served_model")
-    tune.pipeline(_stages()).fit(df).write().overwrite().save(path)
+    tune.fit_pipeline(_stages(), df).write().overwrite().save(path)
     served = PipelineModel.load(path)
     if len(served.stages) != 2:
         raise RuntimeError("loaded pipeline lost stages")
@@ -82,7 +82,7 @@ def _binary(spark, sf):
 def ml_params_set(spark, sf):
     lr = learners.logistic_regression()
     lr.setMaxIter(10).setRegParam(0.01)
-    model = lr.fit(_binary(spark, sf))
+    model = learners.fit(lr, _binary(spark, sf))
     return reports.params(spark, model, "model1").filter(F.col("is_set")).select("param", "value")
 
 
@@ -122,7 +122,7 @@ def tune_grid(spark, sf):
     ev = RegressionEvaluator(metricName="rmse")
     rows = []
     for m in maps:   # one distributed fit per setting
-        model = est.fit(train, m)
+        model = learners.fit(est, train, m)
         rows.append((bool(m[est.fitIntercept]), bool(m[est.standardization]),
                      float(ev.evaluate(model.transform(test)))))
     out = spark.createDataFrame(rows, "fit_intercept boolean, standardization boolean, rmse double")
@@ -144,7 +144,7 @@ def tune_cv(spark, sf):
     est = setups.exact_linreg()
     maps = tune.grid([(est.fitIntercept, None)])
     cv = tune.cross_validator(est, maps, RegressionEvaluator(metricName="rmse"), 3, fold_col="fold")
-    cvm = cv.fit(data)
+    cvm = learners.fit(cv, data)
     rows = [(bool(m[est.fitIntercept]), float(v)) for m, v in zip(maps, cvm.avgMetrics)]
     out = spark.createDataFrame(rows, "fit_intercept boolean, avg_rmse double")
     return out.select("fit_intercept", F.round("avg_rmse", 6).alias("avg_rmse"))
@@ -156,6 +156,6 @@ def tune_tv_split(spark, sf):
     est = learners.linear_regression()
     maps = tune.grid([(est.regParam, [0.3, 0.01]), (est.elasticNetParam, [0.0, 0.8])])
     tvs = tune.train_validation_split(est, maps, RegressionEvaluator(metricName="rmse"), 0.75)
-    model = tvs.fit(data)
+    model = learners.fit(tvs, data)
     rows = [(i, float(v)) for i, v in enumerate(model.validationMetrics)]
     return spark.createDataFrame(rows, "setting int, rmse double")

@@ -64,7 +64,7 @@ def fit_exact_logit(df: DataFrame, threshold: float = 0.5, probability_col: str
     est = learners.logistic_regression(max_iter=200, reg=0.0, tol=1e-12, threshold=threshold,
                                        probability_col=probability_col, family=family)
     data = asm.transform(df)
-    return est.fit(data), data
+    return learners.fit(est, data), data
 
 
 # --- least squares on lineitem -----------------------------------------------
