@@ -10,26 +10,33 @@ from pyspark.sql import functions as F
 from spindle.operators import split
 from spindle.plans import jobs
 from spindle.plans.registry import query
-from spindle.plans.tables import (embedding_features, gappy_customer, hourly_events,
-                                  labelled_documents, table)
+from spindle.plans.tables import gappy_customer, hourly_events, labelled_documents, table
 
 
 def multiclass_input(spark, sf):
-    """embeddings as (vec_id, species, e0 … e63): the iris layout."""
-    emb = table(spark, sf, "embeddings")
-    return emb.select("vec_id", F.concat(F.lit("class_"), F.col("label").cast("string")).alias("species"),
-                      *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    """The iris layout over lineitem: four numeric columns, then a string
+    class with three values that depends on the measurements (like the
+    species on petal size): band of quantity + 200 * discount."""
+    li = table(spark, sf, "lineitem")
+    size = F.col("l_quantity") + 200 * F.col("l_discount")
+    species = (F.when(size < 20, "small").when(size < 40, "medium").otherwise("large"))
+    return li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                     "l_extendedprice", species.alias("species"))
+
+
+_IRIS_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 
 
 def run_multiclass(spark, sf):
     df = multiclass_input(spark, sf)
-    train, test = split.keyed_split(df, "vec_id")
-    return jobs.multiclass_forest(train, test, "species", [f"e{i}" for i in range(64)])
+    train, test = split.keyed_split(df, ["l_orderkey", "l_linenumber"])
+    return jobs.multiclass_forest(train, test, "species", _IRIS_FEATURES)
 
 
 @query("job_multiclass")
 def job_multiclass(spark, sf):
-    return run_multiclass(spark, sf).scored.select("vec_id", "species", "predictedLabel")
+    return run_multiclass(spark, sf).scored.select("l_orderkey", "l_linenumber", "species",
+                                                   "predictedLabel")
 
 
 def binary_input(spark, sf):
