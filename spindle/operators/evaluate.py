@@ -85,25 +85,23 @@ def roc(df: DataFrame, score: str = "probability", label: str = "label") -> Data
     """(threshold, fpr, tpr) for every distinct score, thresholds falling:
     predicting positive for score >= threshold."""
     groups = _score_groups(df, score, label)
-    cum = running_totals(groups, "score", ["pos", "neg"], descending=True)
-    tot = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers
+    cum, tot = running_totals(groups, "score", ["pos", "neg"], descending=True, with_totals=True)
     return cum.select(
         F.col("score").alias("threshold"),
-        (F.col("cum_neg") / F.lit(float(tot["N"]))).alias("fpr"),
-        (F.col("cum_pos") / F.lit(float(tot["P"]))).alias("tpr"))
+        (F.col("cum_neg") / F.lit(float(tot["neg"]))).alias("fpr"),
+        (F.col("cum_pos") / F.lit(float(tot["pos"]))).alias("tpr"))
 
 
 def auc(df: DataFrame, score: str = "probability", label: str = "label") -> DataFrame:
     """Area under the ROC curve by the trapezoid rule over score groups
     (ties form one step, like ``BinaryClassificationMetrics``)."""
     groups = _score_groups(df, score, label)
-    cum = running_totals(groups, "score", ["pos", "neg"], descending=True)
+    cum, tot = running_totals(groups, "score", ["pos", "neg"], descending=True, with_totals=True)
     # segment i runs from (cum_neg - neg, cum_pos - pos) to (cum_neg, cum_pos)
     # doubles: neg * cum_pos overflows a long at 10^10 rows per class
     neg, cpos, pos = (F.col(c).cast("double") for c in ("neg", "cum_pos", "pos"))
-    area = cum.agg(F.sum(neg * (2 * cpos - pos)).alias("a2"),
-                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return area.select((F.col("a2") / (2.0 * F.col("P").cast("double") * F.col("N"))).alias("auc"))
+    denom = 2.0 * float(tot["pos"]) * float(tot["neg"])
+    return cum.agg((F.sum(neg * (2 * cpos - pos)) / F.lit(denom)).alias("auc"))
 
 
 def auc_value(df: DataFrame, score: str = "rawPrediction", label: str = "label") -> float:

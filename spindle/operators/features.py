@@ -168,8 +168,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[
     vals = df.select(F.col(q(column)).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
     counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(counts, "v", ["n"], descending=False)
-    total = cum.agg(F.sum("n")).first()[0] or 0
+    cum, tot = running_totals(counts, "v", ["n"], descending=False, with_totals=True)
+    total = tot["n"]
     if total == 0:
         return []
     aggs = []

@@ -41,12 +41,21 @@ def top_per_group(counts: DataFrame, group: str, n: int, salt_buckets: int = 64,
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    descending: bool = True, rows_per_bucket: int = 2_000_000,
-                   max_buckets: int = 65_536, prefix: str = "cum_") -> DataFrame:
+                   max_buckets: int = 65_536, prefix: str = "cum_",
+                   with_totals: bool = False):
     """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this row
     in ``order_col`` order.  Expects one row per distinct ``order_col`` value
     (group first), which makes the order total.
+
+    One cheap pass gives the row count and the column totals; bucket
+    borders (approximate quantiles, a second pass) are needed only when
+    there is more than one bucket.  With ``with_totals`` the column totals
+    are returned too: ``(df, {c: total})``.
     """
-    n = df.count()
+    stats = df.agg(F.count(F.lit(1)).alias("_n"),
+                   *[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).first()
+    n = stats["_n"]
+    totals = {c: stats[f"_t_{c}"] or 0 for c in sum_cols}
     buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
     if buckets == 1:
         staged = df.withColumn("_bkt", F.lit(0.0))
@@ -61,14 +70,15 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = staged.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sum_cols})
 
-    totals = staged.groupBy("_bkt").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    totals_b = staged.groupBy("_bkt").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     bkt_key = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
     # one row per bucket: a single-partition window over at most max_buckets rows
     w_before = Window.orderBy(bkt_key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = totals_b.select(
         "_bkt", *[F.coalesce(F.sum(f"_tot_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}")
                   for c in sum_cols])
     out = within.join(F.broadcast(offsets), "_bkt")
-    return out.select(
+    out = out.select(
         *[c for c in df.columns],
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+    return (out, totals) if with_totals else out

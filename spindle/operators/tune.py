@@ -54,16 +54,29 @@ def grid_table(spark: SparkSession, maps: Sequence[Mapping]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _threads(parallelism: int | None) -> int:
+    """Concurrent fits: by default as many as the cluster runs tasks at once
+    (each fit is itself distributed, so more threads only queue jobs)."""
+    if parallelism:
+        return parallelism
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    return max(1, min(16, sc.defaultParallelism if sc else 4))
+
+
 def cross_validator(estimator, maps: Sequence[Mapping], evaluator, num_folds: int = 3,
-                    fold_col: str | None = None, parallelism: int = 4, seed: int = 42) -> CrossValidator:
+                    fold_col: str | None = None, parallelism: int | None = None,
+                    seed: int = 42) -> CrossValidator:
     """The built-in search; with ``fold_col`` the folds are the given ones."""
     kw = {"foldCol": fold_col} if fold_col else {}
+    parallelism = _threads(parallelism)
     return CrossValidator(estimator=estimator, estimatorParamMaps=list(maps), evaluator=evaluator,
                           numFolds=num_folds, parallelism=parallelism, seed=seed, **kw)
 
 
 def train_validation_split(estimator, maps: Sequence[Mapping], evaluator, train_ratio: float = 0.75,
-                           parallelism: int = 4, seed: int = 42) -> TrainValidationSplit:
+                           parallelism: int | None = None, seed: int = 42) -> TrainValidationSplit:
+    parallelism = _threads(parallelism)
     return TrainValidationSplit(estimator=estimator, estimatorParamMaps=list(maps),
                                 evaluator=evaluator, trainRatio=train_ratio,
                                 parallelism=parallelism, seed=seed)
@@ -82,7 +95,7 @@ def cv_metrics(spark: SparkSession, cv_model) -> DataFrame:
 
 def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
               maps: Sequence[Mapping], evaluator, fold_col: str, num_folds: int,
-              parallelism: int = 4):
+              parallelism: int | None = None):
     """k-fold search with fold-wise reuse of the stages before the learner.
 
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
@@ -107,7 +120,7 @@ def _search(spark, df, pre_stages, learner, maps, evaluator, fold_col, num_folds
                 model = learner.fit(tr, dict(maps[i]))
                 return i, k, float(evaluator.evaluate(model.transform(va)))
 
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            with ThreadPoolExecutor(max_workers=_threads(parallelism)) as pool:
                 results.extend(pool.map(run, range(len(maps))))
         finally:
             tr.unpersist()

@@ -81,7 +81,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                        numeric: list[str], categorical: list[str], fold_keys: list[str],
                        reg_values=(0.1, 0.01), elastic_values=(0.0, 0.5, 1.0),
                        num_folds: int = 3, max_categories: int = 4,
-                       parallelism: int = 4) -> JobResult:
+                       parallelism: int | None = None) -> JobResult:
     """3-fold search over regParam x fitIntercept x elasticNet (12 settings
     by default), folds from a key hash, then refit on all training rows."""
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
@@ -101,7 +101,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
 
 def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: str,
                        age: str, sex: str, sib: str, par: str, embarked: str,
-                       numeric: list[str], parallelism: int = 4) -> JobResult:
+                       numeric: list[str], parallelism: int | None = None) -> JobResult:
     """The titanic script: profile, impute on train, derive, index,
     assemble, 18-setting 3-fold search, score the held-out rows."""
     reports_ = {"missing": profile.profile_missing(table)}
