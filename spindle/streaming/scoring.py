@@ -40,6 +40,8 @@ def windowed_accuracy(scored: DataFrame, ts: str, label: str, prediction: str =
     """Accuracy per event-time window; the watermark bounds the state kept
     for late rows."""
     hit = (F.col(prediction).cast("double") == F.col(label).cast("double")).cast("double")
+    if scored.schema[ts].dataType.typeName() != "timestamp":   # watermarks need TIMESTAMP
+        scored = scored.withColumn(ts, F.col(ts).cast("timestamp"))
     return (scored.withWatermark(ts, watermark)
                   .groupBy(F.window(ts, window).alias("w"))
                   .agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
