@@ -46,10 +46,31 @@ def hashing_tf(df: DataFrame, input_col: str, output_col: str = "tf",
 
 
 def fit_word2vec(df: DataFrame, input_col: str, output_col: str = "w2v", vector_size: int = 3,
-                 min_count: int = 0, seed: int = 42, num_partitions: int = 1,
-                 max_iter: int = 1):
-    """Word2Vec; the vocabulary (words with >= min_count uses) lives on the
-    driver, so large corpora should raise ``min_count``."""
+                 min_count: int = 0, seed: int = 42, num_partitions: int | None = None,
+                 max_iter: int = 1, max_vocabulary: int = 5_000_000,
+                 words_per_task: int = 1_000_000):
+    """Word2Vec.
+
+    Partial models are trained per partition and summed, and that float sum
+    runs in no fixed order, so only one partition gives bit-repeatable
+    vectors.  By default a corpus of up to ``words_per_task`` words trains
+    in one task (repeatable, and fast at that size); a larger one trains in
+    up to the cluster's parallelism tasks, so no single task holds the
+    corpus.  The vocabulary (words used at least ``min_count`` times) and its
+    vectors live on the driver, so its size is checked first: raise
+    ``min_count`` for large corpora.
+    """
+    words = df.select(F.explode(F.col(q(input_col))).alias("w")).groupBy("w").agg(
+        F.count(F.lit(1)).alias("n"))
+    stats = words.agg(F.count_if(F.col("n") >= max(min_count, 1)).alias("vocab"),
+                      F.sum("n").alias("total")).first()
+    if stats["vocab"] > max_vocabulary:
+        raise ValueError(f"vocabulary of {stats['vocab']} words (min_count {min_count}) exceeds "
+                         f"{max_vocabulary}; raise min_count")
+    if num_partitions is None:
+        need = math.ceil((stats["total"] or 0) / words_per_task)
+        par = df.sparkSession.sparkContext.defaultParallelism
+        num_partitions = max(1, min(par, need))
     return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size,
                     minCount=min_count, seed=seed, numPartitions=num_partitions,
                     maxIter=max_iter).fit(df)

@@ -55,6 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return conf.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach; "
+                           "a machine-local temporary folder does not work on a cluster")
     local = tempfile.mkdtemp(prefix="spindle-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
