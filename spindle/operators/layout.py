@@ -20,11 +20,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+def spread(df: DataFrame, min_partitions: int | None = None,
+           rows_per_partition: int = 25_000) -> DataFrame:
+    """Enough partitions for the cores, but not more than the data needs
+    (a few hundred rows in eight tasks only adds scheduling per iteration).
+
+    An input that already has at least as many partitions as cores is left
+    alone without looking at it; only a narrower (small) input is counted.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if min_partitions is not None:
+        return df.repartition(min_partitions) if have < min_partitions else df
+    if have >= cores:
+        return df
+    rows = df.count()
+    want = max(1, min(cores, -(-rows // rows_per_partition)))
+    return df.repartition(want) if have < want else df
 
 
 @contextmanager

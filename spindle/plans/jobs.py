@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from spindle.functions import scalar
 from spindle.operators import clean, evaluate, features, learners, profile, reports, split, tune
+from spindle.operators.layout import fit_input
 
 
 @dataclass
@@ -28,6 +30,19 @@ class JobResult:
     reports: dict = field(default_factory=dict)
 
 
+def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame) -> PipelineModel:
+    """Fit the stages before a tree learner, check that no categorical
+    feature has more values than the learner's maxBins (the fit would fail
+    late otherwise), then fit the learner on the same persisted input."""
+    with fit_input(train) as data:
+        prep = Pipeline(stages=list(pre_stages)).fit(data)
+        ready = prep.transform(data)
+        learners.check_categories_fit_bins(ready, tree_learner.getFeaturesCol(),
+                                           tree_learner.getMaxBins())
+        fitted = tree_learner.fit(ready)
+    return PipelineModel(stages=list(prep.stages) + [fitted])
+
+
 def _label_converter(model, label_out: str = "predictedLabel") -> IndexToString:
     """IndexToString with the labels of the fitted inner label indexer."""
     idx = next(s for s in model.stages if isinstance(s, StringIndexerModel)
@@ -40,12 +55,12 @@ def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_col
                       seed: int = 42) -> JobResult:
     """assemble -> index label -> index features -> forest -> labels back."""
     learners.check_label_not_feature(label, feature_cols)
-    stages = [features.assembler(feature_cols, "features"),
-              features.string_indexer(label, "indexedLabel"),
-              features.vector_indexer("features", "indexedFeatures", max_categories),
-              learners.random_forest_classifier("indexedLabel", "indexedFeatures",
-                                                num_trees=num_trees, seed=seed)]
-    model = tune.fit_pipeline(stages, train)
+    pre = [features.assembler(feature_cols, "features"),
+           features.string_indexer(label, "indexedLabel"),
+           features.vector_indexer("features", "indexedFeatures", max_categories)]
+    forest = learners.random_forest_classifier("indexedLabel", "indexedFeatures",
+                                               num_trees=num_trees, seed=seed)
+    model = tree_pipeline(pre, forest, train)
     scored = _label_converter(model).transform(model.transform(test))
     acc = evaluate.accuracy_value(scored, "indexedLabel", "prediction")
     return JobResult(model, scored, {"accuracy": acc, "test_error": 1 - acc})
@@ -146,10 +161,10 @@ def gbt_regression(train: DataFrame, test: DataFrame, label: str, feature_cols:
     """The bike-hours script: assemble -> index features -> GBT -> RMSE."""
     learners.check_label_not_feature(label, feature_cols)
     cast = lambda df: df.withColumn(label, F.col(label).cast("double"))
-    stages = [features.assembler(feature_cols, "features"),
-              features.vector_indexer("features", "indexedFeatures", max_categories),
-              learners.gbt_regressor(label, "indexedFeatures", max_iter=rounds, seed=seed)]
-    model = tune.fit_pipeline(stages, cast(train))
+    pre = [features.assembler(feature_cols, "features"),
+           features.vector_indexer("features", "indexedFeatures", max_categories)]
+    gbt = learners.gbt_regressor(label, "indexedFeatures", max_iter=rounds, seed=seed)
+    model = tree_pipeline(pre, gbt, cast(train))
     scored = model.transform(cast(test))
     rm = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(scored)
     return JobResult(model, scored, {"rmse": rm})

@@ -68,17 +68,21 @@ def job_binary_cv(spark, sf):
 
 def titanic_input(spark, sf):
     """gappy customer joined to per-customer order facts: label = has an
-    urgent order; 'fare' = spend; 'sibsp'/'parch' = order counts."""
+    urgent order; 'pclass' = region number of the nation; 'fare' = spend;
+    'sibsp'/'parch' = order counts."""
     o = table(spark, sf, "orders")
     per = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(F.col("o_orderstatus") == "F").alias("n_done"),
         F.sum("o_totalprice").alias("spend"),
         F.max((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("urgent"))
-    c = gappy_customer(spark, sf).join(per, "c_custkey", "left").fillna(
-        {"n_orders": 0, "n_done": 0, "spend": 0.0, "urgent": 0})
+    # nation is a dimension table; the planner broadcasts it from its measured size
+    region = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
+                                               (F.col("n_regionkey") + 1).cast("double").alias("pclass"))
+    c = (gappy_customer(spark, sf).join(region, "c_nationkey", "left")
+         .join(per, "c_custkey", "left")
+         .fillna({"n_orders": 0, "n_done": 0, "spend": 0.0, "urgent": 0}))
     return c.withColumns({"age": F.col("c_acctbal") / 100,
-                          "pclass": (F.col("c_nationkey") % 3 + 1).cast("double"),
                           "survived": F.col("urgent").cast("string")})
 
 

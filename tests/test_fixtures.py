@@ -246,3 +246,16 @@ def test_fill_refuses_fraction_on_int(spark):
     df = spark.createDataFrame([(None,)], "n int")
     with pytest.raises(ValueError):
         clean.fill_values(df, {"n": 2.7})
+
+
+def test_too_many_categories_for_bins_raises_before_fit(spark):
+    from spindle.plans import jobs
+
+    df = spark.range(0, 350).select((F.col("id") % 35).cast("double").alias("x"),
+                                    (F.col("id") % 2).cast("double").alias("label"))
+    pre = [features.assembler(["x"], "features"),
+           features.vector_indexer("features", "indexed", max_categories=40)]
+    with pytest.raises(ValueError, match="maxBins"):
+        jobs.tree_pipeline(pre, learners.decision_tree_classifier("label", "indexed", max_bins=32), df)
+    model = jobs.tree_pipeline(pre, learners.decision_tree_classifier("label", "indexed", max_bins=40), df)
+    assert model.transform(df).count() == 350

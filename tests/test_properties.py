@@ -168,8 +168,12 @@ def test_profile_is_one_scan(spark):
     assert plan.count("FileScan") == 1 or plan.count("Scan parquet") == 1
 
 
-def test_layout_spreads_small_inputs_only(spark):
-    small = table(spark, SF_SMALL, "lineitem")
-    assert layout.spread(small).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    big = spark.range(0, 1000, numPartitions=64)
-    assert layout.spread(big).rdd.getNumPartitions() == 64
+def test_layout_spreads_narrow_inputs_by_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    mid = table(spark, "/root/testdata/sf0.1", "lineitem")          # 600k rows, one row group
+    assert mid.rdd.getNumPartitions() < cores
+    assert layout.spread(mid).rdd.getNumPartitions() == cores
+    tiny = table(spark, SF_SMALL, "customer")                          # 150 rows stay together
+    assert layout.spread(tiny).rdd.getNumPartitions() == 1
+    wide = spark.range(0, 1000, numPartitions=64)                      # wide inputs are untouched
+    assert layout.spread(wide).rdd.getNumPartitions() == 64
