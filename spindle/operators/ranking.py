@@ -57,15 +57,18 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     n = stats["_n"]
     totals = {c: stats[f"_t_{c}"] or 0 for c in sum_cols}
     buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if buckets == 1:
-        staged = df.withColumn("_bkt", F.lit(0.0))
+        # at most rows_per_bucket rows: one ordered window, no offsets to add
+        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
+        return (out, totals) if with_totals else out
     else:
         probs = [i / buckets for i in range(1, buckets)]
         bounds = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * buckets))))
         splits = [-math.inf] + [b for b in bounds if math.isfinite(b)] + [math.inf]
         staged = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bkt",
                             handleInvalid="keep").transform(df)
-    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = (Window.partitionBy("_bkt").orderBy(key)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = staged.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sum_cols})
