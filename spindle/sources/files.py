@@ -15,21 +15,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# fixed value: the format name the scripts use, which Spark still maps to csv
+LEGACY_CSV_FORMAT = "com.databricks.spark.csv"
+
+
 def read_csv(spark: SparkSession, path: str, header: bool = True,
              schema: StructType | str | None = None, names: Sequence[str] | None = None,
-             sep: str = ",") -> DataFrame:
+             sep: str = ",", fmt: str = "csv") -> DataFrame:
     """CSV with a header row (types inferred unless ``schema``) or without one.
 
     Without a header Spark names the columns ``_c0 … _cN``; ``names`` renames
     them by position in one projection.  Empty fields, quoted or not, read as
     null and blank lines are skipped.
     """
-    reader = spark.read.option("header", header).option("sep", sep)
+    if fmt not in ("csv", LEGACY_CSV_FORMAT):
+        raise ValueError(f"not a CSV format name: {fmt}")
+    reader = spark.read.format(fmt).option("header", header).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-    df = reader.csv(path)
+    df = reader.load(path)
     if names is not None:
         df = df.toDF(*names)
     return df

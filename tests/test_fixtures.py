@@ -259,3 +259,12 @@ def test_too_many_categories_for_bins_raises_before_fit(spark):
         jobs.tree_pipeline(pre, learners.decision_tree_classifier("label", "indexed", max_bins=32), df)
     model = jobs.tree_pipeline(pre, learners.decision_tree_classifier("label", "indexed", max_bins=40), df)
     assert model.transform(df).count() == 350
+
+
+def test_legacy_csv_format_name(spark):
+    d = tempfile.mkdtemp(prefix="spindle-csv-")
+    p = os.path.join(d, "t.csv")
+    with open(p, "w") as f:
+        f.write("a,b\n1,x\n2,y\n")
+    df = files.read_csv(spark, p, fmt=files.LEGACY_CSV_FORMAT)
+    assert df.count() == 2 and dict(df.dtypes) == {"a": "int", "b": "string"}
