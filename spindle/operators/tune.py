@@ -101,14 +101,13 @@ def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
     (setting, fold, metric), index of the best setting).
     """
-    results: list[tuple[int, int, float]] = []
     with fit_input(df) as data:
         return _search(spark, data, pre_stages, learner, maps, evaluator, fold_col, num_folds,
-                       parallelism, results)
+                       parallelism)
 
 
-def _search(spark, df, pre_stages, learner, maps, evaluator, fold_col, num_folds, parallelism,
-            results):
+def _search(spark, df, pre_stages, learner, maps, evaluator, fold_col, num_folds, parallelism):
+    results: list[tuple[int, int, float]] = []
     for k in range(num_folds):
         train = df.filter(F.col(fold_col) != k)
         valid = df.filter(F.col(fold_col) == k)
