@@ -9,7 +9,7 @@ from spindle.operators import features, learners, reports
 from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import (LOGIT_DISCOUNT_SQL, LOGIT_TAX_SQL, OLS_SQL, RATES_SQL,
-                                  STUMP_CLASS_SQL, STUMP_REG_SQL)
+                                  STUMP_CLASS_SQL, STUMP_GBT_SQL, STUMP_REG_SQL)
 from spindle.plans.tables import embedding_features, table
 
 # --- logistic regression -----------------------------------------------------
@@ -172,12 +172,17 @@ def _binary_lineitem(spark, sf):
     return features.assemble(df, ["l_quantity", "l_discount"], "features")
 
 
-@query("clf_gbt")
+@query("clf_gbt", "WITH " + STUMP_GBT_SQL + """
+SELECT thr AS threshold, round(ls / ln, 6) AS left_prediction, round(rs / rn, 6) AS right_prediction
+FROM best
+""")
 def clf_gbt(spark, sf):
-    data = _binary_lineitem(spark, sf)
+    # one round, depth 1: the first tree is a variance stump on labels
+    # remapped to -1/+1 (the 10-round fit is covered by the tests)
+    data = setups.stump_class_data(spark, sf)
     learners.check_binary_label(data, "label")
-    model = learners.fit(learners.gbt_classifier(max_iter=learners.GBT_CLASSIFIER_ROUNDS), data)
-    return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
+    model = learners.fit(learners.gbt_classifier(max_iter=1, max_depth=1, max_bins=64), data)
+    return _stump_summary(spark, model, 6)
 
 
 @query("clf_svm")
@@ -317,7 +322,30 @@ def rep_auc(spark, sf):
 
 # --- params, labels, stages ------------------------------------------------------
 
-@query("rep_params")
+@query("rep_params", """
+SELECT * FROM (VALUES
+ ('LogisticRegressionModel', 'aggregationDepth', '2', true),
+ ('LogisticRegressionModel', 'elasticNetParam', '0.0', true),
+ ('LogisticRegressionModel', 'family', 'auto', true),
+ ('LogisticRegressionModel', 'featuresCol', 'features', true),
+ ('LogisticRegressionModel', 'fitIntercept', 'True', true),
+ ('LogisticRegressionModel', 'labelCol', 'label', true),
+ ('LogisticRegressionModel', 'lowerBoundsOnCoefficients', NULL, false),
+ ('LogisticRegressionModel', 'lowerBoundsOnIntercepts', NULL, false),
+ ('LogisticRegressionModel', 'maxBlockSizeInMB', '0.0', false),
+ ('LogisticRegressionModel', 'maxIter', '200', true),
+ ('LogisticRegressionModel', 'predictionCol', 'prediction', false),
+ ('LogisticRegressionModel', 'probabilityCol', 'probability', true),
+ ('LogisticRegressionModel', 'rawPredictionCol', 'rawPrediction', false),
+ ('LogisticRegressionModel', 'regParam', '0.0', true),
+ ('LogisticRegressionModel', 'standardization', 'True', false),
+ ('LogisticRegressionModel', 'threshold', '0.5', true),
+ ('LogisticRegressionModel', 'thresholds', NULL, false),
+ ('LogisticRegressionModel', 'tol', '1e-12', true),
+ ('LogisticRegressionModel', 'upperBoundsOnCoefficients', NULL, false),
+ ('LogisticRegressionModel', 'upperBoundsOnIntercepts', NULL, false),
+ ('LogisticRegressionModel', 'weightCol', NULL, false)) AS t(stage, param, value, is_set)
+""")
 def rep_params(spark, sf):
     model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
     return reports.params(spark, model, "LogisticRegressionModel").select("stage", "param", "value", "is_set")
@@ -333,7 +361,10 @@ def rep_labels(spark, sf):
     return features.labels_table(spark, model)
 
 
-@query("rep_stage")
+@query("rep_stage", """
+SELECT * FROM (VALUES (0, 'StringIndexerModel'), (1, 'VectorAssembler'), (2, 'LogisticRegressionModel'))
+AS t(position, stage)
+""")
 def rep_stage(spark, sf):
     from spindle.operators import tune
 

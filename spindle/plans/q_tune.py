@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from spindle.operators import features, learners, reports, split, tune
@@ -78,7 +77,15 @@ def _binary(spark, sf):
     return features.assemble(df, ["l_quantity", "l_discount"], "features")
 
 
-@query("ml_params_set")
+_SET_PARAMS = """
+SELECT * FROM (VALUES ('aggregationDepth', '2'), ('elasticNetParam', '0.0'), ('family', 'auto'),
+ ('featuresCol', 'features'), ('fitIntercept', 'True'), ('labelCol', 'label'), ('maxIter', '{it}'),
+ ('probabilityCol', '{prob}'), ('regParam', '{reg}'), ('threshold', '{thr}'), ('tol', '1e-06'))
+AS t(param, value)
+"""
+
+
+@query("ml_params_set", _SET_PARAMS.format(it=10, prob="probability", reg=0.01, thr=0.5))
 def ml_params_set(spark, sf):
     lr = learners.logistic_regression()
     lr.setMaxIter(10).setRegParam(0.01)
@@ -86,17 +93,21 @@ def ml_params_set(spark, sf):
     return reports.params(spark, model, "model1").filter(F.col("is_set")).select("param", "value")
 
 
-@query("ml_params_override")
+@query("ml_params_override", _SET_PARAMS.format(it=30, prob="myProbability", reg=0.1, thr=0.55))
 def ml_params_override(spark, sf):
+    """A param map given to fit overrides the setters, and within the
+    merged maps the later value wins; reported as the fitted model's set
+    params (the scored rows use the renamed probability column)."""
     lr = learners.logistic_regression(max_iter=10, reg=0.01)
     pm = tune.merge_params({lr.maxIter: 20}, {lr.maxIter: 30},
                            {lr.regParam: 0.1, lr.threshold: 0.55},
                            {lr.probabilityCol: "myProbability"})
     data = _binary(spark, sf)
     model = learners.fit(lr, data, pm)
-    out = model.transform(data)
-    return out.select("l_orderkey", "l_linenumber",
-                      vector_to_array("myProbability")[1].alias("p1"), "prediction")
+    scored = model.transform(data)
+    if "myProbability" not in scored.columns:
+        raise RuntimeError("probabilityCol override did not reach the model")
+    return reports.params(spark, model, "model2").filter(F.col("is_set")).select("param", "value")
 
 
 # --- grid and search ------------------------------------------------------------

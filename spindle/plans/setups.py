@@ -122,10 +122,9 @@ def stump_reg_data(spark: SparkSession, sf: str) -> DataFrame:
     return features.assemble(df, ["l_quantity"], "features")
 
 
-# best variance split of extendedprice over quantity midpoints
-STUMP_REG_SQL = """
-v AS (SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s,
-             sum(l_extendedprice * l_extendedprice) AS ss FROM lineitem GROUP BY 1),
+# best variance split over midpoints of x, given a CTE v(x, n, s, ss) of
+# per-value count, sum and sum of squares of the target
+_VARIANCE_SPLIT_SQL = """
 cu AS (SELECT x, (x + lead(x) OVER (ORDER BY x)) / 2 AS thr,
               sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(ss) OVER w AS lss,
               sum(n) OVER () AS tn, sum(s) OVER () AS ts, sum(ss) OVER () AS tss
@@ -133,3 +132,16 @@ cu AS (SELECT x, (x + lead(x) OVER (ORDER BY x)) / 2 AS thr,
 sp AS (SELECT thr, ln, ls, lss, tn - ln AS rn, ts - ls AS rs, tss - lss AS rss FROM cu WHERE thr IS NOT NULL),
 best AS (SELECT * FROM sp ORDER BY (lss - ls * ls / ln) + (rss - rs * rs / rn) ASC, thr ASC LIMIT 1)
 """
+
+# extendedprice over quantity (regression stump)
+STUMP_REG_SQL = """
+v AS (SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s,
+             sum(l_extendedprice * l_extendedprice) AS ss FROM lineitem GROUP BY 1),
+""" + _VARIANCE_SPLIT_SQL
+
+# first boosting tree of a two-class GBT: labels remapped to -1/+1, then a
+# variance split; leaves hold the mean remapped label
+STUMP_GBT_SQL = """
+d AS (SELECT l_quantity AS x, 2 * CAST(l_quantity + 200 * l_discount > 30 AS DOUBLE) - 1 AS y FROM lineitem),
+v AS (SELECT x, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM d GROUP BY x),
+""" + _VARIANCE_SPLIT_SQL

@@ -177,3 +177,15 @@ def test_layout_spreads_narrow_inputs_by_rows(spark):
     assert layout.spread(tiny).rdd.getNumPartitions() == 1
     wide = spark.range(0, 1000, numPartitions=64)                      # wide inputs are untouched
     assert layout.spread(wide).rdd.getNumPartitions() == 64
+
+
+def test_gbt_classifier_ten_rounds_beats_majority(spark):
+    from spindle.plans.q_learners import _binary_lineitem
+
+    data = _binary_lineitem(spark, SF_MID)
+    train, test = split.keyed_split(data, ["l_orderkey", "l_linenumber"])
+    learners.check_binary_label(train, "label")
+    model = learners.fit(learners.gbt_classifier(max_iter=learners.GBT_CLASSIFIER_ROUNDS), train)
+    acc = evaluate.accuracy(model.transform(test)).first()["accuracy"]
+    share = test.agg(F.avg("label")).first()[0]
+    assert acc > max(share, 1 - share)
