@@ -199,17 +199,40 @@ def clf_mlp(spark, sf):
     return model.transform(data).select("vec_id", "label", "prediction")
 
 
-@query("clu_kmeans")
-def clu_kmeans(spark, sf):
-    data = embedding_features(spark, sf)
-    model = learners.fit(learners.kmeans(), data)
-    return model.transform(data).select("vec_id", "prediction")
+def _ordered_centers(spark, model):
+    """Centres numbered by their first coordinate (k-means numbers them in
+    whatever order its initialisation found them)."""
+    cs = sorted((tuple(c.tolist()), i) for i, c in enumerate(model.clusterCenters()))
+    return {orig: rank for rank, (_, orig) in enumerate(cs)}, [c for c, _ in cs]
 
 
-@query("rep_centers")
+@query("clu_kmeans", "WITH " + setups.KMEANS_GROUPS_SQL + """
+SELECT l_orderkey, l_linenumber, cluster, round(cx, 6) AS center_x, round(cy, 6) AS center_y
+FROM d JOIN r ON (d.x >= 100) = r.grp
+""")
+def clu_kmeans(spark, sf):
+    data = setups.kmeans_groups(spark, sf)
+    model = learners.fit(learners.kmeans(), data)          # k = 2, seed 1
+    rank, cs = _ordered_centers(spark, model)
+    lookup = spark.createDataFrame(
+        [(orig, rank[orig], float(cs[rank[orig]][0]), float(cs[rank[orig]][1])) for orig in rank],
+        "prediction int, cluster int, center_x double, center_y double")
+    out = model.transform(data).join(F.broadcast(lookup), "prediction")  # k rows
+    return out.select("l_orderkey", "l_linenumber", "cluster",
+                      F.round("center_x", 6).alias("center_x"), F.round("center_y", 6).alias("center_y"))
+
+
+@query("rep_centers", "WITH " + setups.KMEANS_GROUPS_SQL + """
+SELECT cluster, 0 AS dim, round(cx, 6) AS value FROM r
+UNION ALL SELECT cluster, 1, round(cy, 6) FROM r
+""")
 def rep_centers(spark, sf):
-    model = learners.fit(learners.kmeans(), embedding_features(spark, sf))
-    return reports.centers(spark, model)
+    model = learners.fit(learners.kmeans(), setups.kmeans_groups(spark, sf))
+    rank, _ = _ordered_centers(spark, model)
+    t = reports.centers(spark, model)
+    m = spark.createDataFrame(list(rank.items()), "cluster int, rank int")
+    return (t.join(m, "cluster").select(F.col("rank").alias("cluster"), "dim",
+                                        F.round("value", 6).alias("value")))
 
 
 # --- linear regression and its reports ----------------------------------------

@@ -145,3 +145,24 @@ STUMP_GBT_SQL = """
 d AS (SELECT l_quantity AS x, 2 * CAST(l_quantity + 200 * l_discount > 30 AS DOUBLE) - 1 AS y FROM lineitem),
 v AS (SELECT x, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM d GROUP BY x),
 """ + _VARIANCE_SPLIT_SQL
+
+
+# --- k-means on two separated groups -------------------------------------------
+
+def kmeans_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Two groups 100 apart on the first axis (line status), spread by
+    discount and tax: k-means with k = 2 converges to the group means."""
+    li = table(spark, sf, "lineitem")
+    x = F.when(F.col("l_linestatus") == "O", 100.0).otherwise(0.0) + F.col("l_discount")
+    df = li.select("l_orderkey", "l_linenumber", x.alias("x"), F.col("l_tax").alias("y"))
+    return features.assemble(df, ["x", "y"], "features")
+
+
+KMEANS_GROUPS_SQL = """
+d AS (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_linestatus = 'O' THEN 100.0 ELSE 0.0 END + l_discount AS x, l_tax AS y
+      FROM lineitem),
+g AS (SELECT l_linestatus = 'O' AS grp, avg(x) AS cx, avg(y) AS cy FROM
+      (SELECT *, CASE WHEN x >= 100 THEN 'O' ELSE 'F' END AS l_linestatus FROM d) GROUP BY 1),
+r AS (SELECT grp, cx, cy, CAST(row_number() OVER (ORDER BY cx) - 1 AS INTEGER) AS cluster FROM g)
+"""
