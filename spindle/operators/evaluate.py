@@ -81,11 +81,25 @@ def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
                                     F.sum(1 - F.col("_p")).alias("neg")))
 
 
-def roc(df: DataFrame, score: str = "probability", label: str = "label") -> DataFrame:
+def roc(df: DataFrame, score: str = "probability", label: str = "label",
+        num_bins: int = 0) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, thresholds falling:
-    predicting positive for score >= threshold."""
-    groups = _score_groups(df, score, label)
-    cum, tot = running_totals(groups, "score", ["pos", "neg"], descending=True, with_totals=True)
+    predicting positive for score >= threshold.
+
+    A whole table has one point per distinct score.  With ``num_bins`` > 0
+    and more distinct scores than that, only the last point of every run of
+    about count / num_bins consecutive thresholds is kept (as Spark's
+    ``numBins`` does), plus the final point; the filter runs on the
+    distributed running sums, so nothing is collected.
+    """
+    groups = _score_groups(df, score, label).withColumn("_one", F.lit(1))
+    cum, tot = running_totals(groups, "score", ["pos", "neg", "_one"], descending=True,
+                              with_totals=True)
+    n = int(tot["_one"])
+    if num_bins and n > num_bins:
+        step = n // num_bins
+        if step > 1:
+            cum = cum.filter((F.col("cum__one") % step == 0) | (F.col("cum__one") == n))
     return cum.select(
         F.col("score").alias("threshold"),
         (F.col("cum_neg") / F.lit(float(tot["neg"]))).alias("fpr"),

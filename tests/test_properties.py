@@ -189,3 +189,15 @@ def test_gbt_classifier_ten_rounds_beats_majority(spark):
     acc = evaluate.accuracy(model.transform(test)).first()["accuracy"]
     share = test.agg(F.avg("label")).first()[0]
     assert acc > max(share, 1 - share)
+
+
+def test_roc_down_sampling_keeps_a_subset_and_the_end(spark):
+    li = table(spark, SF_MID, "lineitem").select(
+        F.col("l_extendedprice").alias("score"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    full = evaluate.roc(li, "score", "label")
+    few = evaluate.roc(li, "score", "label", num_bins=100)
+    n = few.count()
+    assert 90 <= n <= 102
+    assert few.exceptAll(full).count() == 0
+    last = few.orderBy("threshold").first()
+    assert (last["fpr"], last["tpr"]) == (1.0, 1.0)
