@@ -268,3 +268,13 @@ def test_legacy_csv_format_name(spark):
         f.write("a,b\n1,x\n2,y\n")
     df = files.read_csv(spark, p, fmt=files.LEGACY_CSV_FORMAT)
     assert df.count() == 2 and dict(df.dtypes) == {"a": "int", "b": "string"}
+
+
+def test_vectorized_udf_null_policy(spark):
+    from spindle.functions.udf import register_vectorized
+
+    register_vectorized(spark, "plus_one_strict", lambda s: s + 1, "double")
+    register_vectorized(spark, "plus_one_lax", lambda s: s.fillna(-1) + 1, "double", null_in_null_out=False)
+    spark.createDataFrame([(1.0,), (None,)], "x double").createOrReplaceTempView("udf_t")
+    rows = spark.sql("SELECT x, plus_one_strict(x) AS a, plus_one_lax(x) AS b FROM udf_t ORDER BY x").collect()
+    assert [(r["a"], r["b"]) for r in rows] == [(None, 0.0), (2.0, 2.0)]
