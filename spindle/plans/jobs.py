@@ -50,6 +50,20 @@ def _label_converter(model, label_out: str = "predictedLabel") -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol=label_out, labels=list(idx.labels))
 
 
+def score_unlabelled(model: PipelineModel, df: DataFrame,
+                     label_out: str = "predictedLabel") -> DataFrame:
+    """Score rows that have no label (a separate call, no evaluation): the
+    label indexer is skipped and predictions are mapped back to label
+    values with the fitted index."""
+    label_idx = [s for s in model.stages if isinstance(s, StringIndexerModel)
+                 and s.getOutputCol() == "indexedLabel"]
+    stages = [s for s in model.stages if not (label_idx and s is label_idx[0])]
+    scored = PipelineModel(stages=stages).transform(df)
+    if label_idx:
+        scored = _label_converter(model, label_out).transform(scored)
+    return scored
+
+
 def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_cols: list[str],
                       num_trees: int = learners.FOREST_TREES, max_categories: int = 4,
                       seed: int = 42) -> JobResult:

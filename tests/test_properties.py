@@ -201,3 +201,14 @@ def test_roc_down_sampling_keeps_a_subset_and_the_end(spark):
     assert few.exceptAll(full).count() == 0
     last = few.orderBy("threshold").first()
     assert (last["fpr"], last["tpr"]) == (1.0, 1.0)
+
+
+def test_unlabelled_scoring_needs_no_label(spark):
+    from spindle.plans import jobs
+
+    res = q_jobs.run_multiclass(spark, SF_SMALL)
+    rows = q_jobs.multiclass_input(spark, SF_SMALL).drop("species")
+    scored = jobs.score_unlabelled(res.model, rows)
+    assert scored.count() == rows.count()
+    assert {r["predictedLabel"] for r in scored.select("predictedLabel").distinct().collect()} <= {
+        "small", "medium", "large"}
