@@ -278,3 +278,36 @@ def test_vectorized_udf_null_policy(spark):
     spark.createDataFrame([(1.0,), (None,)], "x double").createOrReplaceTempView("udf_t")
     rows = spark.sql("SELECT x, plus_one_strict(x) AS a, plus_one_lax(x) AS b FROM udf_t ORDER BY x").collect()
     assert [(r["a"], r["b"]) for r in rows] == [(None, 0.0), (2.0, 2.0)]
+
+
+# --- SURVEY §3.5: faults of the scripts that are not carried over ------------
+
+def test_imputer_learns_training_mean_only(spark):
+    from spindle.plans.tables import gappy_customer
+    from spindle.operators import split
+    from tests.conftest import SF_SMALL
+
+    g = gappy_customer(spark, SF_SMALL)
+    train, test = split.keyed_split(g, "c_custkey")
+    model = clean.fit_mean_imputer(train, ["c_acctbal"])
+    surrogate = model.surrogateDF.first()["c_acctbal"]
+    assert surrogate == pytest.approx(train.agg(F.avg("c_acctbal")).first()[0], rel=1e-12)
+    assert surrogate != pytest.approx(test.agg(F.avg("c_acctbal")).first()[0], rel=1e-9)
+    filled = clean.apply_imputer(model, test).filter(F.col("c_acctbal").isNull()).count()
+    assert filled == 0
+
+
+def test_drop_only_on_used_columns(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "x"), (3, "b", "y")], "id int, used string, cabin string")
+    assert clean.drop_missing(df, ["used"]).count() == 2      # the empty cabin does not cost a row
+    assert clean.drop_missing(df).count() == 1
+
+
+def test_feature_indexer_keeps_unseen_category(spark):
+    train = spark.createDataFrame([(Vectors.dense(0.0),), (Vectors.dense(1.0),)], ["features"])
+    test = spark.createDataFrame([(Vectors.dense(2.0),)], ["features"])
+    model = features.vector_indexer("features", "ix", 4).fit(train)          # keep by default
+    assert model.transform(test).first()["ix"].toArray().tolist() == [2.0]
+    strict = features.vector_indexer("features", "ix", 4, handle_invalid="error").fit(train)
+    with pytest.raises(Exception):
+        strict.transform(test).collect()
