@@ -90,9 +90,6 @@ m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_exte
 
 # --- depth-1 trees on l_quantity ---------------------------------------------
 
-STUMP_CLASS_DF_COLS = ("l_quantity",)
-
-
 def stump_class_data(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     df = li.select("l_quantity",
