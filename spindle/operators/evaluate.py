@@ -81,6 +81,12 @@ def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
                                     F.sum(1 - F.col("_p")).alias("neg")))
 
 
+def _both_classes(tot: dict) -> None:
+    if not tot["pos"] or not tot["neg"]:
+        raise ValueError(f"ROC/AUC needs both classes: {tot['pos']} positive and "
+                         f"{tot['neg']} negative rows")
+
+
 def roc(df: DataFrame, score: str = "probability", label: str = "label",
         num_bins: int = 0) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, thresholds falling:
@@ -95,6 +101,7 @@ def roc(df: DataFrame, score: str = "probability", label: str = "label",
     groups = _score_groups(df, score, label).withColumn("_one", F.lit(1))
     cum, tot = running_totals(groups, "score", ["pos", "neg", "_one"], descending=True,
                               with_totals=True)
+    _both_classes(tot)
     n = int(tot["_one"])
     if num_bins and n > num_bins:
         step = n // num_bins
@@ -111,6 +118,7 @@ def auc(df: DataFrame, score: str = "probability", label: str = "label") -> Data
     (ties form one step, like ``BinaryClassificationMetrics``)."""
     groups = _score_groups(df, score, label)
     cum, tot = running_totals(groups, "score", ["pos", "neg"], descending=True, with_totals=True)
+    _both_classes(tot)
     # segment i runs from (cum_neg - neg, cum_pos - pos) to (cum_neg, cum_pos)
     # doubles: neg * cum_pos overflows a long at 10^10 rows per class
     neg, cpos, pos = (F.col(c).cast("double") for c in ("neg", "cum_pos", "pos"))

@@ -311,3 +311,11 @@ def test_feature_indexer_keeps_unseen_category(spark):
     strict = features.vector_indexer("features", "ix", 4, handle_invalid="error").fit(train)
     with pytest.raises(Exception):
         strict.transform(test).collect()
+
+
+def test_auc_needs_both_classes(spark):
+    df = spark.createDataFrame([(0.3, 1.0), (0.7, 1.0)], ["score", "label"])
+    with pytest.raises(ValueError, match="both classes"):
+        evaluate.auc(df, "score", "label")
+    with pytest.raises(ValueError, match="both classes"):
+        evaluate.roc(df, "score", "label")
