@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spindle.operators import split
+from spindle.operators import columns, split
 from spindle.plans import jobs
 from spindle.plans.registry import query
 from spindle.plans.tables import gappy_customer, hourly_events, labelled_documents, table
@@ -24,13 +24,11 @@ def multiclass_input(spark, sf):
                      "l_extendedprice", species.alias("species"))
 
 
-_IRIS_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
-
-
 def run_multiclass(spark, sf):
     df = multiclass_input(spark, sf)
+    feats = columns.names_slice(df, 2, 6, exclude=["species"])   # the four measurements
     train, test = split.keyed_split(df, ["l_orderkey", "l_linenumber"])
-    return jobs.multiclass_forest(train, test, "species", _IRIS_FEATURES)
+    return jobs.multiclass_forest(train, test, "species", feats)
 
 
 @query("job_multiclass")
@@ -97,13 +95,11 @@ def job_clean_and_classify(spark, sf):
     return run_clean_and_classify(spark, sf).scored.select("c_custkey", "survived", "predictedLabel")
 
 
-_HOUR_FEATURES = ["day", "hr", "weekday", "n_click", "n_view", "n_error", "avg_value", "n_users"]
-
-
 def run_regression(spark, sf):
     df = hourly_events(spark, sf)
+    feats = columns.names_slice(df, 1, 9, exclude=["cnt"])     # day … n_users, by position
     train, test = split.keyed_split(df, "hour_ts")
-    return jobs.gbt_regression(train, test, "cnt", _HOUR_FEATURES, 24)
+    return jobs.gbt_regression(train, test, "cnt", feats, 24)
 
 
 @query("job_regression")
