@@ -140,6 +140,11 @@ def params(spark: SparkSession, stage, name: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def explain_params(stage) -> str:
+    """The params of a stage with docs, defaults and set values, as text."""
+    return stage.explainParams()
+
+
 def stages(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """(position, stage, uid) of a fitted pipeline."""
     rows = [(i, type(s).__name__, s.uid) for i, s in enumerate(model.stages)]

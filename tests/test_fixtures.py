@@ -319,3 +319,13 @@ def test_auc_needs_both_classes(spark):
         evaluate.auc(df, "score", "label")
     with pytest.raises(ValueError, match="both classes"):
         evaluate.roc(df, "score", "label")
+
+
+def test_param_reports(spark):
+    from spindle.operators import reports
+
+    lr = learners.logistic_regression()
+    text = reports.explain_params(lr)
+    assert "maxIter" in text and "current: 10" in text
+    table = {r["param"]: r for r in reports.params(spark, lr).collect()}
+    assert table["regParam"]["value"] == "0.01" and table["regParam"]["is_set"]
