@@ -91,9 +91,10 @@ def summary_auc(spark: SparkSession, model) -> DataFrame:
 
 
 def tree_nodes(spark: SparkSession, model) -> DataFrame:
-    """Node table of a fitted tree model: written with the model's own
-    writer to the shared scratch folder and read back as parquet, so the
-    node list is never built on the driver.  Ensembles carry ``treeID``."""
+    """Node table of a fitted tree model, in the layout of the model's own
+    writer: saved to the shared scratch folder and read back as parquet
+    (the model itself, and so its nodes, is driver-sized).  Ensembles carry
+    ``treeID``."""
     path = scratch_path(spark, "tree_model")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
