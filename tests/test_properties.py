@@ -212,3 +212,29 @@ def test_unlabelled_scoring_needs_no_label(spark):
     assert scored.count() == rows.count()
     assert {r["predictedLabel"] for r in scored.select("predictedLabel").distinct().collect()} <= {
         "small", "medium", "large"}
+
+
+def test_multinomial_coefficients_table(spark):
+    from spindle.plans.q_jobs import multiclass_input
+
+    df = multiclass_input(spark, SF_SMALL)
+    idx = features.string_indexer("species", "label").fit(df).transform(df)
+    data = features.assemble(idx, ["l_quantity", "l_discount"], "features")
+    model = learners.fit(learners.logistic_regression(max_iter=50, reg=0.01), data)
+    t = reports.coefficients(spark, model, reports.feature_names(data)).collect()
+    assert {r["class"] for r in t} == {0, 1, 2}
+    assert {r["term"] for r in t} == {"(intercept)", "l_quantity", "l_discount"}
+    assert len(t) == 9
+
+
+def test_cv_metrics_table(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    data = setups.ols_lineitem(spark, SF_SMALL).withColumn(
+        "fold", split.fold_column(["l_orderkey", "l_linenumber"], 3))
+    est = setups.exact_linreg()
+    maps = tune.grid([(est.fitIntercept, None)])
+    cvm = learners.fit(tune.cross_validator(est, maps, RegressionEvaluator(), 3, fold_col="fold"), data)
+    rows = tune.cv_metrics(spark, cvm).orderBy("setting").collect()
+    assert [r["setting"] for r in rows] == [0, 1]
+    assert rows[0]["avg_metric"] == pytest.approx(cvm.avgMetrics[0])
