@@ -9,7 +9,8 @@ boosting rounds, folds).  Two things make that cheap:
   many partitions and is left as it is, so no shuffle is added at scale;
 * the input is persisted (memory, spilling to disk) for the duration of
   the fit and released afterwards.  A lost executor only means its cached
-  blocks are recomputed from lineage.
+  blocks are recomputed from lineage; inputs reused by many fits can be
+  checkpointed to the shared folder instead (``reliable=True``).
 """
 
 from __future__ import annotations
@@ -40,8 +41,19 @@ def spread(df: DataFrame, min_partitions: int | None = None,
 
 
 @contextmanager
-def fit_input(df: DataFrame, min_partitions: int | None = None):
-    """``with fit_input(df) as data: model = est.fit(data)``."""
+def fit_input(df: DataFrame, min_partitions: int | None = None, reliable: bool = False):
+    """``with fit_input(df) as data: model = est.fit(data)``.
+
+    ``reliable`` cuts the lineage with ``checkpoint()`` into the shared
+    ``spark.checkpoint.dir`` instead of caching: for inputs reused by many
+    fits (a grid search), a lost executor then costs a re-read of the
+    checkpoint, not a re-run of the plan that made the input.
+    """
+    if reliable:
+        from spindle.session import checkpoint_root
+        checkpoint_root(df.sparkSession)            # make sure the folder is set
+        yield spread(df, min_partitions).checkpoint(eager=True)
+        return
     data = spread(df, min_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield data

@@ -101,7 +101,8 @@ def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
     (setting, fold, metric), index of the best setting).
     """
-    with fit_input(df) as data:
+    # many fits read this input: cut its lineage into the shared checkpoint folder
+    with fit_input(df, reliable=True) as data:
         return _search(spark, data, pre_stages, learner, maps, evaluator, fold_col, num_folds,
                        parallelism)
 

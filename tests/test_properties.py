@@ -238,3 +238,11 @@ def test_cv_metrics_table(spark):
     rows = tune.cv_metrics(spark, cvm).orderBy("setting").collect()
     assert [r["setting"] for r in rows] == [0, 1]
     assert rows[0]["avg_metric"] == pytest.approx(cvm.avgMetrics[0])
+
+
+def test_reliable_fit_input_cuts_lineage(spark):
+    df = table(spark, SF_SMALL, "orders").groupBy("o_custkey").count()
+    with layout.fit_input(df, reliable=True) as data:
+        plan = data._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "Relation" not in plan.replace("LogicalRDD", "")
+        assert data.count() == df.count()
