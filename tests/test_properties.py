@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spindle.operators import (evaluate, features, layout, learners, profile, ranking, reports,
+from spindle.operators import (columns, evaluate, features, layout, learners, profile, ranking, reports,
                                split, tune)
 from spindle.plans import q_jobs, setups
 from spindle.plans.tables import embedding_features, table
@@ -246,3 +246,19 @@ def test_reliable_fit_input_cuts_lineage(spark):
         plan = data._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate" not in plan and "Relation" not in plan.replace("LogicalRDD", "")
         assert data.count() == df.count()
+
+
+def test_iris_style_script_on_a_headerless_csv(spark):
+    """The multiclass script as a user would run it: a CSV without header,
+    features picked by position, label in the last column."""
+    from spindle.plans import jobs
+    from spindle.sources import files
+
+    src = q_jobs.multiclass_input(spark, SF_SMALL).drop("l_orderkey", "l_linenumber")
+    path = files.write_csv(src, scratch_path(spark, "iris_like"), header=False)
+    df = files.read_csv(spark, path, header=False)               # _c0 … _c4, types inferred
+    feats = columns.names_slice(df, 0, 4, exclude=["_c4"])
+    train, test = split.keyed_split(df, df.columns)              # no key column: hash the row
+    res = jobs.multiclass_forest(train, test, "_c4", feats)
+    assert 0.0 <= res.metrics["accuracy"] <= 1.0
+    assert set(res.scored.columns) >= {"prediction", "predictedLabel", "_c4"}
