@@ -66,9 +66,12 @@ def _threads(parallelism: int | None) -> int:
 
 def cross_validator(estimator, maps: Sequence[Mapping], evaluator, num_folds: int = 3,
                     fold_col: str | None = None, parallelism: int | None = None,
-                    seed: int = 42) -> CrossValidator:
-    """The built-in search; with ``fold_col`` the folds are the given ones."""
+                    seed: int = 42, keep_sub_models: bool = False) -> CrossValidator:
+    """The built-in search; with ``fold_col`` the folds are the given ones.
+    ``keep_sub_models`` keeps every fold's models for ``cv_fold_metrics``."""
     kw = {"foldCol": fold_col} if fold_col else {}
+    if keep_sub_models:
+        kw["collectSubModels"] = True
     parallelism = _threads(parallelism)
     return CrossValidator(estimator=estimator, estimatorParamMaps=list(maps), evaluator=evaluator,
                           numFolds=num_folds, parallelism=parallelism, seed=seed, **kw)
@@ -93,6 +96,48 @@ def cv_metrics(spark: SparkSession, cv_model) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _metric_expr(evaluator):
+    """The evaluator's metric as an aggregate over (label, prediction), for
+    the metrics that have one; None otherwise."""
+    name = evaluator.getMetricName()
+    lab = F.col(evaluator.getLabelCol()).cast("double")
+    pred = F.col(evaluator.getPredictionCol()).cast("double")
+    err = lab - pred
+    return {"rmse": F.sqrt(F.avg(err * err)), "mse": F.avg(err * err), "mae": F.avg(F.abs(err)),
+            "accuracy": F.avg((lab == pred).cast("double"))}.get(name)
+
+
+def cv_fold_metrics(spark: SparkSession, cv_model, df: DataFrame, fold_col: str,
+                    evaluator=None) -> DataFrame:
+    """(setting, fold, metric) from a ``CrossValidatorModel`` fitted with
+    ``foldCol`` and ``collectSubModels=True``: each sub-model is scored on
+    the rows of its own fold.  For RMSE, MSE, MAE and accuracy all folds and
+    settings are one union and one aggregate (a single job); other metrics
+    run the evaluator per fold model."""
+    subs = cv_model.subModels
+    if not subs:
+        raise ValueError("fit the CrossValidator with collectSubModels=True")
+    ev = evaluator or cv_model.getEvaluator()
+    schema = StructType([StructField("setting", IntegerType(), False),
+                         StructField("fold", IntegerType(), False),
+                         StructField("metric", DoubleType(), False)])
+    expr = _metric_expr(ev)
+    if expr is None:
+        rows = [(i, k, float(ev.evaluate(m.transform(df.filter(F.col(fold_col) == k)))))
+                for k, fold_models in enumerate(subs) for i, m in enumerate(fold_models)]
+        return spark.createDataFrame(rows, schema)
+    parts = None
+    for k, fold_models in enumerate(subs):
+        valid = df.filter(F.col(fold_col) == k)
+        for i, m in enumerate(fold_models):
+            scored = m.transform(valid).select(
+                F.lit(i).alias("setting"), F.lit(k).alias("fold"),
+                F.col(ev.getLabelCol()), F.col(ev.getPredictionCol()))
+            parts = scored if parts is None else parts.unionByName(scored)
+    out = parts.groupBy("setting", "fold").agg(expr.alias("metric"))
+    return out.select(F.col("setting").cast("int"), F.col("fold").cast("int"), "metric")
+
+
 def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
               maps: Sequence[Mapping], evaluator, fold_col: str, num_folds: int,
               parallelism: int | None = None):

@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from spindle.operators import features, learners, reports, split, tune
+from spindle.operators.layout import fit_input
 from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import OLS_SQL
@@ -146,19 +147,28 @@ f AS (SELECT CAST(k AS INTEGER) AS k FROM range(3) t(k)),
 m AS (SELECT k, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, sum(x * y) / sum(x * x) AS b0
       FROM f JOIN d ON d.fold <> f.k GROUP BY k),
 r AS (SELECT m.k, sqrt(avg((y - (a + b * x)) ^ 2)) AS r1, sqrt(avg((y - b0 * x) ^ 2)) AS r0
-      FROM m JOIN d ON d.fold = m.k GROUP BY m.k)
-SELECT true AS fit_intercept, round(avg(r1), 6) AS avg_rmse FROM r
-UNION ALL SELECT false, round(avg(r0), 6) FROM r
+      FROM m JOIN d ON d.fold = m.k GROUP BY m.k),
+per AS (SELECT true AS fit_intercept, k AS fold, r1 AS rmse FROM r
+        UNION ALL SELECT false, k, r0 FROM r)
+SELECT fit_intercept, fold, round(rmse, 6) AS rmse,
+       round(avg(rmse) OVER (PARTITION BY fit_intercept), 6) AS avg_rmse FROM per
 """)
 def tune_cv(spark, sf):
+    """3-fold search by key: (params, fold, metric) from the fold models,
+    with the search's own average per setting."""
     data = setups.ols_lineitem(spark, sf).withColumn("fold", split.fold_column(_KEYS, 3))
     est = setups.exact_linreg()
     maps = tune.grid([(est.fitIntercept, None)])
-    cv = tune.cross_validator(est, maps, RegressionEvaluator(metricName="rmse"), 3, fold_col="fold")
-    cvm = learners.fit(cv, data)
-    rows = [(bool(m[est.fitIntercept]), float(v)) for m, v in zip(maps, cvm.avgMetrics)]
-    out = spark.createDataFrame(rows, "fit_intercept boolean, avg_rmse double")
-    return out.select("fit_intercept", F.round("avg_rmse", 6).alias("avg_rmse"))
+    cv = tune.cross_validator(est, maps, RegressionEvaluator(metricName="rmse"), 3, fold_col="fold",
+                              keep_sub_models=True)
+    with fit_input(data) as ready:
+        cvm = cv.fit(ready)
+        folds = tune.cv_fold_metrics(spark, cvm, ready, "fold").collect()   # 2 x 3 numbers
+    rows = [(bool(maps[r["setting"]][est.fitIntercept]), r["fold"], r["metric"],
+             float(cvm.avgMetrics[r["setting"]])) for r in folds]
+    out = spark.createDataFrame(rows, "fit_intercept boolean, fold int, rmse double, avg_rmse double")
+    return out.select("fit_intercept", "fold", F.round("rmse", 6).alias("rmse"),
+                      F.round("avg_rmse", 6).alias("avg_rmse"))
 
 
 @query("tune_tv_split")

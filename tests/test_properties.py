@@ -262,3 +262,19 @@ def test_iris_style_script_on_a_headerless_csv(spark):
     res = jobs.multiclass_forest(train, test, "_c4", feats)
     assert 0.0 <= res.metrics["accuracy"] <= 1.0
     assert set(res.scored.columns) >= {"prediction", "predictedLabel", "_c4"}
+
+
+def test_cv_fold_metrics_average_to_cv_metrics(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    data = setups.ols_lineitem(spark, SF_SMALL).withColumn(
+        "fold", split.fold_column(["l_orderkey", "l_linenumber"], 3))
+    est = setups.exact_linreg()
+    maps = tune.grid([(est.fitIntercept, None)])
+    cv = tune.cross_validator(est, maps, RegressionEvaluator(), 3, fold_col="fold", keep_sub_models=True)
+    cvm = learners.fit(cv, data)
+    folds = tune.cv_fold_metrics(spark, cvm, data, "fold")
+    assert folds.count() == 6
+    means = {r["setting"]: r["m"] for r in folds.groupBy("setting").agg(F.avg("metric").alias("m")).collect()}
+    assert means[0] == pytest.approx(cvm.avgMetrics[0], rel=1e-9)
+    assert means[1] == pytest.approx(cvm.avgMetrics[1], rel=1e-9)
