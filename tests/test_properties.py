@@ -278,3 +278,13 @@ def test_cv_fold_metrics_average_to_cv_metrics(spark):
     means = {r["setting"]: r["m"] for r in folds.groupBy("setting").agg(F.avg("metric").alias("m")).collect()}
     assert means[0] == pytest.approx(cvm.avgMetrics[0], rel=1e-9)
     assert means[1] == pytest.approx(cvm.avgMetrics[1], rel=1e-9)
+
+
+def test_running_totals_ascending_many_buckets(spark):
+    li = table(spark, SF_MID, "lineitem").groupBy("l_extendedprice").agg(F.count(F.lit(1)).alias("n"))
+    bucketed, tot = ranking.running_totals(li, "l_extendedprice", ["n"], descending=False,
+                                           rows_per_bucket=7000, with_totals=True)
+    w = Window.orderBy(F.asc("l_extendedprice")).rowsBetween(Window.unboundedPreceding, 0)
+    plain = li.withColumn("cum_n", F.sum("n").over(w))
+    assert bucketed.exceptAll(plain).count() == 0 and bucketed.count() == plain.count()
+    assert tot["n"] == li.agg(F.sum("n")).first()[0]
