@@ -1,4 +1,6 @@
 """All queries of the text operators; importing this registers them."""
 
-from spindle.llm import decontaminate, langid, url_filter  # noqa: F401
+from spindle.llm import (  # noqa: F401
+    decontaminate, langid, near_dup, packing, quality_model, quality_rules, secrets, toxicity, url_filter,
+)
 from spindle.llm.registry import ORACLE, QUERIES  # noqa: F401
