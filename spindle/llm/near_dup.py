@@ -128,7 +128,7 @@ def superminhash(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     for j in range(slots):
         if not len(element):
             break
-        r = mix(element + GOLDEN * np.uint64(j + 1))
+        r = mix(element + np.uint64(int(GOLDEN) * (j + 1) % (1 << 64)))
         k = j + (((r & np.uint64(0xFFFFFFFF)) * np.uint64(slots - j)) >> np.uint64(32)).astype(np.int16)
         slot = k.copy()
         for t in range(j - 1, -1, -1):  # where that slot stood before the earlier steps

@@ -22,8 +22,6 @@ references nothing but the base rule fails.  Repeated rows get equal results.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,49 +83,40 @@ def counts(docs: DataFrame) -> DataFrame:
         common.alias("common"), *[F.regexp_count("t", F.lit(p)).cast("bigint").alias(f"c_{c}") for c, p in CHARACTERS.items()])
     different = F.size(F.array_distinct("windows"))
     repeated = F.when(different < F.size("windows"), covered_words(F.col("windows"))).otherwise(F.lit(0))
+    classes = [F.col(f"c_{c}") for c in CHARACTERS]
+    words = [(F.size("common") - F.size(F.array_remove("common", w))).cast("bigint") for w in COMMON]
     return base.select(
         "doc_id", "lang", "n_chars", "n_words", "word_chars", F.col("c_symbol").alias("n_symbols"), "n_dup_lines",
-        repeated.cast("bigint").alias("n_repeat_words"), *[f"c_{c}" for c in CHARACTERS],
-        *[(F.size("common") - F.size(F.array_remove("common", w))).cast("bigint").alias(f"w_{k}") for k, w in enumerate(COMMON)])
-
-
-def _chars() -> list[Column]:
-    known = [F.col(f"c_{c}").cast("double") for c in CHARACTERS]
-    return [*known, F.col("n_chars") - sum(known)]
-
-
-def _words() -> list[Column]:
-    known = [F.col(f"w_{k}").cast("double") for k in range(len(COMMON))]
-    return [*known, F.col("n_words") - sum(known)]
+        repeated.cast("bigint").alias("n_repeat_words"),
+        F.array(*classes, F.col("n_chars") - sum(classes[1:], classes[0])).alias("chars"),
+        F.array(*words).alias("words"), F.size("common").cast("bigint").alias("n_common"),
+    ).withColumn("words", F.concat("words", F.array(F.col("n_words") - F.col("n_common")))).drop("n_common")
 
 
 def references(counted: DataFrame, least_share: float = 0.001) -> list[dict[str, list[float]]]:
     """Shares of the classes and words by language, over all documents.  At
     most ``1 / least_share`` languages come to the driver."""
     known = counted.filter("lang IS NOT NULL")
-    sums = known.groupBy("lang").agg(F.count("*").alias("docs"), F.array(*[F.sum(c) for c in _chars()]).alias("chars"), F.array(*[F.sum(c) for c in _words()]).alias("words"))
-    total = known.count()
-    rows = sums.filter(F.col("docs") >= least_share * total).orderBy("lang").collect()
+    added = lambda name, n: F.array(*[F.sum(F.get(name, F.lit(k))) for k in range(n)]).alias(name)
+    sums = known.groupBy("lang").agg(F.count("*").alias("docs"), added("chars", len(CHARACTERS) + 1), added("words", len(COMMON) + 1))
+    rows = sums.filter(F.col("docs") >= least_share * known.count()).orderBy("lang").collect()
     return [{k: [v / sum(r[k]) for v in r[k]] for k in ("chars", "words")} for r in rows if sum(r["chars"]) and sum(r["words"])]
 
 
-def divergence(shares: list[Column], reference: list[float]) -> Column:
+def divergence(shares: Column, reference: list[float]) -> Column:
     """Jensen-Shannon distance (base 2) of a histogram and a reference."""
-    def part(p: Column, q: float) -> Column:
-        middle = (p + q) / 2
-        mine = F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0))
-        return mine + F.when(middle > 0, q * F.log2(F.lit(q) / middle)).otherwise(F.lit(0.0)) if q > 0 else mine
+    def toward(p: Column, middle: Column) -> Column:
+        return F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0))
 
-    return F.sqrt(F.greatest(reduce(lambda a, b: a + b, [part(p, q) for p, q in zip(shares, reference, strict=True)]) / 2, F.lit(0.0)))
+    parts = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda p, q: toward(p, (p + q) / 2) + toward(q, (p + q) / 2))
+    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def nearest(histogram: list[Column], size: str, found: list[list[float]]) -> Column:
-    """Distance to the nearest reference; 0 without any."""
-    if not found:
-        return F.lit(0.0)
-    shares = [h / F.col(size) for h in histogram]
-    all_of = [divergence(shares, r) for r in found]
-    return F.when(F.col(size) > 0, F.least(*all_of) if len(all_of) > 1 else all_of[0]).otherwise(F.lit(0.0))
+def nearest(histogram: str, size: str, found: list[list[float]]) -> Column:
+    """Distance to the nearest reference; 0 without any, or for an empty text."""
+    shares = F.transform(histogram, lambda x: x / F.col(size))
+    far = let(shares, lambda s: F.array_min(F.array(*[divergence(s, r) for r in found]))) if found else F.lit(0.0)
+    return F.when(F.col(size) > 0, far).otherwise(F.lit(0.0))
 
 
 def judge(docs: DataFrame, *, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, char_guard: int = CHAR_GUARD,
@@ -137,8 +126,8 @@ def judge(docs: DataFrame, *, char_limit: float = CHAR_LIMIT, word_limit: float
     found = references(counted)
     far = counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
-        nearest(_chars(), "n_chars", [r["chars"] for r in found]).alias("char_distance"),
-        nearest(_words(), "n_words", [r["words"] for r in found]).alias("word_distance"))
+        nearest("chars", "n_chars", [r["chars"] for r in found]).alias("char_distance"),
+        nearest("words", "n_words", [r["words"] for r in found]).alias("word_distance"))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     odd = ((F.col("n_chars") >= char_guard) & (F.col("char_distance") > char_limit)) | ((F.col("n_words") >= word_guard) & (F.col("word_distance") > word_limit))
     return far.withColumn("base_failed", base).withColumn("kept", ~base & ~odd).drop("n_chars")
