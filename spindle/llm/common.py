@@ -81,6 +81,18 @@ def map_text(df: DataFrame, fields: list[T.StructField], make: Callable[[], Call
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def filter_text(df: DataFrame, make: Callable[[], Callable], column: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, for which ``make()(texts)``
+    (an array of booleans) is true.  No shuffle, and no column is added."""
+    def run(batches):
+        fn = make()
+        for whole in batches:
+            for part in slices(whole, column):
+                yield part.filter(pa.array(fn(part.column(part.schema.get_field_index(column))), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def remainder(key: str, parts: int):
     """crc32 of the key as text, modulo ``parts``; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(parts)

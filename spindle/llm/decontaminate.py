@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.llm.common import cut, documents, map_text, slices
+from spindle.llm.common import cut, documents, filter_text, slices
 from spindle.llm.registry import query
 from spindle.session import read_table
 
@@ -147,26 +147,32 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def remove_documents(docs: DataFrame, benchmark: DataFrame, *, width: int = 10, max_windows: int = 400_000) -> DataFrame:
     """The documents that no window of the benchmark occurs in."""
-    columns = tuple(docs.columns)
-    return mark_windows(docs, benchmark, keep=columns, **options).filter("n_hit = 0").select(*columns)
+    for part in _parts(benchmark, width, max_windows):
+        shared = docs.sparkSession.sparkContext.broadcast(Windows(part, width))
+
+        def make(shared=shared):
+            return lambda texts: [not shared.value.hits(t)[1] for t in texts.to_pylist()]
+
+        docs = filter_text(docs, make)
+    return docs
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """All documents; hit words, and what stands between two of them, go."""
-    columns = tuple(docs.columns)
-    marked = mark_windows(docs, benchmark, keep=columns, **options).select(*columns, "n_hit", "hits")
-    schema = T.StructType([docs.schema[c] for c in columns])
+    text = docs.columns.index("text")
+    names = [f"c{i}" if i != text else "text" for i in range(len(docs.columns))]
+    marked = mark_windows(docs.toDF(*names), benchmark, keep=tuple(names), **options).select(*names, "n_hit", "hits")
 
     def run(batches):
         for batch in batches:
-            col = dict(zip(batch.schema.names, batch.columns, strict=True))
-            rows = zip(col["text"].to_pylist(), col["n_hit"].to_pylist(), col["hits"].to_pylist(), strict=True)
-            texts = [_without(t, h) if n else t for t, n, h in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else col[c] for c in columns], names=list(columns))
+            rows = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "n_hit", "hits")), strict=True)
+            texts = pa.array([_without(t, h) if n else t for t, n, h in rows], pa.string())
+            cols = [texts if i == text else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
 
-    return marked.mapInArrow(run, schema)
+    return marked.mapInArrow(run, docs.schema)
 
 
 def _without(text: str, hits: bytes) -> str:

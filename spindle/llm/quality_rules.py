@@ -29,14 +29,11 @@ from spindle.llm.common import cut, documents
 from spindle.llm.registry import query
 
 SPACE = r"[\x20\x09-\x0D]+"
-# Character classes (the rest of a text is the class "other"), and common words.
-CHARACTERS = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "space": r"[\x20\x09-\x0D]", "mark": r"[.,;:!?'\"()-]", "symbol": r"[#*$%&|<>]"}
-COMMON = ("the of and to in that is for was with as it on by are this "
-          "der die und das ist nicht von mit den dem ein eine auf für des im "
-          "le la les et que une dans pour du un il au qui elle sur par "
-          "el los las del se por con una es su lo para al como más no").split()
-
-CHAR_LIMIT, WORD_LIMIT = 0.45, 0.75
+# Character classes (the rest of a text is the class "other"), and common words as they are written.
+CHARACTERS = {"lower": "[a-z]+", "space": SPACE, "mark": r"[.,;:!?'\"()-]+", "upper": "[A-Z]+", "symbol": "[#*$%&|<>]+", "digit": "[0-9]+"}
+COMMON = "the of and to in that der die und das ist von le la les et que une el los del por con una".split()
+
+CHAR_LIMIT, WORD_LIMIT = 0.28, 0.45
 CHAR_GUARD, WORD_GUARD = 100, 50
 
 
@@ -49,48 +46,60 @@ def _sum(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
 
 
-def covered_words(windows: Column) -> Column:
+def covered_words(windows: Column, few: int = 64) -> Column:
     """Words in windows of three whose hash is there twice or more.
 
-    Hash and place are sorted together; equal neighbours are repeats.  Their
-    places, in order, cover three words each, or as many as there are up to
-    the next."""
-    def repeats(pairs: Column) -> Column:
+    Sorted hashes show which are repeated.  Their places are found by looking
+    each window up, if they are ``few``, or else by sorting hash and place
+    together; in order, a place covers three words, or as many as there are
+    up to the next."""
+    def again(hashes: Column) -> Column:
+        return F.array_distinct(F.filter(hashes, lambda h, i: F.coalesce(h == F.get(hashes, i + 1), F.lit(False))))
+
+    def neighbours(pairs: Column) -> Column:
         same = lambda x, other: F.coalesce(x["h"] == F.get(pairs, other)["h"], F.lit(False))
-        return F.filter(pairs, lambda x, i: F.when(i > 0, same(x, i - 1)).otherwise(F.lit(False)) | same(x, i + 1))
+        return F.transform(F.filter(pairs, lambda x, i: F.when(i > 0, same(x, i - 1)).otherwise(F.lit(False)) | same(x, i + 1)), lambda x: x["i"])
+
+    def places(repeated: Column) -> Column:
+        pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        looked_up = F.filter(F.transform(windows, lambda h, i: F.when(F.array_contains(repeated, h), i)), lambda i: i.isNotNull())
+        return F.when(F.size(repeated) <= few, looked_up).otherwise(F.sort_array(let(F.sort_array(pairs), neighbours)))
 
-    def cover(places: Column) -> Column:
-        return _sum(F.transform(places, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(places, i + 1) - p, F.lit(3)))))
+    def cover(at: Column) -> Column:
+        return _sum(F.transform(at, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))))
 
-    pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    return let(F.sort_array(F.transform(let(pairs, repeats), lambda x: x["i"])), cover)
+    return let(let(let(F.sort_array(windows), again), places), cover)
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and all counts of each text; one pass, no shuffle."""
+    """doc_id, lang and all counts of each text; one pass, no shuffle.
+
+    Character classes are taken out of the text one after another, the
+    largest first, so each pass reads only what the ones before left."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    base = docs.select("doc_id", lang.alias("lang"), text.alias("t"), F.filter(F.split(text, SPACE), lambda w: w != "").alias("words"))
-    n = F.size("words")
-    lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    inner = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACE))
+    base = docs.select("doc_id", lang.alias("lang"), text.alias("left_0"), words.alias("words"))
+    lines = F.filter(F.split("left_0", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     window = lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))
-    common = F.filter(F.transform("words", F.lower), lambda w: w.isin(COMMON))
+    n = F.size("words")
     base = base.select(
-        "doc_id", "lang", F.length("t").cast("bigint").alias("n_chars"), n.cast("bigint").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        "doc_id", "lang", "left_0", n.cast("bigint").alias("n_words"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         F.transform(F.slice("words", 1, F.greatest(n - 2, F.lit(0))), window).alias("windows"),
-        common.alias("common"), *[F.regexp_count("t", F.lit(p)).cast("bigint").alias(f"c_{c}") for c, p in CHARACTERS.items()])
+        F.filter("words", lambda w: w.isin(COMMON)).alias("common"))
+    for k, pattern in enumerate(CHARACTERS.values()):
+        base = base.withColumn(f"left_{k + 1}", F.regexp_replace(f"left_{k}", pattern, ""))
+    sizes = [F.length(f"left_{k}").cast("bigint") for k in range(len(CHARACTERS) + 1)]
+    taken = {c: sizes[k] - sizes[k + 1] for k, c in enumerate(CHARACTERS)}
     different = F.size(F.array_distinct("windows"))
     repeated = F.when(different < F.size("windows"), covered_words(F.col("windows"))).otherwise(F.lit(0))
-    classes = [F.col(f"c_{c}") for c in CHARACTERS]
-    words = [(F.size("common") - F.size(F.array_remove("common", w))).cast("bigint") for w in COMMON]
+    known = [(F.size("common") - F.size(F.array_remove("common", w))).cast("bigint") for w in COMMON]
     return base.select(
-        "doc_id", "lang", "n_chars", "n_words", "word_chars", F.col("c_symbol").alias("n_symbols"), "n_dup_lines",
-        repeated.cast("bigint").alias("n_repeat_words"),
-        F.array(*classes, F.col("n_chars") - sum(classes[1:], classes[0])).alias("chars"),
-        F.array(*words).alias("words"), F.size("common").cast("bigint").alias("n_common"),
-    ).withColumn("words", F.concat("words", F.array(F.col("n_words") - F.col("n_common")))).drop("n_common")
+        "doc_id", "lang", sizes[0].alias("n_chars"), "n_words", (sizes[0] - taken["space"]).alias("word_chars"),
+        taken["symbol"].alias("n_symbols"), "n_dup_lines", repeated.cast("bigint").alias("n_repeat_words"),
+        F.array(*taken.values(), sizes[-1]).alias("chars"), F.array(*known, F.col("n_words") - F.size("common")).alias("words"))
 
 
 def references(counted: DataFrame, least_share: float = 0.001) -> list[dict[str, list[float]]]:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.llm.common import documents, map_text, remainder
+from spindle.llm.common import documents, filter_text, map_text, remainder
 from spindle.llm.quality_model import labelled_sample
 from spindle.llm.registry import query
 from spindle.session import read_table
@@ -256,21 +256,38 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class:
     return model
 
 
-def score_toxicity(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and score (0 to 1) of each document."""
+def _scorer(shared):
+    """In a task: texts to scores."""
+    model, table = shared.value, grammar()
+    tagger = Tagger(model["words"], model["stems"])
+
+    def score(texts):
+        z = np.clip(features(texts, tagger, table) @ model["weights"], -30, 30)
+        return 1 / (1 + np.exp(-z))
+
+    return score
+
+
+def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
+    """doc_id and score (0 to 1) of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model, table = shared.value, grammar()
-        tagger = Tagger(model["words"], model["stems"])
+        score = _scorer(shared)
+        return lambda texts: [pa.array(score(texts), pa.float64())]
 
-        def score(texts):
-            z = np.clip(features(texts, tagger, table) @ model["weights"], -30, 30)
-            return [pa.array(1 / (1 + np.exp(-z)), pa.float64())]
+    return map_text(docs, [T.StructField("score", T.DoubleType())], make)
 
-        return score
 
-    return map_text(docs, [T.StructField("score", T.DoubleType())], make, keep=keep)
+def remove_toxic(docs: DataFrame, model: dict, limit: float = 0.5) -> DataFrame:
+    """The documents, with all columns, that score under ``limit``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        score = _scorer(shared)
+        return lambda texts: score(texts) < limit
+
+    return filter_text(docs, make)
 
 
 def train_part(docs: DataFrame, labels: DataFrame):
