@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spindle.llm import oracles
 from spindle.llm.common import cut, documents, filter_text, slices
 from spindle.llm.registry import query
 from spindle.session import read_table
@@ -161,8 +162,9 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, *, width: int = 10,
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """All documents; hit words, and what stands between two of them, go."""
-    text = docs.columns.index("text")
-    names = [f"c{i}" if i != text else "text" for i in range(len(docs.columns))]
+    columns, schema = docs.columns, docs.schema
+    text = columns.index("text")
+    names = [f"c{i}" if i != text else "text" for i in range(len(columns))]
     marked = mark_windows(docs.toDF(*names), benchmark, keep=tuple(names), **options).select(*names, "n_hit", "hits")
 
     def run(batches):
@@ -170,9 +172,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
             rows = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "n_hit", "hits")), strict=True)
             texts = pa.array([_without(t, h) if n else t for t, n, h in rows], pa.string())
             cols = [texts if i == text else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=columns)
 
-    return marked.mapInArrow(run, docs.schema)
+    return marked.mapInArrow(run, schema)
 
 
 def _without(text: str, hits: bytes) -> str:
@@ -185,6 +187,6 @@ def _without(text: str, hits: bytes) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-@query("op3_benchmark_decontamination")
+@query("op3_benchmark_decontamination", oracles.DECONTAMINATION)
 def op3_benchmark_decontamination(spark, sf_dir):
     return contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))

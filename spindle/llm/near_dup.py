@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spindle.llm import oracles
 from spindle.llm.common import SLICE_BYTES, cut, documents, map_text, utf8
 from spindle.llm.registry import query
 
@@ -294,6 +295,6 @@ def drop_near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFram
     return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(left.filter("doc_id IS NULL"))
 
 
-@query("op7_minhash_near_dedup")
+@query("op7_minhash_near_dedup", oracles.NEAR_DEDUP)
 def op7_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir))

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindle.llm import oracles
 from spindle.llm.common import cut, documents
 from spindle.llm.registry import query
 
@@ -142,6 +143,6 @@ def judge(docs: DataFrame, *, char_limit: float = CHAR_LIMIT, word_limit: float
     return far.withColumn("base_failed", base).withColumn("kept", ~base & ~odd).drop("n_chars")
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", oracles.QUALITY_RULES)
 def op9_quality_rules(spark, sf_dir):
     return judge(documents(spark, sf_dir)).drop("char_distance", "word_distance")

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spindle.llm import oracles
 from spindle.llm.common import cut, documents, slices, utf8
 from spindle.llm.induced_sort import suffix_arrays
 from spindle.llm.near_dup import BYTE_VALUE, PLACE_VALUE, _powers, mix
@@ -389,6 +390,6 @@ def cut_repeats(docs: DataFrame, *, width: int = WIDTH, **options) -> DataFrame:
     return joined.select("doc_id", "text", "begins", "ends").mapInArrow(run, schema)
 
 
-@query("op10_suffix_array_dedup")
+@query("op10_suffix_array_dedup", oracles.SUBSTRINGS)
 def op10_suffix_array_dedup(spark, sf_dir):
     return cut_repeats(documents(spark, sf_dir))

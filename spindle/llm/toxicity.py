@@ -243,7 +243,7 @@ PRIOR = np.array([-3.0, 1.5, 0.5, 0.0])
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2500, **options) -> dict:
     """Lexicon and weights from labelled rows, ``4 * per_class`` at most."""
     rows = labelled_sample(docs, labels, label, per_class).collect()
-    rows = sorted(((r["text"], r["label"]) for r in rows), key=lambda r: (zlib.crc32((r[0] or "").encode()), r))
+    rows = sorted(((r["text"] or "", r["label"]) for r in rows), key=lambda r: (zlib.crc32(r[0].encode()), r))
     words, stems = learn_lexicon(rows, **options)
     for tag, seeds in SEEDS.items():
         for word in seeds:
