@@ -21,10 +21,13 @@ def default_if_null(c: str | Column, value) -> Column:
     return F.coalesce(_col(c), F.lit(value))
 
 
-def missing(c: str | Column, is_string: bool = True) -> Column:
-    """null and the empty string both count as missing (strings only;
-    comparing a number with '' raises under ANSI mode)."""
+def missing(c: str | Column, is_string: bool = True, is_float: bool = False) -> Column:
+    """null, the empty string of strings and the NaN of floating-point
+    columns count as missing (comparing a number with '' raises under ANSI
+    mode, so the caller says which it is)."""
     c = _col(c)
+    if is_float:
+        return c.isNull() | F.isnan(c)
     return (c.isNull() | (c == F.lit(""))) if is_string else c.isNull()
 
 

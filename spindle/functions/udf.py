@@ -18,18 +18,24 @@ def register_vectorized(spark: SparkSession, name: str, fn: Callable[..., pd.Ser
                         return_type: str, null_in_null_out: bool = True):
     """Register ``fn(*pd.Series) -> pd.Series`` under ``name``.
 
-    With ``null_in_null_out`` a row with a null argument gives null, the way
-    a JVM function with primitive arguments behaves, without ``fn`` having
-    to handle missing values.
+    With ``null_in_null_out`` a row with a null (or NaN, which pandas does not
+    tell apart in a number column) argument gives null and never reaches
+    ``fn``, so ``fn`` need not handle missing values.
     """
 
     def wrapped(*cols: pd.Series) -> pd.Series:
-        out = pd.Series(fn(*cols))
-        if null_in_null_out and cols:
-            any_null = cols[0].isna()
-            for c in cols[1:]:
-                any_null = any_null | c.isna()
-            out = out.astype(object).where(~any_null, None)
+        if not (null_in_null_out and cols):
+            return pd.Series(fn(*cols))
+        present = cols[0].notna()
+        for c in cols[1:]:
+            present = present & c.notna()
+        if present.all():
+            return pd.Series(fn(*cols))
+        # only rows without nulls reach ``fn``; an object column keeps large integers exact
+        out = pd.Series([None] * len(present), dtype=object, index=present.index)
+        if present.any():
+            kept = [c[present].infer_objects() for c in cols]
+            out[present] = pd.Series(fn(*kept)).to_numpy(dtype=object)
         return out
 
     udf = F.pandas_udf(wrapped, returnType=return_type)

@@ -9,6 +9,7 @@ scores never lands in one task.  WSSSE takes centres as a bounded literal
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
@@ -16,7 +17,6 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from spindle.operators.columns import q
 from spindle.operators.ranking import running_totals
@@ -31,9 +31,10 @@ def _score(df: DataFrame, col: str) -> Column:
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy and test_error (= 1 - accuracy)."""
-    hit = (F.col(q(prediction)).cast("double") == F.col(q(label)).cast("double")).cast("double")
-    acc = df.agg(F.avg(hit).alias("accuracy"))
+    """One row: accuracy and test_error (= 1 - accuracy).  A row without a
+    label or a prediction is a miss."""
+    hit = F.col(q(prediction)).cast("double") == F.col(q(label)).cast("double")
+    acc = df.agg(F.avg(F.coalesce(hit, F.lit(False)).cast("double")).alias("accuracy"))
     return acc.withColumn("test_error", 1.0 - F.col("accuracy"))
 
 
@@ -74,8 +75,10 @@ def rmse_value(df: DataFrame, label: str = "label", prediction: str = "predictio
 
 
 def _score_groups(df: DataFrame, score: str, label: str) -> DataFrame:
-    """One row per distinct score: positives and negatives at that score."""
-    pos = (F.col(q(label)).cast("double") > 0.5).cast("long")
+    """One row per distinct score: positives and negatives at that score.  A
+    null label is negative; a null score ranks last and NaN first, as
+    ``running_totals`` orders them."""
+    pos = F.coalesce(F.col(q(label)).cast("double") > 0.5, F.lit(False)).cast("long")
     return (df.select(_score(df, score).alias("score"), pos.alias("_p"))
               .groupBy("score").agg(F.sum("_p").alias("pos"),
                                     F.sum(1 - F.col("_p")).alias("neg")))
@@ -141,14 +144,10 @@ def hard_auc(df: DataFrame, label: str = "label", prediction: str = "prediction"
 def wssse(df: DataFrame, centers: Sequence[Sequence[float]], features: str = "features") -> DataFrame:
     """Sum over rows of the squared distance to the nearest centre.
 
-    The centres are a literal array (k x d numbers, size checked), so the
-    distance is a JVM expression with no join and no Python.
+    The centres are one literal (a constant array), so the distance is a JVM
+    expression with no join and no Python.
     """
-    k, d = len(centers), len(centers[0]) if centers else 0
-    if k * d > 200_000:
-        raise ValueError(f"{k} centres x {d} dims is too large to ship as a literal")
-    lit = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers]).cast(
-        ArrayType(ArrayType(DoubleType())))
+    lit = F.from_json(F.lit(json.dumps([[float(x) for x in c] for c in centers])), "array<array<double>>")
     col = df.schema[features].dataType
     x = vector_to_array(F.col(q(features))) if type(col).__name__ == "VectorUDT" else F.col(
         q(features)).cast("array<double>")

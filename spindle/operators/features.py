@@ -1,9 +1,9 @@
 """Feature operators: tokenising, hashing, Word2Vec, PCA, string and vector
 indexing, normalising, assembling, quantile buckets, one-hot encoding.
 
-All are ``pyspark.ml`` stages or DataFrame plans.  Where a stage keeps a
-table on the driver (string labels, category maps, PCA's d x d matrix,
-Word2Vec's vocabulary) the size is checked before it gets there.
+All are ``pyspark.ml`` stages or DataFrame plans.  Some of Spark's stages
+keep a table on the driver (a string indexer's labels, category maps, PCA's
+d x d matrix, Word2Vec's vocabulary); ``string_index`` does without.
 """
 
 from __future__ import annotations
@@ -46,43 +46,31 @@ def hashing_tf(df: DataFrame, input_col: str, output_col: str = "tf",
 
 
 def fit_word2vec(df: DataFrame, input_col: str, output_col: str = "w2v", vector_size: int = 3,
-                 min_count: int = 0, seed: int = 42, num_partitions: int | None = None,
-                 max_iter: int = 1, max_vocabulary: int = 5_000_000,
-                 words_per_task: int = 1_000_000):
+                 min_count: int = 0, seed: int = 42, num_partitions: int = 8,
+                 max_iter: int = 1):
     """Word2Vec.
 
-    Partial models are trained per partition and summed, and that float sum
-    runs in no fixed order, so only one partition gives bit-repeatable
-    vectors.  By default a corpus of up to ``words_per_task`` words trains
-    in one task (repeatable, and fast at that size); a larger one trains in
-    up to the cluster's parallelism tasks, so no single task holds the
-    corpus.  The vocabulary (words used at least ``min_count`` times) and its
-    vectors live on the driver, so its size is checked first: raise
-    ``min_count`` for large corpora.
+    Partial models are trained per partition and summed.  How many is a plain
+    parameter, so the split of the work depends neither on the corpus nor on
+    the cluster; raise it with the corpus.  The float sum runs in no fixed
+    order, so only ``num_partitions=1`` gives bit-repeatable vectors.  The
+    vocabulary (words used at least ``min_count`` times) and its vectors live
+    on the driver; ``min_count`` is the lever for large corpora.
     """
-    words = df.select(F.explode(F.col(q(input_col))).alias("w")).groupBy("w").agg(
-        F.count(F.lit(1)).alias("n"))
-    stats = words.agg(F.count_if(F.col("n") >= max(min_count, 1)).alias("vocab"),
-                      F.sum("n").alias("total")).first()
-    if stats["vocab"] > max_vocabulary:
-        raise ValueError(f"vocabulary of {stats['vocab']} words (min_count {min_count}) exceeds "
-                         f"{max_vocabulary}; raise min_count")
-    if num_partitions is None:
-        need = math.ceil((stats["total"] or 0) / words_per_task)
-        par = df.sparkSession.sparkContext.defaultParallelism
-        num_partitions = max(1, min(par, need))
     return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size,
                     minCount=min_count, seed=seed, numPartitions=num_partitions,
                     maxIter=max_iter).fit(df)
 
 
+def word_vectors(model) -> DataFrame:
+    """(word, vector) of a fitted Word2Vec model, as a table."""
+    return model.getVectors()
+
+
 # --- PCA --------------------------------------------------------------------
 
-def fit_pca(df: DataFrame, input_col: str, k: int, output_col: str = "pca", max_dim: int = 4096):
-    """PCA via the d x d covariance on the driver; d is checked first."""
-    d = len(df.select(input_col).first()[0])
-    if d > max_dim:
-        raise ValueError(f"PCA on {d} dimensions needs a {d}x{d} matrix on the driver")
+def fit_pca(df: DataFrame, input_col: str, k: int, output_col: str = "pca"):
+    """PCA via Spark's d x d covariance, which comes to the driver."""
     return PCA(k=k, inputCol=input_col, outputCol=output_col).fit(df)
 
 
@@ -102,21 +90,35 @@ def string_indexer(input_col: str, output_col: str, handle_invalid: str = "error
                          stringOrderType="frequencyDesc")
 
 
-def fit_string_indexer(df: DataFrame, input_col: str, output_col: str,
-                       handle_invalid: str = "error", max_labels: int = 1_000_000) -> StringIndexerModel:
-    """Fit a string index with a guard: label counts are aggregated on the
-    cluster, their number is checked, and only then the ordered labels
-    (count desc, value asc) come to the driver."""
-    counts = (df.select(F.col(q(input_col)).cast("string").alias("v"))
-                .filter(F.col("v").isNotNull())
-                .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    n_labels = counts.count()
-    if n_labels > max_labels:
-        raise ValueError(f"{input_col} has {n_labels} distinct values (> {max_labels}); "
-                         "a string index of that size does not belong on the driver")
-    labels = [r["v"] for r in counts.orderBy(F.col("n").desc(), F.col("v").asc()).collect()]
-    return StringIndexerModel.from_labels(labels, inputCol=input_col, outputCol=output_col,
-                                          handleInvalid=handle_invalid)
+def label_index(df: DataFrame, input_col: str) -> DataFrame:
+    """(label, index) of every distinct non-null value: most frequent first,
+    ties alphabetical.  Positions come from range-partitioned running sums,
+    so any number of labels stays on the cluster."""
+    counts = (df.select(F.col(q(input_col)).cast("string").alias("label"))
+                .filter(F.col("label").isNotNull())
+                .groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    placed = running_totals(counts.withColumn("_one", F.lit(1)),
+                            [F.col("n").desc(), F.col("label").asc()], ["_one"])
+    return placed.select("label", (F.col("cum__one") - 1).cast("int").alias("index"))
+
+
+def string_index(df: DataFrame, input_col: str, output_col: str, labels: DataFrame | None = None,
+                 handle_invalid: str = "error") -> DataFrame:
+    """``df`` with the index of ``input_col`` as a double, attached by a join
+    with ``labels`` (default: learnt from ``df``).  A value that has no index
+    fails the job, is dropped ('skip') or gets one index more than there are
+    ('keep')."""
+    labels = label_index(df, input_col) if labels is None else labels
+    at = labels.select(F.col("label").alias("_label"), F.col("index").alias("_index"))
+    found = df.join(at, F.col(q(input_col)).cast("string") == F.col("_label"), "left").drop("_label")
+    if handle_invalid == "skip":
+        found = found.filter(F.col("_index").isNotNull())
+    other = F.raise_error(F.concat(F.lit(f"no index for {input_col} value "),
+                                   F.coalesce(F.col(q(input_col)).cast("string"), F.lit("NULL"))))
+    if handle_invalid == "keep":
+        other = F.lit(labels.count())
+    value = F.when(F.col("_index").isNotNull(), F.col("_index").cast("double")).otherwise(other.cast("double"))
+    return found.withColumn(output_col, value).drop("_index")
 
 
 def labels_table(spark: SparkSession, model: StringIndexerModel) -> DataFrame:

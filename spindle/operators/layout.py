@@ -1,60 +1,89 @@
 """Input layout for iterative fits.
 
 Learners read their input once per iteration (gradients, tree levels,
-boosting rounds, folds).  Two things make that cheap:
-
-* enough partitions to use every core: a table with fewer partitions than
-  the cluster's default parallelism (a small file, one parquet row group)
-  is spread once by a round-robin repartition; a large table already has
-  many partitions and is left as it is, so no shuffle is added at scale;
-* the input is persisted (memory, spilling to disk) for the duration of
-  the fit and released afterwards.  A lost executor only means its cached
-  blocks are recomputed from lineage; inputs reused by many fits can be
-  checkpointed to the shared folder instead (``reliable=True``).
+boosting rounds, folds), and seeded learners (bagging, initial centres)
+draw by partition and position.  So before a fit the input is
+
+* cut to the columns that the estimator reads;
+* hash-partitioned by the row's content into a number of partitions that is
+  a parameter, and sorted by that hash within each: the same rows give the
+  same fit on any cluster, whatever made them;
+* kept for the duration of the fit (memory, spilling to disk) or, for inputs
+  that many fits read, written below ``spark.checkpoint.dir`` and deleted
+  afterwards (``reliable=True``).
+
+No job is run to find the layout: the plan that makes the input runs once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
+from spindle.operators.columns import q
+from spindle.session import remove_path, scratch_path
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           rows_per_partition: int = 25_000) -> DataFrame:
-    """Enough partitions for the cores, but not more than the data needs
-    (a few hundred rows in eight tasks only adds scheduling per iteration).
+#: Partitions of a fit's input; raise it with the data (a partition should
+#: fit in a task's memory a few times over).
+FIT_PARTITIONS = 8
 
-    An input that already has at least as many partitions as cores is left
-    alone without looking at it; only a narrower (small) input is counted.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if min_partitions is not None:
-        return df.repartition(min_partitions) if have < min_partitions else df
-    if have >= cores:
-        return df
-    rows = df.count()
-    want = max(1, min(cores, -(-rows // rows_per_partition)))
-    return df.repartition(want) if have < want else df
+_READS = ("labelCol", "featuresCol", "weightCol", "inputCol", "inputCols", "foldCol")
+
+
+def read_columns(stages: Sequence, columns: Sequence[str]) -> list[str]:
+    """Those of ``columns`` that the stages read, in table order; all of them
+    if the stages do not say."""
+    names: set[str] = set()
+    todo = list(stages)
+    while todo:
+        s = todo.pop()
+        if hasattr(s, "getStages"):
+            todo += s.getStages()
+        if hasattr(s, "getEstimator"):
+            todo.append(s.getEstimator())
+        for p in _READS:
+            if s.hasParam(p) and s.isDefined(p):
+                value = s.getOrDefault(p)
+                names.update([value] if isinstance(value, str) else value)
+    kept = [c for c in columns if c in names]
+    return kept or list(columns)
+
+
+def by_content(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Partitioned and sorted by a hash of the whole row."""
+    hashed = [F.col(q(f.name)) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return (df.withColumn("_row", F.xxhash64(*hashed)).repartition(partitions, "_row")
+              .sortWithinPartitions("_row").drop("_row"))
 
 
 @contextmanager
-def fit_input(df: DataFrame, min_partitions: int | None = None, reliable: bool = False):
-    """``with fit_input(df) as data: model = est.fit(data)``.
+def fit_input(df: DataFrame, stages: Sequence = (), partitions: int = FIT_PARTITIONS,
+              reliable: bool = False, also: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``with fit_input(df, [est]) as data: model = est.fit(data)``.
 
-    ``reliable`` cuts the lineage with ``checkpoint()`` into the shared
-    ``spark.checkpoint.dir`` instead of caching: for inputs reused by many
-    fits (a grid search), a lost executor then costs a re-read of the
-    checkpoint, not a re-run of the plan that made the input.
+    Only the columns that ``stages`` read, and ``also``, are kept (all, if no
+    stage is given).  ``reliable`` writes the input to the shared folder, so a
+    lost executor costs a re-read and not a re-run of the plan that made it.
     """
+    if stages:
+        kept = set(read_columns(stages, df.columns)) | set(also)
+        df = df.select(*[F.col(q(c)) for c in df.columns if c in kept])
+    data = by_content(df, partitions)
     if reliable:
-        from spindle.session import checkpoint_root
-        checkpoint_root(df.sparkSession)            # make sure the folder is set
-        yield spread(df, min_partitions).checkpoint(eager=True)
+        path = scratch_path(df.sparkSession, "fit_input")
+        data.write.parquet(path)
+        try:
+            # a task reads one file in its stored order
+            yield df.sparkSession.read.schema(data.schema).parquet(path)
+        finally:
+            remove_path(df.sparkSession, path)
         return
-    data = spread(df, min_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield data
     finally:

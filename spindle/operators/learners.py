@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.operators.columns import q
-from spindle.operators.layout import fit_input
+from spindle.operators.layout import FIT_PARTITIONS, fit_input
 
 # --- fixed values: the reference's settings ---------------------------------
 SVM_ITERATIONS = 100
@@ -140,7 +140,7 @@ def check_label_not_feature(label: str, feature_cols: Sequence[str]) -> None:
 def check_binary_label(df: DataFrame, label: str) -> None:
     """GBT classification takes labels 0 and 1 only."""
     row = df.agg(F.min(q(label)).alias("lo"), F.max(q(label)).alias("hi"),
-                 F.count_if(~F.col(q(label)).isin(0.0, 1.0)).alias("bad")).first()
+                 F.count_if(F.coalesce(~F.col(q(label)).isin(0.0, 1.0), F.lit(True))).alias("bad")).first()
     if row["bad"]:
         raise ValueError(f"{label}: {row['bad']} rows outside {{0, 1}} "
                          f"(range {row['lo']}..{row['hi']}); GBT takes two classes")
@@ -164,13 +164,11 @@ def check_categories_fit_bins(df: DataFrame, features: str, max_bins: int) -> No
             raise ValueError(f"feature {group.get('idx')} has {n} categories > maxBins {max_bins}")
 
 
-def fit(estimator, df: DataFrame, params: Mapping | None = None, spread: bool = True):
+def fit(estimator, df: DataFrame, params: Mapping | None = None, partitions: int = FIT_PARTITIONS):
     """``estimator.fit(df, params)``: a param map overrides the setters.
 
-    The input is spread over all cores and persisted for the fit (see
-    ``spindle.operators.layout``), since iterative learners read it once per
-    iteration."""
-    if not spread:
-        return estimator.fit(df, dict(params)) if params else estimator.fit(df)
-    with fit_input(df) as data:
+    The input is cut to the columns the estimator reads, laid out by content
+    and kept for the fit (see ``spindle.operators.layout``), since iterative
+    learners read it once per iteration."""
+    with fit_input(df, [estimator.copy(dict(params)) if params else estimator], partitions) as data:
         return estimator.fit(data, dict(params)) if params else estimator.fit(data)

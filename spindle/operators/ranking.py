@@ -4,22 +4,25 @@ Two things the scripts need that a naive plan would do in one task:
 
 * top-n values per group (profiles, modes): ``top_per_group`` ranks inside
   salted sub-groups first, so no task ever holds a whole group;
-* running sums over an ordered key (ROC curves, exact quantiles):
-  ``running_totals`` cuts the key range into buckets of bounded size, sums
-  inside each bucket with a partitioned window, and adds the totals of the
-  buckets before it.  The bucket table has at most ``max_buckets`` rows, so
-  broadcasting it back is safe by construction.
+* running sums and positions over an ordered key (ROC curves, exact
+  quantiles, label indices): ``running_totals`` range-partitions the rows by
+  the key, sums inside each range with a partitioned window, and adds the
+  totals of the ranges before it.  The ranges' totals are one row each,
+  which is all that the driver sees.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindle.session import scratch_path
+
+#: Ranges of an ordered key, unless the caller asks for another number.
+RANGES = 32
+
 
 def top_per_group(counts: DataFrame, group: str, n: int, salt_buckets: int = 64,
                   count_col: str = "count", value_col: str = "value") -> DataFrame:
@@ -39,49 +42,40 @@ def top_per_group(counts: DataFrame, group: str, n: int, salt_buckets: int = 64,
                .drop("_salt", "_r"))
 
 
-def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
-                   descending: bool = True, rows_per_bucket: int = 2_000_000,
-                   max_buckets: int = 65_536, prefix: str = "cum_",
+def running_totals(df: DataFrame, order_col: str | Sequence[Column], sum_cols: Sequence[str],
+                   descending: bool = True, ranges: int = RANGES, prefix: str = "cum_",
                    with_totals: bool = False):
     """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this row
-    in ``order_col`` order.  Expects one row per distinct ``order_col`` value
-    (group first), which makes the order total.
+    in ``order_col`` order (a column, or sort expressions).  Expects one row
+    per distinct key (group first), which makes the order total.
 
-    One cheap pass gives the row count and the column totals; bucket
-    borders (approximate quantiles, a second pass) are needed only when
-    there is more than one bucket.  With ``with_totals`` the column totals
-    are returned too: ``(df, {c: total})``.
+    One path at every size: the rows are range-partitioned once into
+    ``ranges`` parts and written below ``spark.checkpoint.dir``, so the
+    grouped input is worked out once and a range is a stored column.  Spark's
+    order holds for all keys: null is below every number, NaN above every
+    number and infinity; neither loses a row.  With ``with_totals`` the column
+    totals are returned too: ``(df, {c: total})``.
     """
-    stats = df.agg(F.count(F.lit(1)).alias("_n"),
-                   *[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).first()
-    n = stats["_n"]
-    totals = {c: stats[f"_t_{c}"] or 0 for c in sum_cols}
-    buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if buckets == 1:
-        # at most rows_per_bucket rows: one ordered window, no offsets to add
-        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols})
-        return (out, totals) if with_totals else out
+    if isinstance(order_col, str):
+        keys = [F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()]
     else:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * buckets))))
-        splits = [-math.inf] + [b for b in bounds if math.isfinite(b)] + [math.inf]
-        staged = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bkt",
-                            handleInvalid="keep").transform(df)
-    w_in = (Window.partitionBy("_bkt").orderBy(key)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = staged.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sum_cols})
-
-    totals_b = staged.groupBy("_bkt").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    bkt_key = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
-    # one row per bucket: a single-partition window over at most max_buckets rows
-    w_before = Window.orderBy(bkt_key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals_b.select(
-        "_bkt", *[F.coalesce(F.sum(f"_tot_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}")
-                  for c in sum_cols])
-    out = within.join(F.broadcast(offsets), "_bkt")
-    out = out.select(
-        *[c for c in df.columns],
+        keys = list(order_col)
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    ranged.write.parquet(path)
+    staged = spark.read.schema(ranged.schema).parquet(path)
+    per_range = staged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sum_cols]).orderBy("_range").collect()
+    offsets, so_far = [], dict.fromkeys(sum_cols, 0)
+    for r in per_range:  # at most ``ranges`` rows
+        offsets.append((r["_range"], *so_far.values()))
+        so_far = {c: v + (r[c] or 0) for c, v in so_far.items()}
+    types = [(f"_off_{c}", staged.groupBy().agg(F.sum(c)).schema[0].dataType.simpleString()) for c in sum_cols]
+    before = spark.createDataFrame(offsets, ", ".join(["_range int", *(f"`{n}` {t}" for n, t in types)]))
+    within = (Window.partitionBy("_range").orderBy(*keys)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = staged.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in sum_cols})
+    out = summed.join(F.broadcast(before), "_range").select(
+        *df.columns,
         *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
-    return (out, totals) if with_totals else out
+    return (out, so_far) if with_totals else out

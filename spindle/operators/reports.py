@@ -93,8 +93,9 @@ def summary_auc(spark: SparkSession, model) -> DataFrame:
 def tree_nodes(spark: SparkSession, model) -> DataFrame:
     """Node table of a fitted tree model, in the layout of the model's own
     writer: saved to the shared scratch folder and read back as parquet
-    (the model itself, and so its nodes, is driver-sized).  Ensembles carry
-    ``treeID``."""
+    (the model itself, and so its nodes, is driver-sized).  A split is a
+    ``threshold`` (left: at most that) or, for a categorical feature, the
+    ``left_categories``."""
     path = scratch_path(spark, "tree_model")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
@@ -109,7 +110,9 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
         F.col("rightChild").cast("int").alias("right_child"),
         F.col("split.featureIndex").cast("int").alias("feature"),
         F.when(F.col("split.numCategories") < 0,
-               F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1))).alias("threshold"))
+               F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1))).alias("threshold"),
+        F.when(F.col("split.numCategories") >= 0,
+               F.col("split.leftCategoriesOrThreshold")).alias("left_categories"))
 
 
 def tree_text(model) -> str:

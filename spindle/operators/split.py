@@ -16,16 +16,20 @@ from pyspark.sql import functions as F
 
 from spindle.operators.columns import q
 
+#: What a null key is hashed as.
+NULL_KEY = "<null>"
+
 
 def key_bucket(keys: Sequence[str] | str, modulus: int = 100, offset: int = 1) -> Column:
     """pmod(int(hex md5(key)[offset : offset+8]), modulus).
 
-    Several keys are joined with '|' before hashing.  ``offset`` picks which
-    8 hex digits are used, so the split and the folds are independent.
+    Several keys are joined with '|' before hashing; a null key counts as the
+    text ``NULL_KEY``, so every row is in exactly one part and one fold.
+    ``offset`` picks which 8 hex digits are used, so the split and the folds
+    are independent.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    text = (F.col(q(keys[0])).cast("string") if len(keys) == 1
-            else F.concat_ws("|", *[F.col(q(k)).cast("string") for k in keys]))
+    text = F.concat_ws("|", *[F.coalesce(F.col(q(k)).cast("string"), F.lit(NULL_KEY)) for k in keys])
     hexpart = F.substring(F.md5(text), offset, 8)
     return F.pmod(F.conv(hexpart, 16, 10).cast("bigint"), F.lit(modulus))
 

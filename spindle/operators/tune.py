@@ -3,8 +3,8 @@
 Folds come from a key hash (``spindle.operators.split.fold_column``), so a
 search is repeatable on any cluster layout.  ``search_cv`` fits the stages
 before the learner once per fold (not once per fold and setting), keeps the
-transformed fold data cached, and fits the grid settings of the learner in
-parallel driver threads; each fit is itself a distributed Spark job.
+transformed fold data cached, and fits all folds and settings from one pool
+of driver threads; each fit is itself a distributed Spark job.
 """
 
 from __future__ import annotations
@@ -54,32 +54,24 @@ def grid_table(spark: SparkSession, maps: Sequence[Mapping]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _threads(parallelism: int | None) -> int:
-    """Concurrent fits: by default as many as the cluster runs tasks at once
-    (each fit is itself distributed, so more threads only queue jobs)."""
-    if parallelism:
-        return parallelism
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    return max(1, min(16, sc.defaultParallelism if sc else 4))
+#: Fits that run at once; each is a distributed job of its own.
+PARALLEL_FITS = 4
 
 
 def cross_validator(estimator, maps: Sequence[Mapping], evaluator, num_folds: int = 3,
-                    fold_col: str | None = None, parallelism: int | None = None,
+                    fold_col: str | None = None, parallelism: int = PARALLEL_FITS,
                     seed: int = 42, keep_sub_models: bool = False) -> CrossValidator:
     """The built-in search; with ``fold_col`` the folds are the given ones.
     ``keep_sub_models`` keeps every fold's models for ``cv_fold_metrics``."""
     kw = {"foldCol": fold_col} if fold_col else {}
     if keep_sub_models:
         kw["collectSubModels"] = True
-    parallelism = _threads(parallelism)
     return CrossValidator(estimator=estimator, estimatorParamMaps=list(maps), evaluator=evaluator,
                           numFolds=num_folds, parallelism=parallelism, seed=seed, **kw)
 
 
 def train_validation_split(estimator, maps: Sequence[Mapping], evaluator, train_ratio: float = 0.75,
-                           parallelism: int | None = None, seed: int = 42) -> TrainValidationSplit:
-    parallelism = _threads(parallelism)
+                           parallelism: int = PARALLEL_FITS, seed: int = 42) -> TrainValidationSplit:
     return TrainValidationSplit(estimator=estimator, estimatorParamMaps=list(maps),
                                 evaluator=evaluator, trainRatio=train_ratio,
                                 parallelism=parallelism, seed=seed)
@@ -138,53 +130,75 @@ def cv_fold_metrics(spark: SparkSession, cv_model, df: DataFrame, fold_col: str,
     return out.select(F.col("setting").cast("int"), F.col("fold").cast("int"), "metric")
 
 
+_METRICS = StructType([StructField("setting", IntegerType(), False),
+                       StructField("fold", IntegerType(), False),
+                       StructField("metric", DoubleType(), False)])
+
+
 def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
               maps: Sequence[Mapping], evaluator, fold_col: str, num_folds: int,
-              parallelism: int | None = None):
+              parallelism: int = PARALLEL_FITS):
     """k-fold search with fold-wise reuse of the stages before the learner.
 
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
-    (setting, fold, metric), index of the best setting).
+    (setting, fold, metric), index of the best setting).  Every fold's
+    prepared rows are kept, and all folds and settings share one pool of
+    ``parallelism`` fits, so no fold waits for another one's slowest fit.
     """
-    # many fits read this input: cut its lineage into the shared checkpoint folder
-    with fit_input(df, reliable=True) as data:
-        return _search(spark, data, pre_stages, learner, maps, evaluator, fold_col, num_folds,
-                       parallelism)
-
-
-def _search(spark, df, pre_stages, learner, maps, evaluator, fold_col, num_folds, parallelism):
-    results: list[tuple[int, int, float]] = []
-    for k in range(num_folds):
-        train = df.filter(F.col(fold_col) != k)
-        valid = df.filter(F.col(fold_col) == k)
-        prep = Pipeline(stages=list(pre_stages)).fit(train)
-        tr = prep.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-        va = prep.transform(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    # many fits read this input: it is written to the shared folder first
+    with fit_input(df, [*pre_stages, learner, evaluator], reliable=True, also=[fold_col]) as data:
+        folds, kept = [], []
         try:
-            def run(i: int) -> tuple[int, int, float]:
-                model = learner.fit(tr, dict(maps[i]))
-                return i, k, float(evaluator.evaluate(model.transform(va)))
-
-            with ThreadPoolExecutor(max_workers=_threads(parallelism)) as pool:
-                results.extend(pool.map(run, range(len(maps))))
+            for k in range(num_folds):
+                train = data.filter(F.col(fold_col) != k)
+                prep = Pipeline(stages=list(pre_stages)).fit(train) if pre_stages else None
+                parts = [p if prep is None else prep.transform(p) for p in (train, data.filter(F.col(fold_col) == k))]
+                parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in parts]
+                kept += parts
+                folds.append(parts)
+
+            def run(job: tuple[int, int]) -> tuple[int, int, float]:
+                k, i = job
+                model = learner.fit(folds[k][0], dict(maps[i]))
+                return i, k, float(evaluator.evaluate(model.transform(folds[k][1])))
+
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                results = list(pool.map(run, [(k, i) for k in range(num_folds) for i in range(len(maps))]))
         finally:
-            tr.unpersist()
-            va.unpersist()
-    schema = StructType([StructField("setting", IntegerType(), False),
-                         StructField("fold", IntegerType(), False),
-                         StructField("metric", DoubleType(), False)])
-    metrics = spark.createDataFrame(sorted(results), schema)
-    means = {}
+            for p in kept:
+                p.unpersist()
+        best = _best(results, evaluator)
+        final = Pipeline(stages=[*pre_stages, learner.copy(dict(maps[best]))]).fit(data)
+    return final, spark.createDataFrame(sorted(results), _METRICS), best
+
+
+def _best(results: Sequence[tuple[int, int, float]], evaluator) -> int:
+    """The setting with the best mean over its folds; the first of equals."""
+    means: dict[int, list[float]] = {}
     for i, _, m in results:
         means.setdefault(i, []).append(m)
     avg = {i: sum(v) / len(v) for i, v in means.items()}
-    larger = evaluator.isLargerBetter()
-    best = (max if larger else min)(sorted(avg), key=lambda i: avg[i])
-    final = Pipeline(stages=list(pre_stages) + [learner.copy(dict(maps[best]))]).fit(df)
-    return final, metrics, best
+    return (max if evaluator.isLargerBetter() else min)(sorted(avg), key=lambda i: avg[i])
+
+
+def search_holdout(spark: SparkSession, train: DataFrame, valid: DataFrame, learner,
+                   maps: Sequence[Mapping], evaluator, parallelism: int = PARALLEL_FITS):
+    """One fit of each setting on ``train``, measured on ``valid``: (models,
+    metrics DataFrame of (setting, metric), index of the best).  Both parts
+    are kept while all settings read them."""
+    with fit_input(train, [learner, evaluator]) as tr, fit_input(valid, [learner, evaluator]) as va:
+        def run(i: int):
+            model = learner.fit(tr, dict(maps[i]))
+            return model, float(evaluator.evaluate(model.transform(va)))
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            found = list(pool.map(run, range(len(maps))))
+    results = [(i, 0, m) for i, (_, m) in enumerate(found)]
+    table = spark.createDataFrame(results, _METRICS).select("setting", "metric")
+    return [m for m, _ in found], table, _best(results, evaluator)
 
 
 def fit_pipeline(stages: Sequence, df: DataFrame) -> PipelineModel:
-    """Fit stages in order on a spread, persisted copy of the input."""
-    with fit_input(df) as data:
+    """Fit stages in order on a laid-out, persisted copy of the input."""
+    with fit_input(df, stages) as data:
         return Pipeline(stages=list(stages)).fit(data)

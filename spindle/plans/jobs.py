@@ -34,7 +34,7 @@ def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame) -> PipelineM
     """Fit the stages before a tree learner, check that no categorical
     feature has more values than the learner's maxBins (the fit would fail
     late otherwise), then fit the learner on the same persisted input."""
-    with fit_input(train) as data:
+    with fit_input(train, [*pre_stages, tree_learner]) as data:
         prep = Pipeline(stages=list(pre_stages)).fit(data)
         ready = prep.transform(data)
         learners.check_categories_fit_bins(ready, tree_learner.getFeaturesCol(),
@@ -110,7 +110,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                        numeric: list[str], categorical: list[str], fold_keys: list[str],
                        reg_values=(0.1, 0.01), elastic_values=(0.0, 0.5, 1.0),
                        num_folds: int = 3, max_categories: int = 4,
-                       parallelism: int | None = None) -> JobResult:
+                       parallelism: int = tune.PARALLEL_FITS) -> JobResult:
     """3-fold search over regParam x fitIntercept x elasticNet (12 settings
     by default), folds from a key hash, then refit on all training rows."""
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
@@ -128,12 +128,13 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                      {"cv": metrics, "grid": tune.grid_table(spark, maps)})
 
 
-def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: str,
-                       age: str, sex: str, sib: str, par: str, embarked: str,
-                       numeric: list[str], parallelism: int | None = None) -> JobResult:
-    """The titanic script: profile, impute on train, derive, index,
-    assemble, 18-setting 3-fold search, score the held-out rows."""
-    reports_ = {"missing": profile.profile_missing(table)}
+def clean_parts(table: DataFrame, key: str, label: str, age: str, sex: str, sib: str, par: str,
+                embarked: str, numeric: list[str]) -> tuple[DataFrame, DataFrame, dict]:
+    """The cleaning half of the titanic script: missing and value profiles,
+    fills learnt on train, derived columns.  Returns the cleaned train and
+    test parts and the reports, among them the counts by ``embarked`` after
+    the fill."""
+    reports_ = {"missing": profile.profile_missing(table), "values": profile.profile_values(table)}
     train, test = split.keyed_split(table, key)
     imp = clean.fit_mean_imputer(train, [age])            # learnt on train only
     modes = clean.mode_values(train, [embarked]).collect()
@@ -151,6 +152,16 @@ def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: s
     used = numeric + [age, "family", "who", embarked]
     tr = clean.drop_missing(tr, used + [label])
     te = clean.drop_missing(te, used)
+    reports_["after_fill"] = profile.group_count(tr.unionByName(te), embarked)
+    return tr, te, reports_
+
+
+def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: str,
+                       age: str, sex: str, sib: str, par: str, embarked: str,
+                       numeric: list[str], parallelism: int = tune.PARALLEL_FITS) -> JobResult:
+    """The titanic script: profile, impute on train, derive, index,
+    assemble, 18-setting 3-fold search, score the held-out rows."""
+    tr, te, reports_ = clean_parts(table, key, label, age, sex, sib, par, embarked, numeric)
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
     pre = [features.string_indexer("who", "who_idx", "keep"),
            features.string_indexer(embarked, "emb_idx", "keep"),

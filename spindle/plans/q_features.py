@@ -54,12 +54,23 @@ def ft_hash_tf(spark, sf):
     return tf.select("doc_id", total.alias("tf_sum"))
 
 
-@query("ft_word2vec")
+@query("ft_word2vec", _TOKENS_SQL.replace("doc_id", "conv_id, turn").replace("documents", "conversations") + """
+SELECT conv_id, turn, CAST(len(toks) AS INTEGER) AS n_tokens, true AS is_mean FROM k
+""")
 def ft_word2vec(spark, sf):
+    """The vectors depend on the training run; that a text's vector is the
+    mean of its words' vectors (the zero vector without words) does not."""
     conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     toks = features.tokenize(conv, "text", "words")
     model = features.fit_word2vec(toks, "words", "w2v", vector_size=3, min_count=0, seed=42)
-    return columns.vector_items(model.transform(toks), "w2v", 3, prefix="v", keep=["conv_id", "turn"])
+    words = columns.vector_items(features.word_vectors(model), "vector", 3, prefix="x", keep=["word"])
+    given = columns.vector_items(model.transform(toks), "w2v", 3, prefix="v", keep=["conv_id", "turn", "words"])
+    each = given.select("conv_id", "turn", F.size("words").alias("n_tokens"), "v0", "v1", "v2", F.explode_outer("words").alias("word"))
+    sums = (each.join(words, "word", "left").groupBy("conv_id", "turn", "n_tokens", "v0", "v1", "v2")
+            .agg(*[F.coalesce(F.sum(f"x{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(3)]))
+    n = F.greatest("n_tokens", F.lit(1))
+    near = [F.abs(F.col(f"s{i}") / n - F.col(f"v{i}")) < 1e-5 for i in range(3)]
+    return sums.select("conv_id", "turn", "n_tokens", (near[0] & near[1] & near[2]).alias("is_mean"))
 
 
 @query("ft_pca", """
@@ -90,8 +101,7 @@ SELECT o_orderkey, idx AS priority_index FROM orders JOIN r ON o_orderpriority =
 """)
 def ft_string_index(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    model = features.fit_string_indexer(o, "o_orderpriority", "priority_index")
-    return model.transform(o).select("o_orderkey", "priority_index")
+    return features.string_index(o, "o_orderpriority", "priority_index").select("o_orderkey", "priority_index")
 
 
 @query("ft_index_to_string", "SELECT o_orderkey, o_orderpriority AS original FROM orders")

@@ -10,7 +10,7 @@ from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import (LOGIT_DISCOUNT_SQL, LOGIT_TAX_SQL, OLS_SQL, RATES_SQL,
                                   STUMP_CLASS_SQL, STUMP_GBT_SQL, STUMP_REG_SQL)
-from spindle.plans.tables import embedding_features, table
+from spindle.plans.tables import table
 
 # --- logistic regression -----------------------------------------------------
 
@@ -70,7 +70,6 @@ def clf_naive_bayes(spark, sf):
             .otherwise(2.0))
     df = features.assemble(li.select(lab.alias("label"), "l_quantity", "l_discount", "l_tax"),
                            ["l_quantity", "l_discount", "l_tax"], "features")
-    learners.check_nonnegative(df, "features")
     model = learners.fit(learners.naive_bayes(smoothing=1.0), df)
     pi = model.pi.toArray()
     theta = model.theta.toArray()
@@ -180,7 +179,6 @@ def clf_gbt(spark, sf):
     # one round, depth 1: the first tree is a variance stump on labels
     # remapped to -1/+1 (the 10-round fit is covered by the tests)
     data = setups.stump_class_data(spark, sf)
-    learners.check_binary_label(data, "label")
     model = learners.fit(learners.gbt_classifier(max_iter=1, max_depth=1, max_bins=64), data)
     return _stump_summary(spark, model, 6)
 
@@ -199,11 +197,79 @@ def clf_svm(spark, sf):
     return model.transform(groups).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
-@query("clf_mlp")
+@query("clf_mlp", """
+SELECT l_orderkey, l_linenumber, CAST(l_linestatus = 'O' AS DOUBLE) AS label,
+       CAST(l_linestatus = 'O' AS DOUBLE) AS prediction FROM lineitem
+""")
 def clf_mlp(spark, sf):
-    data = embedding_features(spark, sf)
-    model = learners.fit(learners.mlp_classifier([64, 32, 10], max_iter=100), data)
-    return model.transform(data).select("vec_id", "label", "prediction")
+    # two groups that a small network has to tell apart without an error
+    x = F.when(F.col("l_linestatus") == "O", 1.0).otherwise(-1.0) + F.col("l_discount")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"), F.col("l_tax").alias("y"),
+                                             (F.col("l_linestatus") == "O").cast("double").alias("label"))
+    data = features.assemble(li, ["x", "y"], "features")
+    model = learners.fit(learners.mlp_classifier([2, 5, 2], max_iter=100), data)
+    return model.transform(data).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+# --- ensembles at the reference's settings, on targets they must hit exactly
+
+def _steps(spark, sf):
+    """label is a class, y a step function, of features that trees can cut:
+    quantity over 25, then tax over 0.04."""
+    li = table(spark, sf, "lineitem")
+    big, taxed = (F.col("l_quantity") > 25).cast("double"), (F.col("l_tax") > 0.04).cast("double")
+    rows = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", big.alias("label"), (100 * big + 10 * big * taxed).alias("y"))
+    return features.assemble(rows, ["l_quantity", "l_tax"], "features")
+
+
+_STEP_CLASS_SQL = """
+SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS DOUBLE) AS prediction FROM lineitem
+"""
+_STEP_VALUE_SQL = """
+SELECT l_orderkey, l_linenumber,
+       CAST(CASE WHEN l_quantity > 25 THEN CASE WHEN l_tax > 0.04 THEN 110 ELSE 100 END ELSE 0 END AS DOUBLE) AS prediction
+FROM lineitem
+"""
+
+
+def _predicted(model, data, digits: int = 0):
+    value = F.round("prediction", digits) + 0.0                     # no negative zero
+    return model.transform(data).select("l_orderkey", "l_linenumber", value.alias("prediction"))
+
+
+@query("clf_forest_10", _STEP_CLASS_SQL)
+def clf_forest_10(spark, sf):
+    data = _steps(spark, sf)
+    forest = learners.random_forest_classifier(max_bins=64, featureSubsetStrategy="all")   # 10 bagged trees
+    model = learners.fit(forest, data)
+    if model.getNumTrees != learners.FOREST_TREES:
+        raise RuntimeError(f"{model.getNumTrees} trees")
+    return _predicted(model, data)
+
+
+@query("clf_gbt_10", _STEP_CLASS_SQL)
+def clf_gbt_10(spark, sf):
+    data = _steps(spark, sf)
+    model = learners.fit(learners.gbt_classifier(max_bins=64), data)                        # 10 rounds
+    if len(model.trees) != learners.GBT_CLASSIFIER_ROUNDS:
+        raise RuntimeError(f"{len(model.trees)} rounds")
+    return _predicted(model, data)
+
+
+@query("reg_forest_20", _STEP_VALUE_SQL)
+def reg_forest_20(spark, sf):
+    data = _steps(spark, sf)
+    model = learners.fit(learners.random_forest_regressor("y", max_bins=64, featureSubsetStrategy="all"), data)
+    return _predicted(model, data)
+
+
+@query("reg_gbt_30", _STEP_VALUE_SQL)
+def reg_gbt_30(spark, sf):
+    data = _steps(spark, sf)
+    model = learners.fit(learners.gbt_regressor("y", max_bins=64), data)                    # 30 rounds
+    if len(model.trees) != learners.GBT_REGRESSOR_ROUNDS:
+        raise RuntimeError(f"{len(model.trees)} rounds")
+    return _predicted(model, data)
 
 
 def _ordered_centers(spark, model):
@@ -309,18 +375,35 @@ def rep_fit_stats(spark, sf):
                     F.round("mae", 4).alias("mae"), "n")
 
 
-@query("rep_loss_history")
+@query("rep_loss_history", "WITH " + LOGIT_TAX_SQL + "," + RATES_SQL + """,
+a AS (SELECT avg(label) AS p FROM d),
+l AS (SELECT avg(-label * ln(p) - (1 - label) * ln(1 - p)) AS best FROM d JOIN g USING (x))
+SELECT 'first' AS point, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS loss, true AS falling FROM a
+UNION ALL SELECT 'last', round(best, 6), true FROM l
+""")
 def rep_loss_history(spark, sf):
-    data = _binary_lineitem(spark, sf)
-    model = learners.fit(learners.logistic_regression(max_iter=10, reg=0.3, elastic=0.8), data)
-    return reports.loss_history(spark, model)
+    """The first loss is that of the labels' share, the last one the least
+    there is (both known in closed form); it never rises between."""
+    model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
+    losses = [r["loss"] for r in reports.loss_history(spark, model).orderBy("iteration").collect()]
+    falling = all(b <= a + 1e-12 for a, b in zip(losses, losses[1:], strict=False))
+    return spark.createDataFrame([("first", round(losses[0], 6), falling), ("last", round(losses[-1], 6), falling)],
+                                 "point string, loss double, falling boolean")
 
 
-@query("rep_iterations")
+@query("rep_iterations", """
+SELECT true AS within_limit, true AS one_loss_each, count(*) AS n FROM lineitem
+""")
 def rep_iterations(spark, sf):
+    """The count has no closed form; it is at most the limit (10) and one
+    less than the losses.  ``n`` is the rows that the fit saw."""
     data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount", "l_tax"))
-    model = learners.fit(learners.linear_regression(), data)      # 10 iterations, reg 0.3, elastic 0.8
-    return reports.iterations(spark, model)
+    model = learners.fit(learners.linear_regression(solver="l-bfgs"), data)      # 10 iterations, reg 0.3, elastic 0.8
+    losses = F.lit(reports.loss_history(spark, model).count())
+    found, rows = reports.iterations(spark, model), model.summary.numInstances
+    total = F.col("total_iterations")
+    return found.select((total.between(1, learners.LINREG_ITERATIONS)).alias("within_limit"),
+                        (losses == total + 1).alias("one_loss_each"), F.lit(rows).cast("long").alias("n"))
 
 
 # --- training-summary ROC and AUC ---------------------------------------------
@@ -387,8 +470,7 @@ SELECT CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS INTEGER) AS index, v A
 """)
 def rep_labels(spark, sf):
     o = table(spark, sf, "orders")
-    model = features.string_indexer("o_orderpriority", "pidx").fit(o)
-    return features.labels_table(spark, model)
+    return features.label_index(o, "o_orderpriority").select("index", "label")
 
 
 @query("rep_stage", """

@@ -32,13 +32,33 @@ def job_relational(spark, sf):
     return profile.sort_by_count(profile.group_count(kept, "priority"), "priority")
 
 
+@query("job_relational_csv", """
+WITH o AS (SELECT o_orderpriority AS priority, o_totalprice AS totalprice,
+                  CASE WHEN o_totalprice < 50000 THEN NULL ELSE o_orderstatus END AS status FROM orders)
+SELECT priority, count(*) AS count, (SELECT count(*) FROM o WHERE status IS NULL) AS missing_status
+FROM o WHERE totalprice > 250000 GROUP BY priority
+""")
+def job_relational_csv(spark, sf):
+    """The whole script: CSV without a header in, types inferred, columns
+    renamed by position, missing values counted, rows filtered and grouped."""
+    o = table(spark, sf, "orders").withColumn(
+        "o_orderstatus", F.when(F.col("o_totalprice") < 50000, F.lit("")).otherwise(F.col("o_orderstatus")))
+    path = files.write_csv(o, scratch_path(spark, "orders_csv"), header=False)
+    read = files.read_csv(spark, path, header=False,
+                          names=["orderkey", "custkey", "status", "totalprice", "orderdate", "priority"])
+    missing = clean.filter_missing(read, "status").count()
+    kept = clean.filter_compare(read, "totalprice", ">", 250000)
+    counts = profile.sort_by_count(profile.group_count(kept, "priority"), "priority")
+    return counts.withColumn("missing_status", F.lit(missing))
+
+
 # --- 2.1 sources and sinks ---------------------------------------------------
 
 @query("src_csv_header", "SELECT * FROM customer")
 def src_csv_header(spark, sf):
     c = table(spark, sf, "customer")
     path = files.write_csv(c, scratch_path(spark, "customer_csv"), header=True)
-    return files.read_csv(spark, path, header=True, schema=c.schema)
+    return files.read_csv(spark, path, header=True)                    # types inferred
 
 
 @query("src_csv_noheader", """
@@ -48,8 +68,7 @@ FROM customer
 def src_csv_noheader(spark, sf):
     c = table(spark, sf, "customer")
     path = files.write_csv(c, scratch_path(spark, "customer_csv_nh"), header=False)
-    return files.read_csv(spark, path, header=False,
-                          schema="_c0 long, _c1 string, _c2 int, _c3 double, _c4 string")
+    return files.read_csv(spark, path, header=False)                   # names _c0 …, types inferred
 
 
 @query("src_json", """
@@ -217,19 +236,25 @@ def flt_null_or_empty(spark, sf):
 
 @query("na_drop", f"""
 SELECT * FROM {G} g
-WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL AND c_mktsegment <> ''
+WHERE c_acctbal >= 1000 AND c_mktsegment IS NOT NULL AND c_mktsegment <> ''
 """)
 def na_drop(spark, sf):
-    return clean.drop_missing(gappy_customer(spark, sf))
+    """null, NaN (balances under 1000) and the empty string are missing."""
+    return clean.drop_missing(_with_nan(gappy_customer(spark, sf)))
+
+
+def _with_nan(df):
+    nan = F.lit(float("nan"))
+    return df.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 1000, nan).otherwise(F.col("c_acctbal")))
 
 
 @query("na_fill", f"""
-SELECT c_custkey, c_name, c_nationkey, coalesce(c_acctbal, 0.0) AS c_acctbal,
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal >= 1000 THEN c_acctbal ELSE 0.0 END AS c_acctbal,
        CASE WHEN c_mktsegment IS NULL OR c_mktsegment = '' THEN 'UNKNOWN' ELSE c_mktsegment END AS c_mktsegment
 FROM {G} g
 """)
 def na_fill(spark, sf):
-    return clean.fill_values(gappy_customer(spark, sf), {"c_acctbal": 0.0, "c_mktsegment": "UNKNOWN"})
+    return clean.fill_values(_with_nan(gappy_customer(spark, sf)), {"c_acctbal": 0.0, "c_mktsegment": "UNKNOWN"})
 
 
 @query("na_fill_mean", f"""
@@ -338,23 +363,33 @@ def split_random(spark, sf):
     return split.label_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
 
 
-@query("split_random_native")
+@query("split_random_native", """
+SELECT o_orderkey, 1 AS n_parts FROM orders
+""")
 def split_random_native(spark, sf):
+    """Which part a row is in depends on the layout; that each row is in
+    exactly one does not."""
     o = table(spark, sf, "orders").select("o_orderkey")
-    train, test = split.native_split(o, (0.7, 0.3), 11)
-    return (train.withColumn("part", F.lit("train"))
-                 .unionByName(test.withColumn("part", F.lit("test"))))
+    parts = [p.select("o_orderkey", F.lit(k).alias("part")) for k, p in enumerate(split.native_split(o, (0.7, 0.3), 11))]
+    return parts[0].unionByName(parts[1]).groupBy("o_orderkey").agg(F.count("part").alias("n_parts"))
 
 
 @query("cache_table", """
-SELECT l_returnflag, l_linestatus, count(*) AS count, round(sum(l_quantity), 2) AS sum_qty
-FROM lineitem WHERE l_discount > 0.05 GROUP BY ALL
+SELECT l_returnflag, l_linestatus, count(*) AS count, round(sum(l_quantity), 2) AS sum_qty,
+       (SELECT count(*) FROM lineitem) AS total
+FROM lineitem GROUP BY ALL
 """)
 def cache_table(spark, sf):
-    li = split.cache(table(spark, sf, "lineitem").filter(F.col("l_discount") > 0.05)
-                     .select("l_returnflag", "l_linestatus", "l_quantity"))
-    return li.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("count"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
+    """Kept rows are read twice, then let go."""
+    li = split.cache(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    try:
+        groups = li.groupBy("l_returnflag", "l_linestatus").agg(
+            F.count(F.lit(1)).alias("count"), F.round(F.sum("l_quantity"), 2).alias("sum_qty")).collect()
+        total = li.count()
+    finally:
+        li.unpersist()
+    return spark.createDataFrame([(*r, total) for r in groups],
+                                 "l_returnflag string, l_linestatus string, count long, sum_qty double, total long")
 
 
 # --- 2.9 / 2.10 scalar rules and user functions ------------------------------
@@ -402,12 +437,12 @@ def fn_split_words(spark, sf):
     return d.select("doc_id", F.size(words).alias("n_words"), F.try_element_at(words, F.lit(-1)).alias("last_word"))
 
 
-@query("udf_register", """
-SELECT c_custkey, CAST(floor(c_acctbal / 1000) AS BIGINT) AS balance_band FROM customer
+@query("udf_register", f"""
+SELECT c_custkey, CAST(floor(c_acctbal / 1000) AS BIGINT) AS balance_band FROM {G} g
 """)
 def udf_register(spark, sf):
     import numpy as np
 
     register_vectorized(spark, "balance_band", lambda s: np.floor(s / 1000).astype("int64"), "bigint")
-    table(spark, sf, "customer").createOrReplaceTempView("customer_v")
+    gappy_customer(spark, sf).createOrReplaceTempView("customer_v")    # null balances give null
     return spark.sql("SELECT c_custkey, balance_band(c_acctbal) AS balance_band FROM customer_v")

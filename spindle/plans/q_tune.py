@@ -8,7 +8,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from spindle.operators import features, learners, reports, split, tune
-from spindle.operators.layout import fit_input
 from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import OLS_SQL
@@ -132,13 +131,15 @@ def tune_grid(spark, sf):
     est = setups.exact_linreg()
     maps = tune.grid([(est.fitIntercept, None), (est.standardization, None)])
     ev = RegressionEvaluator(metricName="rmse")
-    rows = []
-    for m in maps:   # one distributed fit per setting
-        model = learners.fit(est, train, m)
-        rows.append((bool(m[est.fitIntercept]), bool(m[est.standardization]),
-                     float(ev.evaluate(model.transform(test)))))
-    out = spark.createDataFrame(rows, "fit_intercept boolean, standardization boolean, rmse double")
-    return out.select("fit_intercept", "standardization", F.round("rmse", 6).alias("rmse"))
+    _, found, _ = tune.search_holdout(spark, train, test, est, maps, ev)
+    return _by_setting(spark, found, maps, est)
+
+
+def _by_setting(spark, found, maps, est):
+    """(setting, metric) with the setting's two flags instead of its number."""
+    flags = spark.createDataFrame([(i, bool(m[est.fitIntercept]), bool(m[est.standardization])) for i, m in enumerate(maps)],
+                                  "setting int, fit_intercept boolean, standardization boolean")
+    return found.join(F.broadcast(flags), "setting").select("fit_intercept", "standardization", F.round("metric", 6).alias("rmse"))
 
 
 @query("tune_cv", f"""
@@ -159,24 +160,18 @@ def tune_cv(spark, sf):
     data = setups.ols_lineitem(spark, sf).withColumn("fold", split.fold_column(_KEYS, 3))
     est = setups.exact_linreg()
     maps = tune.grid([(est.fitIntercept, None)])
-    cv = tune.cross_validator(est, maps, RegressionEvaluator(metricName="rmse"), 3, fold_col="fold",
-                              keep_sub_models=True)
-    with fit_input(data) as ready:
-        cvm = cv.fit(ready)
-        folds = tune.cv_fold_metrics(spark, cvm, ready, "fold").collect()   # 2 x 3 numbers
-    rows = [(bool(maps[r["setting"]][est.fitIntercept]), r["fold"], r["metric"],
-             float(cvm.avgMetrics[r["setting"]])) for r in folds]
-    out = spark.createDataFrame(rows, "fit_intercept boolean, fold int, rmse double, avg_rmse double")
-    return out.select("fit_intercept", "fold", F.round("rmse", 6).alias("rmse"),
-                      F.round("avg_rmse", 6).alias("avg_rmse"))
-
-
-@query("tune_tv_split")
+    _, found, _ = tune.search_cv(spark, data, [], est, maps, RegressionEvaluator(metricName="rmse"), "fold", 3)
+    flags = spark.createDataFrame([(i, bool(m[est.fitIntercept])) for i, m in enumerate(maps)], "setting int, fit_intercept boolean")
+    mean = found.groupBy("setting").agg(F.avg("metric").alias("mean"))
+    return (found.join(F.broadcast(flags), "setting").join(F.broadcast(mean), "setting")
+            .select("fit_intercept", "fold", F.round("metric", 6).alias("rmse"), F.round("mean", 6).alias("avg_rmse")))
+
+
+@query("tune_tv_split", _GRID_SQL.replace(split_sql(_KEYS), split_sql(_KEYS, 75)))
 def tune_tv_split(spark, sf):
-    data = setups.ols_lineitem(spark, sf, ("l_quantity", "l_discount"))
-    est = learners.linear_regression()
-    maps = tune.grid([(est.regParam, [0.3, 0.01]), (est.elasticNetParam, [0.0, 0.8])])
-    tvs = tune.train_validation_split(est, maps, RegressionEvaluator(metricName="rmse"), 0.75)
-    model = learners.fit(tvs, data)
-    rows = [(i, float(v)) for i, v in enumerate(model.validationMetrics)]
-    return spark.createDataFrame(rows, "setting int, rmse double")
+    """Train/validation search at the built-in's ratio (75 %), split by key."""
+    train, valid = split.keyed_split(setups.ols_lineitem(spark, sf), _KEYS, 75)
+    est = setups.exact_linreg()
+    maps = tune.grid([(est.fitIntercept, None), (est.standardization, None)])
+    _, found, _ = tune.search_holdout(spark, train, valid, est, maps, RegressionEvaluator(metricName="rmse"))
+    return _by_setting(spark, found, maps, est)

@@ -44,7 +44,7 @@ GAPPY_CUSTOMER_SQL = """
 
 def _key_text(keys) -> str:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '<null>')" for k in keys)
 
 
 def split_sql(keys, pct: int = 70) -> str:
@@ -72,25 +72,17 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- events per hour (bike-hours-like regression input) ---------------------
 
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per hour: calendar fields and counts by event type; label
-    ``cnt`` = events in the hour."""
+    """One row per hour: calendar fields and the number of events; label
+    ``total`` = what the hour's events are worth together."""
     ev = table(spark, sf_dir, "events")
     hour = F.date_trunc("hour", F.col("ts"))
-    per = ev.groupBy(hour.alias("hour_ts")).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.count_if(F.col("event_type") == "click").alias("n_click"),
-        F.count_if(F.col("event_type") == "view").alias("n_view"),
-        F.count_if(F.col("event_type") == "error").alias("n_error"),
-        F.avg("value").alias("avg_value"),
-        F.countDistinct("user_id").alias("n_users"),
-    )
+    per = ev.groupBy(hour.alias("hour_ts")).agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total"))
     return per.select(
         "hour_ts",
         F.dayofmonth("hour_ts").alias("day"),
         F.hour("hour_ts").alias("hr"),
         F.dayofweek("hour_ts").alias("weekday"),
-        "n_click", "n_view", "n_error", "avg_value", "n_users",
-        F.col("cnt").cast("double").alias("cnt"),
+        "n_events", "total",
     )
 
 

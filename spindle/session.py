@@ -68,6 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/spindle/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this library made and no longer needs."""
+    if "/spindle/" not in path:
+        raise ValueError(f"{path} is not a scratch path")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -2,20 +2,17 @@
 
 A fitted ``PipelineModel`` whose stages are row-wise transformers works on
 a streaming DataFrame as it is.  These helpers add what a long-running
-scorer needs: a file sink whose checkpoint lives in the shared checkpoint
-folder (so a restarted query resumes exactly once), and an event-time
+scorer needs: a file sink with a checkpoint of the caller's, and an event-time
 windowed accuracy with a watermark so late rows are bounded.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spindle.session import scratch_path
-
 
 def score_stream(model: PipelineModel, stream: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``model.transform`` on a streaming DataFrame (no state, no shuffle)."""
@@ -23,13 +20,14 @@ def score_stream(model: PipelineModel, stream: DataFrame, keep: list[str] | None
     return out.select(*keep) if keep else out
 
 
-def write_scores(spark: SparkSession, scored: DataFrame, path: str | None = None,
+def write_scores(scored: DataFrame, path: str, checkpoint: str,
                  fmt: str = "parquet", trigger_once: bool = True) -> StreamingQuery:
-    """Start a file sink with its checkpoint below the shared folder."""
-    path = path or scratch_path(spark, "scores")
+    """Start a file sink.  ``checkpoint`` is a shared folder that the caller
+    keeps for this query: a restart with the same one goes on where the
+    last run ended, so each input row is scored once."""
     w = (scored.writeStream.format(fmt).outputMode("append")
          .option("path", path)
-         .option("checkpointLocation", scratch_path(spark, "scores_ckpt")))
+         .option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()

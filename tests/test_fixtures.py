@@ -61,25 +61,27 @@ def test_pca_explained_variance(spark):
 def test_string_index_order_and_round_trip(spark):
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "a"), (4, "a"), (5, "c")], ["id", "category"])
     built_in = features.string_indexer("category", "idx").fit(df)
-    guarded = features.fit_string_indexer(df, "category", "idx")
-    assert list(built_in.labels) == ["a", "c", "b"] == list(guarded.labels)
+    joined = [r["label"] for r in features.label_index(df, "category").orderBy("index").collect()]
+    assert list(built_in.labels) == ["a", "c", "b"] == joined
     back = features.index_to_string(built_in.transform(df), "idx", "orig")
     assert all(r["orig"] == r["category"] for r in back.collect())
 
 
 def test_string_index_unseen_raises_and_keep(spark):
-    train = spark.createDataFrame([("a",), ("b",)], ["c"])
-    test = spark.createDataFrame([("z",)], ["c"])
+    train = spark.createDataFrame([("a",), ("b",), (None,)], ["c"])
+    test = spark.createDataFrame([("z",), ("b",), (None,)], ["c"])
+    labels = features.label_index(train, "c")
     with pytest.raises(Exception):
-        features.fit_string_indexer(train, "c", "i").transform(test).collect()
-    kept = features.fit_string_indexer(train, "c", "i", handle_invalid="keep").transform(test).first()["i"]
-    assert kept == 2.0
+        features.string_index(test, "c", "i", labels).collect()
+    kept = features.string_index(test, "c", "i", labels, handle_invalid="keep").collect()
+    assert {(r["c"], r["i"]) for r in kept} == {("z", 2.0), ("b", 1.0), (None, 2.0)}
+    assert [r["i"] for r in features.string_index(test, "c", "i", labels, handle_invalid="skip").collect()] == [1.0]
 
 
-def test_string_index_guard(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError):
-        features.fit_string_indexer(df, "v", "i", max_labels=10)
+def test_string_index_by_join_equals_the_stage(spark):
+    df = spark.range(500).select(F.concat(F.lit("v"), (F.col("id") * F.col("id") % 37).cast("string")).alias("v"))
+    stage = features.string_indexer("v", "i").fit(df).transform(df)
+    assert features.string_index(df, "v", "i").exceptAll(stage).isEmpty()
 
 
 def _five(spark):
@@ -151,8 +153,8 @@ def test_word2vec_repeatable(spark):
     df = spark.createDataFrame([("Hi I heard about Spark".split(" "),),
                                 ("I wish Java could use case classes".split(" "),),
                                 ("Logistic regression models are neat".split(" "),)], ["text"])
-    a = features.fit_word2vec(df, "text", "r", 3, 0, seed=7).transform(df).collect()
-    b = features.fit_word2vec(df, "text", "r", 3, 0, seed=7).transform(df).collect()
+    a = features.fit_word2vec(df, "text", "r", 3, 0, seed=7, num_partitions=1).transform(df).collect()
+    b = features.fit_word2vec(df, "text", "r", 3, 0, seed=7, num_partitions=1).transform(df).collect()
     assert [r["r"] for r in a] == [r["r"] for r in b]
     assert all(len(r["r"]) == 3 for r in a)
 

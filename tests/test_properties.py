@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spindle.operators import (columns, evaluate, features, layout, learners, profile, ranking, reports,
+from spindle.operators import (clean, columns, evaluate, features, layout, learners, profile, ranking, reports,
                                split, tune)
 from spindle.plans import q_jobs, setups
 from spindle.plans.tables import embedding_features, table
@@ -56,7 +56,7 @@ def test_top_per_group_matches_brute_force(spark):
 
 def test_running_totals_many_buckets_equal_one_window(spark):
     li = table(spark, SF_MID, "lineitem").groupBy("l_extendedprice").agg(F.count(F.lit(1)).alias("n"))
-    bucketed = ranking.running_totals(li, "l_extendedprice", ["n"], descending=True, rows_per_bucket=5000)
+    bucketed = ranking.running_totals(li, "l_extendedprice", ["n"], descending=True, ranges=7)
     w = Window.orderBy(F.desc("l_extendedprice")).rowsBetween(Window.unboundedPreceding, 0)
     plain = li.withColumn("cum_n", F.sum("n").over(w))
     assert bucketed.exceptAll(plain).count() == 0 and bucketed.count() == plain.count()
@@ -149,16 +149,59 @@ def test_multiclass_job_beats_majority(spark):
 
 def test_regression_job_beats_mean(spark):
     res = q_jobs.run_regression(spark, SF_MID)
-    mean = res.scored.agg(F.avg("cnt")).first()[0]
-    base = math.sqrt(res.scored.agg(F.avg((F.col("cnt") - mean) ** 2)).first()[0])
-    assert res.metrics["rmse"] < base
+    assert q_jobs.beats_mean(res.scored, "total")
+    assert res.metrics["rmse"] < math.sqrt(res.scored.agg(F.var_pop("total")).first()[0])
 
 
 def test_binary_job_reports(spark):
     res = q_jobs.run_binary(spark, SF_SMALL)
     roc = res.reports["roc"].collect()
     assert (roc[0]["FPR"], roc[0]["TPR"]) == (0.0, 0.0) and (roc[-1]["FPR"], roc[-1]["TPR"]) == (1.0, 1.0)
-    assert 0.0 <= res.metrics["accuracy"] <= 1.0
+    assert q_jobs.beats_majority(res.scored, "quality", "predictedLabel") and res.metrics["train_auc"] > 0.9
+
+
+def test_binary_search_job_beats_majority(spark):
+    res = q_jobs.run_binary_cv(spark, SF_SMALL)
+    assert q_jobs.beats_majority(res.scored, "quality", "predictedLabel")
+    assert res.reports["cv"].count() == 36
+
+
+def test_text_job_beats_majority(spark):
+    assert q_jobs.beats_majority(q_jobs.run_text(spark, SF_MID).scored, "label", "prediction")
+
+
+def test_tree_nodes_name_the_categories_on_the_left(spark):
+    rows = [(float(c), float(c in (1, 3))) for c in range(5) for _ in range(20)]
+    df = features.assemble(spark.createDataFrame(rows, "c double, label double"), ["c"], "raw")
+    indexed = features.vector_indexer("raw", "features", 8).fit(df).transform(df)
+    model = learners.fit(learners.decision_tree_classifier(max_depth=1), indexed)
+    root = reports.tree_nodes(spark, model).filter("id = 0").first()
+    assert root["threshold"] is None and sorted(root["left_categories"]) in ([0.0, 2.0, 4.0], [1.0, 3.0])
+
+
+def test_hashed_terms_are_murmur_slots(spark):
+    """Slots by an own murmur3 (x86, 32 bit, seed 42), vector by vector."""
+    def murmur(data: bytes, h: int = 42) -> int:
+        mask = 0xFFFFFFFF
+        rot = lambda x, r: ((x << r) | (x >> (32 - r))) & mask
+        words = [int.from_bytes(data[i:i + 4], "little") for i in range(0, len(data) // 4 * 4, 4)]
+        for k in words:
+            h = (rot(h ^ (rot(k * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask), 13) * 5 + 0xE6546B64) & mask
+        tail = int.from_bytes(data[len(words) * 4:], "little")
+        h ^= rot(tail * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+        h ^= len(data)
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            h = (h ^ (h >> shift)) * factor & mask
+        h ^= h >> 16
+        return h - (1 << 32) if h >> 31 else h
+
+    docs = features.tokenize(table(spark, SF_SMALL, "documents").select("doc_id", "text").limit(40), "text", "words")
+    for r in features.hashing_tf(docs, "words", "tf", 1000).collect():
+        want = {}
+        for w in r["words"]:
+            slot = murmur(w.encode()) % 1000
+            want[slot] = want.get(slot, 0.0) + 1.0
+        assert dict(zip(r["tf"].indices.tolist(), r["tf"].values.tolist())) == want
 
 
 def test_profile_is_one_scan(spark):
@@ -168,15 +211,29 @@ def test_profile_is_one_scan(spark):
     assert plan.count("FileScan") == 1 or plan.count("Scan parquet") == 1
 
 
-def test_layout_spreads_narrow_inputs_by_rows(spark):
-    cores = spark.sparkContext.defaultParallelism
-    mid = table(spark, "/root/testdata/sf0.1", "lineitem")          # 600k rows, one row group
-    assert mid.rdd.getNumPartitions() < cores
-    assert layout.spread(mid).rdd.getNumPartitions() == cores
-    tiny = table(spark, SF_SMALL, "customer")                          # 150 rows stay together
-    assert layout.spread(tiny).rdd.getNumPartitions() == 1
-    wide = spark.range(0, 1000, numPartitions=64)                      # wide inputs are untouched
-    assert layout.spread(wide).rdd.getNumPartitions() == 64
+def _split_input(spark):
+    li = table(spark, SF_SMALL, "lineitem")
+    label = (F.col("l_quantity") + 200 * F.col("l_discount") > 30).cast("double")
+    return features.assemble(li.withColumn("label", label), ["l_quantity", "l_discount", "l_tax"], "features")
+
+
+def test_seeded_fits_do_not_depend_on_the_input_layout(spark):
+    df = _split_input(spark)
+    seen = set()
+    for made in (df, df.repartition(2), df.repartition(13, "l_tax"), df.orderBy(F.desc("l_extendedprice")).coalesce(1)):
+        seen.add(learners.fit(learners.random_forest_classifier(num_trees=10), made).toDebugString.split("\n", 1)[1])
+    assert len(seen) == 1
+
+
+def test_fit_input_runs_no_job_and_keeps_read_columns_only(spark):
+    df = _split_input(spark)
+    est = learners.random_forest_classifier()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("layout-probe", "layout")
+    with layout.fit_input(df, [est], partitions=5) as data:
+        assert len(tracker.getJobIdsForGroup("layout-probe")) == 0
+        assert data.columns == ["label", "features"] and data.rdd.getNumPartitions() == 5
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_gbt_classifier_ten_rounds_beats_majority(spark):
@@ -240,12 +297,14 @@ def test_cv_metrics_table(spark):
     assert rows[0]["avg_metric"] == pytest.approx(cvm.avgMetrics[0])
 
 
-def test_reliable_fit_input_cuts_lineage(spark):
+def test_reliable_fit_input_cuts_lineage_and_cleans_up(spark):
     df = table(spark, SF_SMALL, "orders").groupBy("o_custkey").count()
     with layout.fit_input(df, reliable=True) as data:
-        plan = data._jdf.queryExecution().optimizedPlan().toString()
-        assert "Aggregate" not in plan and "Relation" not in plan.replace("LogicalRDD", "")
-        assert data.count() == df.count()
+        assert "Aggregate" not in data._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(data.collect()) == sorted(df.collect())
+        folder = data.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").removeprefix("//")
+    import os
+    assert not os.path.exists(folder)
 
 
 def test_iris_style_script_on_a_headerless_csv(spark):
@@ -283,8 +342,88 @@ def test_cv_fold_metrics_average_to_cv_metrics(spark):
 def test_running_totals_ascending_many_buckets(spark):
     li = table(spark, SF_MID, "lineitem").groupBy("l_extendedprice").agg(F.count(F.lit(1)).alias("n"))
     bucketed, tot = ranking.running_totals(li, "l_extendedprice", ["n"], descending=False,
-                                           rows_per_bucket=7000, with_totals=True)
+                                           ranges=5, with_totals=True)
     w = Window.orderBy(F.asc("l_extendedprice")).rowsBetween(Window.unboundedPreceding, 0)
     plain = li.withColumn("cum_n", F.sum("n").over(w))
     assert bucketed.exceptAll(plain).count() == 0 and bucketed.count() == plain.count()
     assert tot["n"] == li.agg(F.sum("n")).first()[0]
+
+
+def _odd_scores(spark):
+    """Null, NaN and infinite scores, and null labels."""
+    inf = float("inf")
+    rows = [(0.9, 1.0), (0.8, 0.0), (0.8, 1.0), (0.4, 1.0), (0.1, 0.0), (None, 0.0), (None, 1.0), (float("nan"), 1.0),
+            (inf, 0.0), (-inf, 1.0), (0.3, None)]
+    return spark.createDataFrame(rows, "score double, label double")
+
+
+def _rank(score):
+    return (0, 0.0) if score is None else (2, 0.0) if score != score else (1, score)
+
+
+def test_running_totals_keep_null_nan_and_infinite_keys(spark):
+    groups = _odd_scores(spark).groupBy("score").agg(F.count(F.lit(1)).alias("n"))
+    rows = sorted(groups.collect(), key=lambda r: _rank(r["score"]))
+    for descending in (False, True):
+        want, total = {}, 0
+        for r in rows[::-1] if descending else rows:
+            total += r["n"]
+            want[repr(r["score"])] = total
+        for ranges in (1, 2, 20):
+            out, tot = ranking.running_totals(groups, "score", ["n"], descending, ranges, with_totals=True)
+            assert {repr(r["score"]): r["cum_n"] for r in out.collect()} == want and tot["n"] == 11
+
+
+def test_auc_counts_rows_without_a_score(spark):
+    rows = [(_rank(r["score"]), r["label"] == 1.0) for r in _odd_scores(spark).collect()]
+    pairs = [(a, b) for a, p in rows if p for b, q in rows if not q]
+    want = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
+    assert evaluate.auc(_odd_scores(spark), "score", "label").first()["auc"] == pytest.approx(want)
+
+
+def test_running_totals_put_no_rows_in_a_single_partition(spark):
+    li = table(spark, SF_SMALL, "lineitem").groupBy("l_extendedprice").agg(F.count(F.lit(1)).alias("n"))
+    out = ranking.running_totals(li, "l_extendedprice", ["n"])
+    out.collect()
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_keys_stay_in_one_part_and_one_fold(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "a"), (2, None), (None, None), (None, None)], "k long, s string")
+    train, test = split.keyed_split(df, ["k", "s"])
+    assert train.count() + test.count() == 5
+    marked = split.label_split(df, ["k", "s"])
+    assert marked.filter("part = 'train'").count() == train.count()
+    assert df.filter(split.fold_column(["k", "s"]).isNull()).isEmpty()
+
+
+def test_accuracy_counts_missing_predictions_as_misses(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (1.0, None), (None, 1.0), (0.0, 1.0)], "label double, prediction double")
+    assert evaluate.accuracy(df).first()["accuracy"] == 0.25
+
+
+def test_drop_and_fill_agree_with_the_built_in_on_nan(spark):
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (None, None), (3.0, None)], "x double, n int")
+    for how, thresh in (("any", None), ("all", None), ("any", 1), ("any", 2)):
+        mine = clean.drop_missing(df, how=how, thresh=thresh)
+        assert mine.count() == df.na.drop(how=how, thresh=thresh).count()
+    assert sorted(r["x"] for r in clean.fill_values(df, {"x": 0.5}).collect()) == sorted(r["x"] for r in df.na.fill({"x": 0.5}).collect())
+
+
+def test_user_function_never_sees_nulls(spark):
+    import numpy as np
+
+    from spindle.functions.udf import register_vectorized
+
+    register_vectorized(spark, "band_of", lambda s: np.floor(s / 1000).astype("int64"), "bigint")
+    spark.createDataFrame([(1500.0,), (None,), (float("nan"),), (-1.0,)], "x double").createOrReplaceTempView("banded")
+    assert [r[0] for r in spark.sql("SELECT band_of(x) FROM banded").collect()] == [1, None, None, -1]
+    register_vectorized(spark, "plus_one", lambda s: s + 1, "bigint")
+    spark.createDataFrame([(9007199254740993,), (None,)], "n long").createOrReplaceTempView("large")
+    big = [r[0] for r in spark.sql("SELECT plus_one(n) FROM large WHERE n IS NOT NULL").collect()]
+    assert big == [9007199254740994]
+
+
+def test_wssse_takes_many_centres(spark):
+    df = spark.range(10).select(F.array(F.col("id").cast("double")).alias("features"))
+    assert evaluate.wssse(df, [[float(i)] for i in range(3000)]).first()["wssse"] == 0.0
