@@ -12,8 +12,9 @@
 4. In each bucket all classes are compared with the smallest id (a star, no
    pairs), on full sets.  Union-find gives components.
 5. Only buckets that then still hold several components can hide a link.
-   There, classes of different components are compared, unless sizes or the
-   distances to the star's centre (Jaccard distance is a metric) rule it out.
+   Classes that share a centre are compared across components, in blocks,
+   unless sizes or the distances to the centre (Jaccard distance is a metric)
+   rule it out; only links leave that join.
 
 Nothing is collected: sets, edges and labels stay in tables.  Joins with a
 hot side are between written tables, so that AQE can split them; the sets are
@@ -35,13 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.llm import oracles
-from spindle.llm.common import SLICE_BYTES, cut, documents, map_text, utf8
+from spindle.llm.common import cut, documents, map_text, utf8
 from spindle.llm.registry import query
 
 WORDS, SLOTS, BANDS = 5, 128, 32
 PERCENT = 75
 #: Ids that are broadcast at most; 24 MB or so as Spark's table of longs.
 BROADCAST_IDS = 1_000_000
+#: Classes of one centre that are compared with all its others in one task.
+BLOCK = 256
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -61,7 +64,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2^64, at least ``n``."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
+        size = max(n + (n >> 2), 1 << 20)
         _POWERS[:] = []
         for factor in (BASE, pow(BASE, -1, 1 << 64)):
             p = np.full(size, np.uint64(factor))
@@ -105,8 +108,8 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
         if b - a >= words:
             out.append(np.unique(runs[a:b - words + 1]))
         elif b > a:
-            whole = (hashes[a:b] * PLACE_VALUE[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * PLACE_VALUE[15]
-            out.append(mix(np.array([whole], np.uint64)))
+            whole = int((hashes[a:b] * PLACE_VALUE[:b - a]).sum(dtype=np.uint64)) + (b - a) * int(PLACE_VALUE[15])
+            out.append(mix(np.array([whole % (1 << 64)], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -191,14 +194,15 @@ def _close(shared, a, b, percent: int):
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``pairs`` (a, b, ...) with the exact ``distance`` and ``linked``."""
+    """``pairs`` (a, b) with their exact ``distance`` and whether they are
+    ``linked``, on full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
     shared = F.size(F.array_intersect("items_a", "items_b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_shared", shared)
     a, b = F.size("items_a"), F.size("items_b")
-    union = a + b - F.col("_shared")
-    return both.select(*pairs.columns, (1 - F.col("_shared") / union).alias("distance"), _close(F.col("_shared"), a, b, percent).alias("linked"))
+    far = 1 - F.col("_shared") / (a + b - F.col("_shared"))
+    return both.select(*pairs.columns, far.alias("distance"), _close(F.col("_shared"), a, b, percent).alias("linked"))
 
 
 def forest(edges: DataFrame) -> DataFrame:
@@ -241,6 +245,29 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def links_in_blocks(spots: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between classes of ``spots`` (centre, rep, n, distance,
+    label) that have one centre and different labels.
+
+    A centre's classes are dealt into blocks of about ``block``, each of which
+    meets all the others of that centre, so no task gets a hot centre alone.
+    Only links leave the join: labels, sizes and distances to the centre
+    rule out most pairs, and the full sets decide the rest."""
+    sizes = cut(spots.groupBy("centre").agg(F.count("*").alias("k")), "sizes")
+    items = sets.withColumnRenamed("doc_id", "rep")
+    rows = cut(spots.join(sizes, "centre").withColumn("blocks", F.ceil(F.col("k") / block).cast("int")).join(items, "rep").drop("k"), "spots")
+    x = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).alias("x")
+    y = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
+    shared = F.size(F.array_intersect("x.items", "y.items"))
+    apart = F.lit(1 - percent / 100 + 1e-9)
+    linked = ((F.col("x.centre") == F.col("y.centre")) & (F.col("x.block") == F.col("y.block"))
+              & (F.col("x.rep") > F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
+              & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n"))
+              & (F.abs(F.col("x.distance") - F.col("y.distance")) <= apart)
+              & _close(shared, F.col("x.n"), F.col("y.n"), percent))
+    return x.join(y, linked).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document."""
     signed = cut(signatures(docs), "signatures")
@@ -260,21 +287,16 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     checked = cut(verify(star, sets, percent), "checked")
     labels = components(checked.filter("linked").select("a", "b"))
 
-    # buckets with several components
-    spots = (shared.filter("size > 2 AND rep != centre").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-             .join(checked.select(F.col("a").alias("rep"), F.col("b").alias("centre"), "distance"), ["rep", "centre"])
-             .select("key", "rep", "n", "distance", F.coalesce("label", "rep").alias("label")))
+    # centres whose buckets hold several components: two classes of a bucket share its centre
+    far = checked.select(F.col("a").alias("rep"), F.col("b").alias("centre"), "distance")
+    spots = (shared.filter("size > 2 AND rep != centre").select("centre", "rep", "n").distinct()
+             .join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(far, ["rep", "centre"])
+             .select("centre", "rep", "n", "distance", F.coalesce("label", "rep").alias("label")))
     spots = cut(spots, "spots")
-    mixed = cut(spots.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key"), "mixed")
-    spots = cut(spots.join(mixed, "key", "left_semi"), "spots")
+    mixed = spots.groupBy("centre").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("centre")
+    spots = cut(spots.join(cut(mixed, "mixed"), "centre", "left_semi"), "spots")
     if not spots.isEmpty():
-        x, y = spots.alias("x"), spots.alias("y")
-        apart = F.lit(1 - percent / 100 + 1e-9)
-        might = ((F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label"))
-                 & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n"))
-                 & (F.abs(F.col("x.distance") - F.col("y.distance")) <= apart))
-        pairs = x.join(y, might).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        more = cut(verify(cut(pairs, "pairs"), sets, percent).filter("linked").select("a", "b"), "more")
+        more = cut(links_in_blocks(spots, sets, percent), "more")
         if not more.isEmpty():
             labels = components(checked.filter("linked").select("a", "b").union(more))
 
