@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
@@ -76,6 +77,19 @@ def schema_info(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, _SCHEMA_INFO)
 
 
+def schema_counts(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The schema as rows, with the number of values (not null) of each
+    column, from one aggregate over the table."""
+    counts = df.agg(*[F.count(F.col(q(f.name))).alias(f"n{i}") for i, f in enumerate(df.schema.fields)]).first()
+    n = spark.createDataFrame([(i, int(v)) for i, v in enumerate(counts)], "position int, n_values long")
+    return schema_info(spark, df).join(F.broadcast(n), "position")
+
+
+def sparse_literal(spark: SparkSession, size: int, entries: Iterable[Mapping[int, float]], name: str = "features") -> DataFrame:
+    """A small table of sparse vectors from {place: value} literals."""
+    return spark.createDataFrame([(Vectors.sparse(size, dict(e)),) for e in entries], [name])
+
+
 def to_vector(cols: Sequence[str]):
     """Dense vector column from numeric columns (no assembler metadata)."""
     return array_to_vector(F.array(*[F.col(q(c)).cast("double") for c in cols]))

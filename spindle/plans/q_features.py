@@ -90,6 +90,21 @@ def ft_pca(spark, sf):
     return ev.select("component", F.round("explained_variance", 8).alias("explained_variance"))
 
 
+@query("ft_pca_project", """
+WITH d AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, l_extendedprice / 2000 AS y FROM lineitem),
+s AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c FROM d),
+e AS (SELECT a, b, (a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b) AS l1 FROM s),
+u AS (SELECT b / sqrt(b * b + (l1 - a) ^ 2) AS ux, (l1 - a) / sqrt(b * b + (l1 - a) ^ 2) AS uy FROM e)
+SELECT l_orderkey, l_linenumber, round(abs(x * ux + y * uy), 4) AS p0, round(abs(y * ux - x * uy), 4) AS p1 FROM d, u
+""")
+def ft_pca_project(spark, sf):
+    """Each row on the two axes, up to the axes' signs."""
+    li = table(spark, sf, "lineitem").withColumn("p", F.col("l_extendedprice") / 2000)
+    v = li.select("l_orderkey", "l_linenumber", columns.to_vector(["l_quantity", "p"]).alias("features"))
+    out = columns.vector_items(features.fit_pca(v, "features", 2).transform(v), "pca", 2, prefix="p", keep=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", *[F.round(F.abs(f"p{i}"), 4).alias(f"p{i}") for i in (0, 1)])
+
+
 _PRIORITY_INDEX_SQL = """
 WITH c AS (SELECT o_orderpriority AS v, count(*) AS n FROM orders GROUP BY 1),
 r AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS idx FROM c)

@@ -210,7 +210,7 @@ def beats_mean(scored, label: str) -> bool:
 
 
 @query("job_regression", f"""
-WITH h AS (SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n_events, round(sum(value), 4) AS total FROM events GROUP BY 1)
+WITH h AS (SELECT date_trunc('hour', ts) AS hour_ts, count(*) AS n_events, round(sum(least(value, 20)), 4) AS total FROM events GROUP BY 1)
 SELECT hour_ts, n_events, total, true AS beats_mean FROM h WHERE NOT {split_sql("strftime(hour_ts, '%Y-%m-%d %H:%M:%S')")}
 """)
 def job_regression(spark, sf):

@@ -457,11 +457,13 @@ SELECT * FROM (VALUES
  ('LogisticRegressionModel', 'tol', '1e-12', true),
  ('LogisticRegressionModel', 'upperBoundsOnCoefficients', NULL, false),
  ('LogisticRegressionModel', 'upperBoundsOnIntercepts', NULL, false),
- ('LogisticRegressionModel', 'weightCol', NULL, false)) AS t(stage, param, value, is_set)
+ ('LogisticRegressionModel', 'weightCol', NULL, false)) AS t(stage, param, value, is_set),
+ (SELECT count(*) AS n_rows FROM lineitem)
 """)
 def rep_params(spark, sf):
     model, _ = setups.fit_exact_logit(setups.logit_tax(spark, sf))
-    return reports.params(spark, model, "LogisticRegressionModel").select("stage", "param", "value", "is_set")
+    seen = model.summary.predictions.count()
+    return reports.params(spark, model, "LogisticRegressionModel").select("stage", "param", "value", "is_set", F.lit(seen).alias("n_rows"))
 
 
 @query("rep_labels", """
@@ -475,7 +477,7 @@ def rep_labels(spark, sf):
 
 @query("rep_stage", """
 SELECT * FROM (VALUES (0, 'StringIndexerModel'), (1, 'VectorAssembler'), (2, 'LogisticRegressionModel'))
-AS t(position, stage)
+AS t(position, stage), (SELECT count(*) AS n_rows FROM orders)
 """)
 def rep_stage(spark, sf):
     from spindle.operators import tune
@@ -486,4 +488,5 @@ def rep_stage(spark, sf):
               learners.logistic_regression(max_iter=10)]
     model = tune.fit_pipeline(stages, o)
     assert isinstance(reports.stage_of(model, 2), type(model.stages[2]))
-    return reports.stages(spark, model).select("position", "stage")
+    seen = model.stages[2].summary.predictions.count()                 # rows that the last stage was fitted on
+    return reports.stages(spark, model).select("position", "stage", F.lit(seen).alias("n_rows"))

@@ -198,15 +198,14 @@ def col_relabel(spark, sf):
 
 @query("schema_info", """
 SELECT * FROM (VALUES
- (0, 'l_orderkey', 'bigint', true), (1, 'l_partkey', 'bigint', true),
- (2, 'l_suppkey', 'bigint', true), (3, 'l_linenumber', 'int', true),
- (4, 'l_quantity', 'double', true), (5, 'l_extendedprice', 'double', true),
- (6, 'l_discount', 'double', true), (7, 'l_tax', 'double', true),
- (8, 'l_returnflag', 'string', true), (9, 'l_linestatus', 'string', true),
- (10, 'l_shipdate', 'timestamp_ntz', true)) AS t(position, name, type, nullable)
+ (0, 'c_custkey', 'bigint', true), (1, 'c_name', 'string', true), (2, 'c_nationkey', 'int', true),
+ (3, 'c_acctbal', 'double', true), (4, 'c_mktsegment', 'string', true)) AS t(position, name, type, nullable)
+JOIN (UNPIVOT (SELECT count(c_custkey) AS c_custkey, count(c_name) AS c_name, count(c_nationkey) AS c_nationkey,
+                      count(c_acctbal) AS c_acctbal, count(c_mktsegment) AS c_mktsegment FROM """ + G + """ g)
+      ON COLUMNS(*) INTO NAME name VALUE n_values) USING (name)
 """)
 def schema_info(spark, sf):
-    return columns.schema_info(spark, table(spark, sf, "lineitem"))
+    return columns.schema_counts(spark, gappy_customer(spark, sf))
 
 
 @query("vec_literal", """

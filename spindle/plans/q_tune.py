@@ -81,7 +81,7 @@ _SET_PARAMS = """
 SELECT * FROM (VALUES ('aggregationDepth', '2'), ('elasticNetParam', '0.0'), ('family', 'auto'),
  ('featuresCol', 'features'), ('fitIntercept', 'True'), ('labelCol', 'label'), ('maxIter', '{it}'),
  ('probabilityCol', '{prob}'), ('regParam', '{reg}'), ('threshold', '{thr}'), ('tol', '1e-06'))
-AS t(param, value)
+AS t(param, value), (SELECT count(*) AS n_rows FROM lineitem)
 """
 
 
@@ -90,7 +90,8 @@ def ml_params_set(spark, sf):
     lr = learners.logistic_regression()
     lr.setMaxIter(10).setRegParam(0.01)
     model = learners.fit(lr, _binary(spark, sf))
-    return reports.params(spark, model, "model1").filter(F.col("is_set")).select("param", "value")
+    seen = model.summary.predictions.count()
+    return reports.params(spark, model, "model1").filter(F.col("is_set")).select("param", "value", F.lit(seen).alias("n_rows"))
 
 
 @query("ml_params_override", _SET_PARAMS.format(it=30, prob="myProbability", reg=0.1, thr=0.55))
@@ -107,7 +108,7 @@ def ml_params_override(spark, sf):
     scored = model.transform(data)
     if "myProbability" not in scored.columns:
         raise RuntimeError("probabilityCol override did not reach the model")
-    return reports.params(spark, model, "model2").filter(F.col("is_set")).select("param", "value")
+    return reports.params(spark, model, "model2").filter(F.col("is_set")).select("param", "value", F.lit(scored.count()).alias("n_rows"))
 
 
 # --- grid and search ------------------------------------------------------------

@@ -73,10 +73,10 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per hour: calendar fields and the number of events; label
-    ``total`` = what the hour's events are worth together."""
+    ``total`` = what the hour's events are worth together, 20 each at most."""
     ev = table(spark, sf_dir, "events")
     hour = F.date_trunc("hour", F.col("ts"))
-    per = ev.groupBy(hour.alias("hour_ts")).agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total"))
+    per = ev.groupBy(hour.alias("hour_ts")).agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.least("value", F.lit(20.0))).alias("total"))
     return per.select(
         "hour_ts",
         F.dayofmonth("hour_ts").alias("day"),

@@ -58,6 +58,13 @@ def test_pca_explained_variance(spark):
     assert ev == [0.79439, 0.20561, 0.0]
 
 
+def test_sparse_literals_and_dense_vectors_are_one(spark):
+    sparse = columns.sparse_literal(spark, 5, [{1: 1.0, 3: 7.0}, {}, {0: 2.0}])
+    dense = spark.createDataFrame([(Vectors.dense(0.0, 1.0, 0.0, 7.0, 0.0),), (Vectors.dense([0.0] * 5),), (Vectors.dense(2.0, 0.0, 0.0, 0.0, 0.0),)], ["features"])
+    items = [columns.vector_items(df, "features", 5).collect() for df in (sparse, dense)]
+    assert items[0] == items[1] and sparse.first()["features"] == Vectors.sparse(5, [1, 3], [1.0, 7.0])
+
+
 def test_string_index_order_and_round_trip(spark):
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "a"), (4, "a"), (5, "c")], ["id", "category"])
     built_in = features.string_indexer("category", "idx").fit(df)
