@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle (the correctness gate),
-at sf 0.001.  The text operators' queries are tested in tests/llm."""
+at sf 0.001."""
 
 import pytest
 
