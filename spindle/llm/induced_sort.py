@@ -17,18 +17,16 @@ import numpy as np
 
 from spindle.llm.near_dup import mix
 
-NONE = -1
-
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the one after them.  The last one is
     larger than the empty suffix."""
     n, lanes = text.shape
     rise = np.zeros((n, lanes), np.int8)
-    rise[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
+    rise[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1])
     rise[-1] = -1
     # equal neighbours take the sign of the next place where letters differ
-    place = np.where(rise != 0, np.arange(n)[:, None], n)
+    place = np.where(rise != 0, np.arange(n, dtype=np.int32)[:, None], np.int32(n))
     place = np.minimum.accumulate(place[::-1], 0)[::-1]
     return np.take_along_axis(rise, place, 0) > 0
 
@@ -52,45 +50,57 @@ def buckets(text: np.ndarray, letters: int) -> np.ndarray:
 
 def induce(text: np.ndarray, smaller: np.ndarray, borders: np.ndarray, seeds: np.ndarray, lane: np.ndarray) -> np.ndarray:
     """All suffixes in order, given the leftmost S ones (``seeds`` of ``lane``,
-    in order within each lane) at the ends of their buckets."""
+    in order within each lane) at the ends of their buckets.
+
+    Places are kept as ``place * lanes + lane``; the suffix one further left
+    is that minus ``lanes``.  Place 0 has none, so it also marks what is not
+    known yet."""
     n, lanes = text.shape
-    flat, small = text.ravel(), smaller.ravel()
-    order = np.full(n * lanes, NONE, np.int64)
-    letter = flat[seeds * lanes + lane].astype(np.int64)
-    by = np.lexsort((np.arange(len(seeds)), letter, lane))
-    ends = borders[letter[by] + 1, lane[by]]
-    group = lane[by] * (int(letter.max(initial=0)) + 1) + letter[by]
-    last = np.concatenate((np.flatnonzero(np.diff(group)), [len(by) - 1])) if len(by) else np.zeros(0, int)
-    left = np.repeat(last, np.diff(np.concatenate(([-1], last)))) - np.arange(len(by))
-    order[(ends - 1 - left) * lanes + lane[by]] = seeds[by]
-    every = np.arange(lanes)
-
-    heads = borders[:-1].copy().ravel()
-
-    def larger(j: np.ndarray, at: np.ndarray) -> None:
-        c = flat[j * lanes + at] * lanes + at
-        order[heads[c] * lanes + at] = j
-        heads[c] += 1
-
-    larger(np.full(lanes, n - 1), every)  # before the empty suffix
-    for i in range(n):
-        row = order[i * lanes:(i + 1) * lanes] - 1
-        at = np.flatnonzero(row >= 0)
-        at = at[~small[row[at] * lanes + at]]
+    kind = np.int32 if (n + 1) * lanes < 1 << 31 else np.int64
+    every = np.arange(lanes, dtype=kind)
+    order = np.tile(every, n)
+    bucket = text.astype(kind) * kind(lanes) + every
+    if len(seeds):
+        spot = bucket.ravel()[seeds * lanes + lane]
+        by = np.argsort(spot, kind="stable")
+        spot = spot[by]
+        last = np.concatenate((np.flatnonzero(np.diff(spot)), [len(by) - 1]))
+        left = np.repeat(last, np.diff(np.concatenate(([-1], last)))) - np.arange(len(by))
+        end = borders[1:].ravel()[spot]
+        order[(end - 1 - left) * lanes + lane[by]] = seeds[by] * lanes + lane[by]
+
+    before = np.zeros((n, lanes), kind)
+    before[1:] = bucket[:-1]
+    before = before.ravel()
+    wanted = np.zeros((n, lanes), bool)
+    wanted[1:] = ~smaller[:-1]
+    wanted = wanted.ravel()
+    heads = (borders[:-1] * lanes + every).astype(kind).ravel()
+    spot = bucket[n - 1]  # the last suffix comes before the empty one, which is first of all
+    order[heads[spot]] = (n - 1) * lanes + every
+    heads[spot] += lanes
+    for i in range(0, n * lanes, lanes):
+        row = order[i:i + lanes]
+        at = row[wanted.take(row)]
         if len(at):
-            larger(row[at], at)
-
-    tails = borders[1:].copy().ravel()
-    for i in range(n - 1, -1, -1):
-        row = order[i * lanes:(i + 1) * lanes] - 1
-        at = np.flatnonzero(row >= 0)
-        at = at[small[row[at] * lanes + at]]
+            spot = before.take(at)
+            place = heads.take(spot)
+            order[place] = at - lanes
+            heads[spot] = place + lanes
+
+    wanted = np.zeros((n, lanes), bool)
+    wanted[1:] = smaller[:-1]
+    wanted = wanted.ravel()
+    tails = (borders[1:] * lanes + every).astype(kind).ravel()
+    for i in range((n - 1) * lanes, -1, -lanes):
+        row = order[i:i + lanes]
+        at = row[wanted.take(row)]
         if len(at):
-            j = row[at]
-            c = flat[j * lanes + at] * lanes + at
-            tails[c] -= 1
-            order[tails[c] * lanes + at] = j
-    return order.reshape(n, lanes)
+            spot = before.take(at)
+            place = tails.take(spot) - lanes
+            order[place] = at - lanes
+            tails[spot] = place
+    return order.reshape(n, lanes) // kind(lanes)
 
 
 def name_pieces(text: np.ndarray, marks: np.ndarray, seeds: np.ndarray, lane: np.ndarray) -> np.ndarray:
@@ -121,7 +131,7 @@ def suffix_arrays(text: np.ndarray) -> np.ndarray:
     n, lanes = text.shape
     if n == 0:
         return np.zeros((0, lanes), np.int64)
-    text = text.astype(np.int64)
+    text = text.astype(np.int32)
     smaller = smaller_than_next(text)
     marks = leftmost(smaller)
     borders = buckets(text, int(text.max()) + 1)

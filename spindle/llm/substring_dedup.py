@@ -49,9 +49,11 @@ WIDTH, GRAM = 100, 24
 #: Anchors that are broadcast at most, 9 bytes each.
 FILTER_SIZE = 6_000_000
 #: Regions of an anchor that are sorted in one shard at most, on average.
-CROWD = 48
-#: Bytes of all lanes that are sorted in step.
-BLOCK = 4 << 20
+CROWD = 64
+#: Bytes of all lanes that are sorted in step, and of a lane.
+BLOCK, LANE = 3 << 19, 8192
+#: Bytes of text that are searched for anchors at once.
+TEXT_STEP = 1 << 20
 
 #: Regions in an Arrow batch.
 STEP = 50_000
@@ -129,7 +131,7 @@ def repeated_anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
     """anchor and several (it has different regions) of anchors that occur twice."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_STEP):
                 r = Regions(part.column("text"), width, gram)
                 yield pa.RecordBatch.from_arrays([pa.array(r.anchor), pa.array(r.content)], names=["anchor", "content"])
 
@@ -139,18 +141,22 @@ def repeated_anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def candidate_regions(docs: DataFrame, anchors: DataFrame, width: int, gram: int, filter_size: int) -> DataFrame:
-    """Regions of ``anchors``, with their bytes if the anchor has several."""
+    """Regions of ``anchors``; if the anchor has several different ones, with
+    the anchor and their bytes."""
     spark = docs.sparkSession
     few = anchors.count() <= filter_size
     shared = None
     if few:
-        known = anchors.toPandas().sort_values("anchor")
-        shared = spark.sparkContext.broadcast((known["anchor"].to_numpy(np.int64), known["several"].to_numpy(bool)))
+        table = anchors.toArrow()
+        known = table.column("anchor").to_numpy()
+        order = np.argsort(known)
+        shared = spark.sparkContext.broadcast((known[order], table.column("several").to_numpy(zero_copy_only=False)[order]))
+        del table, known, order
     schema = T.StructType(_long("anchor", "content", "id", "row", "begin", "windows") + [T.StructField("bytes", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_STEP):
                 r = Regions(part.column("text"), width, gram)
                 if not len(r.anchor):
                     continue
@@ -163,15 +169,16 @@ def candidate_regions(docs: DataFrame, anchors: DataFrame, width: int, gram: int
                 doc = [part.column(part.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("id", "row")]
                 for k in range(0, len(keep), STEP):
                     p = slice(k, k + STEP)
-                    cols = [r.anchor[p], r.content[p], *(d[r.text[p]] for d in doc), r.begin[p], r.count[p]]
-                    made = [pa.array(c.astype(np.int64)) for c in cols] + [r.bytes_of(several, p)]
+                    cols = [r.content[p], *(d[r.text[p]] for d in doc), r.begin[p], r.count[p]]
+                    made = [pa.array(r.anchor[p], mask=~several[p]), *(pa.array(c.astype(np.int64)) for c in cols), r.bytes_of(several, p)]
                     yield pa.RecordBatch.from_arrays(made, names=schema.fieldNames()).filter(pa.array(keep[p]))
 
     regions = docs.select("text", "id", "row").mapInArrow(run, schema)
     if few:
         return regions
-    joined = regions.join(anchors, "anchor")
-    return joined.withColumn("bytes", F.when(F.col("several"), F.col("bytes"))).drop("several")
+    several = F.col("several")
+    joined = regions.join(anchors, "anchor").withColumns({"bytes": F.when(several, F.col("bytes")), "anchor": F.when(several, F.col("anchor"))})
+    return joined.drop("several")
 
 
 SPAN = T.StructType(_long("id", "row", "begin", "end"))
@@ -191,7 +198,7 @@ def _lanes(sizes: np.ndarray, target: int) -> list[list[int]]:
     return lanes
 
 
-def sort_block(columns: dict[str, np.ndarray], blobs: list[bytes], shard: np.ndarray, crowded: np.ndarray, width: int, lane_size: int = 8192):
+def sort_block(columns: dict[str, np.ndarray], blobs: list[bytes], shard: np.ndarray, crowded: np.ndarray, width: int, lane_size: int = LANE):
     """Repeats within the shards of a block: (id, row, begin) of windows that
     go, and (id, row, begin, hash1, hash2) of the first windows of
     crowded shards."""
@@ -210,15 +217,14 @@ def sort_block(columns: dict[str, np.ndarray], blobs: list[bytes], shard: np.nda
     n = int(filled.max())
     text = np.zeros((n, len(lanes)), np.uint8)
     # which window of which region starts at each place of each lane
-    region = np.full((n, len(lanes)), -1, np.int64)
+    region = np.full((n, len(lanes)), -1, np.int32)
     windows = columns["windows"][order]
     for k, r in enumerate(order.tolist()):
         a = int(start[k])
         text[a:a + sizes[k], lane[k]] = np.frombuffer(blobs[r], np.uint8)
         region[a:a + windows[k], lane[k]] = r
-    text = text.astype(np.int64)
     real = np.arange(n)[:, None] < filled[None, :]
-    text = np.where(real, text + 1, 0)
+    text = np.where(real, text.astype(np.int32) + 1, np.int32(0))
     suffixes = suffix_arrays(text)
 
     # permuted common prefixes: equal if the hashes of width bytes are
@@ -320,15 +326,16 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, fil
     spark = docs.sparkSession
     anchors = cut(repeated_anchors(docs, width, gram), "anchors")
     regions = cut(candidate_regions(docs, anchors, width, gram, filter_size), "regions")
-    key = ["anchor", "content"]
-    least = regions.groupBy(*key).agg(F.min(F.struct("id", "begin")).alias("first"))
-    least = cut(least.select(*key, F.col("first.id").alias("first_id"), F.col("first.begin").alias("first_begin")), "first-regions")
+    # equal content means equal anchors
+    least = regions.groupBy("content").agg(F.min(F.struct("id", "begin")).alias("first"))
+    least = cut(least.select("content", F.col("first.id").alias("first_id"), F.col("first.begin").alias("first_begin")), "first-regions")
     leads = (F.col("id") == F.col("first_id")) & (F.col("begin") == F.col("first_begin"))
-    told = regions.join(least, key).withColumn("leads", leads)
-    # the first of equal regions goes to the shards, once if several rows share its id
-    parted = cut(told.select("anchor", "content", "id", "row", "begin", "windows", F.when(F.col("leads"), F.col("bytes")).alias("bytes"), "leads"), "parted")
+    told = regions.join(least, "content").withColumn("leads", leads)
+    # the first of equal regions goes to the shards, if its anchor has others; the rest are spans already
+    shown = [F.when(F.col("leads"), F.col(c)).alias(c) for c in ("anchor", "content", "bytes")]
+    parted = cut(told.filter("NOT leads OR bytes IS NOT NULL").select(*shown, "id", "row", "begin", "windows", "leads"), "parted")
     equal = parted.filter("NOT leads").select("id", "row", "begin", (F.col("begin") + F.col("windows") + width - 1).alias("end"))
-    unlike = parted.filter("bytes IS NOT NULL")
+    unlike = parted.filter("leads")
     sizes = unlike.groupBy("anchor").agg(F.count("*").alias("n"))
     sizes = cut(sizes.filter("n > 1"), "sizes")
     parts = F.ceil(F.col("n") / crowd)
