@@ -51,12 +51,12 @@ FILTER_SIZE = 6_000_000
 #: Regions of an anchor that are sorted in one shard at most, on average.
 CROWD = 64
 #: Bytes of all lanes that are sorted in step, and of a lane.
-BLOCK, LANE = 3 << 19, 8192
+BLOCK, LANE = 1 << 20, 8192
 #: Bytes of text that are searched for anchors at once.
-TEXT_STEP = 1 << 20
+TEXT_STEP = 1 << 19
 
 #: Regions in an Arrow batch.
-STEP = 50_000
+STEP = 10_000
 
 _LONG = T.LongType()
 
