@@ -12,9 +12,10 @@
 4. In each bucket all classes are compared with the smallest id (a star, no
    pairs), on full sets.  Union-find gives components.
 5. Only buckets that then still hold several components can hide a link.
-   Classes that share a centre are compared across components, in blocks,
-   unless sizes or the distances to the centre (Jaccard distance is a metric)
-   rule it out; only links leave that join.
+   They get some rounds of stars with other centres, which join most of a
+   large group.  The classes of the buckets that are left meet across
+   components at the rare shingles of an exact prefix filter, and full sets
+   decide each pair that it leaves.
 
 Nothing is collected: sets, edges and labels stay in tables.  Joins with a
 hot side are between written tables, so that AQE can split them; the sets are
@@ -43,8 +44,10 @@ WORDS, SLOTS, BANDS = 5, 128, 32
 PERCENT = 75
 #: Ids that are broadcast at most; 24 MB or so as Spark's table of longs.
 BROADCAST_IDS = 1_000_000
-#: Classes of one centre that are compared with all its others in one task.
-BLOCK = 256
+#: Rounds of stars with other centres before prefixes settle what is left; more rounds leave less, none changes the result.
+ROUNDS = 1
+#: Sets meet by size class, each this much larger than the one before.
+SIZE_STEP = 1.05
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -245,27 +248,77 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def links_in_blocks(spots: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between classes of ``spots`` (centre, rep, n, distance,
-    label) that have one centre and different labels.
-
-    A centre's classes are dealt into blocks of about ``block``, each of which
-    meets all the others of that centre, so no task gets a hot centre alone.
-    Only links leave the join: labels, sizes and distances to the centre
-    rule out most pairs, and the full sets decide the rest."""
-    sizes = cut(spots.groupBy("centre").agg(F.count("*").alias("k")), "sizes")
-    items = sets.withColumnRenamed("doc_id", "rep")
-    rows = cut(spots.join(sizes, "centre").withColumn("blocks", F.ceil(F.col("k") / block).cast("int")).join(items, "rep").drop("k"), "spots")
-    x = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).alias("x")
-    y = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
-    shared = F.size(F.array_intersect("x.items", "y.items"))
-    apart = F.lit(1 - percent / 100 + 1e-9)
-    linked = ((F.col("x.centre") == F.col("y.centre")) & (F.col("x.block") == F.col("y.block"))
-              & (F.col("x.rep") > F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-              & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n"))
-              & (F.abs(F.col("x.distance") - F.col("y.distance")) <= apart)
-              & _close(shared, F.col("x.n"), F.col("y.n"), percent))
-    return x.join(y, linked).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, rep, n and label of the ``rows`` (key, rep, n) whose bucket holds
+    several labels; no link is missing in the others."""
+    named = labels.withColumnRenamed("node", "rep")
+    spots = cut(rows.select("key", "rep", "n").join(named, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "spots")
+    mixed = spots.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
+    return cut(spots.join(cut(mixed, "mixed"), "key", "left_semi"), "spots")
+
+
+def fresh_star(spots: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of each class of ``spots`` with a class of its bucket that
+    the hash of ``turn`` picks, unless label or size rules them out."""
+    picked = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep", "label", "n")).alias("c")
+    centres = cut(spots.groupBy("key").agg(picked).select("key", "c.rep", "c.label", "c.n").toDF("key", "b", "label_b", "n_b"), "centres")
+    met = spots.join(centres, "key").filter(F.col("label") != F.col("label_b")).filter(_sized(F.col("n"), F.col("n_b"), percent))
+    return met.select(F.col("rep").alias("a"), "b").distinct()
+
+
+def _sized(a, b, percent: int):
+    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+
+
+def _across(rows: DataFrame, *key: str) -> DataFrame:
+    """``key``, how many of ``rows`` have it (total), the label of most of them
+    (top) and the count of the others, for the keys of several labels.  Counts
+    are added by key and label first, so a hot key moves few rows."""
+    each = rows.groupBy(*key, "label").agg(F.count("*").alias("k"))
+    found = each.groupBy(*key).agg(F.sum("k").alias("total"), F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("labels"))
+    return found.filter("labels > 1").select(*key, "total", F.col("most.label").alias("top"), (F.col("total") - F.col("most.k")).alias("others"))
+
+
+def prefixes(spots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Items by which a class of ``spots`` can be linked with one of another
+    label: rep, n, label, its size class (z), the other's (w), the number of
+    the class's items (c), an item and its place among them.
+
+    Only items of several labels can be shared across labels.  Linked classes
+    share ``percent / (100 + percent)`` of both sizes, so the first of their
+    common items, in any one order, is among the first ``c - needed + 1`` of
+    both; the order puts items of few pairs first."""
+    classes = spots.select("rep", "n", "label").distinct()
+    rows = cut(classes.join(sets.withColumnRenamed("doc_id", "rep"), "rep"), "open").select("rep", "n", "label", F.explode("items").alias("item"))
+    weighed = cut(_across(rows, "item").select("item", (F.col("total") * F.col("others")).alias("cost")), "across")
+    own = rows.join(weighed, "item").groupBy("rep", "n", "label").agg(F.sort_array(F.collect_list(F.struct("cost", "item"))).alias("own"))
+    own = own.withColumn("c", F.size("own")).filter(F.lit(100) * F.col("c") >= F.lit(percent) * F.col("n"))
+    size_class = lambda x: F.floor(F.log(x) / F.log(F.lit(SIZE_STEP))).cast("int")
+    n = F.col("n").cast("double")
+    own = own.withColumn("z", size_class(n)).withColumn("w", F.explode(F.sequence(size_class(F.ceil(n * percent / 100)), size_class(F.floor(n * 100 / percent)))))
+    least = F.greatest(F.ceil(F.pow(F.lit(SIZE_STEP), F.col("w")) * (1 - 1e-9)), F.ceil(n * percent / 100))  # the other's size
+    needed = F.ceil((n + least) * percent / (100 + percent) - 1e-6).cast("int")
+    own = own.withColumn("first", F.col("c") - needed + 1).filter("first > 0")
+    return own.select("rep", "n", "label", "c", "z", "w", F.posexplode(F.slice("own", F.lit(1), F.col("first"))).alias("place", "x")).withColumn("item", F.col("x.item")).drop("x")
+
+
+def candidates(spots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of classes of ``spots`` with different labels, among them
+    every link.
+
+    Classes meet at an item of both their prefixes, as ids, sizes and places.
+    The classes of the label that has most of an item are on one side only, so
+    they never meet each other.  Size and place rule out more pairs."""
+    key = ["item", "low", "high"]
+    rows = prefixes(spots, sets, percent).withColumn("low", F.least("z", "w")).withColumn("high", F.greatest("z", "w"))
+    rows = cut(rows, "prefixes")
+    rows = cut(rows.join(cut(_across(rows, *key).select(*key, "top"), "tops"), key), "postings")
+    x, y = rows.filter("label != top").alias("x"), rows.alias("y")
+    most = F.least(F.col("x.c") - F.col("x.place"), F.col("y.c") - F.col("y.place"))  # common items from here on; places count from 0
+    met = ((F.col("x.item") == F.col("y.item")) & (F.col("x.z") == F.col("y.w")) & (F.col("x.w") == F.col("y.z")) & (F.col("x.label") != F.col("y.label"))
+           & ((F.col("y.label") == F.col("y.top")) | (F.col("x.rep") > F.col("y.rep"))))
+    able = _sized(F.col("x.n"), F.col("y.n"), percent) & _close(most, F.col("x.n"), F.col("y.n"), percent)
+    return x.join(y, met & able).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
@@ -285,20 +338,24 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
     ids = cut(star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     sets = cut(sets_of(docs, ids).dropDuplicates(["doc_id"]), "sets")
     checked = cut(verify(star, sets, percent), "checked")
-    labels = components(checked.filter("linked").select("a", "b"))
-
-    # centres whose buckets hold several components: two classes of a bucket share its centre
-    far = checked.select(F.col("a").alias("rep"), F.col("b").alias("centre"), "distance")
-    spots = (shared.filter("size > 2 AND rep != centre").select("centre", "rep", "n").distinct()
-             .join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(far, ["rep", "centre"])
-             .select("centre", "rep", "n", "distance", F.coalesce("label", "rep").alias("label")))
-    spots = cut(spots, "spots")
-    mixed = spots.groupBy("centre").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("centre")
-    spots = cut(spots.join(cut(mixed, "mixed"), "centre", "left_semi"), "spots")
+    links = checked.filter("linked").select("a", "b")
+    labels = components(links)
+
+    spots = unsettled(shared.filter("size > 2"), labels)
+    for turn in range(ROUNDS):
+        if spots.isEmpty():
+            break
+        more = cut(verify(fresh_star(spots, turn, percent), sets, percent).filter("linked").select("a", "b"), "more")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = components(links)
+        spots = unsettled(spots, labels)
     if not spots.isEmpty():
-        more = cut(links_in_blocks(spots, sets, percent), "more")
+        pairs = cut(candidates(spots, sets, percent), "pairs")
+        more = cut(verify(pairs, sets, percent).filter("linked").select("a", "b"), "more")
         if not more.isEmpty():
-            labels = components(checked.filter("linked").select("a", "b").union(more))
+            labels = components(links.union(more))
 
     member = members.select("doc_id", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     grouped = member.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))

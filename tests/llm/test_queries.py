@@ -113,6 +113,29 @@ def test_near_duplicates_lose_no_link(spark, seed):
     assert got == plain.near_duplicates(rows)
 
 
+def test_a_hot_bucket_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"b{k}" for k in range(80)]
+    rows = []
+    for doc in range(160):  # half of them linked with the base, half of them too far from each other
+        words = list(base)
+        for k in rng.sample(range(80), 1 if doc % 2 else 4):
+            words[k] = f"w{doc}x{k}"
+        rows.append((doc, " ".join(words)))
+    compared = []
+    verify = near_dup.verify
+
+    def counted(pairs, *args):
+        compared.append(pairs.count())
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(near_dup, "verify", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: tuple(r)[1:] for r in near_dup.near_duplicates(docs).collect()} == plain.near_duplicates(rows)
+    assert len(compared) == 3  # two stars, and what the prefixes leave; there are 12,720 pairs
+    assert sum(compared) < 12_720 / 4 and compared[-1] < len(rows)
+
+
 def test_shuffled_sets_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
     rows = near_copies(random.Random(3))[:150]
