@@ -57,7 +57,7 @@ LEET = str.maketrans("013457@$", "oieastas")
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 NEXT = {(a, b) for row in WALKS for a, b in zip(row, row[1:], strict=False)} | {(b, a) for row in WALKS for a, b in zip(row, row[1:], strict=False)}
 DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.])(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
-LONGEST = 40
+LONGEST = 40  # at least the longest word or date; repeats and walks have no limit
 
 
 def char_bits(prev: str, c: str) -> float:
@@ -75,6 +75,7 @@ def guess_bits(value: str, enough: float = math.inf) -> float:
     plain = low.translate(LEET)
     best = [math.inf] * (n + 1)
     best[0] = 0.0
+    runs = [(True, 1, []), *((False, width, []) for width in (1, 2, 3, 4))]  # (start, cost before it, cost of a unit)
     for i in range(n):
         here = best[i] + (1.0 if i else 0.0)
 
@@ -92,19 +93,23 @@ def guess_bits(value: str, enough: float = math.inf) -> float:
         if value[i].isdigit() and (m := DATE.match(value, i)):
             offer(m.end(), math.log2(200) if m.end() - i == 4 else math.log2(200 * 365) + 2)
             offer(i + 4, math.log2(200)) if m.group()[:2] in ("19", "20") else None
-        end = i + 1
-        while end < min(n, i + LONGEST) and (low[end - 1], low[end]) in NEXT:
-            end += 1
-            if end - i >= 3:
-                offer(end, math.log2(len(WALKS) * 10) + math.log2(end - i))
-        for width in (1, 2, 3, 4):
-            unit, end = value[i:i + width], i + width
-            while value[end:end + width] == unit and end + width <= min(n, i + LONGEST):
-                end += width
-                if end - i >= 3:
-                    offer(end, sum(char_bits(" ", c) for c in unit) + math.log2((end - i) / width))
-        if i >= LONGEST and min(best[i - LONGEST + 1:i + 1]) >= enough:
-            return min(best[i - LONGEST + 1:i + 1])
+        # repeats and walks of any length: the starts that are open, less those that an earlier one undercuts at every end
+        e, ahead = i + 1, math.inf
+        for walk, width, live in runs:
+            if i >= width and not ((low[i - 1], low[i]) in NEXT if walk else value[i] == value[i - width]):
+                live[:] = [x for x in live if x[0] > i - width]
+            c = i - width  # this start now ends where the earlier ones end
+            for _, own, _ in [x for x in live if x[0] == c]:
+                if any(j < c and (c - j) % width == 0 and cost + math.log2((c - j) / width + 2) <= own + 1.0 for j, cost, _ in live):
+                    live[:] = [x for x in live if x[0] != c]
+            live.append((i, here, math.log2(len(WALKS) * 10) if walk else sum(char_bits(" ", x) for x in value[i:i + width])))
+            for j, cost, unit in live:
+                bits = cost + unit + math.log2(max((e - j) / width, 2))
+                ahead = min(ahead, bits)
+                if (e - j) % width == 0 and e - j >= max(3, 2 * width):
+                    best[e] = min(best[e], bits)
+        if i >= LONGEST and (least := min(*best[i - LONGEST + 1:i + 2], ahead)) >= enough:
+            return least
     return best[n]
 
 

@@ -131,6 +131,14 @@ def test_guess_costs():
     assert secrets.guess_bits("") == 0.0
 
 
+def test_long_repeats_and_walks_are_one_span():
+    for unit, least in (("*", 5.0), ("a", 4.7), ("ab", 9.4), ("=-", 10.0)):
+        assert secrets.guess_bits(unit * 500) <= least + 9.1, unit
+        assert all(kind != 3 for _, kind, _, _ in secrets.find_secrets("pwd: " + unit * 500)), unit
+    assert secrets.guess_bits("qwertyuiop" + "oiuytrewqwertyuiop" * 20) < secrets.MIN_BITS
+    assert secrets.guess_bits("*" * 100_000, 40.0) < 23
+
+
 def test_base_secrets_match_the_patterns():
     rng = random.Random(6)
     parts = ['password', 'PassWD', 'secret', 'token', 'api_key', 'apikey', ' ', ' : ', '=', '"', "'", 'abc', 'abcdef12', 'AKIA', 'ABCDEFGH12345678', 'a1b2' * 7, 'é', 'ſecret', '\n', 'x' * 7]
