@@ -98,3 +98,30 @@ SELECT s.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_chars - chars[2] AS
     OR (n_chars >= 100 AND coalesce(char_distance, 0) > 0.28) OR (n_words >= 50 AND coalesce(word_distance, 0) > 0.45)) AS kept
 FROM shared s LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN near USING (doc_id)
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS a
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces CROSS JOIN (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, a, m, k, array_to_string(s[1:k], ' ') AS p, array_to_string(s[k + 1:m], ' ') AS q
+  FROM (SELECT *, string_split(phrase, ' ') AS s, unnest(range(1, m)) AS k FROM f WHERE m > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, 1000 * c.a * n // (x.a * y.a) AS score, k, c.p, c.q, c.m
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.p JOIN f y ON y.lang = c.lang AND y.phrase = c.q JOIN totals t ON t.lang = c.lang
+), covered AS (
+  SELECT lang, p AS phrase FROM scored WHERE k = m - 1 AND l = a UNION SELECT lang, q FROM scored WHERE k = 1 AND r = a
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b WHERE o = 1 AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = b.lang AND c.phrase = b.phrase)
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
