@@ -5,14 +5,17 @@ boosting rounds, folds), and seeded learners (bagging, initial centres)
 draw by partition and position.  So before a fit the input is
 
 * cut to the columns that the estimator reads;
-* hash-partitioned by the row's content into a number of partitions that is
-  a parameter, and sorted by that hash within each: the same rows give the
-  same fit on any cluster, whatever made them;
+* dealt to a number of partitions that is a parameter, by content alone: the
+  same rows give the same fit on any cluster, whatever made them.  Equal rows
+  are counted first, and the copies of one row go round the partitions from
+  the one that its hash names, so a row that holds a third of the table is a
+  third of every partition;
 * kept for the duration of the fit (memory, spilling to disk) or, for inputs
   that many fits read, written below ``spark.checkpoint.dir`` and deleted
   afterwards (``reliable=True``).
 
 No job is run to find the layout: the plan that makes the input runs once.
+Only distinct rows are shuffled, with their counts.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from pyspark.sql.types import MapType
 from spindle.operators.columns import q
 from spindle.session import remove_path, scratch_path
 
-#: Partitions of a fit's input; raise it with the data (a partition should
-#: fit in a task's memory a few times over).
+#: Partitions of a fit's input unless the caller asks for another number
+#: (``partitions`` of every fit, search and job).  Raise it with the data: a
+#: partition should fit in a task's memory a few times over.  It is no
+#: function of the cluster, so that fits do not depend on that.
 FIT_PARTITIONS = 8
 
 _READS = ("labelCol", "featuresCol", "weightCol", "inputCol", "inputCols", "foldCol")
@@ -54,11 +59,46 @@ def read_columns(stages: Sequence, columns: Sequence[str]) -> list[str]:
     return kept or list(columns)
 
 
+#: Copies of a row that one array of its expansion holds.
+_CHUNK = 10_000
+
+
+def _dealt(df: DataFrame, partitions: int) -> DataFrame:
+    """Distinct rows of each partition with ``_part``, the hash ``_row`` and
+    the number of copies there, ``_copies``."""
+    comparable = lambda f: F.array_sort(F.map_entries(q(f.name))) if isinstance(f.dataType, MapType) else F.col(q(f.name))
+    counted = df.groupBy(*[F.col(q(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    row = F.xxhash64(*[comparable(f) for f in df.schema.fields])
+    turns = counted.withColumn("_row", row).select(
+        "*", F.explode(F.sequence(F.lit(0), F.least(F.col("_n"), F.lit(partitions)).cast("int") - 1)).alias("_turn"))
+    return turns.withColumns({
+        "_part": F.pmod(F.pmod("_row", F.lit(partitions)) + F.col("_turn"), F.lit(partitions)).cast("int"),
+        "_copies": F.expr(f"_n div {partitions}") + (F.col("_turn") < F.col("_n") % partitions).cast("long"),
+    }).drop("_turn", "_n")
+
+
+def _expanded(dealt: DataFrame, partitions: int) -> DataFrame:
+    """The rows themselves, in their partitions, ordered by hash."""
+    placed = dealt.repartitionById(partitions, "_part").sortWithinPartitions("_row")
+    start = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(_CHUNK).cast("long"))).alias("_at"))
+    size = F.least(F.col("_copies") - F.col("_at"), F.lit(_CHUNK)).cast("int")
+    return start.select("*", F.explode(F.sequence(F.lit(1), size)).alias("_copy")).drop("_row", "_part", "_copies", "_at", "_copy")
+
+
 def by_content(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Partitioned and sorted by a hash of the whole row."""
-    hashed = [F.col(q(f.name)) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return (df.withColumn("_row", F.xxhash64(*hashed)).repartition(partitions, "_row")
-              .sortWithinPartitions("_row").drop("_row"))
+    """``df`` dealt evenly to ``partitions`` by content, copies included, and
+    sorted by a hash of the row in each."""
+    return _expanded(_dealt(df, partitions), partitions)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` in memory (spilling to disk) for the duration of the block."""
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
 
 
 @contextmanager
@@ -71,20 +111,17 @@ def fit_input(df: DataFrame, stages: Sequence = (), partitions: int = FIT_PARTIT
     lost executor costs a re-read and not a re-run of the plan that made it.
     """
     if stages:
-        kept = set(read_columns(stages, df.columns)) | set(also)
-        df = df.select(*[F.col(q(c)) for c in df.columns if c in kept])
-    data = by_content(df, partitions)
+        read = set(read_columns(stages, df.columns)) | set(also)
+        df = df.select(*[F.col(q(c)) for c in df.columns if c in read])
     if reliable:
         path = scratch_path(df.sparkSession, "fit_input")
-        data.write.parquet(path)
+        dealt = _dealt(df, partitions)
+        dealt.write.parquet(path)
         try:
-            # a task reads one file in its stored order
-            yield df.sparkSession.read.schema(data.schema).parquet(path)
+            # the partition is a stored column, so files may be packed into tasks in any way
+            yield _expanded(df.sparkSession.read.schema(dealt.schema).parquet(path), partitions)
         finally:
             remove_path(df.sparkSession, path)
         return
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(by_content(df, partitions)) as data:
         yield data
-    finally:
-        data.unpersist()

@@ -17,15 +17,19 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindle.operators import batched
 from spindle.operators.columns import q
-from spindle.operators.layout import FIT_PARTITIONS, fit_input
+from spindle.operators.layout import FIT_PARTITIONS, by_content, fit_input, kept
 
 # --- fixed values: the reference's settings ---------------------------------
 SVM_ITERATIONS = 100
 SVM_REG = 1.0
+SVM_L1_ITERATIONS = 200
+SVM_L1_REG = 0.1
 LOGREG_ITERATIONS = 10
 LOGREG_REG = 0.01
 LINREG_ITERATIONS = 10
@@ -53,11 +57,31 @@ def logistic_regression(label: str = "label", features: str = "features",
 
 def linear_svc(label: str = "label", features: str = "features", max_iter: int = SVM_ITERATIONS,
                reg: float = SVM_REG, **kw) -> LinearSVC:
-    """Linear SVM (hinge loss, OWL-QN); the SGD form of the RDD API is gone.
-    An L1 penalty is offered by ``logistic_regression(elastic=1.0)``."""
+    """Linear SVM (hinge loss, L2 penalty, OWL-QN); ``fit_linear_svc_l1`` has
+    the L1 penalty."""
     return LinearSVC(labelCol=label, featuresCol=features, maxIter=max_iter, regParam=reg, **kw)
 
 
+def fit_linear_svc_l1(df: DataFrame, label: str = "label", features: str = "features", reg: float = SVM_L1_REG,
+                      steps: int = SVM_L1_ITERATIONS, partitions: int = FIT_PARTITIONS) -> batched.HingeModel:
+    """Linear SVM with an L1 penalty: hinge loss, proximal sub-gradient steps,
+    one aggregate each (``spindle.operators.batched``).  Labels are 0 and 1."""
+    rows = df.select(F.lit(0).alias("_set"), F.lit(False).alias("_valid"), F.col(q(label)).cast("double").alias("label"),
+                     vector_to_array(q(features)).alias("features"))
+    first = rows.select(F.size("features").alias("n")).first()
+    if first is None:
+        raise ValueError("no rows to fit")
+    with kept(batched.blocks(by_content(rows, partitions))) as packed:
+        return batched.fit_hinge_l1(packed, first["n"], [reg], steps)[0]
+
+
+def score_linear_svc(model: batched.HingeModel, df: DataFrame, features: str = "features", prediction: str = "prediction") -> DataFrame:
+    """``df`` with the class (0 or 1) on whose side of the plane a row is."""
+    weights = F.array(*[F.lit(c) for c in model.coefficients])
+    margin = F.aggregate(F.zip_with(vector_to_array(q(features)), weights, lambda a, b: a * b), F.lit(model.intercept), lambda a, b: a + b)
+    return df.withColumn(prediction, (margin > 0).cast("double"))
+
+
 def decision_tree_classifier(label: str = "label", features: str = "features",
                              max_depth: int = 5, max_bins: int = 32, impurity: str = "gini",
                              seed: int | None = None, **kw) -> DecisionTreeClassifier:
@@ -148,7 +172,6 @@ def check_binary_label(df: DataFrame, label: str) -> None:
 
 def check_nonnegative(df: DataFrame, features: str) -> None:
     """Multinomial naive Bayes needs non-negative features."""
-    from pyspark.ml.functions import vector_to_array
     neg = df.agg(F.count_if(F.exists(vector_to_array(features), lambda x: x < 0)).alias("n")).first()["n"]
     if neg:
         raise ValueError(f"{neg} rows have negative features; multinomial naive Bayes needs >= 0")

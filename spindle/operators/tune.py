@@ -2,9 +2,10 @@
 
 Folds come from a key hash (``spindle.operators.split.fold_column``), so a
 search is repeatable on any cluster layout.  ``search_cv`` fits the stages
-before the learner once per fold (not once per fold and setting), keeps the
-transformed fold data cached, and fits all folds and settings from one pool
-of driver threads; each fit is itself a distributed Spark job.
+before the learner once per fold (not once per fold and setting).  A grid of
+binary logistic regressions is then fitted in one pass for all folds and
+settings (``spindle.operators.batched``); other learners' fits share one pool
+of driver threads, each a distributed Spark job of its own.
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField, StructType)
 
-from spindle.operators.layout import fit_input
+from spindle.operators import batched
+from spindle.operators.columns import q
+from spindle.operators.layout import FIT_PARTITIONS, fit_input
 
 
 def pipeline(stages: Sequence) -> Pipeline:
@@ -55,7 +61,7 @@ def grid_table(spark: SparkSession, maps: Sequence[Mapping]) -> DataFrame:
 
 
 #: Fits that run at once; each is a distributed job of its own.
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 
 def cross_validator(estimator, maps: Sequence[Mapping], evaluator, num_folds: int = 3,
@@ -137,41 +143,92 @@ _METRICS = StructType([StructField("setting", IntegerType(), False),
 
 def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
               maps: Sequence[Mapping], evaluator, fold_col: str, num_folds: int,
-              parallelism: int = PARALLEL_FITS):
+              parallelism: int = PARALLEL_FITS, partitions: int = FIT_PARTITIONS, together: bool = True):
     """k-fold search with fold-wise reuse of the stages before the learner.
 
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
     (setting, fold, metric), index of the best setting).  Every fold's
-    prepared rows are kept, and all folds and settings share one pool of
-    ``parallelism`` fits, so no fold waits for another one's slowest fit.
+    prepared rows are kept.  Grids that ``fits_together`` allows are fitted
+    in one pass (unless ``together`` is false, or there are more than
+    ``batched.MAX_TERMS`` features); others from one pool of ``parallelism``
+    fits, so no fold waits for another one's slowest fit.  Both give the
+    optimum of the same objective.
     """
     # many fits read this input: it is written to the shared folder first
-    with fit_input(df, [*pre_stages, learner, evaluator], reliable=True, also=[fold_col]) as data:
-        folds, kept = [], []
+    with fit_input(df, [*pre_stages, learner, evaluator], partitions, reliable=True, also=[fold_col]) as read:
+        data = read.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [data]
         try:
-            for k in range(num_folds):
-                train = data.filter(F.col(fold_col) != k)
-                prep = Pipeline(stages=list(pre_stages)).fit(train) if pre_stages else None
-                parts = [p if prep is None else prep.transform(p) for p in (train, data.filter(F.col(fold_col) == k))]
-                parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in parts]
-                kept += parts
-                folds.append(parts)
-
-            def run(job: tuple[int, int]) -> tuple[int, int, float]:
-                k, i = job
-                model = learner.fit(folds[k][0], dict(maps[i]))
-                return i, k, float(evaluator.evaluate(model.transform(folds[k][1])))
-
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                results = list(pool.map(run, [(k, i) for k in range(num_folds) for i in range(len(maps))]))
+                def prepare(k: int):
+                    return Pipeline(stages=list(pre_stages)).fit(data.filter(F.col(q(fold_col)) != k)) if pre_stages else None
+
+                preps = list(pool.map(prepare, range(num_folds)))
+                folds = [data if prep is None else prep.transform(data) for prep in preps]
+                sizes = [_features(f, learner) for f in folds] if together and fits_together(learner, maps, evaluator) else []
+                if sizes and all(0 < d <= batched.MAX_TERMS for d in sizes):
+                    results = _together(folds, sizes, learner, maps, fold_col, kept, partitions)
+                else:
+                    results = _one_by_one(pool, folds, learner, maps, evaluator, fold_col, kept)
+                best = _best(results, evaluator)
+                final = Pipeline(stages=[*pre_stages, learner.copy(dict(maps[best]))]).fit(data)
         finally:
             for p in kept:
                 p.unpersist()
-        best = _best(results, evaluator)
-        final = Pipeline(stages=[*pre_stages, learner.copy(dict(maps[best]))]).fit(data)
     return final, spark.createDataFrame(sorted(results), _METRICS), best
 
 
+#: Params that the settings of one pass may differ in.
+_TOGETHER = ("regParam", "elasticNetParam", "fitIntercept", "standardization", "threshold")
+
+
+def fits_together(learner, maps: Sequence[Mapping], evaluator) -> bool:
+    """Whether all settings can be fitted in one pass: unweighted, unbounded
+    binary logistic regressions, measured by their accuracy."""
+    if not isinstance(learner, LogisticRegression) or not isinstance(evaluator, MulticlassClassificationEvaluator):
+        return False
+    plain = not any(learner.isSet(p) for p in learner.params if p.name == "weightCol" or p.name == "thresholds" or "Bounds" in p.name)
+    binary = learner.getFamily() in ("auto", "binomial") and evaluator.getMetricName() == "accuracy"
+    return plain and binary and all(p.name in _TOGETHER for m in maps for p in m)
+
+
+def _features(df: DataFrame, learner) -> int:
+    """Length of the vectors that the learner reads (0 without rows)."""
+    row = df.select(F.size(vector_to_array(q(learner.getFeaturesCol()))).alias("n")).first()
+    return row["n"] if row else 0
+
+
+def _together(folds, sizes, learner, maps, fold_col, kept, partitions) -> list[tuple[int, int, float]]:
+    rows = None
+    for k, f in enumerate(folds):
+        part = f.select(F.lit(k).alias("_set"), (F.col(q(fold_col)) == k).alias("_valid"), F.col(q(learner.getLabelCol())).cast("double").alias("label"),
+                        vector_to_array(q(learner.getFeaturesCol())).alias("features"))
+        rows = part if rows is None else rows.unionByName(part)
+    # a task takes one partition of every fold
+    rows = batched.blocks(rows.coalesce(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(rows)
+    settings = []
+    for m in maps:
+        one = learner.copy(dict(m))
+        settings.append(batched.Setting(one.getRegParam(), one.getElasticNetParam(), one.getFitIntercept(), one.getStandardization(), one.getThreshold()))
+    models = batched.fit_logistic(rows, sizes, settings, max(learner.getMaxIter(), 1))
+    return [(i, k, a) for k, found in enumerate(batched.accuracies(rows, models)) for i, a in enumerate(found)]
+
+
+def _one_by_one(pool, folds, learner, maps, evaluator, fold_col, kept) -> list[tuple[int, int, float]]:
+    parts = []
+    for k, f in enumerate(folds):
+        parts.append([f.filter(rule).persist(StorageLevel.MEMORY_AND_DISK) for rule in (F.col(q(fold_col)) != k, F.col(q(fold_col)) == k)])
+        kept += parts[-1]
+
+    def run(job: tuple[int, int]) -> tuple[int, int, float]:
+        k, i = job
+        model = learner.fit(parts[k][0], dict(maps[i]))
+        return i, k, float(evaluator.evaluate(model.transform(parts[k][1])))
+
+    return list(pool.map(run, [(k, i) for k in range(len(folds)) for i in range(len(maps))]))
+
+
 def _best(results: Sequence[tuple[int, int, float]], evaluator) -> int:
     """The setting with the best mean over its folds; the first of equals."""
     means: dict[int, list[float]] = {}
@@ -182,11 +239,11 @@ def _best(results: Sequence[tuple[int, int, float]], evaluator) -> int:
 
 
 def search_holdout(spark: SparkSession, train: DataFrame, valid: DataFrame, learner,
-                   maps: Sequence[Mapping], evaluator, parallelism: int = PARALLEL_FITS):
+                   maps: Sequence[Mapping], evaluator, parallelism: int = PARALLEL_FITS, partitions: int = FIT_PARTITIONS):
     """One fit of each setting on ``train``, measured on ``valid``: (models,
     metrics DataFrame of (setting, metric), index of the best).  Both parts
     are kept while all settings read them."""
-    with fit_input(train, [learner, evaluator]) as tr, fit_input(valid, [learner, evaluator]) as va:
+    with fit_input(train, [learner, evaluator], partitions) as tr, fit_input(valid, [learner, evaluator], partitions) as va:
         def run(i: int):
             model = learner.fit(tr, dict(maps[i]))
             return model, float(evaluator.evaluate(model.transform(va)))
@@ -198,7 +255,7 @@ def search_holdout(spark: SparkSession, train: DataFrame, valid: DataFrame, lear
     return [m for m, _ in found], table, _best(results, evaluator)
 
 
-def fit_pipeline(stages: Sequence, df: DataFrame) -> PipelineModel:
+def fit_pipeline(stages: Sequence, df: DataFrame, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Fit stages in order on a laid-out, persisted copy of the input."""
-    with fit_input(df, stages) as data:
+    with fit_input(df, stages, partitions) as data:
         return Pipeline(stages=list(stages)).fit(data)

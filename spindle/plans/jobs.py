@@ -5,6 +5,9 @@ The faults listed in SURVEY §3.5 are not carried over: imputers and
 indexers are fitted on training rows only, label order is read from the
 fitted inner indexer, scored labels are never overwritten, only the columns
 a model uses decide which rows are dropped, splits and folds are keyed.
+
+Every job takes ``partitions``, the number of partitions of its fits' inputs
+(see ``spindle.operators.layout``).
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from spindle.functions import scalar
 from spindle.operators import clean, evaluate, features, learners, profile, reports, split, tune
-from spindle.operators.layout import fit_input
+from spindle.operators.layout import FIT_PARTITIONS, fit_input
 
 
 @dataclass
@@ -30,11 +33,11 @@ class JobResult:
     reports: dict = field(default_factory=dict)
 
 
-def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame) -> PipelineModel:
+def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Fit the stages before a tree learner, check that no categorical
     feature has more values than the learner's maxBins (the fit would fail
     late otherwise), then fit the learner on the same persisted input."""
-    with fit_input(train, [*pre_stages, tree_learner]) as data:
+    with fit_input(train, [*pre_stages, tree_learner], partitions) as data:
         prep = Pipeline(stages=list(pre_stages)).fit(data)
         ready = prep.transform(data)
         learners.check_categories_fit_bins(ready, tree_learner.getFeaturesCol(),
@@ -66,7 +69,7 @@ def score_unlabelled(model: PipelineModel, df: DataFrame,
 
 def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_cols: list[str],
                       num_trees: int = learners.FOREST_TREES, max_categories: int = 4,
-                      seed: int = 42) -> JobResult:
+                      seed: int = 42, partitions: int = FIT_PARTITIONS) -> JobResult:
     """assemble -> index label -> index features -> forest -> labels back."""
     learners.check_label_not_feature(label, feature_cols)
     pre = [features.assembler(feature_cols, "features"),
@@ -74,7 +77,7 @@ def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_col
            features.vector_indexer("features", "indexedFeatures", max_categories)]
     forest = learners.random_forest_classifier("indexedLabel", "indexedFeatures",
                                                num_trees=num_trees, seed=seed)
-    model = tree_pipeline(pre, forest, train)
+    model = tree_pipeline(pre, forest, train, partitions)
     scored = _label_converter(model).transform(model.transform(test))
     acc = evaluate.accuracy_value(scored, "indexedLabel", "prediction")
     return JobResult(model, scored, {"accuracy": acc, "test_error": 1 - acc})
@@ -91,12 +94,12 @@ def _binary_stages(label: str, numeric: list[str], categorical: list[str],
 
 
 def binary_logistic(train: DataFrame, test: DataFrame, label: str, numeric: list[str],
-                    categorical: list[str], max_categories: int = 8) -> JobResult:
+                    categorical: list[str], max_categories: int = 8, partitions: int = FIT_PARTITIONS) -> JobResult:
     """The credit-card script: logistic regression with ROC and loss history."""
     learners.check_label_not_feature(label, numeric + categorical)
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100, reg=0.0)
     pre, lr = _binary_stages(label, numeric, categorical, max_categories, lr)
-    model = tune.fit_pipeline(pre + [lr], train)
+    model = tune.fit_pipeline(pre + [lr], train, partitions)
     scored = _label_converter(model).transform(model.transform(test))
     acc = evaluate.accuracy_value(scored, "indexedLabel", "prediction")
     lrm = model.stages[-1]
@@ -110,7 +113,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                        numeric: list[str], categorical: list[str], fold_keys: list[str],
                        reg_values=(0.1, 0.01), elastic_values=(0.0, 0.5, 1.0),
                        num_folds: int = 3, max_categories: int = 4,
-                       parallelism: int = tune.PARALLEL_FITS) -> JobResult:
+                       parallelism: int = tune.PARALLEL_FITS, partitions: int = FIT_PARTITIONS) -> JobResult:
     """3-fold search over regParam x fitIntercept x elasticNet (12 settings
     by default), folds from a key hash, then refit on all training rows."""
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
@@ -121,7 +124,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                                            metricName="accuracy")
     folded = train.withColumn("_fold", split.fold_column(fold_keys, num_folds))
     best, metrics, best_i = tune.search_cv(spark, folded, pre, lr, maps, ev, "_fold", num_folds,
-                                           parallelism)
+                                           parallelism, partitions)
     scored = _label_converter(best).transform(best.transform(test))
     acc = evaluate.accuracy_value(scored, "indexedLabel", "prediction")
     return JobResult(best, scored, {"accuracy": acc, "test_error": 1 - acc, "best": best_i},
@@ -158,7 +161,7 @@ def clean_parts(table: DataFrame, key: str, label: str, age: str, sex: str, sib:
 
 def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: str,
                        age: str, sex: str, sib: str, par: str, embarked: str,
-                       numeric: list[str], parallelism: int = tune.PARALLEL_FITS) -> JobResult:
+                       numeric: list[str], parallelism: int = tune.PARALLEL_FITS, partitions: int = FIT_PARTITIONS) -> JobResult:
     """The titanic script: profile, impute on train, derive, index,
     assemble, 18-setting 3-fold search, score the held-out rows."""
     tr, te, reports_ = clean_parts(table, key, label, age, sex, sib, par, embarked, numeric)
@@ -173,7 +176,7 @@ def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: s
     ev = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction",
                                            metricName="accuracy")
     folded = tr.withColumn("_fold", split.fold_column(key, 3))
-    best, metrics, best_i = tune.search_cv(spark, folded, pre, lr, maps, ev, "_fold", 3, parallelism)
+    best, metrics, best_i = tune.search_cv(spark, folded, pre, lr, maps, ev, "_fold", 3, parallelism, partitions)
     scored = _label_converter(best).transform(best.transform(te))
     acc = evaluate.accuracy_value(scored, "indexedLabel", "prediction")
     reports_["cv"] = metrics
@@ -182,21 +185,21 @@ def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: s
 
 def gbt_regression(train: DataFrame, test: DataFrame, label: str, feature_cols: list[str],
                    max_categories: int = 24, rounds: int = learners.GBT_REGRESSOR_ROUNDS,
-                   seed: int = 42) -> JobResult:
+                   seed: int = 42, partitions: int = FIT_PARTITIONS) -> JobResult:
     """The bike-hours script: assemble -> index features -> GBT -> RMSE."""
     learners.check_label_not_feature(label, feature_cols)
     cast = lambda df: df.withColumn(label, F.col(label).cast("double"))
     pre = [features.assembler(feature_cols, "features"),
            features.vector_indexer("features", "indexedFeatures", max_categories)]
     gbt = learners.gbt_regressor(label, "indexedFeatures", max_iter=rounds, seed=seed)
-    model = tree_pipeline(pre, gbt, cast(train))
+    model = tree_pipeline(pre, gbt, cast(train), partitions)
     scored = model.transform(cast(test))
     rm = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(scored)
     return JobResult(model, scored, {"rmse": rm})
 
 
 def text_classify(train: DataFrame, test: DataFrame, text: str, label: str,
-                  num_features: int = 1000) -> JobResult:
+                  num_features: int = 1000, partitions: int = FIT_PARTITIONS) -> JobResult:
     """Tokenize -> hash (1000) -> logistic regression (10 iterations, 0.01)."""
     from pyspark.ml.feature import HashingTF, Tokenizer
 
@@ -204,7 +207,7 @@ def text_classify(train: DataFrame, test: DataFrame, text: str, label: str,
               HashingTF(inputCol="words", outputCol="features", numFeatures=num_features),
               learners.logistic_regression(label, "features")]
     cast = lambda df: df.withColumn(label, F.col(label).cast("double"))
-    model = tune.fit_pipeline(stages, cast(train))
+    model = tune.fit_pipeline(stages, cast(train), partitions)
     scored = model.transform(cast(test))
     acc = evaluate.accuracy_value(scored, label, "prediction")
     return JobResult(model, scored, {"accuracy": acc})

@@ -79,6 +79,80 @@ def clf_naive_bayes(spark, sf):
     return t.select("cls", "term", F.round("value", 8).alias("value"))
 
 
+# --- several classes, elastic net, L1 hinge -------------------------------------
+
+@query("clf_logreg_multinomial", "WITH " + setups.LOGIT_BANDS_SQL + """
+SELECT '(intercept)' AS term, cls, round(v, 3) AS value FROM v WHERE band = 0
+UNION ALL SELECT CASE a.band WHEN 1 THEN 'middle' ELSE 'high' END, a.cls, round(a.v - b.v, 3)
+FROM v a JOIN v b ON a.cls = b.cls AND b.band = 0 WHERE a.band > 0
+""")
+def clf_logreg_multinomial(spark, sf):
+    """Three classes: a block of coefficients for each, centred over the
+    classes, from one categorical feature."""
+    data = setups.logit_bands(spark, sf)
+    est = learners.logistic_regression(max_iter=200, reg=0.0, tol=1e-10, family="multinomial")
+    return _coef_rounded(spark, learners.fit(est, data), reports.feature_names(data), 3)
+
+
+@query("reg_elastic_net", """
+WITH d AS (SELECT l_quantity / 10 + 2 * a + 0.1 * b AS y, a, b FROM lineitem, (VALUES (-1.0), (1.0)) s(a), (VALUES (-1.0), (1.0)) t(b)),
+m AS (SELECT avg(y) AS my, stddev_pop(y) AS sy, covar_pop(a, y) AS ca, covar_pop(b, y) AS cb FROM d)
+SELECT '(intercept)' AS term, 0 AS cls, round(my, 4) AS value FROM m
+UNION ALL SELECT 'strong', 0, round(sign(ca) * greatest(abs(ca) - 0.3 * 0.8, 0) / (1 + 0.3 * 0.2 / sy), 4) FROM m
+UNION ALL SELECT 'weak', 0, round(sign(cb) * greatest(abs(cb) - 0.3 * 0.8, 0) / (1 + 0.3 * 0.2 / sy), 4) FROM m
+""")
+def reg_elastic_net(spark, sf):
+    """The reference's settings (10 iterations, penalty 0.3, ratio 0.8): on
+    uncorrelated features each coefficient is soft-thresholded by itself."""
+    data = setups.mirrored(spark, sf)
+    out = _coef_rounded(spark, learners.fit(learners.linear_regression(), data), reports.feature_names(data))
+    return out.withColumn("value", F.col("value") + 0.0)
+
+
+@query("clf_logreg_elastic", """
+WITH RECURSIVE d AS (SELECT CAST(l_quantity > 25 AS DOUBLE) AS x, CAST(l_quantity + 100 * l_discount > 30 AS DOUBLE) AS y FROM lineitem),
+g AS (SELECT avg(1 - x) AS f0, avg(x) AS f1, avg(y) FILTER (x = 0) AS y0, avg(y) FILTER (x = 1) AS y1, avg(y) AS p, 1 / stddev_samp(x) AS t FROM d),
+it(k, a, u) AS (
+  SELECT 0, ln(p / (1 - p)), CAST(0.1 AS DOUBLE) FROM g
+  UNION ALL
+  SELECT k + 1, a - (huu * ga - hau * gu) / (haa * huu - hau * hau), u - (haa * gu - hau * ga) / (haa * huu - hau * hau)
+  FROM (SELECT *, f0 * (q0 - y0) + f1 * (q1 - y1) AS ga, f1 * (q1 - y1) * t + 0.3 * 0.8 + 0.3 * 0.2 * u AS gu,
+               f0 * q0 * (1 - q0) + f1 * q1 * (1 - q1) AS haa, f1 * q1 * (1 - q1) * t AS hau, f1 * q1 * (1 - q1) * t * t + 0.3 * 0.2 AS huu
+        FROM (SELECT *, 1 / (1 + exp(-a)) AS q0, 1 / (1 + exp(-a - u * t)) AS q1 FROM it, g WHERE k < 40)))
+SELECT '(intercept)' AS term, 0 AS cls, round(a, 3) AS value FROM it WHERE k = 40
+UNION ALL SELECT 'x', 0, round(u * t, 3) FROM it, g WHERE k = 40
+""")
+def clf_logreg_elastic(spark, sf):
+    """The reference's settings (10 iterations, penalty 0.3, ratio 0.8) against
+    Newton's method on the penalised likelihood of two groups."""
+    data = setups.logit_big(spark, sf)
+    model = learners.fit(learners.logistic_regression(reg=learners.LINREG_REG, elastic=learners.LINREG_ELASTIC), data)
+    return _coef_rounded(spark, model, ["x"], 3)
+
+
+_HINGE_GRID = """
+SELECT min(hinge + 0.1 * w) AS least
+FROM (SELECT w, b, sum(n * greatest(0, 1 - s * (w * x + b))) / sum(n) AS hinge
+      FROM groups, (SELECT {i} AS w FROM {w}) ws, (SELECT {j} AS b FROM {b}) bs GROUP BY w, b) grid
+"""
+
+
+@query("clf_svm_l1", """
+WITH groups AS (SELECT CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END AS s,
+                       CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END + round(40 * l_discount - 2, 6) AS x, CAST(count(*) AS DOUBLE) AS n
+                FROM lineitem GROUP BY ALL)
+SELECT round(least, 6) AS grid_loss, true AS reached FROM (""" + _HINGE_GRID.format(
+    i="i / 50.0", w="range(0, 76) t(i)", j="j / 50.0", b="range(-50, 51) t(j)") + ")")
+def clf_svm_l1(spark, sf):
+    """The alternative updater (L1, penalty 0.1) on overlapping groups: the
+    loss reached is that of the best point of a fine grid, within 1e-3."""
+    rows = setups.overlapping(spark, sf)
+    model = learners.fit_linear_svc_l1(features.assemble(rows, ["x"], "features"))
+    spark_groups = rows.groupBy((2 * F.col("label") - 1).alias("s"), "x").agg(F.count("*").alias("n"))
+    least = spark.sql(_HINGE_GRID.format(i="id / 50.0", w="range(0, 76)", j="id / 50.0", b="range(-50, 51)").replace("groups", "{groups}"), groups=spark_groups)
+    return least.select(F.round("least", 6).alias("grid_loss"), (F.abs(F.col("least") - F.lit(model.objective)) <= 1e-3).alias("reached"))
+
+
 # --- trees ------------------------------------------------------------------
 
 _STUMP_CLASS_OUT = """

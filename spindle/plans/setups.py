@@ -163,3 +163,50 @@ g AS (SELECT l_linestatus = 'O' AS grp, avg(x) AS cx, avg(y) AS cy FROM
       (SELECT *, CASE WHEN x >= 100 THEN 'O' ELSE 'F' END AS l_linestatus FROM d) GROUP BY 1),
 r AS (SELECT grp, cx, cy, CAST(row_number() OVER (ORDER BY cx) - 1 AS INTEGER) AS cluster FROM g)
 """
+
+# --- saturated multinomial, elastic net and L1 hinge set-ups --------------------
+
+def logit_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Three classes of size (quantity + 200 * discount) and one categorical
+    feature, the discount band, as two indicators: a saturated model."""
+    li = table(spark, sf, "lineitem")
+    size = F.col("l_quantity") + 200 * F.col("l_discount")
+    rows = li.select(F.when(size < 20, 0.0).when(size < 40, 1.0).otherwise(2.0).alias("label"),
+                     F.col("l_discount").between(0.03, 0.065).cast("double").alias("middle"),
+                     (F.col("l_discount") > 0.065).cast("double").alias("high"))
+    return features.assemble(rows, ["middle", "high"], "features")
+
+
+# log counts about their mean over the classes are the centred logits of a band
+LOGIT_BANDS_SQL = """
+n AS (SELECT CASE WHEN l_quantity + 200 * l_discount < 20 THEN 0 WHEN l_quantity + 200 * l_discount < 40 THEN 1 ELSE 2 END AS cls,
+             CASE WHEN l_discount > 0.065 THEN 2 WHEN l_discount >= 0.03 THEN 1 ELSE 0 END AS band, ln(count(*)) AS lc
+      FROM lineitem GROUP BY 1, 2),
+v AS (SELECT band, cls, lc - avg(lc) OVER (PARTITION BY band) AS v FROM n)
+"""
+
+
+def mirrored(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row of lineitem once for each pair of signs: two features that are
+    exactly uncorrelated, a strong one and one that an L1 penalty drops."""
+    li = table(spark, sf, "lineitem")
+    signs = F.explode(F.array(*[F.struct(F.lit(a).alias("strong"), F.lit(b).alias("weak")) for a in (-1.0, 1.0) for b in (-1.0, 1.0)]))
+    rows = li.select("l_quantity", signs.alias("s")).select(
+        (F.col("l_quantity") / 10 + 2 * F.col("s.strong") + 0.1 * F.col("s.weak")).alias("label"), F.col("s.strong").alias("strong"), F.col("s.weak").alias("weak"))
+    return features.assemble(rows, ["strong", "weak"], "features")
+
+
+def logit_big(spark: SparkSession, sf: str) -> DataFrame:
+    """x = quantity > 25, y = quantity + 100 * discount > 30."""
+    li = table(spark, sf, "lineitem")
+    rows = li.select((F.col("l_quantity") > 25).cast("double").alias("x"),
+                     (F.col("l_quantity") + 100 * F.col("l_discount") > 30).cast("double").alias("label"))
+    return features.assemble(rows, ["x"], "features")
+
+
+def overlapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Two groups, open and closed lines, 2 apart on an axis on which each is
+    4 wide."""
+    li = table(spark, sf, "lineitem")
+    return li.select((F.col("l_linestatus") == "O").cast("double").alias("label"),
+                     (F.when(F.col("l_linestatus") == "O", 1.0).otherwise(-1.0) + F.round(40 * F.col("l_discount") - 2, 6)).alias("x"))
