@@ -13,7 +13,7 @@ transducer of the frequent phrases, range by range (a composition).
 Words are counted first, then pairs of frequent words, then phrases all of
 whose pairs are frequent: a phrase found 100 times has no rarer part.
 Frequent words and pairs are handed on as bit sets of a fixed size
-(``FILTER_BITS``), indexed by hash: a chance hit costs a row, never a result.
+(``common.FILTER_BITS``), indexed by hash: a chance hit costs a row, never a result.
 
 Scale: one pass over the texts for each of the three lengths; a repeated
 phrase leaves a shard once, with its count, so a hot phrase or a group of
@@ -42,15 +42,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spindle.llm.common import cut, documents, slices, utf8
+from spindle.llm.common import bit_set, cut, documents, in_set, slices, utf8
 from spindle.llm.oracles import COLLOCATIONS
 from spindle.llm.registry import query
 
 MIN_COUNT = 100
 TOP = 2000
 MAX_WORDS = 5
-#: Bits of the sets of frequent words and pairs (8 MB each).
-FILTER_BITS = 1 << 26
 #: Parts into which the lookups of one phrase are split.
 SALTS = 8
 SHARD_BYTES = 8 << 20
@@ -199,11 +197,6 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
 
 
-def _in_set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h & np.uint64(64 * len(bits) - 1)
-    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 # --- shards ----------------------------------------------------------------------
 
 def tokenize(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -242,11 +235,11 @@ def shard_transducers(langs: pa.Array, texts: pa.Array, low: int, high: int, fre
     lang_hash = _hashes(coded.dictionary.cast(pa.binary()))[lang]
     word_hash = _hashes(words)[number]
     if low == 2:
-        known = _in_set(frequent, _fold(lang_hash, word_hash))
+        known = in_set(frequent, _fold(lang_hash, word_hash))
         joined[:-1] &= known[1:]
         joined &= known
     elif low > 2:
-        joined[:-1] &= _in_set(frequent, _fold(_fold(lang_hash[:-1], word_hash[:-1]), word_hash[1:]))
+        joined[:-1] &= in_set(frequent, _fold(_fold(lang_hash[:-1], word_hash[:-1]), word_hash[1:]))
     size = np.ones(len(number), np.int64)
     going = np.ones(len(number), bool)
     for k in range(1, high):
@@ -361,17 +354,6 @@ def count_phrases(docs: DataFrame, low: int, high: int, frequent: np.ndarray | N
     return shards.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(unite, _COUNTED)
 
 
-def bit_set(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """The set of ``h`` modulo ``bits`` as words of 64 bits, at most
-    ``bits / 64`` of which reach the driver."""
-    at = F.col("h").bitwiseAND(F.lit(bits - 1))
-    words = (hashes.select(at.alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toArrow())
-    out = np.zeros(bits // 64, np.uint64)
-    out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
-    return out
-
-
 # --- part lookups ------------------------------------------------------------------
 
 def _symbols(langs: pa.ChunkedArray, phrases: pa.ChunkedArray, depth: int) -> tuple[pa.Array, np.ndarray]:

@@ -114,3 +114,25 @@ def sample_rows(df: DataFrame, strata: str, per_stratum: int, *salt: str) -> Dat
     draw = F.pmod(F.xxhash64(*[F.col(c) for c in salt], F.lit(7)), F.lit(1 << 30))
     picked = df.withColumn("_draw", draw).filter(F.col("_draw") < share * float(1 << 30))
     return picked.orderBy("_draw", *salt).limit(2 * per_stratum * len(counts)).drop("_draw")
+
+
+#: Bits of a hashed set (8 MB).
+FILTER_BITS = 1 << 26
+
+
+def bit_set(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The set of ``h`` modulo ``bits`` (a power of 2) as words of 64 bits, at
+    most ``bits / 64`` of which reach the driver: a filter of a fixed size,
+    whatever the data, that lets some more through as it fills."""
+    at = F.col("h").bitwiseAND(F.lit(bits - 1))
+    words = (hashes.select(at.alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v")).toArrow())
+    out = np.zeros(bits // 64, np.uint64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
+    return out
+
+
+def in_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit ``hashes`` may be in the set."""
+    at = hashes.view(np.uint64) & np.uint64(64 * len(bits) - 1)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1

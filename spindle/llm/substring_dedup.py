@@ -3,17 +3,22 @@
 A byte goes if it is in a ``width``-byte string that also starts earlier:
 in a smaller doc_id, or earlier in the same text.
 
-1. Every window of ``width`` bytes has an anchor: its least-hashed (first
-   such) ``gram`` bytes.  Equal windows have equal anchors, so windows can
-   only be equal within one anchor.  Consecutive windows of an anchor form a
-   region, the bytes that they cover.
-2. Anchors are counted.  Only regions of anchors that occur twice go on:
-   at most ``filter_size`` anchors are broadcast as that filter; beyond it
-   the regions are joined with the table of anchors.
+1. Every window of ``width`` bytes has an anchor: its least-hashed ``gram``
+   bytes.  Equal windows have equal anchors, so windows can only be equal
+   within one anchor.  Consecutive windows of equal anchors form a region, the
+   bytes that they cover; text of a short period is one region, cut only
+   every ``RUN`` windows.
+2. A window also holds half of what surrounds its anchor, on the left or on
+   the right.  Anchors with either half are counted; only regions with one
+   that occurs twice go on.  The filter is a bit set of a fixed size: at any
+   size of the data it costs the same, and what it lets through by chance has
+   no partner and falls out in step 4.
 3. Equal regions: the first stays, all windows of the others are repeats.
    Groups are reduced by aggregates with partial sums, so thousands of
    copies of one region cost one row per task.
-4. Different regions of an anchor are dealt to shards by the anchor (one with
+4. The bytes of the first regions are read from the texts only now, in a
+   second scan that finds them by a bit set, too.  Different regions of an
+   anchor are dealt to shards by the anchor (one with
    more than ``crowd`` regions to several, by the region).  A task fills
    lanes with whole shards, sorts their suffixes by induction (see
    induced_sort), and marks, in text order, which suffixes share
@@ -40,14 +45,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.llm import oracles
-from spindle.llm.common import cut, documents, slices, utf8
+from spindle.llm.common import FILTER_BITS, bit_set, cut, documents, in_set, slices, utf8
 from spindle.llm.induced_sort import suffix_arrays
 from spindle.llm.near_dup import BYTE_VALUE, PLACE_VALUE, _powers, mix
 from spindle.llm.registry import query
 
 WIDTH, GRAM = 100, 24
-#: Anchors that are broadcast at most, 9 bytes each.
-FILTER_SIZE = 6_000_000
+#: Windows of a region at most.
+RUN = 1024
 #: Regions of an anchor that are sorted in one shard at most, on average.
 CROWD = 64
 #: Bytes of all lanes that are sorted in step, and of a lane.
@@ -68,8 +73,8 @@ class Regions:
         self.raw, self.off = utf8(texts)
         n, span = len(self.raw), width - gram + 1
         empty = np.zeros(0, np.int64)
-        self.text = self.begin = self.count = empty
-        self.anchor = self.content = empty
+        self.text = self.begin = self.count = self.places = empty
+        self.anchor = self.content = self.keys = empty
         if n < width:
             return
         power, inverse = _powers(n + 1)
@@ -95,26 +100,54 @@ class Regions:
         first = np.cumsum(usable) - usable
         window = np.arange(len(owner)) - first[owner] + self.off[:-1][owner]
         at = place[window]
+        other = owner[1:] != owner[:-1]
+        # parts of one place, whose anchors with a half of their surroundings are the keys
         new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
+        new[1:] = (at[1:] != at[:-1]) | other
         head = np.flatnonzero(new)
+        last = window[np.append(head[1:], len(at)) - 1]
+        side = (width - gram) // 2
+        spot = at[head]
+        left, right = window[head] <= spot - side, last >= spot + side - (width - gram)
+        hashed = lambda a, b: mix((sums[b] - sums[a]) * inverse[a])
+        lefts, rights = spot - side, np.minimum(spot + gram + side, n)
+        self.keys = np.concatenate((hashed(lefts[left], spot[left] + gram), hashed(spot[right], rights[right]))).view(np.int64)
+        self._left, self._right, part_of = left, right, np.cumsum(new) - 1
+        # regions: parts of equal anchors, RUN windows at most
+        anchor = grams[at]
+        new[1:] = (anchor[1:] != anchor[:-1]) | other
+        head = np.flatnonzero(new)
+        size = np.diff(np.append(head, len(at)))
+        if size.max() > RUN:
+            pieces = -(-size // RUN)
+            head = np.repeat(head, pieces) + RUN * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         self.count = np.diff(np.append(head, len(at)))
         self.text, begin = owner[head], window[head]
+        self._parts = part_of[head], part_of[head + self.count - 1]
+        self.places = self._parts[1] - self._parts[0] + 1
         self.begin = begin - self.off[:-1][self.text]
         end = begin + self.count + width - 1
-        self.anchor = grams[at[head]].view(np.int64)
+        self.anchor = anchor[head].view(np.int64)
         self.content = mix((sums[end] - sums[begin]) * inverse[begin] + self.count.astype(np.uint64) * PLACE_VALUE[11]).view(np.int64)
         self._begin, self._end = begin, end
 
-    def bytes_of(self, which: np.ndarray, part: slice) -> pa.Array:
-        """The bytes of the regions in ``part`` where ``which`` is true; null
-        elsewhere."""
-        which, begin, end = which[part], self._begin[part], self._end[part]
-        size = np.where(which, end - begin, 0)
+    def with_key_in(self, bits: np.ndarray) -> np.ndarray:
+        """Which regions have a key that may be in the set."""
+        found = in_set(bits, self.keys)
+        hit = np.zeros(len(self._left), np.int64)
+        n = int(self._left.sum())
+        hit[self._left] += found[:n]
+        hit[self._right] += found[n:]
+        total = np.append(0, np.cumsum(hit))
+        return total[self._parts[1] + 1] > total[self._parts[0]]
+
+    def bytes_of(self, which: np.ndarray) -> pa.Array:
+        """The bytes of the regions ``which``."""
+        begin, end = self._begin[which], self._end[which]
+        size = end - begin
         off = np.concatenate(([0], np.cumsum(size)))
         data = self.raw[np.repeat(begin - off[:-1], size) + np.arange(off[-1])]
-        valid = np.packbits(which, bitorder="little")
-        return pa.Array.from_buffers(pa.binary(), len(which), [pa.py_buffer(valid), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(data)])
+        return pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(data)])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -127,32 +160,31 @@ def _long(*names: str) -> list[T.StructField]:
     return [T.StructField(n, _LONG) for n in names]
 
 
-def repeated_anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """anchor and several (it has different regions) of anchors that occur twice."""
+def repeated_keys(docs: DataFrame, width: int, gram: int) -> DataFrame:
+    """Keys (h) that occur twice."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", TEXT_STEP):
-                r = Regions(part.column("text"), width, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(r.anchor), pa.array(r.content)], names=["anchor", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array(Regions(part.column("text"), width, gram).keys)], names=["h"])
 
-    found = docs.select("text").mapInArrow(run, T.StructType(_long("anchor", "content")))
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("x"), F.max("content").alias("y"))
-    return counted.filter("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("several"))
+    found = docs.select("text").mapInArrow(run, T.StructType(_long("h")))
+    return found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
 
 
-def candidate_regions(docs: DataFrame, anchors: DataFrame, width: int, gram: int, filter_size: int) -> DataFrame:
-    """Regions of ``anchors``; if the anchor has several different ones, with
-    the anchor and their bytes."""
-    spark = docs.sparkSession
-    few = anchors.count() <= filter_size
-    shared = None
-    if few:
-        table = anchors.toArrow()
-        known = table.column("anchor").to_numpy()
-        order = np.argsort(known)
-        shared = spark.sparkContext.broadcast((known[order], table.column("several").to_numpy(zero_copy_only=False)[order]))
-        del table, known, order
-    schema = T.StructType(_long("anchor", "content", "id", "row", "begin", "windows") + [T.StructField("bytes", T.BinaryType())])
+#: ``places``: how often the anchor is in the region; in one with several, a window may occur again.
+REGION = T.StructType(_long("anchor", "content", "id", "row", "begin", "windows", "places"))
+
+
+def mark(content, row_id, begin):
+    """Bits by which a region is told from its copies, alike in Spark and numpy."""
+    if isinstance(content, np.ndarray):
+        return content ^ row_id ^ (begin << 7)
+    return F.col(content).bitwiseXOR(F.col(row_id)).bitwiseXOR(F.shiftleft(begin, 7))
+
+
+def regions_where(docs: DataFrame, choose, width: int, gram: int, with_bytes: bool = False) -> DataFrame:
+    """Regions of the texts that ``choose(regions, ids)`` is true for."""
+    schema = T.StructType([*REGION.fields, *([T.StructField("bytes", T.BinaryType())] if with_bytes else [])])
 
     def run(batches):
         for batch in batches:
@@ -160,25 +192,14 @@ def candidate_regions(docs: DataFrame, anchors: DataFrame, width: int, gram: int
                 r = Regions(part.column("text"), width, gram)
                 if not len(r.anchor):
                     continue
-                keep = several = np.ones(len(r.anchor), bool)
-                if shared is not None:
-                    known, flags = shared.value
-                    at = np.minimum(np.searchsorted(known, r.anchor), max(0, len(known) - 1))
-                    keep = known[at] == r.anchor if len(known) else ~keep
-                    several = keep & flags[at] if len(known) else keep
-                doc = [part.column(part.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("id", "row")]
-                for k in range(0, len(keep), STEP):
-                    p = slice(k, k + STEP)
-                    cols = [r.content[p], *(d[r.text[p]] for d in doc), r.begin[p], r.count[p]]
-                    made = [pa.array(r.anchor[p], mask=~several[p]), *(pa.array(c.astype(np.int64)) for c in cols), r.bytes_of(several, p)]
-                    yield pa.RecordBatch.from_arrays(made, names=schema.fieldNames()).filter(pa.array(keep[p]))
-
-    regions = docs.select("text", "id", "row").mapInArrow(run, schema)
-    if few:
-        return regions
-    several = F.col("several")
-    joined = regions.join(anchors, "anchor").withColumns({"bytes": F.when(several, F.col("bytes")), "anchor": F.when(several, F.col("anchor"))})
-    return joined.drop("several")
+                doc, row = (part.column(part.schema.get_field_index(n)).to_numpy(zero_copy_only=False)[r.text] for n in ("id", "row"))
+                which = np.flatnonzero(choose(r, doc))
+                for k in range(0, len(which), STEP):
+                    p = which[k:k + STEP]
+                    cols = [c[p].astype(np.int64) for c in (r.anchor, r.content, doc, row, r.begin, r.count, r.places)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), *([r.bytes_of(p)] if with_bytes else [])], names=schema.fieldNames())
+
+    return docs.select("text", "id", "row").mapInArrow(run, schema)
 
 
 SPAN = T.StructType(_long("id", "row", "begin", "end"))
@@ -320,26 +341,28 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
     return regions.select("id", "row", "begin", "windows", "bytes", "shard", "crowded").mapInArrow(run, FOUND)
 
 
-def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, filter_size: int = FILTER_SIZE, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, bits: int = FILTER_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """id, row, begin and end (bytes) of spans that go; they may overlap.
     ``docs`` as of :func:`keyed`."""
     spark = docs.sparkSession
-    anchors = cut(repeated_anchors(docs, width, gram), "anchors")
-    regions = cut(candidate_regions(docs, anchors, width, gram, filter_size), "regions")
+    keys = spark.sparkContext.broadcast(bit_set(repeated_keys(docs, width, gram), bits))
+    regions = cut(regions_where(docs, lambda r, _: r.with_key_in(keys.value), width, gram), "regions")
     # equal content means equal anchors
     least = regions.groupBy("content").agg(F.min(F.struct("id", "begin")).alias("first"))
     least = cut(least.select("content", F.col("first.id").alias("first_id"), F.col("first.begin").alias("first_begin")), "first-regions")
     leads = (F.col("id") == F.col("first_id")) & (F.col("begin") == F.col("first_begin"))
-    told = regions.join(least, "content").withColumn("leads", leads)
-    # the first of equal regions goes to the shards, if its anchor has others; the rest are spans already
-    shown = [F.when(F.col("leads"), F.col(c)).alias(c) for c in ("anchor", "content", "bytes")]
-    parted = cut(told.filter("NOT leads OR bytes IS NOT NULL").select(*shown, "id", "row", "begin", "windows", "leads"), "parted")
-    equal = parted.filter("NOT leads").select("id", "row", "begin", (F.col("begin") + F.col("windows") + width - 1).alias("end"))
-    unlike = parted.filter("leads")
-    sizes = unlike.groupBy("anchor").agg(F.count("*").alias("n"))
-    sizes = cut(sizes.filter("n > 1"), "sizes")
-    parts = F.ceil(F.col("n") / crowd)
-    dealt = unlike.join(sizes, "anchor").withColumn("crowded", F.col("n") > crowd)
+    told = cut(regions.join(least, "content").select(*[F.when(leads, F.col(c)).alias(c) for c in ("anchor", "content")], "id", "row", "begin", "windows", "places"), "told")
+    equal = told.filter("content IS NULL").select("id", "row", "begin", (F.col("begin") + F.col("windows") + width - 1).alias("end"))
+    # the first of equal regions goes to the shards, if its anchor has others, or is in it again
+    unlike = told.filter("content IS NOT NULL")
+    sizes = cut(unlike.groupBy("anchor").agg(F.count("*").alias("n"), F.max("places").alias("places")).filter("n > 1 OR places > 1").drop("places"), "sizes")
+    open_ = unlike.join(sizes, "anchor", "left_semi")
+    marks = spark.sparkContext.broadcast(bit_set(open_.select(mark("content", "id", "begin").alias("h")), bits))
+    shown = regions_where(docs, lambda r, ids: in_set(marks.value, mark(r.content, ids, r.begin)), width, gram, with_bytes=True)
+    # few anchors are crowded; the planner broadcasts them if they are few enough
+    crowds = cut(sizes.filter(F.col("n") > crowd), "crowds")
+    dealt = shown.join(crowds, "anchor", "left").withColumn("crowded", F.col("n").isNotNull())
+    parts = F.coalesce(F.ceil(F.col("n") / crowd), F.lit(1))
     dealt = dealt.withColumn("shard", F.xxhash64("anchor", F.pmod(F.xxhash64("content"), parts)))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 2 * width // (4 * block)))

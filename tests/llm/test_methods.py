@@ -228,3 +228,25 @@ def test_spans_are_cut_out_of_the_text():
 def test_merge_of_spans():
     got = substring_dedup.merge(np.array([[5, 9], [0, 3], [3, 4], [8, 12], [20, 21]]))
     assert got.tolist() == [[0, 4], [5, 12], [20, 21]]
+
+
+def test_periodic_text_is_few_regions(spark):
+    import pyarrow as pa
+    for text in ("a" * 100_000, "ab" * 50_000, ("=" * 70 + "\n") * 1500):
+        assert len(substring_dedup.Regions(pa.array([text])).anchor) < 3000
+    docs = [(1, "x" * 3000), (2, "start " + "x" * 500 + " end" + "ab" * 400), (3, "ab" * 300 + "y" * 99), (4, ("-" * 30 + "\n") * 60), (5, "tail " + ("-" * 30 + "\n") * 5)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for options in ({}, {"crowd": 2, "block": 3000}):
+        assert {r[0]: tuple(r)[1:] for r in substring_dedup.cut_repeats(rows, **options).collect()} == plain.repeats(docs, 100)
+
+
+def test_equal_windows_share_a_key():
+    """Of two texts with a common string of ``width`` bytes, both have a region with a common key."""
+    import pyarrow as pa
+    rng = random.Random(9)
+    for alphabet in ("ab", "abcdefgh", "a"):
+        for _ in range(60):
+            common = "".join(rng.choice(alphabet) for _ in range(100))
+            texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120))) + common + "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120))) for _ in range(2)]
+            a, b = (set(substring_dedup.Regions(pa.array([t])).keys.tolist()) for t in texts)
+            assert a & b

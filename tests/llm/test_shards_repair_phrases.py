@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from spindle.llm import collocations, conversations, hilbert
+from spindle.llm import collocations, common, conversations, hilbert
 from spindle.llm.queries import QUERIES
 from spindle.plans.verify import compare, duck
 from tests.conftest import SF_MID, SF_SMALL
@@ -266,7 +266,7 @@ def test_collocations_of_messy_rows(spark, messy, messy_rows, nothing, monkeypat
     assert sorted(map(tuple, collocations.collocations(messy, 2, 50).collect())) == want
     # sets so small that nearly every bit is set, and shards of a few texts, change no result
     monkeypatch.setattr(collocations, "SHARD_BYTES", 200)
-    monkeypatch.setattr(collocations.bit_set, "__defaults__", (128,))
+    monkeypatch.setattr(common.bit_set, "__defaults__", (128,))
     assert sorted(map(tuple, collocations.collocations(messy, 2, 50, ranges=3).collect())) == want
     assert collocations.collocations(nothing).collect() == []
 
