@@ -5,12 +5,13 @@
    of ``i`` in the element's own permutation plus a fraction, so the ranks of
    an element are correlated and the estimate varies less.  Ranks are dealt
    in rounds; a text stops once no later round can lower a slot.
-2. Texts with equal sets form a class, and its smallest id stands for it.
+2. Texts with equal sets form a class, which gets a number of its own; ids
+   come back in only at the end, so texts that share an id stay apart.
 3. The signature is cut into bands; classes that agree in a band share a
    bucket.  With 32 bands of 4 a pair at the least similarity is missed with
    probability (1 - 0.75^4)^32 = 5e-6.
-4. In each bucket all classes are compared with the smallest id (a star, no
-   pairs), on full sets.  Union-find gives components.
+4. In each bucket all classes are compared with the smallest number (a star,
+   no pairs), on full sets.  Union-find gives components.
 5. Only buckets that then still hold several components can hide a link.
    They get some rounds of stars with other centres, which join most of a
    large group.  The classes of the buckets that are left meet across
@@ -19,11 +20,12 @@
 
 Nothing is collected: sets, edges and labels stay in tables.  Joins with a
 hot side are between written tables, so that AQE can split them; the sets are
-recomputed for classes in shared buckets only.
+recomputed for classes in shared buckets only, in a scan that a bit set of a
+fixed size leads to their texts: at any size, no text is shuffled for them.
 
 Edge cases: null or empty text, or text without words, has no set, is linked
 with nothing and kept; fewer than five words are one shingle.  A null doc_id
-is linked with nothing and kept.  Rows with one doc_id share its component.
+is linked with nothing and kept.  Rows with one doc_id are linked text by text.
 An empty table gives an empty result.  Other columns are not read.
 """
 
@@ -37,13 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.llm import oracles
-from spindle.llm.common import cut, documents, map_text, utf8
+from spindle.llm.common import bit_set, cut, documents, in_set, map_text, slices, utf8
 from spindle.llm.registry import query
 
 WORDS, SLOTS, BANDS = 5, 128, 32
 PERCENT = 75
-#: Ids that are broadcast at most; 24 MB or so as Spark's table of longs.
-BROADCAST_IDS = 1_000_000
 #: Rounds of stars with other centres before prefixes settle what is left; more rounds leave less, none changes the result.
 ROUNDS = 1
 #: Sets meet by size class, each this much larger than the one before.
@@ -160,36 +160,47 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+KEY = ("n_shingles", "fp1", "fp2")
+_LONGS = T.ArrayType(T.LongType())
+
+
+def fingerprints(sets: list[np.ndarray]) -> list:
+    """Size and 128 bits of each set."""
+    fp1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+    fp2 = np.array([np.bitwise_xor.reduce(mix(s * PLACE_VALUE[9]), initial=np.uint64(0)) for s in sets], np.uint64).view(np.int64)
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array(fp1), pa.array(fp2)]
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, the fingerprint of the set (fp1, fp2) and bands."""
-    longs = T.ArrayType(T.LongType())
-    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("fp1", T.LongType()), T.StructField("fp2", T.LongType()), T.StructField("bands", longs)]
-
     def make():
         def sign(texts):
             sets = shingle_sets(texts)
             keys = band_keys(superminhash(sets))
-            fp1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-            fp2 = np.array([np.bitwise_xor.reduce(mix(s * PLACE_VALUE[9]), initial=np.uint64(0)) for s in sets], np.uint64).view(np.int64)
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            return [sizes, fp1, fp2, pa.array([k if len(s) else None for k, s in zip(list(keys), sets, strict=True)], pa.list_(pa.int64()))]
+            return [*fingerprints(sets), pa.array([k if len(s) else None for k, s in zip(list(keys), sets, strict=True)], pa.list_(pa.int64()))]
 
         return sign
 
-    return map_text(docs, fields, make)
+    return map_text(docs, [*(T.StructField(k, T.LongType()) for k in KEY), T.StructField("bands", _LONGS)], make)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and the set of each of ``ids``.  They are broadcast if few;
-    otherwise the texts are shuffled."""
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    fields = [T.StructField("items", T.ArrayType(T.LongType()))]
+def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """rep and the set (items) of each of ``classes`` (rep, low, fingerprint):
+    texts whose id may be the ``low`` of a class are hashed again, and the
+    fingerprint tells which are."""
+    marks = docs.sparkSession.sparkContext.broadcast(bit_set(classes.select(F.xxhash64("low").alias("h"))))
 
-    def make():
-        return lambda texts: [pa.array([s.view(np.int64) for s in shingle_sets(texts)], pa.list_(pa.int64()))]
+    def run(batches):
+        for whole in batches:
+            some = whole.filter(pa.array(in_set(marks.value, whole.column(1).to_numpy())))
+            for part in slices(some, "text"):
+                sets = shingle_sets(part.column(0))
+                items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*fingerprints(sets), items], names=[*KEY, "items"])
 
-    return map_text(wanted, fields, make)
+    schema = T.StructType([*(T.StructField(k, T.LongType()) for k in KEY), T.StructField("items", _LONGS)])
+    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, schema)
+    return found.dropDuplicates(list(KEY)).join(classes.select("rep", *KEY), list(KEY)).select("rep", "items")
 
 
 def _close(shared, a, b, percent: int):
@@ -199,8 +210,8 @@ def _close(shared, a, b, percent: int):
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``pairs`` (a, b) with their exact ``distance`` and whether they are
     ``linked``, on full sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
+    left = sets.select(F.col("rep").alias("a"), F.col("items").alias("items_a"))
+    right = sets.select(F.col("rep").alias("b"), F.col("items").alias("items_b"))
     shared = F.size(F.array_intersect("items_a", "items_b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_shared", shared)
     a, b = F.size("items_a"), F.size("items_b")
@@ -289,7 +300,7 @@ def prefixes(spots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     common items, in any one order, is among the first ``c - needed + 1`` of
     both; the order puts items of few pairs first."""
     classes = spots.select("rep", "n", "label").distinct()
-    rows = cut(classes.join(sets.withColumnRenamed("doc_id", "rep"), "rep"), "open").select("rep", "n", "label", F.explode("items").alias("item"))
+    rows = cut(classes.join(sets, "rep"), "open").select("rep", "n", "label", F.explode("items").alias("item"))
     weighed = cut(_across(rows, "item").select("item", (F.col("total") * F.col("others")).alias("cost")), "across")
     own = rows.join(weighed, "item").groupBy("rep", "n", "label").agg(F.sort_array(F.collect_list(F.struct("cost", "item"))).alias("own"))
     own = own.withColumn("c", F.size("own")).filter(F.lit(100) * F.col("c") >= F.lit(percent) * F.col("n"))
@@ -321,22 +332,21 @@ def candidates(spots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
     return x.join(y, met & able).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each document."""
+def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, the fingerprint, component_id and kept of each row."""
     signed = cut(signatures(docs), "signatures")
     usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    key = ["n_shingles", "fp1", "fp2"]
-    classes = cut(usable.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    first = F.col("doc_id") == F.col("rep")
-    members = cut(usable.join(classes, key).select("doc_id", "n_shingles", "rep", F.when(first, F.col("bands")).alias("bands")), "members")
+    key = list(KEY)
+    classes = cut(usable.groupBy(*key).agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "bands"))["bands"].alias("bands"))
+                  .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
-    banded = members.filter("bands IS NOT NULL").select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    banded = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = cut(banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("most"), F.count("*").alias("size")).filter("centre < most").drop("most"), "buckets")
     shared = cut(banded.join(buckets, "key"), "shared")
     star = shared.filter("rep != centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
     star = cut(star, "star")
-    ids = cut(star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct(), "ids")
-    sets = cut(sets_of(docs, ids).dropDuplicates(["doc_id"]), "sets")
+    met = star.select(F.col("a").alias("rep")).union(star.select(F.col("b").alias("rep"))).distinct()
+    sets = cut(sets_of(docs, cut(classes.drop("bands").join(met, "rep", "left_semi"), "met")), "sets")
     checked = cut(verify(star, sets, percent), "checked")
     links = checked.filter("linked").select("a", "b")
     labels = components(links)
@@ -357,21 +367,65 @@ def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
         if not more.isEmpty():
             labels = components(links.union(more))
 
-    member = members.select("doc_id", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    grouped = member.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
-    alone = signed.filter("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # the smallest id of a component, by classes first, so that a large group is few rows
+    named = classes.select("rep", "low", *key).join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    named = cut(named, "named")
+    least = named.groupBy("label").agg(F.min("low").alias("component_id"))
+    named = cut(named.join(least, "label").select(*key, "component_id"), "components")
+    grouped = usable.select("doc_id", *key).join(named, key).select("doc_id", *key, "component_id")
+    alone = signed.filter("doc_id IS NULL OR n_shingles = 0").select("doc_id", *key, F.col("doc_id").alias("component_id"))
     return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each document."""
+    return groups(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def drop_near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, and one row of a doc_id."""
-    found = cut(near_duplicates(docs, percent=percent).select("doc_id", "kept"), "found")
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    left = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    """``docs`` with one document of each group.  Of rows with one doc_id those
+    stay whose text is kept, and one of equal ones.
+
+    Ids that lose a row are looked up in a bit set; only rows that it lets
+    through are told apart exactly, by id and fingerprint."""
+    found = cut(groups(docs, percent).filter("doc_id IS NOT NULL").select("doc_id", *KEY, "kept"), "found")
+    touched = cut(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).filter("n > 1 OR NOT kept").select("doc_id"), "touched")
+    marks = docs.sparkSession.sparkContext.broadcast(bit_set(touched.select(F.xxhash64("doc_id").alias("h"))))
+    columns = docs.columns
+
+    def rows(hit: bool) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                at = in_set(marks.value, b.column(b.num_columns - 1).to_numpy())
+                yield pa.RecordBatch.from_arrays(b.columns[:-1], names=columns).filter(pa.array(at == hit))
+
+        return docs.select("*", F.xxhash64("doc_id").alias("_hash")).mapInArrow(run, docs.schema)
+
+    whole = rows(hit=False)
+    part = rows(hit=True)
+    gone = found.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("NOT any").select("doc_id")
+    left = part.join(gone, "doc_id", "left_anti").select(*columns)
+    again = cut(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "again")
     if again.isEmpty():
-        return left
-    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(left.filter("doc_id IS NULL"))
+        return whole.union(left)
+    once = left.join(again, "doc_id", "left_anti").select(*columns)
+    return whole.union(once).union(_told_apart(left.join(again, "doc_id", "left_semi").select(*columns), found))
+
+
+def _told_apart(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Of rows with repeated ids, one for each kept text."""
+    columns, names = rows.columns, [f"_{k}" for k in KEY]
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+
+    def run(batches):
+        for whole in batches:
+            for part in slices(whole, "text"):
+                marks = fingerprints(shingle_sets(part.column(part.schema.get_field_index("text"))))
+                yield pa.RecordBatch.from_arrays([*part.columns, *marks], names=schema.fieldNames())
+
+    kept = found.filter("kept").select("doc_id", *[F.col(k).alias(n) for k, n in zip(KEY, names, strict=True)]).distinct()
+    marked = rows.mapInArrow(run, schema)
+    return marked.join(kept, ["doc_id", *names], "left_semi").dropDuplicates(["doc_id", *names]).select(*columns)
 
 
 @query("op7_minhash_near_dedup", oracles.NEAR_DEDUP)

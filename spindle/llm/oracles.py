@@ -80,16 +80,17 @@ WITH a AS (
 ), flat AS (
   SELECT doc_id, lang, 'chars' AS kind, n_chars AS n, unnest(chars) AS v, unnest(range(len(chars))) AS k FROM shared
   UNION ALL SELECT doc_id, lang, 'words', n_words, unnest(words), unnest(range(len(words))) FROM shared
-), enough AS (
-  SELECT lang FROM documents WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 0.001 * (SELECT count(*) FROM documents WHERE lang IS NOT NULL)
 ), refs AS (
-  SELECT lang, kind, k, sum(v) / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM flat WHERE lang IN (SELECT lang FROM enough) GROUP BY lang, kind, k
-), far AS (
-  SELECT doc_id, r.lang, kind,
-    sqrt(greatest(sum(CASE WHEN v > 0 THEN v / n * log2((v / n) / ((v / n + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((v / n + q) / 2)) ELSE 0 END) / 2, 0)) AS d
-  FROM flat f JOIN refs r USING (kind, k) WHERE n > 0 GROUP BY doc_id, r.lang, kind
+  SELECT lang, kind, k, sum(v) / sum(sum(v)) OVER (PARTITION BY lang, kind) AS q FROM flat
+  WHERE lang IN (SELECT lang FROM shared GROUP BY lang HAVING sum(n_chars) >= 2000) GROUP BY lang, kind, k
+  UNION ALL SELECT NULL, kind, k, sum(v) / sum(sum(v)) OVER (PARTITION BY kind) FROM flat
+  WHERE lang IS NOT NULL AND (SELECT sum(n_chars) FROM shared WHERE lang IS NOT NULL) >= 2000 GROUP BY kind, k
 ), near AS (
-  SELECT doc_id, min(d) FILTER (kind = 'chars') AS char_distance, min(d) FILTER (kind = 'words') AS word_distance FROM far GROUP BY doc_id
+  SELECT doc_id, max(d) FILTER (kind = 'chars') AS char_distance, max(d) FILTER (kind = 'words') AS word_distance
+  FROM (
+    SELECT doc_id, f.kind,
+      sqrt(greatest(sum(CASE WHEN v > 0 THEN v / n * log2((v / n) / ((v / n + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((v / n + q) / 2)) ELSE 0 END) / 2, 0)) AS d
+    FROM flat f JOIN refs r ON f.kind = r.kind AND f.k = r.k AND f.lang IS NOT DISTINCT FROM r.lang WHERE n > 0 GROUP BY doc_id, f.kind) GROUP BY doc_id
 )
 SELECT s.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_chars - chars[2] AS BIGINT) AS word_chars, CAST(chars[5] AS BIGINT) AS n_symbols,
   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,

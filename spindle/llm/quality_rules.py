@@ -3,8 +3,8 @@
 Each text gives two histograms: of character classes, and of common words of
 some languages (a share goes to all other words).  The reference of a
 language sums the histograms of all its documents.  A document fails if its
-Jensen-Shannon distance to the nearest reference is over a limit, for
-characters or for words; each test has a guard, the fewest characters or
+Jensen-Shannon distance to the reference of its language is over a limit,
+for characters or for words; each test has a guard, the fewest characters or
 words that it applies to.  Base counts come with it: words, symbols,
 repeated lines, and words in three-word windows that occur again.
 
@@ -13,11 +13,14 @@ judged.  Windows are compared by 64-bit hashes within a text; the positions
 of repeated windows are sorted only in texts that have any, so the cost of a
 text is n log n.  No text is exploded into rows.
 
+References are a table, joined by language; the planner broadcasts it if it
+is small.
+
 Edge cases: null text has no words; text without words fails the base rule
-and no other.  A document without a language is judged against all
-references, like the others, but is in none.  Languages with under a
-thousandth of all documents with a language give no reference; without
-references nothing but the base rule fails.  Repeated rows get equal results.
+and no other.  A document without a language is judged against all those with
+one together.  Languages with under ``REFERENCE_CHARS`` characters in all give no
+reference, and only the base rule fails their documents.  Repeated rows get
+equal results.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ COMMON = "the of and to in that der die und das ist von le la les et que une el
 
 CHAR_LIMIT, WORD_LIMIT = 0.28, 0.45
 CHAR_GUARD, WORD_GUARD = 100, 50
+#: Characters from which a language has a reference.
+REFERENCE_CHARS = 2_000
 
 
 def let(value: Column, body) -> Column:
@@ -103,41 +108,44 @@ def counts(docs: DataFrame) -> DataFrame:
         F.array(*taken.values(), sizes[-1]).alias("chars"), F.array(*known, F.col("n_words") - F.size("common")).alias("words"))
 
 
-def references(counted: DataFrame, least_share: float = 0.001) -> list[dict[str, list[float]]]:
-    """Shares of the classes and words by language, over all documents.  At
-    most ``1 / least_share`` languages come to the driver."""
-    known = counted.filter("lang IS NOT NULL")
+def references(counted: DataFrame, least_chars: int = REFERENCE_CHARS) -> DataFrame:
+    """lang and the shares of its classes and words (ref_chars, ref_words),
+    and a row of all documents with a language together (lang null)."""
     added = lambda name, n: F.array(*[F.sum(F.get(name, F.lit(k))) for k in range(n)]).alias(name)
-    sums = known.groupBy("lang").agg(F.count("*").alias("docs"), added("chars", len(CHARACTERS) + 1), added("words", len(COMMON) + 1))
-    rows = sums.filter(F.col("docs") >= least_share * known.count()).orderBy("lang").collect()
-    return [{k: [v / sum(r[k]) for v in r[k]] for k in ("chars", "words")} for r in rows if sum(r["chars"]) and sum(r["words"])]
+    sums = counted.groupBy("lang").agg(added("chars", len(CHARACTERS) + 1), added("words", len(COMMON) + 1))
+    named = sums.filter(F.col("lang").isNotNull())
+    together = named.select(F.lit(None).cast(counted.schema["lang"].dataType).alias("lang"), added("chars", len(CHARACTERS) + 1), added("words", len(COMMON) + 1))
+    both = named.union(together).filter(_sum(F.col("chars")) >= least_chars)
+    share = lambda c: let(_sum(F.col(c)), lambda n: F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))).alias(f"ref_{c}")
+    return both.select("lang", share("chars"), share("words"))
 
 
-def divergence(shares: Column, reference: list[float]) -> Column:
+def divergence(shares: Column, reference: Column) -> Column:
     """Jensen-Shannon distance (base 2) of a histogram and a reference."""
     def toward(p: Column, middle: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0))
 
-    parts = F.zip_with(shares, F.array(*map(F.lit, reference)), lambda p, q: toward(p, (p + q) / 2) + toward(q, (p + q) / 2))
+    parts = F.zip_with(shares, reference, lambda p, q: toward(p, (p + q) / 2) + toward(q, (p + q) / 2))
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def nearest(histogram: str, size: str, found: list[list[float]]) -> Column:
-    """Distance to the nearest reference; 0 without any, or for an empty text."""
+def distance(histogram: str, size: str) -> Column:
+    """Distance to the reference; 0 without one, or for an empty text."""
     shares = F.transform(histogram, lambda x: x / F.col(size))
-    far = let(shares, lambda s: F.array_min(F.array(*[divergence(s, r) for r in found]))) if found else F.lit(0.0)
-    return F.when(F.col(size) > 0, far).otherwise(F.lit(0.0))
+    reference = F.col(f"ref_{histogram}")
+    return F.when((F.col(size) > 0) & reference.isNotNull(), divergence(shares, reference)).otherwise(F.lit(0.0))
 
 
 def judge(docs: DataFrame, *, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, char_guard: int = CHAR_GUARD,
           word_guard: int = WORD_GUARD) -> DataFrame:
     """Counts, distances and the verdict of each document."""
     counted = cut(counts(docs), "quality-counts")
-    found = references(counted)
-    far = counted.select(
+    known = cut(references(counted), "quality-references")
+    doc, ref = counted.alias("d"), known.alias("r")
+    told = doc.join(ref, F.col("d.lang").eqNullSafe(F.col("r.lang")), "left").select("d.*", "ref_chars", "ref_words")
+    far = told.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
-        nearest("chars", "n_chars", [r["chars"] for r in found]).alias("char_distance"),
-        nearest("words", "n_words", [r["words"] for r in found]).alias("word_distance"))
+        distance("chars", "n_chars").alias("char_distance"), distance("words", "n_words").alias("word_distance"))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     odd = ((F.col("n_chars") >= char_guard) & (F.col("char_distance") > char_limit)) | ((F.col("n_words") >= word_guard) & (F.col("word_distance") > word_limit))
     return far.withColumn("base_failed", base).withColumn("kept", ~base & ~odd).drop("n_chars")

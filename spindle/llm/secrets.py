@@ -8,7 +8,9 @@ short uses up its text all the same.
 The method adds ``guess`` spans: the value after a wider set of credential
 names is segmented by dynamic programming into dictionary words, dates,
 repeats, keyboard walks and brute-force spans so that the base-2 logarithm
-of the guesses is least.  It is a secret if that is ``min_bits`` or more.
+of the guesses is least.  It is a secret if that is ``min_bits`` or more and,
+unless it is ``SURE_BITS`` or more, at least ``RATE`` for each character:
+short random values pass, words that the dictionary lacks do not.
 
 Everything looks at UTF-8 bytes (the patterns are ASCII); offsets are
 turned into code points, end exclusive.
@@ -33,7 +35,9 @@ from spindle.llm.common import documents, map_text, slices
 from spindle.llm.registry import query
 
 KINDS = ("assign", "access", "hex", "guess")
-MIN_BITS = 40.0
+#: Six to eight random characters cost 26 to 40 bits; dictionary-made values of that length under 22.
+MIN_BITS = 26.0
+RATE, SURE_BITS = 3.0, 60.0
 
 # The base patterns (on bytes whose A-Z are lower case, but for ACCESS).
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
@@ -41,9 +45,10 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_NAMES = (b"passw", b"secret", b"token", b"api")
 
+# A name is looked at whole and once (it cannot begin inside a name, and no count limits it), so the search stays linear.
 CONTEXT = re.compile(
-    rb"""(?:password|passwd|passphrase|pwd|secret|token|credentials?|bearer|api[_-]?key|access[_-]?key|private[_-]?key)"""
-    rb"""[a-z0-9_-]{0,24}["']?[ \t]{0,8}(?:=>|[:=]|\bis\b)[ \t]{0,8}["'`]?([^\s"'`,;<>()]{6,})""")
+    rb"""(?<![a-z0-9_-])(?=[a-z0-9_-]*?(?:password|passwd|passphrase|pwd|secret|token|credentials?|bearer|api[_-]?key|access[_-]?key|private[_-]?key))"""
+    rb"""[a-z0-9_-]++["']?[ \t]*+(?:=>|[:=]|\bis\b)[ \t]*+["'`]?([^\s"'`,;<>()]{6,})""")
 CONTEXT_NAMES = (b"passw", b"passphrase", b"pwd", b"secret", b"token", b"credential", b"bearer", b"api", b"access", b"private")
 
 # Common words of passwords and documentation, most common first.
@@ -57,14 +62,16 @@ LEET = str.maketrans("013457@$", "oieastas")
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 NEXT = {(a, b) for row in WALKS for a, b in zip(row, row[1:], strict=False)} | {(b, a) for row in WALKS for a, b in zip(row, row[1:], strict=False)}
 DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.])(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
+VOWELS = set("aeiouy")
 LONGEST = 40  # at least the longest word or date; repeats and walks have no limit
 
 
 def char_bits(prev: str, c: str) -> float:
     """Bits of a character that has to be guessed; a lower-case letter after
-    another is taken as text of some language."""
+    one of the other sort, vowel or consonant, is taken as text of some
+    language."""
     if c.islower():
-        return 3.0 if prev.isalpha() else math.log2(26)
+        return 2.5 if prev.isalpha() and (prev.lower() in VOWELS) != (c in VOWELS) else 3.75 if prev.isalpha() else math.log2(26)
     return math.log2(10) if c.isdigit() else math.log2(26) if c.isupper() else 5.0
 
 
@@ -113,6 +120,12 @@ def guess_bits(value: str, enough: float = math.inf) -> float:
     return best[n]
 
 
+def is_secret(value: str, min_bits: float = MIN_BITS) -> bool:
+    sure = max(min_bits, SURE_BITS)
+    bits = guess_bits(value, sure)
+    return bits >= sure or (bits >= min_bits and bits >= RATE * len(value))
+
+
 def find_secrets(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[int, int, int, int]]:
     """(start, number of the kind, end, start of the value) of every span, in order."""
     raw = (text or "").encode()
@@ -126,7 +139,7 @@ def find_secrets(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[int
     if any(n in low for n in CONTEXT_NAMES):
         for m in CONTEXT.finditer(low):
             value = raw[m.start(1):m.end(1)].decode("utf-8", "replace").rstrip(".!?:")
-            if len(value) >= 6 and guess_bits(value, min_bits) >= min_bits:
+            if len(value) >= 6 and is_secret(value, min_bits):
                 end = m.start(1) + len(value.encode())
                 found.append((m.start(1), 3, min(end, m.end(1)), m.start(1)))
     found.sort()

@@ -37,6 +37,7 @@ both, both keep it.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +54,10 @@ from spindle.llm.registry import query
 WIDTH, GRAM = 100, 24
 #: Windows of a region at most.
 RUN = 1024
-#: Regions of an anchor that are sorted in one shard at most, on average.
-CROWD = 64
+#: Bytes of an anchor's regions that are sorted in one shard at most, on average.
+CROWD = 8192
 #: Bytes of all lanes that are sorted in step, and of a lane.
-BLOCK, LANE = 1 << 20, 8192
+BLOCK, LANE = 1 << 20, 4096
 #: Bytes of text that are searched for anchors at once.
 TEXT_STEP = 1 << 19
 
@@ -74,11 +75,12 @@ class Regions:
         n, span = len(self.raw), width - gram + 1
         empty = np.zeros(0, np.int64)
         self.text = self.begin = self.count = self.places = empty
-        self.anchor = self.content = self.keys = empty
+        self.anchor = self.content = empty
         if n < width:
             return
         power, inverse = _powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
+        self._sums, self._gram = (sums, inverse), gram
         np.cumsum(BYTE_VALUE[self.raw] * power[:n], out=sums[1:])
         grams = mix((sums[gram:] - sums[:-gram]) * inverse[:n - gram + 1])
         # least hash in the upper half, first place in the lower half
@@ -109,10 +111,8 @@ class Regions:
         side = (width - gram) // 2
         spot = at[head]
         left, right = window[head] <= spot - side, last >= spot + side - (width - gram)
-        hashed = lambda a, b: mix((sums[b] - sums[a]) * inverse[a])
-        lefts, rights = spot - side, np.minimum(spot + gram + side, n)
-        self.keys = np.concatenate((hashed(lefts[left], spot[left] + gram), hashed(spot[right], rights[right]))).view(np.int64)
-        self._left, self._right, part_of = left, right, np.cumsum(new) - 1
+        self._sides = spot, side, left, right
+        part_of = np.cumsum(new) - 1
         # regions: parts of equal anchors, RUN windows at most
         anchor = grams[at]
         new[1:] = (anchor[1:] != anchor[:-1]) | other
@@ -131,13 +131,23 @@ class Regions:
         self.content = mix((sums[end] - sums[begin]) * inverse[begin] + self.count.astype(np.uint64) * PLACE_VALUE[11]).view(np.int64)
         self._begin, self._end = begin, end
 
+    @cached_property
+    def keys(self) -> np.ndarray:
+        """Hashes of the parts' anchors with what is left, and right, of them."""
+        if not len(self.anchor):
+            return self.anchor
+        (spot, side, left, right), (sums, inverse), gram = self._sides, self._sums, self._gram
+        hashed = lambda a, b: mix((sums[b] - sums[a]) * inverse[a])
+        return np.concatenate((hashed(spot[left] - side, spot[left] + gram), hashed(spot[right], spot[right] + gram + side))).view(np.int64)
+
     def with_key_in(self, bits: np.ndarray) -> np.ndarray:
         """Which regions have a key that may be in the set."""
+        _, _, left, right = self._sides
         found = in_set(bits, self.keys)
-        hit = np.zeros(len(self._left), np.int64)
-        n = int(self._left.sum())
-        hit[self._left] += found[:n]
-        hit[self._right] += found[n:]
+        hit = np.zeros(len(left), np.int64)
+        n = int(left.sum())
+        hit[left] += found[:n]
+        hit[right] += found[n:]
         total = np.append(0, np.cumsum(hit))
         return total[self._parts[1] + 1] > total[self._parts[0]]
 
@@ -310,9 +320,16 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
     def solve(held):
         table = pa.Table.from_batches(held)
         columns = {c: table.column(c).to_numpy() for c in ("id", "row", "begin", "windows")}
-        gone, first = sort_block(columns, table.column("bytes").to_pylist(), table.column("shard").to_numpy(), table.column("crowded").to_numpy(), width)
-        yield out(_runs(*gone, width))
-        yield out((first[0], first[1], first[2], first[2] + width), first[3:])
+        blobs, shard, crowded = table.column("bytes").to_pylist(), table.column("shard").to_numpy(), table.column("crowded").to_numpy()
+        # lanes are padded to the longest, so long shards are sorted by themselves
+        _, group = np.unique(shard, return_inverse=True)
+        size = np.bincount(group, [len(b) for b in blobs])[group]
+        classes = np.maximum(np.ceil(np.log2(np.maximum(size, 1) / LANE)), 0)
+        for c in np.unique(classes).tolist():
+            at = np.flatnonzero(classes == c)
+            gone, first = sort_block({k: v[at] for k, v in columns.items()}, [blobs[i] for i in at.tolist()], shard[at], crowded[at], width)
+            yield out(_runs(*gone, width))
+            yield out((first[0], first[1], first[2], first[2] + width), first[3:])
 
     def run(batches):
         held, size = [], 0
@@ -355,17 +372,18 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, bit
     equal = told.filter("content IS NULL").select("id", "row", "begin", (F.col("begin") + F.col("windows") + width - 1).alias("end"))
     # the first of equal regions goes to the shards, if its anchor has others, or is in it again
     unlike = told.filter("content IS NOT NULL")
-    sizes = cut(unlike.groupBy("anchor").agg(F.count("*").alias("n"), F.max("places").alias("places")).filter("n > 1 OR places > 1").drop("places"), "sizes")
+    sizes = cut(unlike.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.sum(F.col("windows") + width - 1).alias("size"), F.max("places").alias("places")).filter("n > 1 OR places > 1"), "sizes")
     open_ = unlike.join(sizes, "anchor", "left_semi")
     marks = spark.sparkContext.broadcast(bit_set(open_.select(mark("content", "id", "begin").alias("h")), bits))
     shown = regions_where(docs, lambda r, ids: in_set(marks.value, mark(r.content, ids, r.begin)), width, gram, with_bytes=True)
     # few anchors are crowded; the planner broadcasts them if they are few enough
-    crowds = cut(sizes.filter(F.col("n") > crowd), "crowds")
-    dealt = shown.join(crowds, "anchor", "left").withColumn("crowded", F.col("n").isNotNull())
-    parts = F.coalesce(F.ceil(F.col("n") / crowd), F.lit(1))
+    crowds = cut(sizes.filter(F.col("size") > crowd).select("anchor", "size"), "crowds")
+    dealt = shown.join(crowds, "anchor", "left").withColumn("crowded", F.col("size").isNotNull())
+    parts = F.coalesce(F.ceil(F.col("size") / crowd), F.lit(1))
     dealt = dealt.withColumn("shard", F.xxhash64("anchor", F.pmod(F.xxhash64("content"), parts)))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 2 * width // (4 * block)))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * block)))
     dealt = dealt.repartition(tasks, "shard").sortWithinPartitions("shard")
     found = cut(sort_shards(dealt, width, block), "sorted")
     spans = found.filter("hash1 IS NULL").select("id", "row", "begin", "end")

@@ -236,7 +236,7 @@ def test_periodic_text_is_few_regions(spark):
         assert len(substring_dedup.Regions(pa.array([text])).anchor) < 3000
     docs = [(1, "x" * 3000), (2, "start " + "x" * 500 + " end" + "ab" * 400), (3, "ab" * 300 + "y" * 99), (4, ("-" * 30 + "\n") * 60), (5, "tail " + ("-" * 30 + "\n") * 5)]
     rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    for options in ({}, {"crowd": 2, "block": 3000}):
+    for options in ({}, {"crowd": 300, "block": 3000}):
         assert {r[0]: tuple(r)[1:] for r in substring_dedup.cut_repeats(rows, **options).collect()} == plain.repeats(docs, 100)
 
 
@@ -250,3 +250,76 @@ def test_equal_windows_share_a_key():
             texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120))) + common + "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120))) for _ in range(2)]
             a, b = (set(substring_dedup.Regions(pa.array([t])).keys.tolist()) for t in texts)
             assert a & b
+
+
+def plain_guess_bits(value):
+    """Least cost over all segmentations, each segment tried as everything it can be."""
+    import math
+    low, n = value.lower(), len(value)
+
+    def segment(i, e):
+        text, found = low[i:e], []
+        if e - i >= 3:
+            for form, extra in ((text, 0.0), (text.translate(secrets.LEET), 2.0)):
+                if form in secrets.RANK:
+                    found.append(math.log2(secrets.RANK[form] + 1) + extra + (0.0 if value[i:e].islower() else 1.0))
+            if all(p in secrets.NEXT for p in zip(text, text[1:], strict=False)):
+                found.append(math.log2(len(secrets.WALKS) * 10) + math.log2(e - i))
+        for width in range(1, 5):
+            if (e - i) % width == 0 and e - i >= max(3, 2 * width) and value[i:e] == value[i:i + width] * ((e - i) // width):
+                found.append(sum(secrets.char_bits(" ", x) for x in value[i:i + width]) + math.log2((e - i) / width))
+        if (m := secrets.DATE.match(value, i)) and m.end() == e:
+            found.append(math.log2(200) if e - i == 4 else math.log2(200 * 365) + 2)
+        if e - i == 4 and text[:2] in ("19", "20") and secrets.DATE.match(value, i):
+            found.append(math.log2(200))
+        return min(found, default=math.inf)
+
+    best = [0.0] + [math.inf] * n
+    for e in range(1, n + 1):
+        best[e] = min([best[e - 1] + secrets.char_bits(value[e - 2] if e > 1 else " ", value[e - 1]),
+                       *(best[i] + (1.0 if i else 0.0) + segment(i, e) for i in range(e))])
+    return best[n]
+
+
+def test_guess_cost_is_least_over_all_segmentations():
+    rng = random.Random(7)
+    bits = ["password", "Summer", "2023", "1999-12-31", "qwerty", "aaaa", "abab", "x7", "k", "Z", "$", "12345", "dr4g0n", "é", "31.12.2020", "zxc"]
+    for _ in range(400):
+        value = "".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))
+        assert abs(secrets.guess_bits(value) - plain_guess_bits(value)) < 1e-9, value
+
+
+def test_short_random_values_are_secrets_and_words_are_not():
+    for text in ("pwd: x7k2m9q4", "pwd: aX9$kQ2!", "password: aX9$kQ2!", "pwd: kqzvwxjpbnm",
+                 "access_key_for_the_production_billing_system_eu = Zk39dLqPz81mXcVbn20a", "secret" + " " * 40 + "=" + "\t" * 30 + "Zk39dLqPz81mXcVbn20a"):
+        assert any(k == 3 for _, k, _, _ in secrets.find_secrets(text)), text
+    for text in ("password: Summer2023!", "pwd: changeme123", "token: qwerty12345", "secret is invalidated", "password: password1", "pwd: " + "*" * 160, "token is placeholder_value"):
+        assert not any(k == 3 for _, k, _, _ in secrets.find_secrets(text)), text
+    import time
+    start = time.time()
+    secrets.find_secrets("token" * 60_000 + " " * 200_000 + "pwd" * 50_000)
+    assert time.time() - start < 5
+
+
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    words = [f"w{k}" for k in range(200)]
+    a, b = " ".join(words[:90]), " ".join(words[100:190])
+    near_a, near_b = a.replace("w5 ", "zz "), b.replace("w105 ", "zz ")
+    rows = [(1, a), (1, b), (2, near_b), (3, near_a), (1, a), (4, "alone in the world of texts")]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+        assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
+        assert sorted(map(tuple, near_dup.drop_near_duplicates(docs).collect())) == sorted([(1, a), (1, b), (4, "alone in the world of texts")])
+
+
+def test_rare_script_is_judged_by_its_own_reference(spark):
+    from spindle.llm import quality_rules
+    rng = random.Random(4)
+    latin, greek = "the of and in to water house".split(), "και το του της με νερο σπιτι".split()
+    text = lambda words: ". ".join(" ".join(rng.choice(words) + rng.choice("abcdefgh" if words is latin else "αβγδεζηθ") for _ in range(9)) for _ in range(12)) + "."
+    rows = [(k, text(latin), "en") for k in range(2000)] + [(5000 + k, text(greek), "el") for k in range(3)] + [(6000, text(greek), "rare"), (6001, text(latin), None)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[5000 + k].kept for k in range(3)) and got[6000].kept and got[6001].kept
+    odd = quality_rules.judge(spark.createDataFrame([*rows, (7000, text(greek), "en")], "doc_id long, text string, lang string"))
+    assert not odd.filter("doc_id = 7000").first().kept

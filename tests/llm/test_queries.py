@@ -184,7 +184,7 @@ def substrings(rng):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"crowd": 3}, {"bits": 128, "crowd": 2, "block": 2000}, {"width": 30, "gram": 8}])
+@pytest.mark.parametrize("options", [{}, {"crowd": 400}, {"bits": 128, "crowd": 300, "block": 2000}, {"width": 30, "gram": 8}])
 def test_substrings(spark, options):
     rows = substrings(random.Random(5))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
