@@ -55,9 +55,9 @@ WIDTH, GRAM = 100, 24
 #: Windows of a region at most.
 RUN = 1024
 #: Bytes of an anchor's regions that are sorted in one shard at most, on average.
-CROWD = 8192
+CROWD = 4096
 #: Bytes of all lanes that are sorted in step, and of a lane.
-BLOCK, LANE = 1 << 20, 4096
+BLOCK, LANE = 1 << 20, 8192
 #: Bytes of text that are searched for anchors at once.
 TEXT_STEP = 1 << 19
 
@@ -317,22 +317,32 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
         hashes = [pa.array(h, pa.int64()) for h in hashes] if hashes is not None else [pa.nulls(k, pa.int64())] * 2
         return pa.RecordBatch.from_arrays([*(pa.array(s, pa.int64()) for s in spans), *hashes], names=FOUND.fieldNames())
 
-    def solve(held):
+    def sort(parts):
+        columns = {c: np.concatenate([p[c] for p in parts]) for c in ("id", "row", "begin", "windows", "shard", "crowded")}
+        blobs = [b for p in parts for b in p["bytes"]]
+        gone, first = sort_block(columns, blobs, columns["shard"], columns["crowded"], width)
+        yield out(_runs(*gone, width))
+        yield out((first[0], first[1], first[2], first[2] + width), first[3:])
+
+    def solve(held, waiting):
+        """Sort the shards that fit in a lane.  Lanes are padded to the
+        longest, so longer shards wait for others of their length."""
         table = pa.Table.from_batches(held)
-        columns = {c: table.column(c).to_numpy() for c in ("id", "row", "begin", "windows")}
-        blobs, shard, crowded = table.column("bytes").to_pylist(), table.column("shard").to_numpy(), table.column("crowded").to_numpy()
-        # lanes are padded to the longest, so long shards are sorted by themselves
-        _, group = np.unique(shard, return_inverse=True)
-        size = np.bincount(group, [len(b) for b in blobs])[group]
-        classes = np.maximum(np.ceil(np.log2(np.maximum(size, 1) / LANE)), 0)
+        columns = {c: table.column(c).to_numpy() for c in ("id", "row", "begin", "windows", "shard", "crowded")}
+        blobs = table.column("bytes").to_pylist()
+        sizes = np.array([len(b) for b in blobs])
+        _, group = np.unique(columns["shard"], return_inverse=True)
+        whole = np.bincount(group, sizes)[group]
+        classes = np.maximum(np.ceil(np.log2(np.maximum(whole, 1) / LANE)), 0).astype(int)
         for c in np.unique(classes).tolist():
             at = np.flatnonzero(classes == c)
-            gone, first = sort_block({k: v[at] for k, v in columns.items()}, [blobs[i] for i in at.tolist()], shard[at], crowded[at], width)
-            yield out(_runs(*gone, width))
-            yield out((first[0], first[1], first[2], first[2] + width), first[3:])
+            part = {k: v[at] for k, v in columns.items()} | {"bytes": [blobs[i] for i in at.tolist()]}
+            waiting.setdefault(c, []).append(part)
+            if c == 0 or sum(len(b) for p in waiting[c] for b in p["bytes"]) >= block:
+                yield from sort(waiting.pop(c))
 
     def run(batches):
-        held, size = [], 0
+        held, size, waiting = [], 0, {}
         for batch in batches:
             shard = batch.column(batch.schema.get_field_index("shard")).to_numpy(zero_copy_only=False)
             lengths = np.diff(np.frombuffer(batch.column(batch.schema.get_field_index("bytes")).buffers()[1], np.int32)[:batch.num_rows + 1])
@@ -345,7 +355,7 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
                 if new and (total[b - 1] if b else size) >= block:
                     if b > at:
                         held.append(batch.slice(at, b - at))
-                    yield from solve(held)
+                    yield from solve(held, waiting)
                     held, at = [], b
                     total = total - (total[b - 1] if b else size)
                     size = 0
@@ -353,7 +363,9 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
                 held.append(batch.slice(at))
             size = int(total[-1]) if batch.num_rows else size
         if held:
-            yield from solve(held)
+            yield from solve(held, waiting)
+        for parts in waiting.values():
+            yield from sort(parts)
 
     return regions.select("id", "row", "begin", "windows", "bytes", "shard", "crowded").mapInArrow(run, FOUND)
 
