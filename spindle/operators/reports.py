@@ -105,7 +105,7 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
         nodes = nodes.withColumn("treeID", F.lit(0))
     return nodes.select(
         F.col("treeID").cast("int").alias("tree"), F.col("id").cast("int").alias("id"),
-        "prediction", "impurity", "gain",
+        "prediction", "impurity", "gain", F.col("impurityStats").alias("stats"),
         F.col("leftChild").cast("int").alias("left_child"),
         F.col("rightChild").cast("int").alias("right_child"),
         F.col("split.featureIndex").cast("int").alias("feature"),

@@ -12,6 +12,8 @@ from spindle.operators import columns, split
 from spindle.plans import jobs
 from spindle.plans.registry import query
 from spindle.plans.tables import GAPPY_CUSTOMER_SQL, gappy_customer, hourly_events, labelled_documents, split_sql, table
+from spindle.session import scratch_path
+from spindle.sources import files
 
 
 def beats_majority(scored, label: str, prediction: str) -> bool:
@@ -101,6 +103,21 @@ def job_binary_reports(spark, sf):
     return spark.createDataFrame(rows, "point string, x double, y double, monotone boolean")
 
 
+@query("job_score_unlabelled", f"""
+SELECT doc_id, true AS as_with_label FROM labels JOIN documents USING (doc_id) WHERE NOT {split_sql("doc_id")}
+""")
+def job_score_unlabelled(spark, sf):
+    """Rows without a label, scored and written as CSV, read back: the label
+    named for each is the one that the labelled row gets."""
+    fitted = run_binary(spark, sf)
+    unlabelled = split.keyed_split(binary_input(spark, sf), "doc_id")[1].drop("quality")
+    scored = jobs.score_unlabelled(fitted.model, unlabelled).select("doc_id", "predictedLabel")
+    path = files.write_csv(scored, scratch_path(spark, "scored"), header=True)
+    back = files.read_csv(spark, path, header=True).select("doc_id", F.col("predictedLabel").cast("string").alias("read"))
+    return back.join(fitted.scored.select("doc_id", "predictedLabel"), "doc_id").select(
+        "doc_id", F.col("read").eqNullSafe(F.col("predictedLabel")).alias("as_with_label"))
+
+
 def run_binary_cv(spark, sf):
     train, test = split.keyed_split(binary_input(spark, sf), "doc_id")
     return jobs.binary_logistic_cv(spark, train, test, "quality", BINARY_NUMERIC, ["lang", "source"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from spindle.operators import features, learners, reports
+from spindle.operators import features, learners, reports, rules
 from spindle.plans import setups
 from spindle.plans.registry import query
 from spindle.plans.setups import (LOGIT_DISCOUNT_SQL, LOGIT_TAX_SQL, OLS_SQL, RATES_SQL,
@@ -321,6 +321,14 @@ def clf_forest_10(spark, sf):
     return _predicted(model, data)
 
 
+@query("rep_tree_rules", _STEP_CLASS_SQL)
+def rep_tree_rules(spark, sf):
+    """The forest's ten node tables as one expression, instead of the model."""
+    data = _steps(spark, sf)
+    model = learners.fit(learners.random_forest_classifier(max_bins=64, featureSubsetStrategy="all"), data)
+    return rules.score_by_rules(model, data).select("l_orderkey", "l_linenumber", "prediction")
+
+
 @query("clf_gbt_10", _STEP_CLASS_SQL)
 def clf_gbt_10(spark, sf):
     data = _steps(spark, sf)

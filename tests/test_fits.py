@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from spindle.operators import batched, features, layout, learners, split, tune
+from spindle.operators import batched, features, layout, learners, reports, rules, split, tune
 from spindle.plans import q_jobs, setups
 from spindle.plans.tables import table
 from tests.conftest import SF_MID, SF_SMALL
@@ -121,3 +121,22 @@ def test_l1_hinge_drops_noise_and_scores(spark):
     assert scored.filter("label <> prediction").isEmpty()
     with pytest.raises(ValueError, match="no rows"):
         learners.fit_linear_svc_l1(data.filter("false"))
+
+
+def test_rules_score_as_the_models_do(spark):
+    li = table(spark, SF_SMALL, "lineitem")
+    mode = F.pmod("l_suppkey", F.lit(7)).cast("double")
+    label = (F.col("l_quantity") + 200 * F.col("l_discount") + 5 * F.pmod(mode, F.lit(3)) > 35).cast("double")
+    rows = li.select(label.alias("label"), F.col("l_extendedprice").alias("y"), mode.alias("mode"), "l_quantity", "l_discount", "l_tax")
+    raw = features.assemble(rows, ["mode", "l_quantity", "l_discount", "l_tax"], "raw")
+    data = features.vector_indexer("raw", "features", 7).fit(raw).transform(raw).cache()
+    kw = {"max_depth": 5, "max_bins": 32}
+    made = [(learners.decision_tree_classifier(**kw), 0), (learners.random_forest_classifier(num_trees=10, **kw), 0),
+            (learners.decision_tree_regressor("y", **kw), 0), (learners.random_forest_regressor("y", num_trees=5, **kw), 1e-6),
+            (learners.gbt_regressor("y", max_iter=4, **kw), 1e-6)]
+    for est, far in made:
+        model = learners.fit(est, data)
+        both = rules.score_by_rules(model, model.transform(data), prediction="by_rules")
+        assert both.filter(F.abs(F.col("by_rules") - F.col("prediction")) > far).isEmpty(), type(model).__name__
+        assert both.filter("by_rules IS NULL").isEmpty()
+    assert not reports.tree_nodes(spark, learners.fit(made[0][0], data)).filter("left_categories IS NOT NULL").isEmpty()
