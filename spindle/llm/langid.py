@@ -10,8 +10,10 @@ bounded by ``languages * 2 * chars * 64 * 4`` bytes.  All segments of a
 batch walk one table in step, so a character costs one gather.  Phrases end
 at every ``segment`` characters; whole texts are parsed.
 
-Sample: ``docs_per_lang`` rows of each language in hash order,
-``chars_per_doc`` characters of each, ``chars`` in all.
+Sample: ``docs_per_lang`` rows of each language in hash order (at most twice
+as many), equal texts once, ``chars`` characters in all.  Every sampled text
+takes part: a text with more than its share of them gives windows spread over
+its whole length, so that common beginnings do not fill the sample.
 
 Edge cases: null text, or text without a letter, is ``und`` with score 0;
 so is everything if no row is labelled.  Text of letters that no sample
@@ -139,14 +141,39 @@ def phrases(classes: np.ndarray, places: np.ndarray, tables: list[np.ndarray], s
     return out
 
 
-def fit(train: DataFrame, *, label: str = "lang", docs_per_lang: int = 60, chars_per_doc: int = 1500, chars: int = 40_000) -> dict:
+#: Characters of a window of a long training text.
+WINDOW = 250
+
+
+def excerpt(text: str, room: int) -> str:
+    """``text``, or windows at even distances over all of it that fit ``room``."""
+    if len(text) <= room:
+        return text
+    n = max(1, room // (WINDOW + 1))
+    size = min(room, WINDOW)
+    starts = [(len(text) - size) * (2 * i + 1) // (2 * n) for i in range(n)]
+    return " ".join(text[a:a + size] for a in starts)
+
+
+def training_text(texts: list[str], chars: int) -> str:
+    """At most ``chars`` characters of all different ``texts``; what short
+    texts leave goes to the longer ones."""
+    different = sorted(dict.fromkeys(texts), key=lambda t: (len(t), t))
+    out, left = [], chars
+    for i, text in enumerate(different):
+        out.append(excerpt(text, max(left // (len(different) - i) - 1, 0)))
+        left -= len(out[-1]) + 1
+    return " ".join(t for t in out if t)
+
+
+def fit(train: DataFrame, *, label: str = "lang", docs_per_lang: int = 60, chars: int = 40_000) -> dict:
     """The model, from rows with text and a label; see the module for bounds."""
     usable = train.select("doc_id", "text", F.col(label).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     texts: dict[str, list[str]] = {}
     for r in sample_rows(usable, "lang", docs_per_lang, "doc_id", "text").collect():
-        texts.setdefault(r["lang"], []).append(r["text"][:chars_per_doc])
+        texts.setdefault(r["lang"], []).append(r["text"])
     langs = sorted(k for k, v in texts.items() if any(c.isalpha() for t in v for c in t))
-    joined = {k: " ".join(texts[k])[:chars] for k in langs}
+    joined = {k: training_text(texts[k], chars) for k in langs}
     table = class_table(list(joined.values()))
     tables, bits = [], []
     for k in langs:

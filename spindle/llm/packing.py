@@ -8,7 +8,10 @@
    while it lags behind in coverage; a knapsack dynamic programme over the
    capacity prices configurations, for each length the best that holds it.
    The averaged solution is rounded down, what is left is priced and
-   rounded again, and the last few pieces go by best fit.
+   rounded again, and the last few pieces go by best fit.  The prices also
+   give a lower bound; while the plan is more than ``GAP`` above it, longer
+   runs follow, and the best of all plans, plain best fit among them, is
+   taken.
 3. Each piece gets its rank among those of its length (ranks within hash
    buckets plus the buckets' running totals, so a length that a third of
    all pieces have is spread over all tasks).  Length and rank give
@@ -35,6 +38,8 @@ from spindle.llm.common import cut, documents, slices
 from spindle.llm.registry import query
 
 SIZE, END_ID = 2048, 0
+#: How far above the lower bound, as a share, a plan may stay without more rounds.
+GAP = 1e-3
 SPECIAL = "<|endoftext|>"
 
 
@@ -171,6 +176,44 @@ def solve(demand: np.ndarray, capacity: int, *, rounds: int = 24, rate: float =
     return found
 
 
+def play(demand: np.ndarray, capacity: int, *, rounds: int = 400, rate: float = 0.3) -> tuple[dict[tuple[int, ...], float], float]:
+    """Fractional configurations that cover ``demand``, and a lower bound of
+    the number of sequences.  Each round takes the configuration of the
+    highest price; its lengths get cheaper by how much of their demand it
+    covers.  Prices under which no configuration is worth more than v bound
+    the number from below by all pieces' worth over v; that is tried with the
+    prices of each round and with their mean."""
+    sizes = np.flatnonzero(demand)
+    need = demand[sizes].astype(float)
+    at = {int(s): i for i, s in enumerate(sizes)}
+    log_worth = np.log(sizes * need)
+    mean, covered = np.zeros(len(sizes)), np.zeros(len(sizes))
+    found: dict[tuple[int, ...], float] = {}
+    bound = float(sizes @ need) / capacity
+
+    def priced(worth):
+        price = worth / need
+        value, taken = knapsack(sizes, price / price.max(), capacity)
+        return taken, worth.sum() / (value[capacity] * price.max())
+
+    for r in range(rounds):
+        worth = np.exp(log_worth - log_worth.max())
+        worth /= worth.sum()
+        mean += worth
+        taken, below = priced(worth)
+        bound = max(bound, below, priced(mean)[1] if r % 10 == 9 else 0.0)
+        config = tuple(s for s in best_with(0, taken, capacity) if s)
+        kinds, times = _uses(config)
+        k = [at[int(x)] for x in kinds]
+        share = times / need[k]
+        amount = 1.0 / share.max()
+        covered[k] += amount * share
+        found[config] = found.get(config, 0.0) + amount
+        log_worth[k] -= rate / np.sqrt(r + 1) * amount * share
+    least = covered.min()
+    return {c: a / least for c, a in found.items()} if least > 0 else {}, bound
+
+
 def round_down(found: dict[tuple[int, ...], float], left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Whole numbers of the configurations, fullest first, within ``left``,
     which they are taken from."""
@@ -252,19 +295,43 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int
     return sorted(bins.items())
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations and how often each is used; they hold every piece."""
+def _total(used: list[tuple[tuple[int, ...], int]]) -> int:
+    return sum(n for _, n in used)
+
+
+def _rounded(found: dict[tuple[int, ...], float], demand: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Whole configurations for all of ``demand``: ``found`` rounded down,
+    the rest by the better of :func:`dive` and best fit."""
+    left = demand.copy()
+    whole = round_down(found, left, capacity)
+    again = left.copy()
+    ends = [dive(again, capacity) + best_fit(again, capacity), best_fit(left, capacity)]
+    return whole + min(ends, key=_total)
+
+
+def bounded_plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], int]:
+    """Configurations and how often each is used, which hold every piece, and
+    a number of sequences that no plan can go below."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
-    out = [((capacity,), int(left[capacity]))] if left[capacity] else []
+    full = int(left[capacity])
+    out = [((capacity,), full)] if full else []
     left[capacity] = 0
     if not left.any():
-        return out
-    whole = round_down(solve(left.copy(), capacity), left, capacity)
-    again = left.copy()
-    ends = [dive(again, capacity) + best_fit(again, capacity), best_fit(left, capacity)]
-    return out + whole + min(ends, key=lambda e: sum(n for _, n in e))
+        return out, full
+    bound = float(np.arange(capacity + 1) @ left) / capacity
+    best = min(_rounded(solve(left, capacity), left, capacity), best_fit(left.copy(), capacity), key=_total)
+    if _total(best) > np.ceil(bound * (1 + GAP)):
+        found, better = play(left, capacity)
+        bound = max(bound, better)
+        best = min(best, _rounded(found, left, capacity), key=_total)
+    return out + best, full + int(np.ceil(bound - 1e-6))
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations and how often each is used; they hold every piece."""
+    return bounded_plan(histogram, capacity)[0]
 
 
 def slots(used: list[tuple[tuple[int, ...], int]], capacity: int) -> dict[int, tuple[np.ndarray, ...]]:

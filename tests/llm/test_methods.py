@@ -323,3 +323,52 @@ def test_rare_script_is_judged_by_its_own_reference(spark):
     assert all(got[5000 + k].kept for k in range(3)) and got[6000].kept and got[6001].kept
     odd = quality_rules.judge(spark.createDataFrame([*rows, (7000, text(greek), "en")], "doc_id long, text string, lang string"))
     assert not odd.filter("doc_id = 7000").first().kept
+
+
+def test_packing_plan_is_near_its_bound():
+    rng = np.random.default_rng(1)
+    for lengths in ([350, 400, 683, 690, 700, 1025, 1030], [650, 700, 1300], [1100], [3, 5, 2000]):
+        kinds, n = np.unique(rng.choice(lengths, 30_000), return_counts=True)
+        histogram = dict(zip(kinds.tolist(), n.tolist(), strict=True))
+        used, bound = packing.bounded_plan(histogram, 2048)
+        left = np.zeros(2049, np.int64)
+        left[kinds] = n
+        plain = sum(k for _, k in packing.best_fit(left, 2048))
+        assert bound <= sum(k for _, k in used) <= min(plain, 1.005 * bound + 1)
+        held = {}
+        for config, copies in used:
+            assert sum(config) <= 2048
+            for s in config:
+                held[s] = held.get(s, 0) + copies
+        assert held == histogram
+
+
+def test_packing_bound_is_below_every_plan():
+    # exact optimum of small cases: fewest sequences over all ways to fill them
+    from functools import lru_cache
+
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        lengths = tuple(sorted(rng.integers(2, 10, 7).tolist(), reverse=True))
+
+        @lru_cache(None)
+        def fewest(i, rooms):
+            if i == len(lengths):
+                return len(rooms)
+            options = [fewest(i + 1, tuple(sorted((*rooms, 12 - lengths[i]))))]
+            options += [fewest(i + 1, tuple(sorted((*rooms[:j], r - lengths[i], *rooms[j + 1:])))) for j, r in enumerate(rooms) if r >= lengths[i]]
+            return min(options)
+
+        kinds, n = np.unique(lengths, return_counts=True)
+        used, bound = packing.bounded_plan(dict(zip(kinds.tolist(), n.tolist(), strict=True)), 12)
+        assert bound <= fewest(0, ()) <= sum(k for _, k in used) <= fewest(0, ()) + 1
+
+
+def test_training_text_takes_windows_of_all_different_texts():
+    head = "same header " * 200
+    texts = [head + chr(97 + i) * 5000 for i in range(20)] + ["short one", "short one"]
+    got = langid.training_text(texts, 12_000)
+    assert len(got) <= 12_000 and got.count("short one") == 1
+    assert all(chr(97 + i) * 100 in got for i in range(20))
+    assert langid.training_text(texts, 10**6).count("short one") == 1
+    assert langid.excerpt("abc", 0) == "" and langid.training_text([], 10) == ""
