@@ -15,6 +15,7 @@ from pyspark.ml.feature import (PCA, Bucketizer, HashingTF, IndexToString, Norma
                                 OneHotEncoder, QuantileDiscretizer, RegexTokenizer,
                                 StringIndexer, StringIndexerModel, Tokenizer, VectorAssembler,
                                 VectorIndexer, Word2Vec)
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -45,6 +46,23 @@ def hashing_tf(df: DataFrame, input_col: str, output_col: str = "tf",
                      binary=binary).transform(df)
 
 
+def hash_slots(df: DataFrame, tf_col: str, keep: Sequence[str]) -> DataFrame:
+    """(``keep``…, slot, value) of every filled slot of a hashed vector."""
+    slots = df.select(*[F.col(q(c)) for c in keep], F.posexplode(vector_to_array(q(tf_col))).alias("slot", "value"))
+    return slots.filter(F.col("value") != 0)
+
+
+def hash_collisions(df: DataFrame, words_col: str, num_features: int = 1000) -> DataFrame:
+    """(slot, n_words, n_tokens, first_word) of the slots that several words
+    share, to choose ``num_features`` by.  Words are counted first, so each
+    is hashed once, and a frequent one moves one row from a task."""
+    words = (df.select(F.explode(q(words_col)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("_words", F.array("word")))
+    slots = hash_slots(hashing_tf(words, "_words", "_tf", num_features), "_tf", ["word", "n"])
+    return (slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n_words"), F.sum("n").alias("n_tokens"), F.min("word").alias("first_word"))
+            .filter(F.col("n_words") > 1))
+
+
 def fit_word2vec(df: DataFrame, input_col: str, output_col: str = "w2v", vector_size: int = 3,
                  min_count: int = 0, seed: int = 42, num_partitions: int = 8,
                  max_iter: int = 1):

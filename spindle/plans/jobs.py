@@ -16,12 +16,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.functions import scalar
 from spindle.operators import clean, evaluate, features, learners, profile, reports, split, tune
+from spindle.operators.indexer import LabelsBack, TableIndexer, TableIndexerModel
 from spindle.operators.layout import FIT_PARTITIONS, fit_input
 
 
@@ -46,11 +46,13 @@ def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame, partitions:
     return PipelineModel(stages=list(prep.stages) + [fitted])
 
 
-def _label_converter(model, label_out: str = "predictedLabel") -> IndexToString:
-    """IndexToString with the labels of the fitted inner label indexer."""
-    idx = next(s for s in model.stages if isinstance(s, StringIndexerModel)
-               and s.getOutputCol() == "indexedLabel")
-    return IndexToString(inputCol="prediction", outputCol=label_out, labels=list(idx.labels))
+def _label_stages(model: PipelineModel) -> list[TableIndexerModel]:
+    return [s for s in model.stages if isinstance(s, TableIndexerModel) and s.getOutputCol() == "indexedLabel"]
+
+
+def _label_converter(model: PipelineModel, label_out: str = "predictedLabel") -> LabelsBack:
+    """Predictions to labels, by the table of the fitted inner label indexer."""
+    return _label_stages(model)[0].back("prediction", label_out)
 
 
 def score_unlabelled(model: PipelineModel, df: DataFrame,
@@ -58,10 +60,8 @@ def score_unlabelled(model: PipelineModel, df: DataFrame,
     """Score rows that have no label (a separate call, no evaluation): the
     label indexer is skipped and predictions are mapped back to label
     values with the fitted index."""
-    label_idx = [s for s in model.stages if isinstance(s, StringIndexerModel)
-                 and s.getOutputCol() == "indexedLabel"]
-    stages = [s for s in model.stages if not (label_idx and s is label_idx[0])]
-    scored = PipelineModel(stages=stages).transform(df)
+    label_idx = _label_stages(model)
+    scored = PipelineModel(stages=[s for s in model.stages if s not in label_idx]).transform(df)
     if label_idx:
         scored = _label_converter(model, label_out).transform(scored)
     return scored
@@ -73,7 +73,7 @@ def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_col
     """assemble -> index label -> index features -> forest -> labels back."""
     learners.check_label_not_feature(label, feature_cols)
     pre = [features.assembler(feature_cols, "features"),
-           features.string_indexer(label, "indexedLabel"),
+           TableIndexer(inputCol=label, outputCol="indexedLabel"),
            features.vector_indexer("features", "indexedFeatures", max_categories)]
     forest = learners.random_forest_classifier("indexedLabel", "indexedFeatures",
                                                num_trees=num_trees, seed=seed)
@@ -85,9 +85,9 @@ def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_col
 
 def _binary_stages(label: str, numeric: list[str], categorical: list[str],
                    max_categories: int, learner):
-    idx = [features.string_indexer(c, f"{c}_idx", "keep") for c in categorical]
+    idx = [TableIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
     cols = numeric + [f"{c}_idx" for c in categorical]
-    pre = idx + [features.string_indexer(label, "indexedLabel"),
+    pre = idx + [TableIndexer(inputCol=label, outputCol="indexedLabel"),
                  features.assembler(cols, "features"),
                  features.vector_indexer("features", "indexedFeatures", max_categories)]
     return pre, learner
@@ -166,9 +166,9 @@ def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: s
     assemble, 18-setting 3-fold search, score the held-out rows."""
     tr, te, reports_ = clean_parts(table, key, label, age, sex, sib, par, embarked, numeric)
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
-    pre = [features.string_indexer("who", "who_idx", "keep"),
-           features.string_indexer(embarked, "emb_idx", "keep"),
-           features.string_indexer(label, "indexedLabel"),
+    pre = [TableIndexer(inputCol="who", outputCol="who_idx", handleInvalid="keep"),
+           TableIndexer(inputCol=embarked, outputCol="emb_idx", handleInvalid="keep"),
+           TableIndexer(inputCol=label, outputCol="indexedLabel"),
            features.assembler(numeric + [age, "family", "who_idx", "emb_idx"], "features"),
            features.vector_indexer("features", "indexedFeatures", 8)]
     maps = tune.grid([(lr.regParam, [0.5, 0.1, 0.01]), (lr.fitIntercept, None),

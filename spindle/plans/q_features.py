@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from spindle.operators import columns, features
+from spindle.operators.indexer import TableIndexer
 from spindle.plans.registry import query
 from spindle.plans.tables import table
+from spindle.session import scratch_path
+from spindle.sources import models
 
 # Tokenizer rule in SQL: lower-case, split on single whitespace characters,
 # trailing empty tokens dropped; '' gives one empty token.
@@ -54,6 +58,58 @@ def ft_hash_tf(spark, sf):
     return tf.select("doc_id", total.alias("tf_sum"))
 
 
+# MurmurHash3 (x86, 32 bits) of a token's UTF-8 bytes with seed 42.  Fixed
+# values: its public constants.
+_M = 4294967295
+
+
+def _rotl(x: str, by: int) -> str:
+    return f"((({x}) << {by}) | (({x}) >> {32 - by})) & {_M}"
+
+
+def _word(at: str) -> str:
+    """Little-endian number of the four bytes from byte ``at`` of hex ``h`` (bytes past the end: 0)."""
+    part = " || ".join(f"rpad(substr(h, CAST(2 * ({at} + {i}) + 1 AS BIGINT), 2), 2, '0')" for i in (3, 2, 1, 0))
+    return f"CAST('0x' || {part} AS UBIGINT)"
+
+
+def _mixed(k: str) -> str:
+    return f"(({_rotl(f'(({k}) * 3432918353) & {_M}', 15)}) * 461845907) & {_M}"
+
+
+_SLOTS_SQL = _TOKENS_SQL + f""",
+o AS (SELECT doc_id, unnest(toks) AS w FROM k),
+d AS (SELECT w, lower(hex(encode(w))) AS h, octet_length(encode(w)) AS n FROM (SELECT DISTINCT w FROM o)),
+b AS (SELECT w, n, list_transform(range(n // 4), lambda i: {_mixed(_word('4 * i'))}) AS ks,
+             CASE WHEN n % 4 = 0 THEN 0 ELSE {_mixed(_word('4 * (n // 4)'))} END AS tail FROM d),
+m0 AS (SELECT w, xor(xor(CAST(list_reduce(list_prepend(42::UBIGINT, ks),
+              lambda a, x: (({_rotl('xor(a, x)', 13)}) * 5 + 3864292196) & {_M}) AS UBIGINT), CAST(tail AS UBIGINT)), CAST(n AS UBIGINT)) AS x FROM b),
+m1 AS (SELECT w, (xor(x, x >> 16) * 2246822507) & {_M} AS x FROM m0),
+m2 AS (SELECT w, (xor(x, x >> 13) * 3266489909) & {_M} AS x FROM m1),
+m3 AS (SELECT w, CAST(xor(x, x >> 16) AS BIGINT) AS x FROM m2),
+s AS (SELECT w, CAST(((CASE WHEN x >= 2147483648 THEN x - 4294967296 ELSE x END) % 1000 + 1000) % 1000 AS INTEGER) AS slot FROM m3)
+"""
+
+
+@query("ft_hash_slots", _SLOTS_SQL + """
+SELECT doc_id, slot, CAST(count(*) AS DOUBLE) AS n FROM o JOIN s USING (w) GROUP BY doc_id, slot
+""")
+def ft_hash_slots(spark, sf):
+    """Every filled slot of every document."""
+    d = features.tokenize(table(spark, sf, "documents").select("doc_id", "text"), "text", "words")
+    slots = features.hash_slots(features.hashing_tf(d, "words", "tf", 1000), "tf", ["doc_id"])
+    return slots.select("doc_id", "slot", F.col("value").alias("n"))
+
+
+@query("ft_hash_collisions", _SLOTS_SQL + """
+SELECT slot, count(DISTINCT w) AS n_words, count(*) AS n_tokens, min(w) AS first_word
+FROM o JOIN s USING (w) GROUP BY slot HAVING count(DISTINCT w) > 1
+""")
+def ft_hash_collisions(spark, sf):
+    d = features.tokenize(table(spark, sf, "documents").select("text"), "text", "words")
+    return features.hash_collisions(d, "words", 1000)
+
+
 @query("ft_word2vec", _TOKENS_SQL.replace("doc_id", "conv_id, turn").replace("documents", "conversations") + """
 SELECT conv_id, turn, CAST(len(toks) AS INTEGER) AS n_tokens, true AS is_mean FROM k
 """)
@@ -119,6 +175,19 @@ def ft_string_index(spark, sf):
     return features.string_index(o, "o_orderpriority", "priority_index").select("o_orderkey", "priority_index")
 
 
+@query("ft_table_index", _PRIORITY_INDEX_SQL + """
+SELECT o_orderkey, idx AS priority_index, o_orderpriority AS original FROM orders JOIN r ON o_orderpriority = v
+""")
+def ft_table_index(spark, sf):
+    """The index as a stage: saved unfitted, loaded, fitted, saved, loaded
+    and applied, then back to labels by the loaded stage's table."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    unfitted = models.save_stage(Pipeline(stages=[TableIndexer(inputCol="o_orderpriority", outputCol="priority_index")]), scratch_path(spark, "unfitted_index"))
+    fitted = models.save_stage(models.load_pipeline(unfitted).fit(o), scratch_path(spark, "fitted_index"))
+    stage = models.load_pipeline_model(fitted).stages[0]
+    return stage.back("priority_index", "original").transform(stage.transform(o)).select("o_orderkey", "priority_index", "original")
+
+
 @query("ft_index_to_string", "SELECT o_orderkey, o_orderpriority AS original FROM orders")
 def ft_index_to_string(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

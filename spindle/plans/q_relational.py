@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spindle.functions import scalar
 from spindle.functions.udf import register_vectorized
-from spindle.operators import clean, columns, profile, split
+from spindle.operators import clean, columns, frequent, profile, split
 from spindle.plans.registry import query
 from spindle.plans.tables import GAPPY_CUSTOMER_SQL, gappy_customer, split_sql, table
 from spindle.session import scratch_path
@@ -337,6 +337,23 @@ def prof_values(spark, sf):
     return profile.profile_values(gappy_customer(spark, sf), top_n=5)
 
 
+@query("prof_frequent", f"""
+WITH g AS {G},
+long AS (
+  SELECT 'c_custkey' AS "column", CAST(c_custkey AS VARCHAR) AS value FROM g
+  UNION ALL SELECT 'c_name', c_name FROM g
+  UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM g
+  UNION ALL SELECT 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM g
+  UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM g),
+counts AS (SELECT "column", value, count(*) AS count FROM long GROUP BY ALL),
+kept AS (SELECT * FROM counts WHERE count > 0.02 * (SELECT count(*) FROM g))
+SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value ASC NULLS LAST) AS INTEGER) AS rank FROM kept
+""")
+def prof_frequent(spark, sf):
+    """Values above 2 % of the rows; keys and names shuffle nothing."""
+    return frequent.frequent_values(gappy_customer(spark, sf), share=0.02)
+
+
 # --- 2.7 sorts and limits ---------------------------------------------------
 
 @query("sort_desc", "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY o_orderpriority")
