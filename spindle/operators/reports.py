@@ -115,6 +115,20 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
                F.col("split.leftCategoriesOrThreshold")).alias("left_categories"))
 
 
+def tree_places(nodes: DataFrame, max_depth: int) -> DataFrame:
+    """``nodes`` (as of :func:`tree_nodes`) with ``place``: the root of a tree
+    is 1, the children of i are 2i and 2i + 1.  Unlike the ids, places do not
+    depend on what the other branches hold, so trees can be compared."""
+    level = nodes.filter(F.col("id") == 0).select("tree", "id", F.lit(1).cast("long").alias("place"))
+    places = level
+    for _ in range(max_depth):
+        inner = level.join(nodes.select("tree", "id", "left_child", "right_child"), ["tree", "id"]).filter(F.col("left_child") >= 0)
+        level = inner.select("tree", F.posexplode(F.array("left_child", "right_child")).alias("_side", "id"), "place").select(
+            "tree", "id", (2 * F.col("place") + F.col("_side")).alias("place"))
+        places = places.unionByName(level)
+    return nodes.join(places, ["tree", "id"])
+
+
 def tree_text(model) -> str:
     return model.toDebugString
 

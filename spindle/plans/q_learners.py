@@ -198,6 +198,59 @@ def clf_forest(spark, sf):
     return _stump_summary(spark, model)
 
 
+# Greedy depth-5 variance tree over two ordered numbers and a set of seven
+# categories, one level of CTEs after the other.  A cut of a number lies
+# midway to the next value of the whole table; categories are ordered by the
+# mean of their rows in the node, and a prefix of them goes left.
+_DEEP_DEPTH = 5
+
+
+def _deep_sql(depth: int) -> str:
+    ctes = ["""cells AS MATERIALIZED (SELECT l_quantity AS f0, l_discount AS f1, CAST(l_linenumber - 1 AS DOUBLE) AS f2, count(*) AS n,
+            sum(l_extendedprice / 1000 + 15 * ((l_linenumber * 3) % 7)) AS s FROM lineitem GROUP BY 1, 2, 3)""",
+            """cuts AS MATERIALIZED (SELECT 0 AS f, v, (v + lead(v) OVER (ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT f0 AS v FROM cells)
+            UNION ALL SELECT 1, v, (v + lead(v) OVER (ORDER BY v)) / 2 FROM (SELECT DISTINCT f1 AS v FROM cells))""",
+            "c0 AS MATERIALIZED (SELECT 1 AS node, * FROM cells)"]
+    for d in range(depth + 1):
+        ctes.append(f"t{d} AS MATERIALIZED (SELECT node, sum(n) AS n, sum(s) AS s FROM c{d} GROUP BY node)")
+        if d == depth:
+            break
+        ctes.append(f"""b{d} AS MATERIALIZED (
+          WITH a AS (SELECT node, 0 AS f, f0 AS v, f0 AS o, sum(n) AS n, sum(s) AS s FROM c{d} GROUP BY node, f0
+                     UNION ALL SELECT node, 1, f1, f1, sum(n), sum(s) FROM c{d} GROUP BY node, f1
+                     UNION ALL SELECT node, 2, f2, sum(s) / sum(n), sum(n), sum(s) FROM c{d} GROUP BY node, f2),
+          p AS (SELECT node, f, v, o, sum(n) OVER w AS ln, sum(s) OVER w AS ls, CASE WHEN f = 2 THEN list(v) OVER w END AS cats
+                FROM a WINDOW w AS (PARTITION BY node, f ORDER BY o, v ROWS UNBOUNDED PRECEDING)),
+          g AS (SELECT p.*, ls * ls / ln + (t.s - ls) * (t.s - ls) / (t.n - ln) - t.s * t.s / t.n AS gain
+                FROM p JOIN t{d} t USING (node) WHERE ln < t.n)
+          SELECT * FROM g WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, o) = 1)""")
+        ctes.append(f"""c{d + 1} AS MATERIALIZED (SELECT 2 * c.node + CASE WHEN CASE b.f WHEN 0 THEN c.f0 <= b.v WHEN 1 THEN c.f1 <= b.v
+            ELSE list_contains(b.cats, c.f2) END THEN 0 ELSE 1 END AS node, c.f0, c.f1, c.f2, c.n, c.s FROM c{d} c JOIN b{d} b USING (node))""")
+    rows = [f"""SELECT t.node, t.n, t.s, b.f, c.cut, b.cats FROM t{d} t LEFT JOIN b{d} b USING (node)
+            LEFT JOIN cuts c ON c.f = b.f AND c.v = b.v""" for d in range(depth)]
+    rows.append(f"SELECT node, n, s, NULL, NULL, NULL FROM t{depth}")
+    return "WITH " + ",\n".join(ctes) + ",\nnodes AS (" + " UNION ALL ".join(rows) + """)
+SELECT CAST(node AS BIGINT) AS place, CAST(n AS BIGINT) AS n, round(s / n, 4) AS prediction, CAST(coalesce(f, -1) AS INTEGER) AS feature,
+       round(cut, 6) AS threshold, array_to_string(list_transform(list_sort(cats), lambda x: CAST(CAST(x AS INTEGER) AS VARCHAR)), ',') AS left_categories
+FROM nodes
+"""
+
+
+@query("reg_tree_deep", _deep_sql(_DEEP_DEPTH))
+def reg_tree_deep(spark, sf):
+    """The whole node table of a tree of the reference's depth, with a categorical map."""
+    li = table(spark, sf, "lineitem")
+    y = F.col("l_extendedprice") / 1000 + 15 * ((F.col("l_linenumber") * 3) % 7)
+    data = features.assemble(li.select("l_quantity", "l_discount", (F.col("l_linenumber") - 1).cast("double").alias("line"), y.alias("label")),
+                             ["l_quantity", "l_discount", "line"], "features")
+    indexed = features.vector_indexer("features", "indexed", max_categories=7).fit(data).transform(data)
+    model = learners.fit(learners.decision_tree_regressor(features="indexed", max_depth=_DEEP_DEPTH, max_bins=64), indexed)
+    nodes = reports.tree_places(reports.tree_nodes(spark, model), _DEEP_DEPTH)
+    left = F.transform(F.array_sort("left_categories"), lambda x: x.cast("int").cast("string"))
+    return nodes.select("place", F.element_at("stats", 1).cast("long").alias("n"), F.round("prediction", 4).alias("prediction"), "feature",
+                        F.round("threshold", 6).alias("threshold"), F.array_join(left, ",").alias("left_categories"))
+
+
 @query("reg_tree", "WITH " + STUMP_REG_SQL + _STUMP_REG_OUT)
 def reg_tree(spark, sf):
     data = setups.stump_reg_data(spark, sf)
