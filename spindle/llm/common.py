@@ -59,8 +59,9 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def map_text(df: DataFrame, fields: list[T.StructField], make: Callable[[], Callable], column: str = "text",
-             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Run ``make()(texts)`` over slices of ``df[column]`` in Arrow batches.
+             keep: tuple[str, ...] = ("doc_id",), limit: int = SLICE_BYTES) -> DataFrame:
+    """Run ``make()(texts)`` over slices of ``df[column]`` in Arrow batches,
+    of about ``limit`` bytes of text.
 
     ``make`` is called once in each task.  Its result takes a string array
     and returns one array for each of ``fields``; the columns ``keep`` go
@@ -71,7 +72,7 @@ def map_text(df: DataFrame, fields: list[T.StructField], make: Callable[[], Call
     def run(batches):
         fn = make()
         for whole in batches:
-            for part in slices(whole, column):
+            for part in slices(whole, column, limit):
                 texts = part.column(part.schema.get_field_index(column))
                 cols = [part.column(part.schema.get_field_index(k)) for k in keep]
                 cols += [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in fn(texts)]

@@ -49,6 +49,9 @@ ROUNDS = 1
 #: Sets meet by size class, each this much larger than the one before.
 SIZE_STEP = 1.05
 
+#: Bytes of text hashed at once: a shingle takes up to 400 bytes while its slots are drawn.
+STEP_BYTES = 1 << 20
+
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -181,7 +184,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
         return sign
 
-    return map_text(docs, [*(T.StructField(k, T.LongType()) for k in KEY), T.StructField("bands", _LONGS)], make)
+    return map_text(docs, [*(T.StructField(k, T.LongType()) for k in KEY), T.StructField("bands", _LONGS)], make, limit=STEP_BYTES)
 
 
 def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -193,7 +196,7 @@ def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batches):
         for whole in batches:
             some = whole.filter(pa.array(in_set(marks.value, whole.column(1).to_numpy())))
-            for part in slices(some, "text"):
+            for part in slices(some, "text", STEP_BYTES):
                 sets = shingle_sets(part.column(0))
                 items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*fingerprints(sets), items], names=[*KEY, "items"])
@@ -419,7 +422,7 @@ def _told_apart(rows: DataFrame, found: DataFrame) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for part in slices(whole, "text"):
+            for part in slices(whole, "text", STEP_BYTES):
                 marks = fingerprints(shingle_sets(part.column(part.schema.get_field_index("text"))))
                 yield pa.RecordBatch.from_arrays([*part.columns, *marks], names=schema.fieldNames())
 
