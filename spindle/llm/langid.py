@@ -5,13 +5,16 @@ language.  A text is parsed greedily into the longest phrases that occur in
 that language's sample; the language that needs the fewest phrases, each
 weighed by the bits of a place in its sample and divided by the length, wins.
 
-The automata are dense tables over letter classes, broadcast; their size is
-bounded by ``languages * 2 * chars * 64 * 4`` bytes.  All segments of a
-batch walk one table in step, so a character costs one gather.  Phrases end
-at every ``segment`` characters; whole texts are parsed.
+The automata are dense tables over letter classes, broadcast; all of them
+take at most ``2 * all_chars * 64 * 4`` bytes, however many languages there
+are.  All segments of a batch walk one table in step, so a character costs
+one gather.  What a segment's first phrase lacks, as it began in the segment
+before, is put right up to where both parses agree: the phrases are those of
+one parse over the whole text.
 
 Sample: ``docs_per_lang`` rows of each language in hash order (at most twice
-as many), equal texts once, ``chars`` characters in all.  Every sampled text
+as many), equal texts once, ``chars`` characters in all, fewer beyond
+``all_chars / chars`` (10) languages.  Every sampled text
 takes part: a text with more than its share of them gives windows spread over
 its whole length, so that common beginnings do not fill the sample.
 
@@ -108,6 +111,24 @@ def parse_table(automaton: np.ndarray) -> np.ndarray:
     return (to.astype(np.int32) * CLASSES * 4 + np.where(automaton >= 0, 0, ends)).astype(np.int32).ravel()
 
 
+def carry(raw: bytes, table: np.ndarray, start: list[int], size: list[int], later: list[int], state: list[int], count: list[int]) -> None:
+    """Phrases that end in each segment, and its last ``state``, as if the
+    parse of the segment before went on.  ``later`` are the segments that are
+    not their text's first, in order; they were parsed from state 0."""
+    rows = memoryview(table)
+    for g in later:
+        a, b, more = 0, state[g - 1], 0
+        for c in raw[start[g]:start[g] + size[g]]:
+            if a == b:
+                break
+            x, y = rows[a + c], rows[b + c]
+            more += (y & 3) - (x & 3)
+            a, b = x >> 2, y >> 2
+        if a != b:
+            state[g] = b
+        count[g] += more
+
+
 def phrases(classes: np.ndarray, places: np.ndarray, tables: list[np.ndarray], segment: int) -> np.ndarray:
     """Phrases that each text needs (rows) by each table (columns)."""
     lengths = np.diff(places)
@@ -116,8 +137,11 @@ def phrases(classes: np.ndarray, places: np.ndarray, tables: list[np.ndarray], s
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(n_seg) - n_seg, n_seg)
     start = places[:-1][owner] + nth * segment
     size = np.minimum(segment, lengths[owner] - nth * segment)
+    raw, later = classes.tobytes(), np.flatnonzero(nth).tolist()
+    in_order = (start.tolist(), size.tolist(), later) if later else ()
+    last = np.cumsum(n_seg)[n_seg > 0] - 1
     order = np.argsort(-size, kind="stable")
-    start, size, owner = start[order], size[order], owner[order]
+    start, size = start[order], size[order]
     out = np.zeros((len(lengths), len(tables)), np.int64)
     if not len(size):
         return out
@@ -136,8 +160,14 @@ def phrases(classes: np.ndarray, places: np.ndarray, tables: list[np.ndarray], s
             got = table.take(state[:m] + block[t, :m])
             count[:m] += got & 3
             np.right_shift(got, 2, out=state[:m])
-        count += state > 0
-        out[:, k] = np.bincount(owner, count, len(lengths)).astype(np.int64)
+        ends, total = np.empty_like(state), np.empty_like(count)
+        ends[order], total[order] = state, count
+        if later:
+            at_end, found = ends.tolist(), total.tolist()
+            carry(raw, table, *in_order, at_end, found)
+            ends, total = np.array(at_end), np.array(found)
+        total[last] += ends[last] > 0
+        out[:, k] = np.bincount(owner, total, len(lengths)).astype(np.int64)
     return out
 
 
@@ -166,14 +196,15 @@ def training_text(texts: list[str], chars: int) -> str:
     return " ".join(t for t in out if t)
 
 
-def fit(train: DataFrame, *, label: str = "lang", docs_per_lang: int = 60, chars: int = 40_000) -> dict:
+def fit(train: DataFrame, *, label: str = "lang", docs_per_lang: int = 60, chars: int = 40_000, all_chars: int = 400_000) -> dict:
     """The model, from rows with text and a label; see the module for bounds."""
     usable = train.select("doc_id", "text", F.col(label).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     texts: dict[str, list[str]] = {}
     for r in sample_rows(usable, "lang", docs_per_lang, "doc_id", "text").collect():
         texts.setdefault(r["lang"], []).append(r["text"])
     langs = sorted(k for k, v in texts.items() if any(c.isalpha() for t in v for c in t))
-    joined = {k: training_text(texts[k], chars) for k in langs}
+    room = min(chars, all_chars // max(1, len(langs)))
+    joined = {k: training_text(texts[k], room) for k in langs}
     table = class_table(list(joined.values()))
     tables, bits = [], []
     for k in langs:

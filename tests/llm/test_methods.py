@@ -71,6 +71,7 @@ def test_phrases_match_greedy_parsing():
     sample = [rng.choice([0, 1, 2, 3]) for _ in range(60)]
     table = langid.parse_table(langid.suffix_automaton(sample))
     texts = [[rng.choice([0, 1, 2, 3, 4]) for _ in range(rng.randint(0, 40))] for _ in range(30)]
+    texts += [[1, 2] * 50, [3] * 90, sample * 3, [], [4] * 33]
     places = np.cumsum([0, *map(len, texts)])
     got = langid.phrases(np.array(sum(texts, []), np.uint8), places, [table], segment=16)
     joined = "".join(map(str, sample))
@@ -86,7 +87,14 @@ def test_phrases_match_greedy_parsing():
 
     for t, n in zip(texts, got[:, 0], strict=True):
         s = "".join(map(str, t))
-        assert n == sum(greedy(s[i:i + 16]) for i in range(0, len(s), 16))
+        assert n == greedy(s)
+
+
+def test_language_tables_have_a_bound(spark):
+    rows = [(k, f"{chr(97 + k % 20)}ab{k} " * 400, f"l{k % 20}") for k in range(100)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), all_chars=20_000)
+    assert len(model["langs"]) == 20 and sum(t.nbytes for t in model["tables"]) <= 2 * 20_000 * 64 * 4
+    assert langid.predict(model, pa.array([rows[3][1], rows[17][1]]))[0] == ["l3", "l17"]
 
 
 def test_composed_weights_are_the_sum_of_the_parts():
