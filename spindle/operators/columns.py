@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
@@ -90,6 +90,14 @@ def sparse_literal(spark: SparkSession, size: int, entries: Iterable[Mapping[int
     return spark.createDataFrame([(Vectors.sparse(size, dict(e)),) for e in entries], [name])
 
 
+def with_sparse(df: DataFrame, col: str, size: int, entries: Mapping[object, Mapping[int, float]], name: str = "features") -> DataFrame:
+    """``df`` with the sparse vector that ``entries`` gives for the value of
+    ``col``; null where it gives none.  The literals are broadcast."""
+    rows = [(k, Vectors.sparse(size, dict(e))) for k, e in entries.items()]
+    lookup = df.sparkSession.createDataFrame(rows, StructType([StructField("_key", df.schema[col].dataType), StructField(name, VectorUDT())]))
+    return df.join(F.broadcast(lookup), F.col(q(col)) == F.col("_key"), "left").drop("_key")
+
+
 def to_vector(cols: Sequence[str]):
     """Dense vector column from numeric columns (no assembler metadata)."""
     return array_to_vector(F.array(*[F.col(q(c)).cast("double") for c in cols]))

@@ -131,8 +131,8 @@ def clf_logreg_elastic(spark, sf):
 
 
 _HINGE_GRID = """
-SELECT min(hinge + 0.1 * w) AS least
-FROM (SELECT w, b, sum(n * greatest(0, 1 - s * (w * x + b))) / sum(n) AS hinge
+SELECT min(loss) AS least
+FROM (SELECT w, b, sum(n * greatest(0, 1 - s * (w * x + b))) / sum(n) + {penalty} AS loss
       FROM groups, (SELECT {i} AS w FROM {w}) ws, (SELECT {j} AS b FROM {b}) bs GROUP BY w, b) grid
 """
 
@@ -142,17 +142,40 @@ WITH groups AS (SELECT CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END AS s,
                        CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END + round(40 * l_discount - 2, 6) AS x, CAST(count(*) AS DOUBLE) AS n
                 FROM lineitem GROUP BY ALL)
 SELECT round(least, 6) AS grid_loss, true AS reached FROM (""" + _HINGE_GRID.format(
-    i="i / 50.0", w="range(0, 76) t(i)", j="j / 50.0", b="range(-50, 51) t(j)") + ")")
+    i="i / 50.0", w="range(0, 76) t(i)", j="j / 50.0", b="range(-50, 51) t(j)", penalty="0.1 * w") + ")")
 def clf_svm_l1(spark, sf):
     """The alternative updater (L1, penalty 0.1) on overlapping groups: the
     loss reached is that of the best point of a fine grid, within 1e-3."""
     rows = setups.overlapping(spark, sf)
     model = learners.fit_linear_svc_l1(features.assemble(rows, ["x"], "features"))
     spark_groups = rows.groupBy((2 * F.col("label") - 1).alias("s"), "x").agg(F.count("*").alias("n"))
-    least = spark.sql(_HINGE_GRID.format(i="id / 50.0", w="range(0, 76)", j="id / 50.0", b="range(-50, 51)").replace("groups", "{groups}"), groups=spark_groups)
+    least = spark.sql(_HINGE_GRID.format(i="id / 50.0", w="range(0, 76)", j="id / 50.0", b="range(-50, 51)", penalty="0.1 * w").replace("groups", "{groups}"), groups=spark_groups)
     return least.select(F.round("least", 6).alias("grid_loss"), (F.abs(F.col("least") - F.lit(model.objective)) <= 1e-3).alias("reached"))
 
 
+_RIDGE = "0.5 * w * w * max(spread)"  # penalty 1.0 on the standardised coefficient
+
+
+@query("clf_svm_overlap", """
+WITH d AS (SELECT CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END AS s,
+                  CAST(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END + round(40 * l_discount - 2, 6) AS DOUBLE) AS x FROM lineitem),
+groups AS (SELECT s, x, CAST(count(*) AS DOUBLE) AS n, (SELECT var_samp(x) FROM d) AS spread FROM d GROUP BY ALL)
+SELECT round(least, 6) AS grid_loss, true AS reached FROM (""" + _HINGE_GRID.format(
+    i="i / 100.0", w="range(0, 101) t(i)", j="j / 100.0", b="range(-60, 61) t(j)", penalty=_RIDGE) + ")")
+def clf_svm_overlap(spark, sf):
+    """The reference's settings (100 iterations, L2 1.0) on overlapping groups:
+    the loss of the fitted plane is at most 1e-3 above the best of a grid."""
+    rows = setups.overlapping(spark, sf)
+    model = learners.fit(learners.linear_svc(), features.assemble(rows, ["x"], "features"))
+    groups = rows.groupBy((2 * F.col("label") - 1).alias("s"), "x").agg(F.count("*").alias("n"))
+    groups = groups.withColumn("spread", F.lit(rows.agg(F.var_samp("x")).first()[0]))
+    grid = dict(i="id / 100.0", w="range(0, 101)", j="id / 100.0", b="range(-60, 61)")
+    point = dict(i=f"id + {float(model.coefficients[0])!r}D", w="range(0, 1)", j=f"id + {float(model.intercept)!r}D", b="range(0, 1)")
+    least, reached = (spark.sql(_HINGE_GRID.format(**at, penalty=_RIDGE).replace("groups", "{groups}"), groups=groups) for at in (grid, point))
+    both = least.withColumn("loss", F.lit(reached.first()[0]))
+    return both.select(F.round("least", 6).alias("grid_loss"), (F.col("loss") <= F.col("least") + 1e-3).alias("reached"))
+
+
 # --- trees ------------------------------------------------------------------
 
 _STUMP_CLASS_OUT = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spindle.functions import scalar
 from spindle.functions.udf import register_vectorized
-from spindle.operators import clean, columns, frequent, profile, split
+from spindle.operators import clean, columns, features, frequent, layout, profile, split
 from spindle.plans.registry import query
 from spindle.plans.tables import GAPPY_CUSTOMER_SQL, gappy_customer, split_sql, table
 from spindle.session import scratch_path
@@ -219,6 +219,21 @@ def vec_literal(spark, sf):
     return columns.vector_items(v, "v", 3, keep=["l_orderkey", "l_linenumber"])
 
 
+@query("vec_sparse", """
+SELECT l_orderkey, l_linenumber, l_quantity AS f0, CAST(0 AS DOUBLE) AS f1,
+       CAST(CASE l_returnflag WHEN 'A' THEN 1 ELSE 0 END AS DOUBLE) AS f2, CAST(0 AS DOUBLE) AS f3,
+       CAST(CASE l_returnflag WHEN 'A' THEN 7 WHEN 'R' THEN 2.5 ELSE 0 END AS DOUBLE) AS f4
+FROM lineitem
+""")
+def vec_sparse(spark, sf):
+    """Sparse literals by return flag, one of them without an entry, behind a
+    plain column in one vector."""
+    li = table(spark, sf, "lineitem")
+    flagged = columns.with_sparse(li, "l_returnflag", 4, {"A": {1: 1.0, 3: 7.0}, "N": {}, "R": {3: 2.5}}, "flag")
+    v = features.assemble(flagged, ["l_quantity", "flag"], "v")
+    return columns.vector_items(v, "v", 5, keep=["l_orderkey", "l_linenumber"])
+
+
 # --- 2.3 filters and missing data -------------------------------------------
 
 @query("flt_compare", "SELECT * FROM orders WHERE o_totalprice > 250000")
@@ -396,16 +411,13 @@ SELECT l_returnflag, l_linestatus, count(*) AS count, round(sum(l_quantity), 2)
 FROM lineitem GROUP BY ALL
 """)
 def cache_table(spark, sf):
-    """Kept rows are read twice, then let go."""
-    li = split.cache(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
-    try:
+    """Kept rows are read twice, then let go; the groups are written before."""
+    path = scratch_path(spark, "cached_groups")
+    with layout.kept(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")) as li:
         groups = li.groupBy("l_returnflag", "l_linestatus").agg(
-            F.count(F.lit(1)).alias("count"), F.round(F.sum("l_quantity"), 2).alias("sum_qty")).collect()
-        total = li.count()
-    finally:
-        li.unpersist()
-    return spark.createDataFrame([(*r, total) for r in groups],
-                                 "l_returnflag string, l_linestatus string, count long, sum_qty double, total long")
+            F.count(F.lit(1)).alias("count"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
+        groups.withColumn("total", F.lit(li.count())).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # --- 2.9 / 2.10 scalar rules and user functions ------------------------------

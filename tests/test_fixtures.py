@@ -65,6 +65,14 @@ def test_sparse_literals_and_dense_vectors_are_one(spark):
     assert items[0] == items[1] and sparse.first()["features"] == Vectors.sparse(5, [1, 3], [1.0, 7.0])
 
 
+def test_sparse_vectors_by_the_value_of_a_column(spark):
+    df = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, None, 0), (4, "z", 0), (5, "a", 0)], "id long, k string, _other int")
+    got = {r["id"]: r["v"] for r in columns.with_sparse(df, "k", 5, {"a": {1: 1.0, 3: 7.0}, "b": {}}, "v").collect()}
+    full, empty = Vectors.sparse(5, [1, 3], [1.0, 7.0]), Vectors.sparse(5, [], [])
+    assert got == {1: full, 2: empty, 3: None, 4: None, 5: full}
+    assert columns.with_sparse(df.filter("false"), "k", 5, {}, "v").collect() == []
+
+
 def test_string_index_order_and_round_trip(spark):
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "a"), (4, "a"), (5, "c")], ["id", "category"])
     built_in = features.string_indexer("category", "idx").fit(df)
