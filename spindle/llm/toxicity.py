@@ -257,13 +257,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class:
 
 
 def _scorer(shared):
-    """In a task: texts to scores."""
+    """In a task: texts to scores, and whether any clause of a text weighs."""
     model, table = shared.value, grammar()
     tagger = Tagger(model["words"], model["stems"])
 
     def score(texts):
-        z = np.clip(features(texts, tagger, table) @ model["weights"], -30, 30)
-        return 1 / (1 + np.exp(-z))
+        x = features(texts, tagger, table)
+        z = np.clip(x @ model["weights"], -30, 30)
+        return 1 / (1 + np.exp(-z)), x[:, 1] > 0
 
     return score
 
@@ -274,18 +275,25 @@ def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
 
     def make():
         score = _scorer(shared)
-        return lambda texts: [pa.array(score(texts), pa.float64())]
+        return lambda texts: [pa.array(score(texts)[0], pa.float64())]
 
     return map_text(docs, [T.StructField("score", T.DoubleType())], make)
 
 
 def remove_toxic(docs: DataFrame, model: dict, limit: float = 0.5) -> DataFrame:
-    """The documents, with all columns, that score under ``limit``."""
+    """The documents, with all columns, that score under ``limit`` or have no
+    clause that weighs: such texts score what the labels' share of toxic ones
+    makes of them, which is no ground to reject one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         score = _scorer(shared)
-        return lambda texts: score(texts) < limit
+
+        def stays(texts):
+            scores, weighs = score(texts)
+            return (scores < limit) | ~weighs
+
+        return stays
 
     return filter_text(docs, make)
 

@@ -1,6 +1,7 @@
 """Every operator and stage over messy and empty tables with extra columns."""
 
 import math
+import zlib
 
 import pytest
 
@@ -62,11 +63,27 @@ def test_toxicity(messy, nothing, label_rows):
     assert toxicity.score_toxicity(nothing, model).collect() == []
 
 
-def test_packing(messy, nothing):
+def test_packing(messy, messy_rows, nothing):
     got = packing.pack_documents(messy).collect()
     assert {(r.doc_id, r.start, r.length) for r in got} >= {(1, 0, 1), (2, 0, 1)}
     assert len([r for r in got if r.doc_id == 5]) == 2
     assert packing.pack_documents(nothing).collect() == []
+    # round trip: the pieces are those of all texts, and sequences have no gaps
+    encoder = packing.Encoder(*packing.vocabulary())
+    want = []
+    for doc, text, _ in messy_rows:
+        ids = encoder.ids(text) + b"\0" * 4
+        want += [(doc, k, a, b - a, zlib.crc32(ids[4 * a:4 * b])) for k, (a, b) in enumerate(packing.cut_points(len(ids) // 4, packing.SIZE))]
+    assert sorted([(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got], key=repr) == sorted(want, key=repr)
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= packing.SIZE
 
 
 def test_url_filter(spark):
@@ -109,3 +126,16 @@ def test_stage_keeps_columns(spark, messy, nothing, tmp_path, bench_items, label
     got = stage(spark, messy, str(tmp_path))
     assert got.columns == messy.columns and 0 < got.count() <= messy.count()
     assert stage(spark, nothing, str(tmp_path)).collect() == []
+
+
+def test_whole_pipeline_on_messy_and_empty_tables(spark, messy, messy_rows, nothing, tmp_path, bench_items, label_rows):
+    for folder, docs in (("messy", messy), ("empty", nothing)):
+        docs.write.parquet(f"{tmp_path}/{folder}/documents.parquet")
+        bench_items.write.parquet(f"{tmp_path}/{folder}/benchmark.parquet")
+        label_rows.write.parquet(f"{tmp_path}/{folder}/labels.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/messy").collect()
+    # of the equal texts of 4, 5 and 5 the first stays; rows without an id, texts without words and harmless ones all stay
+    ids = [r.doc_id for r in got if r.piece == 0]
+    assert set(ids) - {11} == {i for i, _, _ in messy_rows} - {5, 11} and ids.count(4) == 1 and ids.count(None) == 2
+    assert {r.length for r in got if r.doc_id in (1, 2)} == {1} and len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
