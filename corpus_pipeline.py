@@ -5,8 +5,9 @@ written as Parquet and read again as the next stage's ``docs``; a lost
 executor repeats one stage's tasks at most.  All but the last keep the
 columns of ``docs``, whichever they are.
 
-1. toxicity: documents that score 0.5 or more go.  The model learns from the
-   labels of rows whose crc32(doc_id) mod 5 is not 0.
+1. toxicity: documents that score 0.5 or more go, if a clause of theirs
+   weighs at all.  The model learns from the labels of rows whose
+   crc32(doc_id) mod 5 is not 0.
 2. near_dedup: one document of each group of near copies stays.
 3. decontamination: documents in which a benchmark window occurs go.
 4. secrets: values that look secret are replaced; documents stay.
