@@ -26,7 +26,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
 
 from spindle.operators import batched
 from spindle.operators.columns import q
-from spindle.operators.layout import FIT_PARTITIONS, fit_input
+from spindle.operators.layout import fit_input, fit_partitions, only_read
 
 
 def pipeline(stages: Sequence) -> Pipeline:
@@ -143,7 +143,7 @@ _METRICS = StructType([StructField("setting", IntegerType(), False),
 
 def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
               maps: Sequence[Mapping], evaluator, fold_col: str, num_folds: int,
-              parallelism: int = PARALLEL_FITS, partitions: int = FIT_PARTITIONS, together: bool = True):
+              parallelism: int = PARALLEL_FITS, partitions: int | None = None, together: bool = True):
     """k-fold search with fold-wise reuse of the stages before the learner.
 
     Returns (best PipelineModel refitted on all rows, metrics DataFrame of
@@ -154,6 +154,7 @@ def search_cv(spark: SparkSession, df: DataFrame, pre_stages: Sequence, learner,
     fits, so no fold waits for another one's slowest fit.  Both give the
     optimum of the same objective.
     """
+    partitions = partitions or fit_partitions(only_read(df, [*pre_stages, learner, evaluator], [fold_col]))
     # many fits read this input: it is written to the shared folder first
     with fit_input(df, [*pre_stages, learner, evaluator], partitions, reliable=True, also=[fold_col]) as read:
         data = read.persist(StorageLevel.MEMORY_AND_DISK)
@@ -239,7 +240,7 @@ def _best(results: Sequence[tuple[int, int, float]], evaluator) -> int:
 
 
 def search_holdout(spark: SparkSession, train: DataFrame, valid: DataFrame, learner,
-                   maps: Sequence[Mapping], evaluator, parallelism: int = PARALLEL_FITS, partitions: int = FIT_PARTITIONS):
+                   maps: Sequence[Mapping], evaluator, parallelism: int = PARALLEL_FITS, partitions: int | None = None):
     """One fit of each setting on ``train``, measured on ``valid``: (models,
     metrics DataFrame of (setting, metric), index of the best).  Both parts
     are kept while all settings read them."""
@@ -255,7 +256,7 @@ def search_holdout(spark: SparkSession, train: DataFrame, valid: DataFrame, lear
     return [m for m, _ in found], table, _best(results, evaluator)
 
 
-def fit_pipeline(stages: Sequence, df: DataFrame, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+def fit_pipeline(stages: Sequence, df: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit stages in order on a laid-out, persisted copy of the input."""
     with fit_input(df, stages, partitions) as data:
         return Pipeline(stages=list(stages)).fit(data)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from spindle.functions import scalar
 from spindle.operators import clean, evaluate, features, learners, profile, reports, split, tune
 from spindle.operators.indexer import LabelsBack, TableIndexer, TableIndexerModel
-from spindle.operators.layout import FIT_PARTITIONS, fit_input
+from spindle.operators.layout import fit_input
 
 
 @dataclass
@@ -33,7 +33,7 @@ class JobResult:
     reports: dict = field(default_factory=dict)
 
 
-def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+def tree_pipeline(pre_stages: list, tree_learner, train: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit the stages before a tree learner, check that no categorical
     feature has more values than the learner's maxBins (the fit would fail
     late otherwise), then fit the learner on the same persisted input."""
@@ -69,7 +69,7 @@ def score_unlabelled(model: PipelineModel, df: DataFrame,
 
 def multiclass_forest(train: DataFrame, test: DataFrame, label: str, feature_cols: list[str],
                       num_trees: int = learners.FOREST_TREES, max_categories: int = 4,
-                      seed: int = 42, partitions: int = FIT_PARTITIONS) -> JobResult:
+                      seed: int = 42, partitions: int | None = None) -> JobResult:
     """assemble -> index label -> index features -> forest -> labels back."""
     learners.check_label_not_feature(label, feature_cols)
     pre = [features.assembler(feature_cols, "features"),
@@ -94,7 +94,7 @@ def _binary_stages(label: str, numeric: list[str], categorical: list[str],
 
 
 def binary_logistic(train: DataFrame, test: DataFrame, label: str, numeric: list[str],
-                    categorical: list[str], max_categories: int = 8, partitions: int = FIT_PARTITIONS) -> JobResult:
+                    categorical: list[str], max_categories: int = 8, partitions: int | None = None) -> JobResult:
     """The credit-card script: logistic regression with ROC and loss history."""
     learners.check_label_not_feature(label, numeric + categorical)
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100, reg=0.0)
@@ -113,7 +113,7 @@ def binary_logistic_cv(spark: SparkSession, train: DataFrame, test: DataFrame, l
                        numeric: list[str], categorical: list[str], fold_keys: list[str],
                        reg_values=(0.1, 0.01), elastic_values=(0.0, 0.5, 1.0),
                        num_folds: int = 3, max_categories: int = 4,
-                       parallelism: int = tune.PARALLEL_FITS, partitions: int = FIT_PARTITIONS) -> JobResult:
+                       parallelism: int = tune.PARALLEL_FITS, partitions: int | None = None) -> JobResult:
     """3-fold search over regParam x fitIntercept x elasticNet (12 settings
     by default), folds from a key hash, then refit on all training rows."""
     lr = learners.logistic_regression("indexedLabel", "indexedFeatures", max_iter=100)
@@ -161,7 +161,7 @@ def clean_parts(table: DataFrame, key: str, label: str, age: str, sex: str, sib:
 
 def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: str,
                        age: str, sex: str, sib: str, par: str, embarked: str,
-                       numeric: list[str], parallelism: int = tune.PARALLEL_FITS, partitions: int = FIT_PARTITIONS) -> JobResult:
+                       numeric: list[str], parallelism: int = tune.PARALLEL_FITS, partitions: int | None = None) -> JobResult:
     """The titanic script: profile, impute on train, derive, index,
     assemble, 18-setting 3-fold search, score the held-out rows."""
     tr, te, reports_ = clean_parts(table, key, label, age, sex, sib, par, embarked, numeric)
@@ -185,7 +185,7 @@ def clean_and_classify(spark: SparkSession, table: DataFrame, key: str, label: s
 
 def gbt_regression(train: DataFrame, test: DataFrame, label: str, feature_cols: list[str],
                    max_categories: int = 24, rounds: int = learners.GBT_REGRESSOR_ROUNDS,
-                   seed: int = 42, partitions: int = FIT_PARTITIONS) -> JobResult:
+                   seed: int = 42, partitions: int | None = None) -> JobResult:
     """The bike-hours script: assemble -> index features -> GBT -> RMSE."""
     learners.check_label_not_feature(label, feature_cols)
     cast = lambda df: df.withColumn(label, F.col(label).cast("double"))
@@ -199,7 +199,7 @@ def gbt_regression(train: DataFrame, test: DataFrame, label: str, feature_cols:
 
 
 def text_classify(train: DataFrame, test: DataFrame, text: str, label: str,
-                  num_features: int = 1000, partitions: int = FIT_PARTITIONS) -> JobResult:
+                  num_features: int = 1000, partitions: int | None = None) -> JobResult:
     """Tokenize -> hash (1000) -> logistic regression (10 iterations, 0.01)."""
     from pyspark.ml.feature import HashingTF, Tokenizer
 

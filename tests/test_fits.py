@@ -47,6 +47,35 @@ def test_hot_row_is_expanded_in_pieces(spark, monkeypatch):
     assert max(_sizes(out, 4)) <= 254
 
 
+def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
+    """Without a given number, a partition holds no more as the table grows."""
+    rows = lambda n: spark.range(n).selectExpr("CAST(id AS DOUBLE) AS label", "CAST(id % 7 AS DOUBLE) AS x")
+    each = layout.ROW_BYTES + 16
+    monkeypatch.setattr(layout, "PARTITION_BYTES", 100 * each)
+    assert layout.fit_partitions(rows(0)) == layout.fit_partitions(rows(700)) == layout.FIT_PARTITIONS
+    for n in (2000, 6000):
+        for made in (rows(n), rows(n).coalesce(1)):
+            with layout.fit_input(made) as data:
+                assert data.rdd.getNumPartitions() == n // 100
+                sizes = _sizes(data, n // 100)
+                assert sum(sizes) == n and max(sizes) <= 200
+    hot = rows(1).crossJoin(spark.range(5000)).select("label", "x")
+    assert max(_sizes(layout.by_content(hot), 50)) <= 101
+
+
+def test_wide_values_count_for_the_partitions_of_a_fit(spark, monkeypatch):
+    monkeypatch.setattr(layout, "PARTITION_BYTES", 10_000)
+    texts = spark.createDataFrame([("x" * 5000, ["y" * 400, None], None)] * 20 + [(None, None, None)], "text string, words array<string>, gap array<double>")
+    least = 20 * 5400 // 10_000
+    assert least <= layout.fit_partitions(texts) <= 2 * least
+    plain = texts.limit(20).selectExpr("array_repeat(1.0D, 1000) AS x")
+    from pyspark.ml.functions import array_to_vector
+    vectors = plain.select(array_to_vector("x").alias("features"))
+    assert layout.fit_partitions(vectors) >= 20 * 8000 // 10_000
+    search = tune.search_cv(spark, _folded(spark), [], learners.logistic_regression(max_iter=3), [{}], MulticlassClassificationEvaluator(metricName="accuracy"), "_fold", 3)
+    assert search[2] == 0
+
+
 def _folded(spark):
     train, _ = split.keyed_split(q_jobs.binary_input(spark, SF_MID), "doc_id")
     rows = train.withColumn("label", F.col("quality").cast("double")).withColumn("_fold", split.fold_column(["doc_id"], 3))
