@@ -13,15 +13,17 @@
 4. In each bucket all classes are compared with the smallest number (a star,
    no pairs), on full sets.  Union-find gives components.
 5. Only buckets that then still hold several components can hide a link.
-   They get some rounds of stars with other centres, which join most of a
-   large group.  The classes of the buckets that are left meet across
+   They get rounds of stars with other centres, until a round links nothing,
+   which join nearly all of a large group: a class that stays out meets all of
+   its group later.  The classes of the buckets that are left meet across
    components at the rare shingles of an exact prefix filter, and full sets
    decide each pair that it leaves.
 
 Nothing is collected: sets, edges and labels stay in tables.  Joins with a
 hot side are between written tables, so that AQE can split them; the sets are
 recomputed for classes in shared buckets only, in a scan that a bit set of a
-fixed size leads to their texts: at any size, no text is shuffled for them.
+fixed size leads to their texts; texts are shuffled for them only once the
+classes would fill that set.
 
 Edge cases: null or empty text, or text without words, has no set, is linked
 with nothing and kept; fewer than five words are one shingle.  A null doc_id
@@ -39,16 +41,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.llm import oracles
-from spindle.llm.common import bit_set, cut, documents, in_set, map_text, slices, utf8
+from spindle.llm.common import FILTER_BITS, bit_set, cut, documents, in_set, map_text, slices, utf8
 from spindle.llm.registry import query
 
 WORDS, SLOTS, BANDS = 5, 128, 32
 PERCENT = 75
-#: Rounds of stars with other centres before prefixes settle what is left; more rounds leave less, none changes the result.
-ROUNDS = 1
+#: Rounds of stars with other centres, at most, before prefixes settle what is left; more rounds leave less, none changes the result.
+ROUNDS = 6
 #: Sets meet by size class, each this much larger than the one before.
 SIZE_STEP = 1.05
 
+#: Classes whose texts a broadcast bit set can find; more would let nearly all texts through, so that theirs are joined by id.
+BROADCAST_IDS = FILTER_BITS
+
 #: Bytes of text hashed at once: a shingle takes up to 400 bytes while its slots are drawn.
 STEP_BYTES = 1 << 20
 
@@ -191,11 +196,15 @@ def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """rep and the set (items) of each of ``classes`` (rep, low, fingerprint):
     texts whose id may be the ``low`` of a class are hashed again, and the
     fingerprint tells which are."""
-    marks = docs.sparkSession.sparkContext.broadcast(bit_set(classes.select(F.xxhash64("low").alias("h"))))
+    marks = None
+    if classes.count() <= BROADCAST_IDS:
+        marks = docs.sparkSession.sparkContext.broadcast(bit_set(classes.select(F.xxhash64("low").alias("h"))))
+    else:
+        docs = docs.join(classes.select(F.col("low").alias("doc_id")), "doc_id", "left_semi")
 
     def run(batches):
         for whole in batches:
-            some = whole.filter(pa.array(in_set(marks.value, whole.column(1).to_numpy())))
+            some = whole if marks is None else whole.filter(pa.array(in_set(marks.value, whole.column(1).to_numpy())))
             for part in slices(some, "text", STEP_BYTES):
                 sets = shingle_sets(part.column(0))
                 items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))

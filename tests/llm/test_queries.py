@@ -136,6 +136,34 @@ def test_a_hot_bucket_is_not_compared_pair_by_pair(spark, monkeypatch):
     assert sum(compared) < 12_720 / 4 and compared[-1] < len(rows)
 
 
+def test_stars_go_on_while_they_link(spark, monkeypatch):
+    """A class that stays out of a large group meets all of it at the
+    prefixes, so that stars come first until one links nothing."""
+    rng = random.Random(6)
+    rows = []
+    for doc in range(300):
+        words = [f"b{k}" for k in range(100)]
+        for k in rng.sample(range(100), 3):
+            words[k] = f"w{doc}x{k}"
+        rows.append((doc, " ".join(words)))
+    stars, left = [], []
+    fresh_star, candidates = near_dup.fresh_star, near_dup.candidates
+
+    def star(spots, turn, *args):
+        stars.append(turn)
+        return fresh_star(spots, turn, *args)
+
+    def meet(spots, *args):
+        left.append(spots.select("label").distinct().count())
+        return candidates(spots, *args)
+
+    monkeypatch.setattr(near_dup, "fresh_star", star)
+    monkeypatch.setattr(near_dup, "candidates", meet)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: tuple(r)[1:] for r in near_dup.near_duplicates(docs).collect()} == plain.near_duplicates(rows)
+    assert 2 <= len(stars) <= near_dup.ROUNDS and len(left) == 1
+
+
 def test_shuffled_sets_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
     rows = near_copies(random.Random(3))[:150]
