@@ -13,9 +13,9 @@
 4. In each bucket all classes are compared with the smallest number (a star,
    no pairs), on full sets.  Union-find gives components.
 5. Only buckets that then still hold several components can hide a link.
-   They get rounds of stars with other centres, until a round links nothing,
-   which join nearly all of a large group: a class that stays out meets all of
-   its group later.  The classes of the buckets that are left meet across
+   They get stars with several other centres, all in one pass, which join
+   nearly all of a large group: a class that stays out meets all of its group
+   later.  The classes of the buckets that are left meet across
    components at the rare shingles of an exact prefix filter, and full sets
    decide each pair that it leaves.
 
@@ -33,6 +33,8 @@ An empty table gives an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,8 +48,9 @@ from spindle.llm.registry import query
 
 WORDS, SLOTS, BANDS = 5, 128, 32
 PERCENT = 75
-#: Rounds of stars with other centres, at most, before prefixes settle what is left; more rounds leave less, none changes the result.
-ROUNDS = 6
+#: Draws of other centres in each bucket, and centres of a draw, before prefixes settle what is left; more leave less, none changes the
+#: result.  All draws are compared and joined at once: a pass costs some twenty jobs, however few links it finds.
+ROUNDS, CENTRES = 2, 3
 #: Sets meet by size class, each this much larger than the one before.
 SIZE_STEP = 1.05
 
@@ -259,7 +262,8 @@ def components(edges: DataFrame) -> DataFrame:
     that can be reached.  Labels go along edges, then along labels, until none
     changes; every round is a written table."""
     half = forest(edges)
-    both = cut(half.union(half.select("b", "a")).distinct(), "edges")
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = cut(half.select(ways.alias("way")).select("way.a", "way.b").distinct(), "edges")
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
     while True:
         seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
@@ -273,19 +277,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """key, rep, n and label of the ``rows`` (key, rep, n) whose bucket holds
-    several labels; no link is missing in the others."""
+    several labels, and the label of most of its classes (top); no link is
+    missing in the others."""
     named = labels.withColumnRenamed("node", "rep")
     spots = cut(rows.select("key", "rep", "n").join(named, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "spots")
-    mixed = spots.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
-    return cut(spots.join(cut(mixed, "mixed"), "key", "left_semi"), "spots")
+    mixed = _across(spots, "key").select("key", "top")
+    return cut(spots.join(cut(mixed, "mixed"), "key"), "spots")
 
 
 def fresh_star(spots: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of each class of ``spots`` with a class of its bucket that
-    the hash of ``turn`` picks, unless label or size rules them out."""
-    picked = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep", "label", "n")).alias("c")
-    centres = cut(spots.groupBy("key").agg(picked).select("key", "c.rep", "c.label", "c.n").toDF("key", "b", "label_b", "n_b"), "centres")
-    met = spots.join(centres, "key").filter(F.col("label") != F.col("label_b")).filter(_sized(F.col("n"), F.col("n_b"), percent))
+    """Pairs (a, b) of each class of ``spots`` outside the label of most of its
+    bucket with the classes of the bucket that the hashes of ``turn`` pick,
+    unless label or size rules them out.  A large group meets no outsider's
+    star that way: it is the outsider that meets the group's."""
+    draws = range(turn * CENTRES, (turn + 1) * CENTRES)
+    picked = [F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("draw"), "rep", "label", "n")).dropFields("draw") for k in draws]
+    drawn = spots.groupBy("key").agg(F.array_distinct(F.array(*picked)).alias("some")).select("key", F.explode("some").alias("c"))
+    centres = cut(drawn.select("key", "c.rep", "c.label", "c.n").toDF("key", "b", "label_b", "n_b"), "centres")
+    met = spots.filter("label != top").join(centres, "key").filter(F.col("label") != F.col("label_b")).filter(_sized(F.col("n"), F.col("n_b"), percent))
     return met.select(F.col("rep").alias("a"), "b").distinct()
 
 
@@ -364,16 +373,17 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = components(links)
 
     spots = unsettled(shared.filter("size > 2"), labels)
-    for turn in range(ROUNDS):
-        if spots.isEmpty():
-            break
-        more = cut(verify(fresh_star(spots, turn, percent), sets, percent).filter("linked").select("a", "b"), "more")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        labels = components(links)
-        spots = unsettled(spots, labels)
-    if not spots.isEmpty():
+    settled = spots.isEmpty()
+    if not settled:
+        stars = [fresh_star(spots, turn, percent) for turn in range(ROUNDS)]
+        pairs = reduce(DataFrame.union, stars).distinct()
+        more = cut(verify(pairs, sets, percent).filter("linked").select("a", "b"), "more")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+            spots = unsettled(spots, labels)
+            settled = spots.isEmpty()
+    if not settled:
         pairs = cut(candidates(spots, sets, percent), "pairs")
         more = cut(verify(pairs, sets, percent).filter("linked").select("a", "b"), "more")
         if not more.isEmpty():

@@ -164,6 +164,29 @@ def test_stars_go_on_while_they_link(spark, monkeypatch):
     assert 2 <= len(stars) <= near_dup.ROUNDS and len(left) == 1
 
 
+def test_all_stars_are_checked_in_one_pass(spark, monkeypatch):
+    """Each pass costs some twenty jobs, so that a large group whose stars
+    link a few classes each takes one, not one a star."""
+    rng = random.Random(6)
+    rows = []
+    for doc in range(300):
+        words = [f"b{k}" for k in range(100)]
+        for k in rng.sample(range(100), 3):
+            words[k] = f"w{doc}x{k}"
+        rows.append((doc, " ".join(words)))
+    passes = []
+    verify = near_dup.verify
+
+    def counted(pairs, *args):
+        passes.append(pairs)
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(near_dup, "verify", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: tuple(r)[1:] for r in near_dup.near_duplicates(docs).collect()} == plain.near_duplicates(rows)
+    assert len(passes) == 3  # the smallest class of each bucket, the other centres, what the prefixes leave
+
+
 def test_shuffled_sets_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
     rows = near_copies(random.Random(3))[:150]
