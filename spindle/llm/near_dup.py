@@ -415,16 +415,13 @@ def drop_near_duplicates(docs: DataFrame, *, percent: int = PERCENT) -> DataFram
     marks = docs.sparkSession.sparkContext.broadcast(bit_set(touched.select(F.xxhash64("doc_id").alias("h"))))
     columns = docs.columns
 
-    def rows(hit: bool) -> DataFrame:
-        def run(batches):
-            for b in batches:
-                at = in_set(marks.value, b.column(b.num_columns - 1).to_numpy())
-                yield pa.RecordBatch.from_arrays(b.columns[:-1], names=columns).filter(pa.array(at == hit))
+    @F.arrow_udf("boolean")
+    def marked(hashes: pa.Array) -> pa.Array:
+        return pa.array(in_set(marks.value, hashes.to_numpy()))
 
-        return docs.select("*", F.xxhash64("doc_id").alias("_hash")).mapInArrow(run, docs.schema)
-
-    whole = rows(hit=False)
-    part = rows(hit=True)
+    maybe = marked(F.xxhash64("doc_id"))  # only the hash goes to Python, no text
+    whole = docs.filter(~maybe)
+    part = docs.filter(maybe)
     gone = found.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("NOT any").select("doc_id")
     left = part.join(gone, "doc_id", "left_anti").select(*columns)
     again = cut(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "again")

@@ -6,11 +6,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from spindle.llm import decontaminate, near_dup, packing, secrets, substring_dedup
+from spindle.llm import common, decontaminate, near_dup, packing, secrets, substring_dedup
 from spindle.llm.queries import ORACLE, QUERIES
 from spindle.plans.verify import compare, duck
 from tests.conftest import SF_MID, SF_SMALL
@@ -195,6 +198,32 @@ def test_shuffled_sets_give_the_same(spark, monkeypatch):
     assert near_dup.drop_near_duplicates(docs).count() == sum(k for _, _, k in plain.near_duplicates(rows).values())
 
 
+def test_dropping_near_copies_sends_no_text_to_python(spark):
+    """Ids are looked up by their hashes; whole rows in Arrow batches took an
+    executor of the pipeline over its memory."""
+    rows = near_copies(random.Random(3))[:60]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = near_dup.drop_near_duplicates(docs)
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    assert {r.doc_id for r in left.collect()} == {k for k, v in plain.near_duplicates(rows).items() if v[-1]}
+
+
+def test_texts_come_in_batches_of_bounded_rows(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(2 * common.BATCH_ROWS + 5, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"))
+    try:
+        for rows, most in ((10_000, common.BATCH_ROWS), (0, common.BATCH_ROWS), (300, 300)):
+            spark.conf.set(key, rows)
+            sizes = common.map_text(docs, [T.StructField("n", T.LongType())], lambda: lambda texts: [pa.array([len(texts)] * len(texts))])
+            assert {"n": most, "rows": docs.count()} == sizes.agg(F.max("n").alias("n"), F.count("*").alias("rows")).first().asDict()
+            spark.conf.set(key, rows)
+            assert common.filter_text(docs, lambda: lambda texts: [len(texts) <= most] * len(texts)).count() == docs.count()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_components_of_long_chains(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, k) for k in range(201, 260)] + [(260, 259)]
