@@ -36,7 +36,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +56,12 @@ SIZE_STEP = 1.05
 #: Classes whose texts a broadcast bit set can find; more would let nearly all texts through, so that theirs are joined by id.
 BROADCAST_IDS = FILTER_BITS
 
-#: Bytes of text hashed at once: a shingle takes up to 400 bytes while its slots are drawn.
-STEP_BYTES = 1 << 20
+#: Bytes of text hashed at once: a shingle takes up to 400 bytes while its slots are drawn.  Steps four times
+#: as large take a tenth less time and 36 MB more of each Python worker.
+STEP_BYTES = 1 << 18
+
+#: Nodes of a union-find in one task, of about 200 bytes each.
+FOREST_NODES = 1 << 18
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -78,7 +81,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2^64, at least ``n``."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n + (n >> 2), 1 << 20)
+        size = max(n + (n >> 2), STEP_BYTES)
         _POWERS[:] = []
         for factor in (BASE, pow(BASE, -1, 1 << 64)):
             p = np.full(size, np.uint64(factor))
@@ -245,16 +248,20 @@ def forest(edges: DataFrame) -> DataFrame:
                 root[x] = x = root[root[x]]
             return x
 
+        def known():
+            nodes = list(root)
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["a", "b"])
+
         for part in parts:
-            for a, b in zip(part["a"].tolist(), part["b"].tolist(), strict=True):
+            for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 a, b = find(a), find(b)
                 root[max(a, b)] = min(a, b)
-            if len(root) >= 1_000_000:  # bounded memory: what is known so far goes out as it is
-                yield pd.DataFrame([(x, find(x)) for x in list(root)], columns=["a", "b"], dtype=np.int64)
+            if len(root) >= FOREST_NODES:  # bounded memory: what is known so far goes out as it is
+                yield known()
                 root.clear()
-        yield pd.DataFrame([(x, find(x)) for x in list(root)], columns=["a", "b"], dtype=np.int64)
+        yield known()
 
-    return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInPandas(run, "a long, b long").filter("a != b")
+    return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(run, "a long, b long").filter("a != b")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """The methods against plain versions of themselves, without Spark."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from spindle.llm import decontaminate, langid, near_dup, packing, quality_model, secrets, substring_dedup, toxicity, url_filter
+from spindle.llm import common, decontaminate, langid, near_dup, packing, quality_model, secrets, substring_dedup, toxicity, url_filter
 from spindle.llm.induced_sort import suffix_arrays
 from tests.llm import plain
 
@@ -57,6 +58,20 @@ def test_superminhash_estimates():
     assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.12
 
 
+def test_near_dup_hashes_few_bytes_at_once(monkeypatch):
+    """A Python worker of near-dedup holds 30 MB at most while it hashes, tables of powers included."""
+    monkeypatch.setattr(near_dup, "_POWERS", [])
+    rng = random.Random(3)
+    batch = pa.record_batch({"text": [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(400)) for _ in range(800)]})
+    tracemalloc.start()
+    try:
+        for part in common.slices(batch, "text", near_dup.STEP_BYTES):
+            near_dup.band_keys(near_dup.superminhash(near_dup.shingle_sets(part.column(0))))
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_word_hashes_follow_the_word_rule():
     texts = ["A b\tc\x0bd", "a B", "", "é É a", None, "a\u00a0b c"]
     hashes, places = near_dup.word_hashes(pa.array(texts, pa.string()))

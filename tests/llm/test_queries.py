@@ -232,6 +232,17 @@ def test_components_of_long_chains(spark):
     assert {r[0]: r[1] for r in near_dup.components(df).collect()} == {i: 0 if i < 100 else 200 for e in edges for i in e}
 
 
+@pytest.mark.parametrize("nodes", [3, 20])
+def test_union_find_of_few_nodes_at_once(spark, monkeypatch, nodes):
+    """A task that knows as many nodes as it may hold passes them on and forgets them."""
+    monkeypatch.setattr(near_dup, "FOREST_NODES", nodes)
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(50, 50)]
+    random.Random(8).shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    assert {r[0]: r[1] for r in near_dup.components(df).collect()} == {i: 0 if i < 50 else 100 for e in edges[:] if e != (50, 50) for i in e}
+    assert near_dup.components(df.limit(0)).collect() == []
+
+
 def test_items_in_several_parts(spark, texts):
     docs = spark.createDataFrame(list(texts.items())[:80], "doc_id long, text string")
     items = [(k, " ".join(t.split()[3:25])) for k, t in texts.items() if k % 9 == 0]
