@@ -169,3 +169,59 @@ def test_rules_score_as_the_models_do(spark):
         assert both.filter(F.abs(F.col("by_rules") - F.col("prediction")) > far).isEmpty(), type(model).__name__
         assert both.filter("by_rules IS NULL").isEmpty()
     assert not reports.tree_nodes(spark, learners.fit(made[0][0], data)).filter("left_categories IS NOT NULL").isEmpty()
+
+
+def _read_by_fits(monkeypatch, kind):
+    """The rows that each fit of ``kind`` is given from now on."""
+    seen, fit = [], kind._fit
+    monkeypatch.setattr(kind, "_fit", lambda self, data: seen.append(data.toPandas()) or fit(self, data))
+    return seen
+
+
+def _repeated(spark):
+    """5,000 rows, a fifth of them one row, of 40 distinct ones."""
+    rows = spark.range(4000).selectExpr("CAST(id % 8 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b").union(spark.range(1000).selectExpr("3.0D", "1.0D"))
+    y = F.when(F.col("a") > 3, 10 * F.col("b")).otherwise(F.col("a") * F.col("b"))
+    return features.assemble(rows.select("a", "b", (F.col("a") + F.col("b") > 5).cast("double").alias("label"), y.alias("y")), ["a", "b"], "features")
+
+
+def _weighs_copies_as_rows(spark, monkeypatch, kind, est):
+    data = _repeated(spark)
+    plain = est.fit(data)
+    monkeypatch.setattr(layout, "WEIGHED_PIECES", 50)
+    seen = _read_by_fits(monkeypatch, kind)
+    model = learners.fit(est, data)
+    assert len(seen[0]) <= 40 + 50 and seen[0][layout.WEIGHT].sum() == 5000 and seen[0][layout.WEIGHT].max() <= 100
+    assert model.getNumTrees == plain.getNumTrees and not model.isSet(model.weightCol)
+    both = model.transform(data).select("a", "b", "prediction").exceptAll(plain.transform(data).select("a", "b", "prediction"))
+    assert both.isEmpty() if kind is learners.GBTClassifier else np.allclose(*[
+        [r[0] for r in m.transform(data).orderBy("a", "b").select("prediction").collect()] for m in (model, plain)], atol=1e-9)
+
+
+def test_boosted_classes_read_copies_of_a_row_once(spark, monkeypatch):
+    _weighs_copies_as_rows(spark, monkeypatch, learners.GBTClassifier, learners.gbt_classifier(max_iter=4))
+
+
+def test_weights_of_equal_rows_add_up(spark, monkeypatch):
+    """Pieces of a bounded weight, evenly dealt; few rows come as they are."""
+    data = _repeated(spark).select("label", "features")
+    with layout.weighted_input(data, partitions=4) as rows:
+        assert rows.count() == 5000 and rows.agg(F.max(layout.WEIGHT)).first()[0] == 1.0
+        assert rows.rdd.getNumPartitions() == 4 and max(_sizes(rows, 4)) <= 1700
+        assert sorted(map(repr, rows.drop(layout.WEIGHT).collect())) == sorted(map(repr, data.collect()))
+    monkeypatch.setattr(layout, "WEIGHED_PIECES", 7)
+    with layout.weighted_input(data) as rows:
+        assert rows.rdd.getNumPartitions() == layout.FIT_PARTITIONS and rows.count() <= 47
+        weighed = rows.groupBy("label", "features").agg(F.sum(layout.WEIGHT).cast("long").alias("n"))
+        assert weighed.exceptAll(data.groupBy("label", "features").agg(F.count("*").alias("n"))).isEmpty()
+    with layout.weighted_input(data.filter("false")) as rows:
+        assert rows.collect() == []
+
+
+def test_rows_that_a_learner_draws_or_counts_stay_single(spark, monkeypatch):
+    monkeypatch.setattr(layout, "WEIGHED_PIECES", 50)
+    seen = _read_by_fits(monkeypatch, learners.GBTClassifier)
+    data = _repeated(spark).withColumn("w", F.lit(2.0))
+    for kw in ({"subsamplingRate": 0.5}, {"minInstancesPerNode": 3}, {"weightCol": "w"}):
+        learners.fit(learners.gbt_classifier(max_iter=1, **kw), data)
+        assert len(seen[-1]) == 5000 and layout.WEIGHT not in seen[-1]
