@@ -202,6 +202,10 @@ def test_boosted_classes_read_copies_of_a_row_once(spark, monkeypatch):
     _weighs_copies_as_rows(spark, monkeypatch, learners.GBTClassifier, learners.gbt_classifier(max_iter=4))
 
 
+def test_boosted_numbers_read_copies_of_a_row_once(spark, monkeypatch):
+    _weighs_copies_as_rows(spark, monkeypatch, learners.GBTRegressor, learners.gbt_regressor("y", max_iter=4))
+
+
 def test_weights_of_equal_rows_add_up(spark, monkeypatch):
     """Pieces of a bounded weight, evenly dealt; few rows come as they are."""
     data = _repeated(spark).select("label", "features")
