@@ -427,3 +427,14 @@ def test_user_function_never_sees_nulls(spark):
 def test_wssse_takes_many_centres(spark):
     df = spark.range(10).select(F.array(F.col("id").cast("double")).alias("features"))
     assert evaluate.wssse(df, [[float(i)] for i in range(3000)]).first()["wssse"] == 0.0
+
+
+def test_clf_gbt_runs_all_rounds_to_full_depth(spark, monkeypatch):
+    """Ten trees, each as deep as the reference's, and a row for each."""
+    from spindle.plans import q_learners
+
+    made, fit = [], learners.fit
+    monkeypatch.setattr(learners, "fit", lambda *a, **kw: made.append(fit(*a, **kw)) or made[-1])
+    rows = q_learners.clf_gbt(spark, SF_SMALL).orderBy("tree").collect()
+    assert [r["tree"] for r in rows] == list(range(learners.GBT_CLASSIFIER_ROUNDS))
+    assert [t.depth for t in made[0].trees] == [5] * learners.GBT_CLASSIFIER_ROUNDS
