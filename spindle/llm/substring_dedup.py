@@ -10,16 +10,17 @@ in a smaller doc_id, or earlier in the same text.
    every ``RUN`` windows.
 2. A window also holds half of what surrounds its anchor, on the left or on
    the right.  Anchors with either half are counted; only regions with one
-   that occurs twice go on.  The filter is a bit set of a fixed size: at any
-   size of the data it costs the same, and what it lets through by chance has
-   no partner and falls out in step 4.
+   that occurs twice go on.  The filter is a bit set of a fixed size, in which
+   each key has three bits: at any size of the data it costs the same, and what
+   it lets through by chance has no partner and falls out in step 4.
 3. Equal regions: the first stays, all windows of the others are repeats.
    Groups are reduced by aggregates with partial sums, so thousands of
    copies of one region cost one row per task.
 4. The bytes of the first regions are read from the texts only now, in a
    second scan that finds them by a bit set, too.  Different regions of an
    anchor are dealt to shards by the anchor (one with
-   more than ``crowd`` regions to several, by the region).  A task fills
+   more than ``crowd`` regions to several, by the region).  A task drops
+   regions that came by chance and are alone (``may_repeat``), fills
    lanes with whole shards, sorts their suffixes by induction (see
    induced_sort), and marks, in text order, which suffixes share
    ``width`` bytes with the one before them in suffix order (permuted common
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindle.llm import oracles
-from spindle.llm.common import FILTER_BITS, bit_set, cut, documents, in_set, slices, utf8
+from spindle.llm.common import bit_set, cut, documents, in_set, slices, utf8
 from spindle.llm.induced_sort import suffix_arrays
 from spindle.llm.near_dup import BYTE_VALUE, PLACE_VALUE, _powers, mix
 from spindle.llm.registry import query
@@ -57,7 +58,10 @@ RUN = 1024
 #: Bytes of an anchor's regions that are sorted in one shard at most, on average.
 CROWD = 4096
 #: Bytes of all lanes that are sorted in step, and of a lane.
-BLOCK, LANE = 1 << 20, 8192
+BLOCK, LANE = 1 << 20, 4096
+#: Bits of a filter (16 MB), and how many of them a key has: of the keys that
+#: are not in it, it lets 1 in 100 through when it holds 10 million.
+FILTER_BITS, PROBES = 1 << 27, 3
 #: Bytes of text that are searched for anchors at once.
 TEXT_STEP = 1 << 19
 
@@ -143,7 +147,7 @@ class Regions:
     def with_key_in(self, bits: np.ndarray) -> np.ndarray:
         """Which regions have a key that may be in the set."""
         _, _, left, right = self._sides
-        found = in_set(bits, self.keys)
+        found = in_set(bits, self.keys, PROBES)
         hit = np.zeros(len(left), np.int64)
         n = int(left.sum())
         hit[left] += found[:n]
@@ -298,6 +302,14 @@ def sort_block(columns: dict[str, np.ndarray], blobs: list[bytes], shard: np.nda
     return pick(gone), (*pick(open_), *(mix(c[place[open_], in_lane[open_]]).view(np.int64) for c in codes))
 
 
+def may_repeat(shard: np.ndarray, places: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+    """Regions that must be sorted.  One that is alone in its shard has nothing
+    to repeat: it got there by chance, unless its anchor is in it again or others
+    of the anchor are in other shards."""
+    _, group, size = np.unique(shard, return_inverse=True, return_counts=True)
+    return (size[group] > 1) | (places > 1) | crowded
+
+
 def _runs(ids, rows, begins, width: int):
     """Windows as spans: consecutive starts of a text become one."""
     by = np.lexsort((begins, rows, ids))
@@ -328,6 +340,7 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
         """Sort the shards that fit in a lane.  Lanes are padded to the
         longest, so longer shards wait for others of their length."""
         table = pa.Table.from_batches(held)
+        table = table.filter(pa.array(may_repeat(*(table.column(c).to_numpy() for c in ("shard", "places", "crowded")))))
         columns = {c: table.column(c).to_numpy() for c in ("id", "row", "begin", "windows", "shard", "crowded")}
         blobs = table.column("bytes").to_pylist()
         sizes = np.array([len(b) for b in blobs])
@@ -367,15 +380,16 @@ def sort_shards(regions: DataFrame, width: int, block: int) -> DataFrame:
         for parts in waiting.values():
             yield from sort(parts)
 
-    return regions.select("id", "row", "begin", "windows", "bytes", "shard", "crowded").mapInArrow(run, FOUND)
+    return regions.select("id", "row", "begin", "windows", "places", "bytes", "shard", "crowded").mapInArrow(run, FOUND)
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, bits: int = FILTER_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """id, row, begin and end (bytes) of spans that go; they may overlap.
     ``docs`` as of :func:`keyed`."""
     spark = docs.sparkSession
-    keys = spark.sparkContext.broadcast(bit_set(repeated_keys(docs, width, gram), bits))
+    keys = spark.sparkContext.broadcast(bit_set(repeated_keys(docs, width, gram), bits, PROBES))
     regions = cut(regions_where(docs, lambda r, _: r.with_key_in(keys.value), width, gram), "regions")
+    keys.unpersist()
     # equal content means equal anchors
     least = regions.groupBy("content").agg(F.min(F.struct("id", "begin")).alias("first"))
     least = cut(least.select("content", F.col("first.id").alias("first_id"), F.col("first.begin").alias("first_begin")), "first-regions")
@@ -387,8 +401,8 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, bit
     sizes = cut(unlike.groupBy("anchor").agg(
         F.count("*").alias("n"), F.sum(F.col("windows") + width - 1).alias("size"), F.max("places").alias("places")).filter("n > 1 OR places > 1"), "sizes")
     open_ = unlike.join(sizes, "anchor", "left_semi")
-    marks = spark.sparkContext.broadcast(bit_set(open_.select(mark("content", "id", "begin").alias("h")), bits))
-    shown = regions_where(docs, lambda r, ids: in_set(marks.value, mark(r.content, ids, r.begin)), width, gram, with_bytes=True)
+    marks = spark.sparkContext.broadcast(bit_set(open_.select(mark("content", "id", "begin").alias("h")), bits, PROBES))
+    shown = regions_where(docs, lambda r, ids: in_set(marks.value, mark(r.content, ids, r.begin), PROBES), width, gram, with_bytes=True)
     # few anchors are crowded; the planner broadcasts them if they are few enough
     crowds = cut(sizes.filter(F.col("size") > crowd).select("anchor", "size"), "crowds")
     dealt = shown.join(crowds, "anchor", "left").withColumn("crowded", F.col("size").isNotNull())
@@ -398,6 +412,7 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, bit
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * block)))
     dealt = dealt.repartition(tasks, "shard").sortWithinPartitions("shard")
     found = cut(sort_shards(dealt, width, block), "sorted")
+    marks.unpersist()
     spans = found.filter("hash1 IS NULL").select("id", "row", "begin", "end")
     opened = found.filter("hash1 IS NOT NULL")
     both = ["hash1", "hash2"]

@@ -395,3 +395,12 @@ def test_training_text_takes_windows_of_all_different_texts():
     assert all(chr(97 + i) * 100 in got for i in range(20))
     assert langid.training_text(texts, 10**6).count("short one") == 1
     assert langid.excerpt("abc", 0) == "" and langid.training_text([], 10) == ""
+
+
+def test_lone_regions_are_not_sorted():
+    """What a filter let through by chance is alone in its shard."""
+    shard = np.array([7, 5, 5, 9, 3, 8])
+    places, crowded = np.array([1, 1, 1, 2, 1, 1]), np.array([False, False, False, False, True, False])
+    assert substring_dedup.may_repeat(shard, places, crowded).tolist() == [False, True, True, True, True, False]
+    none = np.zeros(0, np.int64)
+    assert substring_dedup.may_repeat(none, none, none.astype(bool)).tolist() == []

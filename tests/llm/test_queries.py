@@ -283,6 +283,27 @@ def test_substrings(spark, options):
     assert got == plain.repeats(rows, options.get("width", 100))
 
 
+def test_filters_let_few_others_through(spark):
+    """As full as the second filter of 6 GB of texts, whose 10 million keys let
+    13 in 100 others through when each had one of 1 << 26 bits."""
+    rng = np.random.default_rng(4)
+    least, most = -(1 << 63), (1 << 63) - 1
+    inside, others = rng.integers(least, most, 10_000_000 >> 10), rng.integers(least, most, 20_000)
+    hashes = spark.createDataFrame([(int(h),) for h in inside], "h long")
+    found = common.bit_set(hashes, substring_dedup.FILTER_BITS >> 10, substring_dedup.PROBES)
+    assert common.in_set(found, inside, substring_dedup.PROBES).all()
+    assert common.in_set(found, others, substring_dedup.PROBES).mean() < 0.02
+    one = common.bit_set(hashes, common.FILTER_BITS >> 10)
+    assert common.in_set(one, inside).all() and 0.1 < common.in_set(one, others).mean() < 0.2
+
+
+def test_full_filters_change_no_result(spark):
+    rows = substrings(random.Random(6))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: tuple(r)[1:] for r in substring_dedup.cut_repeats(docs, bits=64).collect()}
+    assert got == plain.repeats(rows, 100)
+
+
 def test_pipeline(spark, texts):
     """Each stage's effect, from the written tables, and the packed rest."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
